@@ -37,6 +37,23 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wordpiece.count(read(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary()).select("doc_id", "n_words", "n_pieces")
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base measures of every document and the adaptive verdict."""
+    from . import quality_rules
+
+    out = quality_rules.apply(read(spark, sf_dir, "documents"), carry=["doc_id"])
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op4_sql() -> str:
+    from . import quality_rules
+
+    ctes = quality_rules.SQL_CTES.replace("{docs}", "documents")
+    return f"""WITH {ctes}
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND bad = 0 AS kept
+FROM measured JOIN verdict USING (doc_id)"""
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows in every document."""
     from . import contamination
@@ -71,7 +88,8 @@ FROM d LEFT JOIN h USING (doc_id) LEFT JOIN x USING (doc_id)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
     "op3_token_counts": op3_token_counts,
+    "op4_quality_rules": op4_quality_rules,
     "op7_decontaminate": op7_decontaminate,
 }
 
-SQL: dict[str, str] = {"op7_decontaminate": OP7_SQL}
+SQL: dict[str, str] = {"op4_quality_rules": op4_sql(), "op7_decontaminate": OP7_SQL}
