@@ -65,6 +65,15 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: base spans and those the method adds."""
+    from . import pii
+
+    out = pii.detect(read(spark, sf_dir, "documents"), carry=["doc_id"])
+    counts = [F.size(F.col(f"base.{k}")).cast("long").alias(f"n_{k}") for k in pii.BASE]
+    return out.select("doc_id", *counts, F.sha2(pii.joined(pii.base_list()), 256).alias("base_sha256"), pii.joined(F.col("spans")).alias("spans"))
+
+
 _ASCII_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 OP7_SQL = rf"""
@@ -90,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_counts": op3_token_counts,
     "op4_quality_rules": op4_quality_rules,
     "op7_decontaminate": op7_decontaminate,
+    "op10_personal_data": op10_personal_data,
 }
 
 SQL: dict[str, str] = {"op4_quality_rules": op4_sql(), "op7_decontaminate": OP7_SQL}
