@@ -54,6 +54,39 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM measured JOIN verdict USING (doc_id)"""
 
 
+def op5_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation paired with its rejected twin, as prompt and masked completions."""
+    from . import preference
+
+    pairs = preference.with_rejected(preference.conversations(read(spark, sf_dir, "conversations")))
+    spans = lambda c: F.array_join(F.transform(c, lambda x: F.concat_ws(":", x["s"].cast("string"), x["e"].cast("string"))), ",")
+    return preference.format_pairs(pairs).select(
+        "conv_id", F.col("n_prompt_turns").cast("long"), "prompt", "chosen_completion", "rejected_completion",
+        spans("chosen_mask").alias("chosen_mask"), spans("rejected_mask").alias("rejected_mask"),
+    )
+
+
+OP5_SQL = r"""
+WITH c AS (SELECT conv_id, list({'r': coalesce(role, ''), 'c': coalesce(text, '')} ORDER BY turn, role, text) AS t FROM conversations GROUP BY conv_id),
+k AS (SELECT conv_id, t, list_filter(range(1, len(t) + 1), lambda i: t[i].r = 'assistant') AS sp FROM c),
+p AS (SELECT conv_id, t, CASE WHEN len(sp) = 0 THEN t ELSE list_concat(t[1 : sp[-1] - 1], [{'r': 'assistant',
+  'c': CASE WHEN len(sp) > 1 THEN t[sp[1]].c WHEN sp[-1] > 1 THEN t[sp[-1] - 1].c ELSE '' END}]) END AS x FROM k),
+n AS (SELECT *, len(list_filter(range(1, least(len(t), len(x)) + 1), lambda i: t[1 : i] = x[1 : i])) AS n FROM p),
+r AS (SELECT conv_id, n, array_to_string(list_transform(t[1 : n], lambda u: '<|' || u.r || '|>' || chr(10) || u.c || '<|end|>' || chr(10)), '') AS prompt,
+  t[n + 1 :] AS a, x[n + 1 :] AS b FROM n),
+s AS (SELECT *, list_transform(a, lambda u: length(u.r) + 5) AS ah, list_transform(a, lambda u: length(u.c) + 8) AS ab,
+  list_transform(b, lambda u: length(u.r) + 5) AS bh, list_transform(b, lambda u: length(u.c) + 8) AS bb FROM r)
+SELECT conv_id, n::BIGINT AS n_prompt_turns, prompt,
+  array_to_string(list_transform(a, lambda u: '<|' || u.r || '|>' || chr(10) || u.c || '<|end|>' || chr(10)), '') AS chosen_completion,
+  array_to_string(list_transform(b, lambda u: '<|' || u.r || '|>' || chr(10) || u.c || '<|end|>' || chr(10)), '') AS rejected_completion,
+  array_to_string(list_transform(list_filter(range(1, len(a) + 1), lambda i: a[i].r = 'assistant'), lambda i:
+    (coalesce(list_sum(ah[1 : i]), 0) + coalesce(list_sum(ab[1 : i - 1]), 0))::BIGINT || ':' || (list_sum(ah[1 : i]) + list_sum(ab[1 : i]))::BIGINT), ',') AS chosen_mask,
+  array_to_string(list_transform(list_filter(range(1, len(b) + 1), lambda i: b[i].r = 'assistant'), lambda i:
+    (coalesce(list_sum(bh[1 : i]), 0) + coalesce(list_sum(bb[1 : i - 1]), 0))::BIGINT || ':' || (list_sum(bh[1 : i]) + list_sum(bb[1 : i]))::BIGINT), ',') AS rejected_mask
+FROM s
+"""
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows in every document."""
     from . import contamination
@@ -98,8 +131,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
     "op3_token_counts": op3_token_counts,
     "op4_quality_rules": op4_quality_rules,
+    "op5_preferences": op5_preferences,
     "op7_decontaminate": op7_decontaminate,
     "op10_personal_data": op10_personal_data,
 }
 
-SQL: dict[str, str] = {"op4_quality_rules": op4_sql(), "op7_decontaminate": OP7_SQL}
+SQL: dict[str, str] = {"op4_quality_rules": op4_sql(), "op5_preferences": OP5_SQL, "op7_decontaminate": OP7_SQL}
