@@ -98,6 +98,29 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents linked by 5-word shingle similarity of 0.8 or more."""
+    from . import jaccard
+
+    return jaccard.join(read(spark, sf_dir, "documents"), k=5, t=80)
+
+
+#: Shingle sets and components over the view {docs}; ends with ``sets`` (doc_id,
+#: n_shingles) and ``comp`` (doc_id, component_id).
+JACCARD_CTES = r"""
+jw AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM {docs}),
+js AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, least(len(w), 1)) + 1)) AS i FROM jw)),
+jn AS (SELECT doc_id, count(*) AS n FROM js GROUP BY doc_id),
+jo AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS o FROM js a JOIN js b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+jl AS (SELECT x, y FROM jo JOIN jn p ON p.doc_id = x JOIN jn q ON q.doc_id = y WHERE 100 * o >= 80 * (p.n + q.n - o)),
+je AS (SELECT x, y FROM jl UNION ALL SELECT y, x FROM jl),
+reach AS (SELECT doc_id AS x, doc_id AS y FROM jw UNION SELECT reach.x, je.y FROM reach JOIN je ON reach.y = je.x),
+sets AS (SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles FROM jw LEFT JOIN jn USING (doc_id)),
+comp AS (SELECT x AS doc_id, min(y) AS component_id FROM reach GROUP BY x)"""
+
+OP8_SQL = "WITH RECURSIVE " + JACCARD_CTES.replace("{docs}", "documents") + " SELECT doc_id, n_shingles, component_id FROM sets JOIN comp USING (doc_id)"
+
+
 def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document: base spans and those the method adds."""
     from . import pii
@@ -133,7 +156,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_rules": op4_quality_rules,
     "op5_preferences": op5_preferences,
     "op7_decontaminate": op7_decontaminate,
+    "op8_jaccard_join": op8_jaccard_join,
     "op10_personal_data": op10_personal_data,
 }
 
-SQL: dict[str, str] = {"op4_quality_rules": op4_sql(), "op5_preferences": OP5_SQL, "op7_decontaminate": OP7_SQL}
+SQL: dict[str, str] = {"op4_quality_rules": op4_sql(), "op5_preferences": OP5_SQL, "op7_decontaminate": OP7_SQL, "op8_jaccard_join": OP8_SQL}
