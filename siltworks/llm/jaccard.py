@@ -239,8 +239,8 @@ class PrefixTree:
         return min(len(path) - at, len(probe) - passed)
 
 
-def verify(pairs: DataFrame, docs: DataFrame, k: int, t: int, text: str = "text", doc: str = "doc_id") -> DataFrame:
-    """The pairs (a, b), a < b, that are t similar."""
+def verify(pairs: DataFrame, docs: DataFrame, k: int, t: int, text: str = "text", doc: str = "doc_id", sets=sets) -> DataFrame:
+    """The pairs (a, b), a < b, that are t similar; ``sets`` makes the n-grams of a batch's texts."""
     sizes = pairs.groupBy("a").agg(F.count("*").alias("m"))
     dealt = pairs.join(sizes, "a").select("a", "b", F.expr(f"pmod(xxhash64(b), ceil(m / {TREE}))").cast("long").alias("part"))
     wanted = dealt.select(F.col("b").alias("id"), "a", "part", F.lit(1).alias("side")).union(dealt.select(F.col("a"), "a", "part", F.lit(0)).distinct())

@@ -121,6 +121,17 @@ comp AS (SELECT x AS doc_id, min(y) AS component_id FROM reach GROUP BY x)"""
 OP8_SQL = "WITH RECURSIVE " + JACCARD_CTES.replace("{docs}", "documents") + " SELECT doc_id, n_shingles, component_id FROM sets JOIN comp USING (doc_id)"
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Worded lines of every document and the numbers of those that go."""
+    from . import line_dedup
+
+    docs = read(spark, sf_dir, "documents")
+    found = line_dedup.decisions(docs)
+    numbers = F.array_join(F.transform("dropped", lambda x: x["number"].cast("string")), ",")
+    out = docs.select("doc_id").join(found, F.col("doc_id") == F.col("doc"), "left")
+    return out.select("doc_id", F.coalesce("n_lines", F.lit(0)).alias("n_lines"), F.coalesce(F.size("dropped"), F.lit(0)).cast("long").alias("n_dropped"), F.coalesce(numbers, F.lit("")).alias("dropped"))
+
+
 def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document: base spans and those the method adds."""
     from . import pii
@@ -157,6 +168,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_preferences": op5_preferences,
     "op7_decontaminate": op7_decontaminate,
     "op8_jaccard_join": op8_jaccard_join,
+    "op9_line_dedup": op9_line_dedup,
     "op10_personal_data": op10_personal_data,
 }
 
