@@ -19,6 +19,14 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity of every document under the trusted model, and the verdict."""
+    from . import kneser_ney
+
+    out = kneser_ney.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return out.select("doc_id", "lang", "n_tokens", F.round("perplexity", 3).alias("perplexity"), "kept")
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode and decode every document; digests of ids and decoded text."""
     from . import bpe
@@ -162,6 +170,7 @@ FROM d LEFT JOIN h USING (doc_id) LEFT JOIN x USING (doc_id)
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_perplexity": op1_perplexity,
     "op2_bpe": op2_bpe,
     "op3_token_counts": op3_token_counts,
     "op4_quality_rules": op4_quality_rules,
