@@ -9,6 +9,13 @@ traversal compares with the leader's set: overlaps along a shared path are
 counted once, and a subtree is left as soon as the remaining lengths cannot
 reach the overlap needed.
 
+Before any text is fetched, a proposed pair must pass a bound from counts:
+every set's n-grams are counted by leading hash bits, and the differences of
+two sets' counts add up to no more than their symmetric difference.  Unrelated
+sets that share a passage fail this; a similar pair never does.  Each set is
+first verified with its least partner; other pairs only if these leave them in
+different components.
+
 Groups of more than ``LIGHT`` sets (copies, shared passages) are not paired
 out.  They give links to a leader and between neighbours, at first; after
 those are verified, only groups that still span several components are
@@ -44,6 +51,8 @@ OFTEN = 32
 LIGHT = 8
 #: Partners of a leader in one prefix tree.
 TREE = 64
+#: Rows of (id, leader, part) that are broadcast to the texts at most, some 10 MB.
+BROADCAST_ROWS = 300_000
 COLUMNS = {"h": "<u8", "doc": "<i8", "size": "<u4", "pos": "<u4"}
 
 
@@ -67,10 +76,22 @@ def _signature(h: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return out[0], out[1]
 
 
+def _counts(h: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+    """Each set's counts by leading hash bits, about one for eight n-grams, 255 at most."""
+    sizes = np.diff(bounds)
+    bits = np.clip(np.ceil(np.log2(np.maximum(sizes, 1) / 8)), 4, 12).astype(np.int64)
+    at = np.r_[0, np.cumsum(1 << bits)]
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    place = at[owner] + (h >> (64 - bits[owner]).astype(np.uint64)).astype(np.int64)
+    flat = np.minimum(np.bincount(place, minlength=at[-1]), 255).astype(np.uint8)
+    return [flat[i:j].tobytes() for i, j in zip(at[:-1], at[1:], strict=True)]
+
+
 def summarise(docs: DataFrame, k: int, text: str = "text", doc: str = "doc_id") -> DataFrame:
-    """One pass: rows (doc, n, s1, s2) per document and (h, c) per n-gram a task sees often."""
+    """One pass: rows (doc, n, s1, s2, counts) per document and (h, c) per n-gram a task sees often."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["doc", "n", "s1", "s2", "counts", "h", "c"]
         seen: list[np.ndarray] = []
         held = rows = 0
 
@@ -81,14 +102,14 @@ def summarise(docs: DataFrame, k: int, text: str = "text", doc: str = "doc_id")
             many = c >= max(2, rows // 2000)
             h, c = h[many].view(np.int64), c[many]
             none = pa.nulls(len(h), pa.int64())
-            yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array(h), pa.array(c, pa.int64())], names=["doc", "n", "s1", "s2", "h", "c"])
+            yield pa.RecordBatch.from_arrays([none, none, none, none, pa.nulls(len(h), pa.binary()), pa.array(h), pa.array(c, pa.int64())], names=names)
 
         for batch in batches:
             ids = batch.column(doc).cast(pa.int64())
             for i, j, h, bounds in sets(batch, text, k):
                 s1, s2 = _signature(h, bounds)
                 none = pa.nulls(j - i, pa.int64())
-                yield pa.RecordBatch.from_arrays([ids.slice(i, j - i), pa.array(np.diff(bounds), pa.int64()), pa.array(s1), pa.array(s2), none, none], names=["doc", "n", "s1", "s2", "h", "c"])
+                yield pa.RecordBatch.from_arrays([ids.slice(i, j - i), pa.array(np.diff(bounds), pa.int64()), pa.array(s1), pa.array(s2), pa.array(_counts(h, bounds), pa.binary()), none, none], names=names)
                 seen.append(h)
                 held, rows = held + len(h), rows + j - i
                 if held > 6_000_000:
@@ -96,7 +117,7 @@ def summarise(docs: DataFrame, k: int, text: str = "text", doc: str = "doc_id")
                     seen, held, rows = [], 0, 0
         yield from often()
 
-    return docs.select(doc, text).mapInArrow(run, "doc long, n long, s1 long, s2 long, h long, c long")
+    return docs.select(doc, text).mapInArrow(run, "doc long, n long, s1 long, s2 long, counts binary, h long, c long")
 
 
 def frequent(summary: DataFrame, most: int = HOT) -> np.ndarray:
@@ -239,13 +260,36 @@ class PrefixTree:
         return min(len(path) - at, len(probe) - passed)
 
 
+def plausible(pairs: DataFrame, known: DataFrame, t: int) -> DataFrame:
+    """The pairs (a, b) whose counts allow t; ``known`` has doc, n and counts."""
+    side = lambda x: known.select(F.col("doc").alias(x), F.col("n").alias(f"n{x}"), F.col("counts").alias(f"c{x}"))
+    joined = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "ca", "cb")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            both = batch.column("na").to_numpy() + batch.column("nb").to_numpy()
+            apart = np.zeros(len(both), np.int64)
+            for i, (x, y) in enumerate(zip(batch.column("ca"), batch.column("cb"), strict=True)):
+                if not (x.is_valid and y.is_valid):
+                    continue
+                p, q = np.frombuffer(x.as_buffer(), np.uint8).astype(np.int64), np.frombuffer(y.as_buffer(), np.uint8).astype(np.int64)
+                n = min(len(p), len(q))
+                apart[i] = np.abs(p.reshape(n, -1).sum(1) - q.reshape(n, -1).sum(1)).sum()
+            yield batch.select(["a", "b"]).filter(pa.array((both - apart) // 2 >= -(-t * both // (100 + t))))
+
+    return joined.mapInArrow(run, "a long, b long")
+
+
 def verify(pairs: DataFrame, docs: DataFrame, k: int, t: int, text: str = "text", doc: str = "doc_id", sets=sets) -> DataFrame:
     """The pairs (a, b), a < b, that are t similar; ``sets`` makes the n-grams of a batch's texts."""
     sizes = pairs.groupBy("a").agg(F.count("*").alias("m"))
     dealt = pairs.join(sizes, "a").select("a", "b", F.expr(f"pmod(xxhash64(b), ceil(m / {TREE}))").cast("long").alias("part"))
     wanted = dealt.select(F.col("b").alias("id"), "a", "part", F.lit(1).alias("side")).union(dealt.select(F.col("a"), "a", "part", F.lit(0)).distinct())
+    wanted = scratch.table(wanted, "wanted")
+    if wanted.count() <= BROADCAST_ROWS:
+        wanted = F.broadcast(wanted)
     texts = docs.select(F.col(doc).cast("long").alias("id"), F.col(text).alias("_text")).where("_text is not null")
-    rows = wanted.join(texts, "id").select("a", "part", "side", "id", F.col("_text").alias("text"))
+    rows = texts.join(wanted, "id").select("a", "part", "side", "id", F.col("_text").alias("text"))
     ordered = rows.repartition(packed.shards(docs), "a", "part").sortWithinPartitions("a", "part", "side", "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -289,6 +333,13 @@ def across(heavy: DataFrame, comps: DataFrame, t: int) -> DataFrame:
     return x.join(y, F.expr(f"{on} and {room}")).select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b")).distinct()
 
 
+def apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
+    """The pairs whose ends are in different components."""
+    side = lambda x: comps.select(F.col("node").alias(x), F.col("component").alias(f"c{x}"))
+    joined = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left")
+    return joined.where("coalesce(ca, a) != coalesce(cb, b)").select("a", "b")
+
+
 def join(docs: DataFrame, k: int = 5, t: int = 80, text: str = "text", doc: str = "doc_id") -> DataFrame:
     """One row per document: ``doc_id``, ``n_shingles`` and ``component_id``.
 
@@ -298,11 +349,14 @@ def join(docs: DataFrame, k: int = 5, t: int = 80, text: str = "text", doc: str
     summary = scratch.table(summarise(docs, k, text, doc), "jaccard-summary")
     hot = frequent(summary)
     found = scratch.table(candidates(packed.deal(entries(docs, hot, k, t, n, text, doc), n), t), "jaccard-candidates")
-    pairs = found.where("a is not null").select("a", "b").distinct()
-    links = scratch.table(verify(pairs, docs, k, t, text, doc), "jaccard-links")
+    one = F.min(F.struct("s1", "s2")) == F.max(F.struct("s1", "s2"))  # rows with one id and different texts have no counts to go by
+    known = summary.where("h is null and doc is not null").groupBy("doc").agg(F.max("n").alias("n"), F.when(one, F.first("counts")).alias("counts"))
+    pairs = scratch.table(plausible(found.where("a is not null").select("a", "b").distinct(), known, t), "jaccard-pairs")
+    links = scratch.table(verify(pairs.groupBy("b").agg(F.min("a").alias("a")), docs, k, t, text, doc), "jaccard-links")
     comps = scratch.table(graph.components(links), "jaccard-components")
     heavy = found.where("h is not null").select("h", "doc", "size", "pos").distinct()
-    more = scratch.table(across(heavy, comps, t), "jaccard-across")
+    more = plausible(across(heavy, comps, t), known, t).union(apart(pairs, comps)).distinct()
+    more = scratch.table(more, "jaccard-across")
     if not more.isEmpty():
         links = links.union(scratch.table(verify(more, docs, k, t, text, doc), "jaccard-links"))
     # equal sets share their least id; so do rows with the same id
