@@ -95,6 +95,16 @@ FROM s
 """
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence families in every document."""
+    from . import licenses
+
+    out = licenses.scan(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    families = F.array_join(F.array_sort(F.array_distinct(F.transform("licenses", lambda x: x["family"]))), ",")
+    lines = F.array_join(F.transform("licenses", lambda x: F.concat_ws(":", x["family"], x["line"].cast("string"))), ",")
+    return out.select("doc_id", "n_paragraphs", F.size("licenses").cast("long").alias("n_licensed"), families.alias("families"), lines.alias("found"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows in every document."""
     from . import contamination
@@ -175,6 +185,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_counts": op3_token_counts,
     "op4_quality_rules": op4_quality_rules,
     "op5_preferences": op5_preferences,
+    "op6_licenses": op6_licenses,
     "op7_decontaminate": op7_decontaminate,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_line_dedup": op9_line_dedup,
