@@ -1,17 +1,84 @@
-"""The corpus pipeline: stages over ``documents``, each written and read again."""
+"""The corpus pipeline: stages over ``documents``, each written and read again.
+
+Stages: documents failing the quality rules go; near-copied lines go, and
+documents of which nothing is left; of each group of near copies the document
+with the least id stays; documents holding benchmark passages go; the rest is
+encoded.  All but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+from functools import wraps
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from siltworks.llm import bpe, contamination, jaccard, line_dedup, quality_rules, queries, scratch
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+#: Ids of dropped documents that are broadcast at most.
+BROADCAST_IDS = 500_000
+#: Scratch tables of the stage before, whose result is written when the next one starts.
+_earlier: list[str] = []
+
+
+def stage(f: Stage) -> Stage:
+    """Clears the scratch tables of the stage before and notes those of this one."""
+
+    @wraps(f)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        scratch.delete(spark, _earlier)
+        with scratch.collected(_earlier):
+            return f(spark, docs, sf_dir)
+
+    return run_stage
+
+
+@stage
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality_rules.apply(docs).where("kept").select(*docs.columns)
+
+
+@stage
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+
+
+@stage
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    gone = scratch.table(jaccard.join(docs).where("doc_id != component_id").select("doc_id").distinct(), "pipeline-gone")
+    if gone.count() <= BROADCAST_IDS:
+        gone = F.broadcast(gone)
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+@stage
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = contamination.scan(docs, queries.read(spark, sf_dir, "benchmark"))
+    return found.where("n_hit = 0").select(*docs.columns)
+
+
+@stage
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return queries.bpe_digests(bpe.encode(docs.select("doc_id", "text"), queries.vocabulary(), packed=True, decoded=True))
+
 
-from siltworks.llm import queries as q, scratch
+STAGES: list[tuple[str, Stage]] = [
+    ("quality", quality),
+    ("lines", lines),
+    ("near_copies", near_copies),
+    ("decontaminate", decontaminate),
+    ("encode", encode),
+]
 
-STAGES: list = []
+#: The tokenizer can't be expressed in SQL; tests hold the result against a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = q.read(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = scratch.table(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    """Apply the stages to ``documents``; each result is a table in the shared folder."""
+    docs = queries.read(spark, sf_dir, "documents")
+    for name, f in STAGES:
+        docs = scratch.table(f(spark, docs, sf_dir), f"pipeline-{name}")
+    scratch.delete(spark, _earlier)
     return docs

@@ -8,13 +8,15 @@ one.
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
 KEY = "spark.checkpoint.dir"
-_written: dict[str, list[str]] = {}
+_scope: list[list[str]] = []
 
 
 def folder(spark: SparkSession) -> str:
@@ -29,23 +31,26 @@ def folder(spark: SparkSession) -> str:
 def table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back."""
     spark = df.sparkSession
-    app = spark.sparkContext.applicationId
-    path = f"{folder(spark)}/{app}/{name}-{uuid.uuid4().hex}"
+    path = f"{folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _written.setdefault(app, []).append(path)
+    if _scope:
+        _scope[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Delete this application's scratch tables.
+@contextlib.contextmanager
+def collected(paths: list[str]) -> Iterator[None]:
+    """Tables written inside are noted in ``paths``, for ``delete`` later."""
+    _scope.append(paths)
+    try:
+        yield
+    finally:
+        _scope.pop()
 
-    Call it only when every result built on them has been written: the
-    pipeline does so at the start of each stage, whose input is a finished
-    table.
-    """
-    paths = _written.pop(spark.sparkContext.applicationId, [])
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for path in paths:
-        target = jvm.org.apache.hadoop.fs.Path(path)
+
+def delete(spark: SparkSession, paths: list[str]) -> None:
+    """Delete tables once every result built on them has been written."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while paths:
+        target = jvm.org.apache.hadoop.fs.Path(paths.pop())
         target.getFileSystem(conf).delete(target, True)
