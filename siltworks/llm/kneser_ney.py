@@ -41,6 +41,8 @@ WORDS = 65_000
 HOT = 100_000
 #: Trusted ids that are broadcast at most (32 MB); beyond, documents join them by shuffle.
 BROADCAST_IDS = 2_000_000
+#: Languages whose means and limits are broadcast at most.
+BROADCAST_LANGS = 10_000
 Q, SLACK, SHRINK, LEAST = 0.99, 0.25, 20, 50
 #: Bigrams and documents that a task gathers before it hands them on.
 FLUSH, FLUSH_DOCS = 4_000_000, 60_000
@@ -380,6 +382,12 @@ def _assemble(parts: DataFrame, n: int) -> DataFrame:
     return parts.repartition(n, "uid").mapInArrow(run, "doc long, n_tokens long, log_p long")
 
 
+def _small(by_lang: DataFrame, name: str) -> DataFrame:
+    """A table with a row per language, broadcast if it is as short as it should be."""
+    table = scratch.table(by_lang, name)
+    return F.broadcast(table) if table.count() <= BROADCAST_LANGS else table
+
+
 def score(docs: DataFrame, labels: DataFrame, text: str = "text", doc: str = "doc_id", lang: str = "lang") -> DataFrame:
     """(doc_id, lang, n_tokens, perplexity, score, score_limit, kept)."""
     n = packed.shards(docs)
@@ -394,7 +402,7 @@ def score(docs: DataFrame, labels: DataFrame, text: str = "text", doc: str = "do
     good = labels.where("quality = 1 and coalesce(toxic, 0) = 0").select(F.col("doc_id").cast("long").alias("doc"), F.lit(True).alias("trusted")).distinct()
     scored = scratch.table(about.join(sums, "doc", "left").join(good, "doc", "left").withColumn("cost", -F.col("log_p") / SCALE), "kn-scores")
     proven = scored.where("trusted and n_tokens > 0")
-    means = proven.groupBy("lang").agg((F.sum("cost") / F.sum("n_tokens")).alias("mean"))  # a row per language
+    means = _small(proven.groupBy("lang").agg((F.sum("cost") / F.sum("n_tokens")).alias("mean")), "kn-means")
     overall = proven.agg((F.sum("cost") / F.sum("n_tokens")).alias("all_mean"))
     shrunk = (F.col("cost") + SHRINK * F.coalesce("mean", "all_mean")) / (F.col("n_tokens") + SHRINK)
 
@@ -406,7 +414,7 @@ def score(docs: DataFrame, labels: DataFrame, text: str = "text", doc: str = "do
         q = with_score(proven).groupBy(*groups).agg(at.alias("q"), F.count("*").alias("m"))
         return q.select(*groups, "m", (F.col("q")[1] + SLACK * (F.col("q")[1] - F.col("q")[0])).alias("lim"))
 
-    own = limit(["lang"]).where(F.col("m") >= LEAST).select("lang", F.col("lim").alias("own_limit"))
+    own = _small(limit(["lang"]).where(F.col("m") >= LEAST).select("lang", F.col("lim").alias("own_limit")), "kn-limits")
     wide = limit([]).select(F.col("lim").alias("wide_limit"))
     out = with_score(scored).join(own, "lang", "left").join(F.broadcast(wide))
     bound = F.coalesce("own_limit", "wide_limit")
