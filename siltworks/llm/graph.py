@@ -1,9 +1,9 @@
 """Distributed union-find: connected components by alternating star contractions.
 
 Large star and small star steps (after Kiveris et al., "Connected Components in
-MapReduce and Beyond") until nothing changes.  Minima are partial aggregates
-and joins are on single keys, so a hub with very many links is never gathered
-in one place; each round's edges are written to the shared folder.
+MapReduce and Beyond") until nothing changes.  Minima are partial aggregates,
+written to the shared folder like each round's edges; the joins with them then
+shuffle both sides, so a hub with very many links can be split.
 """
 
 from __future__ import annotations
@@ -23,8 +23,8 @@ def components(edges: DataFrame) -> DataFrame:
             return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(e.select("v", "v").distinct())
         before = now
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        low = scratch.table(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "low")
         large = scratch.table(both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large-star")
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = scratch.table(large.groupBy("u").agg(F.min("v").alias("m")), "low")
         moved = large.join(low, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         e = scratch.table(moved.union(low).distinct(), "small-star")

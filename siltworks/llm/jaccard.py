@@ -361,7 +361,7 @@ def join(docs: DataFrame, k: int = 5, t: int = 80, text: str = "text", doc: str
         links = links.union(scratch.table(verify(more, docs, k, t, text, doc), "jaccard-links"))
     # equal sets share their least id; so do rows with the same id
     known = summary.where("h is null").select("doc", "n", "s1", "s2")
-    least = known.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc").alias("rep"))
+    least = scratch.table(known.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc").alias("rep")), "jaccard-least")
     classed = scratch.table(known.join(least, ["n", "s1", "s2"], "left").select("doc", "n", "rep"), "jaccard-classes")
     ends = links.select(F.col("a").alias("doc")).union(links.select("b")).distinct()
     own = ends.join(classed, "doc").where("doc != rep").select(F.col("doc").alias("a"), F.col("rep").alias("b"))
