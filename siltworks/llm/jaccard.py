@@ -18,9 +18,11 @@ different components.
 
 Groups of more than ``LIGHT`` sets (copies, shared passages) are not paired
 out.  They give links to a leader and between neighbours, at first; after
-those are verified, only groups that still span several components are
-compared across components, so no link is lost and groups of near copies cost
-in proportion to their size.
+those are verified, a few rounds compare each document outside its group's
+largest component with documents inside: of one drawn per n-gram, those whose
+counts are nearest.  What then still spans several components is compared in
+full across them, each pair at its first common n-gram, so no link is lost,
+while groups of near copies cost about in proportion to their size.
 
 The global order has three parts: n-grams by hash, after them the ``HOT`` most
 frequent ones by rising frequency.  Frequencies come from all texts: a task
@@ -44,11 +46,11 @@ from pyspark.sql import DataFrame, functions as F
 from . import graph, packed, scratch, textvec as tv
 
 #: Most frequent n-grams that go last in the order; 16 bytes each to every task.
-HOT = 500_000
-#: Documents that an n-gram must be in to count as frequent.
-OFTEN = 32
-#: Largest group whose pairs are all proposed at once.
+HOT = 1_000_000
+#: Largest group whose pairs are all proposed at once; n-grams in more documents count as frequent.
 LIGHT = 8
+#: Rounds of comparisons with the largest component, and partners of a document in each.
+ROUNDS, NEAREST = 3, 4
 #: Partners of a leader in one prefix tree.
 TREE = 64
 #: Rows of (id, leader, part) that are broadcast to the texts at most, some 10 MB.
@@ -93,13 +95,13 @@ def summarise(docs: DataFrame, k: int, text: str = "text", doc: str = "doc_id")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc", "n", "s1", "s2", "counts", "h", "c"]
         seen: list[np.ndarray] = []
-        held = rows = 0
+        held = 0
 
         def often() -> Iterator[pa.RecordBatch]:
             if not seen:
                 return
             h, c = np.unique(np.concatenate(seen), return_counts=True)
-            many = c >= max(2, rows // 2000)
+            many = c > 1
             h, c = h[many].view(np.int64), c[many]
             none = pa.nulls(len(h), pa.int64())
             yield pa.RecordBatch.from_arrays([none, none, none, none, pa.nulls(len(h), pa.binary()), pa.array(h), pa.array(c, pa.int64())], names=names)
@@ -111,10 +113,10 @@ def summarise(docs: DataFrame, k: int, text: str = "text", doc: str = "doc_id")
                 none = pa.nulls(j - i, pa.int64())
                 yield pa.RecordBatch.from_arrays([ids.slice(i, j - i), pa.array(np.diff(bounds), pa.int64()), pa.array(s1), pa.array(s2), pa.array(_counts(h, bounds), pa.binary()), none, none], names=names)
                 seen.append(h)
-                held, rows = held + len(h), rows + j - i
+                held += len(h)
                 if held > 6_000_000:
                     yield from often()
-                    seen, held, rows = [], 0, 0
+                    seen, held = [], 0
         yield from often()
 
     return docs.select(doc, text).mapInArrow(run, "doc long, n long, s1 long, s2 long, counts binary, h long, c long")
@@ -122,7 +124,7 @@ def summarise(docs: DataFrame, k: int, text: str = "text", doc: str = "doc_id")
 
 def frequent(summary: DataFrame, most: int = HOT) -> np.ndarray:
     """The most frequent n-grams, rising by frequency; at most ``most`` reach the driver."""
-    top = summary.where("h is not null").groupBy("h").agg(F.sum("c").alias("c")).where(F.col("c") >= OFTEN)
+    top = summary.where("h is not null").groupBy("h").agg(F.sum("c").alias("c")).where(F.col("c") > LIGHT)
     table = top.orderBy(F.desc("c"), "h").limit(most).toArrow()
     h, c = table.column("h").to_numpy(), table.column("c").to_numpy()
     return h[np.lexsort((h, c))].view(np.uint64)
@@ -261,7 +263,8 @@ class PrefixTree:
 
 
 def plausible(pairs: DataFrame, known: DataFrame, t: int) -> DataFrame:
-    """The pairs (a, b) whose counts allow t; ``known`` has doc, n and counts."""
+    """(a, b, apart) of the pairs whose counts allow t; ``known`` has doc, n and
+    counts, and ``apart`` is the least possible share of n-grams not in common."""
     side = lambda x: known.select(F.col("doc").alias(x), F.col("n").alias(f"n{x}"), F.col("counts").alias(f"c{x}"))
     joined = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "ca", "cb")
 
@@ -275,9 +278,10 @@ def plausible(pairs: DataFrame, known: DataFrame, t: int) -> DataFrame:
                 p, q = np.frombuffer(x.as_buffer(), np.uint8).astype(np.int64), np.frombuffer(y.as_buffer(), np.uint8).astype(np.int64)
                 n = min(len(p), len(q))
                 apart[i] = np.abs(p.reshape(n, -1).sum(1) - q.reshape(n, -1).sum(1)).sum()
-            yield batch.select(["a", "b"]).filter(pa.array((both - apart) // 2 >= -(-t * both // (100 + t))))
+            ok = (both - apart) // 2 >= -(-t * both // (100 + t))
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(apart / np.maximum(both, 1))], names=["a", "b", "apart"]).filter(pa.array(ok))
 
-    return joined.mapInArrow(run, "a long, b long")
+    return joined.mapInArrow(run, "a long, b long, apart double")
 
 
 def verify(pairs: DataFrame, docs: DataFrame, k: int, t: int, text: str = "text", doc: str = "doc_id", sets=sets) -> DataFrame:
@@ -320,17 +324,43 @@ def verify(pairs: DataFrame, docs: DataFrame, k: int, t: int, text: str = "text"
     return ordered.mapInArrow(run, "a long, b long")
 
 
-def across(heavy: DataFrame, comps: DataFrame, t: int) -> DataFrame:
-    """Pairs within heavy groups whose documents are in different components."""
+def mixed(heavy: DataFrame, comps: DataFrame) -> DataFrame:
+    """Entries of the heavy groups that span several components, with ``comp``."""
     known = heavy.join(comps, heavy["doc"] == comps["node"], "left").select("h", "doc", "size", "pos", F.coalesce("component", "doc").alias("comp"))
     known = scratch.table(known, "heavy")
-    mixed = known.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("h")
-    rest = known.join(mixed, "h", "left_semi")
+    spans = scratch.table(known.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("h"), "heavy-mixed")
+    return scratch.table(known.join(spans, "h", "left_semi"), "heavy-spanning")
+
+
+def _reach(t: int) -> str:
+    """Whether lengths and the lengths left allow x and y to be similar."""
+    room = f"least(x.pos, y.pos) + least(x.size - x.pos, y.size - y.pos) >= ceil({t} * (x.size + y.size) / {100 + t}d)"
+    return f"100 * least(x.size, y.size) >= {t} * greatest(x.size, y.size) and {room}"
+
+
+def pivots(known: DataFrame, t: int, turn: int) -> DataFrame:
+    """(a, b): a document drawn from each group's largest component, and every document outside it."""
+    drawn = F.min_by(F.struct("doc", "size", "pos"), F.xxhash64("doc", "h", F.lit(turn))).alias("p")
+    main = known.groupBy("h", "comp").agg(F.count("*").alias("m"), drawn).groupBy("h").agg(F.max_by(F.struct("comp", "p"), F.struct("m", "comp")).alias("g"))
+    main = scratch.table(main.select("h", F.col("g.comp").alias("comp"), "g.p.*"), "heavy-pivots")
+    x, y = known.alias("x"), main.alias("y")
+    return x.join(y, F.expr(f"x.h = y.h and x.comp != y.comp and {_reach(t)}")).select(F.col("y.doc").alias("a"), F.col("x.doc").alias("b")).distinct()
+
+
+def nearest(scored: DataFrame) -> DataFrame:
+    """Each b's nearest partners; b has no more of them than n-grams in its prefix."""
+    best = scored.groupBy("b").agg(F.slice(F.array_sort(F.collect_list(F.struct("apart", "a"))), 1, NEAREST).alias("near"))
+    return best.select(F.explode("near.a").alias("a"), "b")
+
+
+def across(known: DataFrame, t: int) -> DataFrame:
+    """All pairs within groups whose documents are in different components, each at its first common n-gram."""
+    grams = scratch.table(known.groupBy("doc").agg(F.sort_array(F.collect_list("h")).alias("hs")), "heavy-grams")  # no longer than a prefix
+    rest = scratch.table(known.join(grams, "doc"), "heavy-rest")
     x, y = rest.alias("x"), rest.alias("y")
-    need = f"ceil({t} * (x.size + y.size) / {100 + t}d)"
-    on = f"x.h = y.h and x.doc < y.doc and x.comp != y.comp and 100 * least(x.size, y.size) >= {t} * greatest(x.size, y.size)"
-    room = f"least(x.pos, y.pos) + least(x.size - x.pos, y.size - y.pos) >= {need}"
-    return x.join(y, F.expr(f"{on} and {room}")).select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b")).distinct()
+    first = "array_min(array_intersect(x.hs, y.hs)) = x.h"
+    on = f"x.h = y.h and x.doc < y.doc and x.comp != y.comp and {_reach(t)} and {first}"
+    return x.join(y, F.expr(on)).select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b"))
 
 
 def apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
@@ -351,12 +381,22 @@ def join(docs: DataFrame, k: int = 5, t: int = 80, text: str = "text", doc: str
     found = scratch.table(candidates(packed.deal(entries(docs, hot, k, t, n, text, doc), n), t), "jaccard-candidates")
     one = F.min(F.struct("s1", "s2")) == F.max(F.struct("s1", "s2"))  # rows with one id and different texts have no counts to go by
     known = summary.where("h is null and doc is not null").groupBy("doc").agg(F.max("n").alias("n"), F.when(one, F.first("counts")).alias("counts"))
-    pairs = scratch.table(plausible(found.where("a is not null").select("a", "b").distinct(), known, t), "jaccard-pairs")
+    pairs = scratch.table(plausible(found.where("a is not null").select("a", "b").distinct(), known, t).select("a", "b"), "jaccard-pairs")
     links = scratch.table(verify(pairs.groupBy("b").agg(F.min("a").alias("a")), docs, k, t, text, doc), "jaccard-links")
     comps = scratch.table(graph.components(links), "jaccard-components")
-    heavy = found.where("h is not null").select("h", "doc", "size", "pos").distinct()
-    more = plausible(across(heavy, comps, t), known, t).union(apart(pairs, comps)).distinct()
-    more = scratch.table(more, "jaccard-across")
+    heavy = scratch.table(found.where("h is not null").select("h", "doc", "size", "pos").distinct(), "jaccard-heavy")
+    spanning = mixed(heavy, comps)
+    for turn in range(ROUNDS):
+        tried = pivots(spanning, t, turn)
+        if turn == 0:
+            tried = tried.union(apart(pairs, comps))
+        near = scratch.table(nearest(plausible(tried.distinct(), known, t)), "jaccard-near")
+        if near.isEmpty():
+            break
+        links = scratch.table(links.union(verify(near, docs, k, t, text, doc)), "jaccard-links")
+        comps = scratch.table(graph.components(links), "jaccard-components")
+        spanning = mixed(spanning.drop("comp"), comps)
+    more = scratch.table(plausible(across(spanning, t).union(apart(pairs, comps)).distinct(), known, t).select("a", "b"), "jaccard-across")
     if not more.isEmpty():
         links = links.union(scratch.table(verify(more, docs, k, t, text, doc), "jaccard-links"))
     # equal sets share their least id; so do rows with the same id
