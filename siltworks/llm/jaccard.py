@@ -9,10 +9,10 @@ traversal compares with the leader's set: overlaps along a shared path are
 counted once, and a subtree is left as soon as the remaining lengths cannot
 reach the overlap needed.
 
-Before any text is fetched, a proposed pair must pass a bound from counts:
-every set's n-grams are counted by leading hash bits, and the differences of
-two sets' counts add up to no more than their symmetric difference.  Unrelated
-sets that share a passage fail this; a similar pair never does.  Each set is
+Before any text is fetched, a proposed pair must pass a bound from parities:
+each set has a bitmap of whether an odd number of its n-grams falls on each
+bit, and two bitmaps differ in no more bits than the sets have n-grams not in
+common.  Most pairs that are not similar fail this; a similar pair never does.  Each set is
 first verified with its least partner; other pairs only if these leave them in
 different components.
 
@@ -20,7 +20,7 @@ Groups of more than ``LIGHT`` sets (copies, shared passages) are not paired
 out.  They give links to a leader and between neighbours, at first; after
 those are verified, a few rounds compare each document outside its group's
 largest component with documents inside: of one drawn per n-gram, those whose
-counts are nearest.  What then still spans several components is compared in
+bitmaps are nearest.  What then still spans several components is compared in
 full across them, each pair at its first common n-gram, so no link is lost,
 while groups of near copies cost about in proportion to their size.
 
@@ -41,7 +41,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from . import graph, packed, scratch, textvec as tv
 
@@ -50,7 +50,7 @@ HOT = 1_000_000
 #: Largest group whose pairs are all proposed at once; n-grams in more documents count as frequent.
 LIGHT = 8
 #: Rounds of comparisons with the largest component, and partners of a document in each.
-ROUNDS, NEAREST = 3, 4
+ROUNDS, NEAREST = 2, 4
 #: Partners of a leader in one prefix tree.
 TREE = 64
 #: Rows of (id, leader, part) that are broadcast to the texts at most, some 10 MB.
@@ -78,22 +78,43 @@ def _signature(h: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return out[0], out[1]
 
 
-def _counts(h: np.ndarray, bounds: np.ndarray) -> list[bytes]:
-    """Each set's counts by leading hash bits, about one for eight n-grams, 255 at most."""
+def _parities(h: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """Each set's bitmap as 64-bit words: 2.5 to 5 bits for an n-gram, 2**16 at most."""
     sizes = np.diff(bounds)
-    bits = np.clip(np.ceil(np.log2(np.maximum(sizes, 1) / 8)), 4, 12).astype(np.int64)
-    at = np.r_[0, np.cumsum(1 << bits)]
+    log = np.clip(np.ceil(np.log2(np.maximum(sizes, 1) * 2.5)), 6, 16).astype(np.int64)
+    at = np.r_[0, np.cumsum(1 << log)]
     owner = np.repeat(np.arange(len(sizes)), sizes)
-    place = at[owner] + (h >> (64 - bits[owner]).astype(np.uint64)).astype(np.int64)
-    flat = np.minimum(np.bincount(place, minlength=at[-1]), 255).astype(np.uint8)
-    return [flat[i:j].tobytes() for i, j in zip(at[:-1], at[1:], strict=True)]
+    place = at[owner] + (h & ((1 << log[owner]) - 1).astype(np.uint64)).astype(np.int64)
+    odd = np.bincount(place, minlength=at[-1]).astype(np.uint8) & 1
+    return pa.ListArray.from_arrays(pa.array(at >> 6, pa.int32()), pa.array(np.packbits(odd, bitorder="little").view("<i8")))
+
+
+def _differing(x: Column, y: Column) -> Column:
+    """Bits in which two bitmaps differ; the larger is folded to the smaller's length.
+
+    Sets whose lengths allow similarity have lengths at most one doubling apart.
+    """
+
+    def fold(v: Column) -> Column:
+        half = (F.size(v) / 2).cast("int")
+        return F.zip_with(F.slice(v, F.lit(1), half), F.slice(v, half + 1, half), lambda p, q: p.bitwiseXOR(q))
+
+    x, y = F.when(F.size(x) > F.size(y), fold(x)).otherwise(x), F.when(F.size(y) > F.size(x), fold(y)).otherwise(y)
+    return F.aggregate(F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, n: s + n)
+
+
+def _bounded(x: Column, y: Column, nx: Column, ny: Column, t: int) -> Column:
+    """Whether lengths and bitmaps allow t; true where a bitmap is missing."""
+    near = 100 * F.least(nx, ny) >= t * F.greatest(nx, ny)
+    enough = F.floor((nx + ny - _differing(x, y)) / 2) >= F.ceil(t * (nx + ny) / F.lit(100.0 + t))
+    return F.coalesce(near & enough, F.lit(True))
 
 
 def summarise(docs: DataFrame, k: int, text: str = "text", doc: str = "doc_id") -> DataFrame:
-    """One pass: rows (doc, n, s1, s2, counts) per document and (h, c) per n-gram a task sees often."""
+    """One pass: rows (doc, n, s1, s2, bits) per document and (h, c) per n-gram a task sees often."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc", "n", "s1", "s2", "counts", "h", "c"]
+        names = ["doc", "n", "s1", "s2", "bits", "h", "c"]
         seen: list[np.ndarray] = []
         held = 0
 
@@ -104,14 +125,14 @@ def summarise(docs: DataFrame, k: int, text: str = "text", doc: str = "doc_id")
             many = c > 1
             h, c = h[many].view(np.int64), c[many]
             none = pa.nulls(len(h), pa.int64())
-            yield pa.RecordBatch.from_arrays([none, none, none, none, pa.nulls(len(h), pa.binary()), pa.array(h), pa.array(c, pa.int64())], names=names)
+            yield pa.RecordBatch.from_arrays([none, none, none, none, pa.nulls(len(h), pa.list_(pa.int64())), pa.array(h), pa.array(c, pa.int64())], names=names)
 
         for batch in batches:
             ids = batch.column(doc).cast(pa.int64())
             for i, j, h, bounds in sets(batch, text, k):
                 s1, s2 = _signature(h, bounds)
                 none = pa.nulls(j - i, pa.int64())
-                yield pa.RecordBatch.from_arrays([ids.slice(i, j - i), pa.array(np.diff(bounds), pa.int64()), pa.array(s1), pa.array(s2), pa.array(_counts(h, bounds), pa.binary()), none, none], names=names)
+                yield pa.RecordBatch.from_arrays([ids.slice(i, j - i), pa.array(np.diff(bounds), pa.int64()), pa.array(s1), pa.array(s2), _parities(h, bounds), none, none], names=names)
                 seen.append(h)
                 held += len(h)
                 if held > 6_000_000:
@@ -119,7 +140,7 @@ def summarise(docs: DataFrame, k: int, text: str = "text", doc: str = "doc_id")
                     seen, held = [], 0
         yield from often()
 
-    return docs.select(doc, text).mapInArrow(run, "doc long, n long, s1 long, s2 long, counts binary, h long, c long")
+    return docs.select(doc, text).mapInArrow(run, "doc long, n long, s1 long, s2 long, bits array<long>, h long, c long")
 
 
 def frequent(summary: DataFrame, most: int = HOT) -> np.ndarray:
@@ -263,25 +284,12 @@ class PrefixTree:
 
 
 def plausible(pairs: DataFrame, known: DataFrame, t: int) -> DataFrame:
-    """(a, b, apart) of the pairs whose counts allow t; ``known`` has doc, n and
-    counts, and ``apart`` is the least possible share of n-grams not in common."""
-    side = lambda x: known.select(F.col("doc").alias(x), F.col("n").alias(f"n{x}"), F.col("counts").alias(f"c{x}"))
-    joined = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "ca", "cb")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            both = batch.column("na").to_numpy() + batch.column("nb").to_numpy()
-            apart = np.zeros(len(both), np.int64)
-            for i, (x, y) in enumerate(zip(batch.column("ca"), batch.column("cb"), strict=True)):
-                if not (x.is_valid and y.is_valid):
-                    continue
-                p, q = np.frombuffer(x.as_buffer(), np.uint8).astype(np.int64), np.frombuffer(y.as_buffer(), np.uint8).astype(np.int64)
-                n = min(len(p), len(q))
-                apart[i] = np.abs(p.reshape(n, -1).sum(1) - q.reshape(n, -1).sum(1)).sum()
-            ok = (both - apart) // 2 >= -(-t * both // (100 + t))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(apart / np.maximum(both, 1))], names=["a", "b", "apart"]).filter(pa.array(ok))
-
-    return joined.mapInArrow(run, "a long, b long, apart double")
+    """(a, b, apart) of the pairs whose bitmaps allow t; ``known`` has doc, n and
+    bits, and ``apart`` is the least possible share of n-grams not in common."""
+    side = lambda x: known.select(F.col("doc").alias(x), F.col("n").alias(f"n{x}"), F.col("bits").alias(f"bits{x}"))
+    joined = pairs.join(side("a"), "a").join(side("b"), "b")
+    kept = joined.where(_bounded(F.col("bitsa"), F.col("bitsb"), F.col("na"), F.col("nb"), t))
+    return kept.select("a", "b", F.coalesce(_differing(F.col("bitsa"), F.col("bitsb")) / (F.col("na") + F.col("nb")), F.lit(0.0)).alias("apart"))
 
 
 def verify(pairs: DataFrame, docs: DataFrame, k: int, t: int, text: str = "text", doc: str = "doc_id", sets=sets) -> DataFrame:
@@ -353,14 +361,17 @@ def nearest(scored: DataFrame) -> DataFrame:
     return best.select(F.explode("near.a").alias("a"), "b")
 
 
-def across(known: DataFrame, t: int) -> DataFrame:
-    """All pairs within groups whose documents are in different components, each at its first common n-gram."""
-    grams = scratch.table(known.groupBy("doc").agg(F.sort_array(F.collect_list("h")).alias("hs")), "heavy-grams")  # no longer than a prefix
-    rest = scratch.table(known.join(grams, "doc"), "heavy-rest")
+def across(spanning: DataFrame, known: DataFrame, t: int) -> DataFrame:
+    """The pairs within groups whose documents are in different components, as far
+    as their bitmaps allow t, each at its first common n-gram."""
+    grams = spanning.groupBy("doc").agg(F.sort_array(F.collect_list("h")).alias("hs"))  # no longer than a prefix
+    grams = scratch.table(grams.join(known.select("doc", "bits"), "doc"), "heavy-grams")
+    rest = scratch.table(spanning.join(grams, "doc"), "heavy-rest")
     x, y = rest.alias("x"), rest.alias("y")
-    first = "array_min(array_intersect(x.hs, y.hs)) = x.h"
-    on = f"x.h = y.h and x.doc < y.doc and x.comp != y.comp and {_reach(t)} and {first}"
-    return x.join(y, F.expr(on)).select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b"))
+    on = F.expr(f"x.h = y.h and x.doc < y.doc and x.comp != y.comp and {_reach(t)}")
+    on = on & _bounded(F.col("x.bits"), F.col("y.bits"), F.col("x.size"), F.col("y.size"), t)
+    on = on & F.expr("array_min(array_intersect(x.hs, y.hs)) = x.h")
+    return x.join(y, on).select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b"))
 
 
 def apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
@@ -379,8 +390,8 @@ def join(docs: DataFrame, k: int = 5, t: int = 80, text: str = "text", doc: str
     summary = scratch.table(summarise(docs, k, text, doc), "jaccard-summary")
     hot = frequent(summary)
     found = scratch.table(candidates(packed.deal(entries(docs, hot, k, t, n, text, doc), n), t), "jaccard-candidates")
-    one = F.min(F.struct("s1", "s2")) == F.max(F.struct("s1", "s2"))  # rows with one id and different texts have no counts to go by
-    known = summary.where("h is null and doc is not null").groupBy("doc").agg(F.max("n").alias("n"), F.when(one, F.first("counts")).alias("counts"))
+    one = F.min(F.struct("s1", "s2")) == F.max(F.struct("s1", "s2"))  # rows with one id and different texts have no bitmap to go by
+    known = summary.where("h is null and doc is not null").groupBy("doc").agg(F.max("n").alias("n"), F.when(one, F.first("bits")).alias("bits"))
     pairs = scratch.table(plausible(found.where("a is not null").select("a", "b").distinct(), known, t).select("a", "b"), "jaccard-pairs")
     links = scratch.table(verify(pairs.groupBy("b").agg(F.min("a").alias("a")), docs, k, t, text, doc), "jaccard-links")
     comps = scratch.table(graph.components(links), "jaccard-components")
@@ -396,7 +407,7 @@ def join(docs: DataFrame, k: int = 5, t: int = 80, text: str = "text", doc: str
         links = scratch.table(links.union(verify(near, docs, k, t, text, doc)), "jaccard-links")
         comps = scratch.table(graph.components(links), "jaccard-components")
         spanning = mixed(spanning.drop("comp"), comps)
-    more = scratch.table(plausible(across(spanning, t).union(apart(pairs, comps)).distinct(), known, t).select("a", "b"), "jaccard-across")
+    more = scratch.table(across(spanning, known, t).union(apart(pairs, comps)).distinct(), "jaccard-across")
     if not more.isEmpty():
         links = links.union(scratch.table(verify(more, docs, k, t, text, doc), "jaccard-links"))
     # equal sets share their least id; so do rows with the same id
