@@ -160,7 +160,7 @@ def _candidate(x: Column, kind: str, t: Column) -> Column:
         "national_phone": vote(m.rlike(r"^\("), m.rlike(r"[.]")),
         "spelled_email": vote(m.rlike(r"[\[(]dot[\])]"), F.lit(False)),
         "id_number": vote(m.rlike(r"^(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)"), F.lit(True)),
-        "secret": vote(F.length(m).isin(32, 40, 64), F.lit(False)),
+        "secret": F.lit(0),  # a digest looks the same: only the words around tell
     }[kind]
     gazetteer = {
         "email": vote(m.rlike(rf"(?i)\.(?:{_TLD})$"), F.lit(False)),
@@ -173,7 +173,7 @@ def _candidate(x: Column, kind: str, t: Column) -> Column:
     near = vote(before.rlike(_NEAR[kind]), F.lit(False))
     adverse = vote(F.lit(False), before.rlike(_AGAINST))
     distinct = F.size(F.array_distinct(F.split(F.lower(m), "(?!^)(?!$)")))
-    check = vote(_luhn(digits), F.lit(True)) if kind == "card" else vote(distinct >= 6, distinct <= 3)
+    check = vote(_luhn(digits), F.lit(True)) if kind == "card" else vote(F.lit(False), distinct <= 3)
     quoted = F.substring(before, -1, 1).isin('"', "'", "(", "<", "[").cast("int")
     long = (F.length(m) > 24).cast("int")
     votes = [form.alias("v0"), gazetteer.alias("v1"), near.alias("v2"), adverse.alias("v3"), check.alias("v4")]
@@ -194,7 +194,7 @@ def estimate(rows: list[Row], rounds: int = 25) -> tuple[dict[tuple, float], lis
     for r in rows:
         key = (r["kind"], *(r[v] for v in VOTES))
         counts[key] = counts.get(key, 0) + r["n"]
-    right = [0.8] * len(VOTES)
+    right = [0.8, 0.8, 0.8, 0.9, 0.8]  # adverse words speak rarely, and more clearly than the rest
     prior = {k[0]: 0.5 for k in counts}
     post: dict[tuple, float] = {}
     for _ in range(rounds):

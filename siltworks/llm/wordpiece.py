@@ -7,8 +7,8 @@ its failure link.  The count of pieces comes out without building a piece, in
 time linear in the word (after Song et al., "Fast WordPiece Tokenization").
 
 Words are those of the vocabulary's own pre-tokenisation; a piece is the
-longest vocabulary string at its place, word end included.  Many words step
-through the automaton together.
+longest vocabulary string at its place, whether or not the vocabulary marks it
+as a word's end.  Many words step through the automaton together.
 
 A null text counts as empty: no words, no pieces.  Repeated rows give repeated
 results, empty tables an empty result.
@@ -24,14 +24,11 @@ from pyspark.sql import DataFrame, types as T
 
 from . import bpe
 
-#: The symbol of a word's end, after the 256 bytes.
-END = 256
-
 
 class Automaton:
-    """Trie over byte symbols, END last; edges as one sorted array of keys."""
+    """Trie over bytes; edges as one sorted array of keys."""
 
-    def __init__(self, pieces: list[tuple[int, ...]]):
+    def __init__(self, pieces: list[bytes]):
         nodes: dict[tuple[int, int], int] = {}
         depth, parent, via = [0], [0], [0]
         final = {}
@@ -59,12 +56,12 @@ class Automaton:
                 z = self.fail[z]
             if z >= 0:
                 self.fail[v], self.popped[v] = nodes[z, via[v]], count
-        keys = np.fromiter((a * 257 + b for a, b in nodes), np.int64, len(nodes))
+        keys = np.fromiter((a * 256 + b for a, b in nodes), np.int64, len(nodes))
         order = np.argsort(keys)
         self.keys, self.to = keys[order], np.fromiter(nodes.values(), np.int32, len(nodes))[order]
 
     def _next(self, state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
-        key = state.astype(np.int64) * 257 + symbol
+        key = state.astype(np.int64) * 256 + symbol
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where(self.keys[at] == key, self.to[at], -1)
 
@@ -77,12 +74,10 @@ class Automaton:
         starts = np.cumsum(lens) - lens
         state, total = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
         alive = np.ones(len(words), bool)
-        for i in range(int(lens[0]) + 1 if len(words) else 0):
-            live = int(np.searchsorted(-lens, -i, "right"))  # words with a symbol, or their end, at place i
+        for i in range(int(lens[0]) if len(words) else 0):
+            live = int(np.searchsorted(-lens, -i, "left"))  # words with a byte at place i
             who = np.flatnonzero(alive[:live])
-            symbol = np.full(len(who), END, np.int64)
-            inner = lens[who] > i
-            symbol[inner] = data[starts[who[inner]] + i]
+            symbol = data[starts[who] + i].astype(np.int64)
             while len(who):
                 nxt = self._next(state[who], symbol)
                 ok = nxt >= 0
@@ -110,16 +105,11 @@ class Automaton:
 
 
 def automaton(codec: bpe.Codec) -> Automaton:
-    """The automaton of a byte-level vocabulary with word ends."""
+    """The automaton of a byte-level vocabulary, word-end marks aside."""
     byte = {c: b for b, c in enumerate(bpe._byte_letters())}
     special = set(codec.special.values())
-    pieces = []
-    for i, name in enumerate(codec.names):
-        if not name or i in special:
-            continue
-        ends = name.endswith("</w>")
-        pieces.append((*(byte[c] for c in (name[:-4] if ends else name)), *[END] * ends))
-    return Automaton(pieces)
+    names = {n.removesuffix("</w>") for i, n in enumerate(codec.names) if n and i not in special}
+    return Automaton(sorted(bytes(byte[c] for c in n) for n in names if n))
 
 
 def count(df: DataFrame, path: str, text: str = "text") -> DataFrame:
