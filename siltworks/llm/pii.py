@@ -187,14 +187,15 @@ def estimate(rows: list[Row], rounds: int = 25) -> tuple[dict[tuple, float], lis
     """Expectation-maximisation over counts of vote patterns.
 
     Returns each (kind, votes) pattern's probability and each labeler's
-    (reliability when voting, share of votes).  Labelers start out as better
-    than chance; a prior of a few pseudo-votes keeps estimates off 0 and 1.
+    (reliability when voting, share of votes).  Labelers are known to be better
+    than chance and kinds to be neither rare nor certain among candidates; the
+    bounds keep the estimation from explaining a lone labeler away.
     """
     counts: dict[tuple, int] = {}
     for r in rows:
         key = (r["kind"], *(r[v] for v in VOTES))
         counts[key] = counts.get(key, 0) + r["n"]
-    right = [0.8, 0.8, 0.8, 0.9, 0.8]  # adverse words speak rarely, and more clearly than the rest
+    right = [0.8] * len(VOTES)
     prior = {k[0]: 0.5 for k in counts}
     post: dict[tuple, float] = {}
     for _ in range(rounds):
@@ -205,11 +206,11 @@ def estimate(rows: list[Row], rounds: int = 25) -> tuple[dict[tuple, float], lis
             post[key] = 1 / (1 + math.exp(-max(-30.0, min(30.0, log_odds))))
         for kind in prior:
             total = sum(n for k, n in counts.items() if k[0] == kind)
-            prior[kind] = min(0.95, max(0.05, (2 + sum(n * post[k] for k, n in counts.items() if k[0] == kind)) / (4 + total)))
+            prior[kind] = min(0.6, max(0.4, (2 + sum(n * post[k] for k, n in counts.items() if k[0] == kind)) / (4 + total)))
         for i in range(len(VOTES)):
             cast = [(k, n) for k, n in counts.items() if k[1 + i]]
             agreed = sum(n * (post[k] if k[1 + i] > 0 else 1 - post[k]) for k, n in cast)
-            right[i] = min(0.99, max(0.55, (8 + agreed) / (10 + sum(n for _, n in cast))))
+            right[i] = min(0.99, max(0.7, (8 + agreed) / (10 + sum(n for _, n in cast))))
     share = sum(counts.values()) or 1
     return post, [[a, sum(n for k, n in counts.items() if k[1 + i]) / share] for i, a in enumerate(right)]
 

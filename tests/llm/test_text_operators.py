@@ -221,7 +221,7 @@ def test_reliabilities_are_estimated():
         rows[tuple(votes)] = rows.get(tuple(votes), 0) + 1
     data = [Row(kind="email", **dict(zip(pii.VOTES, v, strict=True)), f0=0, f1=0, n=n) for v, n in rows.items()]
     _, labelers = pii.estimate(data)
-    assert abs(labelers[0][0] - 0.95) < 0.04 and abs(labelers[1][0] - 0.9) < 0.04 and labelers[2][0] < 0.7
+    assert abs(labelers[0][0] - 0.95) < 0.04 and abs(labelers[1][0] - 0.9) < 0.04 and labelers[2][0] <= 0.7
 
 
 def test_preferences(spark):
