@@ -23,7 +23,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, types as T
 
-from . import textvec as tv
+from . import batches, textvec as tv
 
 _WS = regex.compile(r"\s+")
 _END = "</w>"
@@ -54,7 +54,7 @@ _WORD = regex.compile(_PATTERN.format(letter=r"\p{L}", number=r"\p{N}", other=r"
 _WORD_RARE = regex.compile(_PATTERN.format(letter=rf"[\p{{L}}--[{_late}]]", number=rf"[\p{{N}}--[{_late}]]", other=rf"(?:[^\s\p{{L}}\p{{N}}]|[{_late}])"), regex.V1)
 
 
-def _byte_letters() -> list[str]:
+def byte_letters() -> list[str]:
     """The printable stand-in of each byte in byte-level vocabularies: bytes that
     print stand for themselves, the others take code points from 256 on in order."""
     prints = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -72,7 +72,7 @@ class Codec:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         names = {i: w for w, i in vocab.items()} | {i: w for w, i in self.special.items()}
         self.names = [names.get(i, "") for i in range(max(names) + 1)]
-        letters = _byte_letters()
+        letters = byte_letters()
         self.inner = np.array([vocab[c] for c in letters], np.int32)
         self.last = np.array([vocab[c + _END] for c in letters], np.int32)
         left, right, made = [], [], []
@@ -224,28 +224,6 @@ class Encoder:
         return (np.concatenate(flat) if flat else np.zeros(0, np.int32)), np.r_[0, np.cumsum(counts)]
 
 
-def _texts(column: pa.Array) -> list[str]:
-    return [t or "" for t in column.to_pylist()]
-
-
-def _slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch with about tv.BLOCK bytes of text each."""
-    _, off = tv.buffers(batch.column(column))
-    for i, j in tv.blocks(off):
-        yield batch.slice(i, j - i)
-
-
-def _with(batch: pa.RecordBatch, keep: list[str], more: dict[str, pa.Array]) -> pa.RecordBatch:
-    cols = {c: batch.column(c) for c in keep} | more
-    return pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
-
-
-def _schema(df: DataFrame, more: list[T.StructField]) -> tuple[T.StructType, list[str]]:
-    added = {f.name.lower() for f in more}
-    kept = [f for f in df.schema if f.name.lower() not in added]
-    return T.StructType([*kept, *more]), [f.name for f in kept]
-
-
 def encode(df: DataFrame, path: str, text: str = "text", packed: bool = False, decoded: bool = False) -> DataFrame:
     """Add ``n_tokens`` and ``token_ids`` of the column ``text``.
 
@@ -255,20 +233,20 @@ def encode(df: DataFrame, path: str, text: str = "text", packed: bool = False, d
     tables = df.sparkSession.sparkContext.broadcast(Codec(path))
     more = [T.StructField("n_tokens", T.LongType()), T.StructField("token_ids", T.BinaryType() if packed else T.ArrayType(T.IntegerType()))]
     more += [T.StructField("decoded", T.StringType())] * decoded
-    schema, keep = _schema(df, more)
+    schema, keep = batches.extended(df, more)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec: Codec = tables.value
         encoder = codec.encoder()
-        for whole in batches:
-            for batch in _slices(whole, text):
-                ids, bounds = encoder.encode(_texts(batch.column(text)))
+        for whole in parts:
+            for batch in batches.slices(whole, text):
+                ids, bounds = encoder.encode(batches.texts(batch.column(text)))
                 cut = [ids[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
                 out = {"n_tokens": pa.array(np.diff(bounds), pa.int64())}
                 out["token_ids"] = pa.array([x.astype("<u4").tobytes() for x in cut], pa.binary()) if packed else pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))
                 if decoded:
                     out["decoded"] = pa.array([codec.decode(x) for x in cut], pa.string())
-                yield _with(batch, keep, out)
+                yield batches.with_columns(batch, keep, out)
 
     return df.mapInArrow(run, schema)
 
@@ -276,12 +254,12 @@ def encode(df: DataFrame, path: str, text: str = "text", packed: bool = False, d
 def decode(df: DataFrame, path: str, ids: str = "token_ids") -> DataFrame:
     """Add ``decoded``, the text of an array of token ids; null counts as none."""
     tables = df.sparkSession.sparkContext.broadcast(Codec(path))
-    schema, keep = _schema(df, [T.StructField("decoded", T.StringType())])
+    schema, keep = batches.extended(df, [T.StructField("decoded", T.StringType())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec: Codec = tables.value
-        for batch in batches:
+        for batch in parts:
             out = [codec.decode(np.array(x or [], np.int64)) for x in batch.column(ids).to_pylist()]
-            yield _with(batch, keep, {"decoded": pa.array(out, pa.string())})
+            yield batches.with_columns(batch, keep, {"decoded": pa.array(out, pa.string())})
 
     return df.mapInArrow(run, schema)

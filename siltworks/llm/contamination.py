@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
 
-from .bpe import _schema, _slices, _with
+from . import batches
 
 #: Windows in one automaton.
 MOST = 1_000_000
@@ -76,24 +76,24 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = 10, text: str = "t
     context = docs.sparkSession.sparkContext
     parts = [context.broadcast(w) for w in _item_blocks(benchmark, item, item_text, window)]
     more = [T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()), T.StructField("items", T.ArrayType(T.StringType())), T.StructField("hits", HITS)]
-    schema, keep = _schema(docs, more)
+    schema, keep = batches.extended(docs, more)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         single = _automaton(parts[0].value) if len(parts) == 1 else None
-        for whole in batches:
-            for batch in _slices(whole, text):
+        for whole in rows:
+            for batch in batches.slices(whole, text):
                 raw = batch.column(text).cast(pa.large_binary()).to_pylist()
-                rows = [_Scan(b or b"") for b in raw]
+                scans = [_Scan(b or b"") for b in raw]
                 for part in parts:
                     machine = single or _automaton(part.value)
                     if len(machine):
-                        for row in rows:
-                            row.read(machine)
-                out = [row.result() for row in rows]
+                        for one in scans:
+                            one.read(machine)
+                out = [one.result() for one in scans]
                 cols = {"n_words": pa.array([o[0] for o in out], pa.int64()), "n_hit": pa.array([o[1] for o in out], pa.int64())}
                 cols["items"] = pa.array([o[2] for o in out], pa.list_(pa.string()))
                 cols["hits"] = pa.array([o[3] for o in out], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))
-                yield _with(batch, keep, cols)
+                yield batches.with_columns(batch, keep, cols)
 
     return docs.mapInArrow(run, schema)
 

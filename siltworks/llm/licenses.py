@@ -29,8 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
 
-from . import textvec as tv
-from .bpe import _schema, _with
+from . import batches, textvec as tv
 
 UNKNOWN = "unknown"
 #: Variants of each notice in the training set.
@@ -209,11 +208,11 @@ def scan(docs: DataFrame, text: str = "text", least: float = 0.5) -> DataFrame:
     """Add ``n_paragraphs`` and ``licenses``: family, line number (from 0) and
     calibrated probability of every paragraph that a family claims."""
     shared = docs.sparkSession.sparkContext.broadcast(fit())
-    schema, keep = _schema(docs, [T.StructField("n_paragraphs", T.LongType()), T.StructField("licenses", FOUND)])
+    schema, keep = batches.extended(docs, [T.StructField("n_paragraphs", T.LongType()), T.StructField("licenses", FOUND)])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = shared.value
-        for whole in batches:
+        for whole in parts:
             raw, off = tv.buffers(whole.column(text))
             for i, j in tv.blocks(off):
                 data, at = raw[off[i] : off[j]], off[i : j + 1] - off[i]
@@ -226,11 +225,11 @@ def scan(docs: DataFrame, text: str = "text", least: float = 0.5) -> DataFrame:
                 found: list[list[dict]] = [[] for _ in range(j - i)]
                 best = p.argmax(1) if len(p) else np.zeros(0, np.int64)
                 for row in np.flatnonzero((best != len(model.families) - 1) & (p.max(1) >= least)) if len(p) else []:
-                    part = data[edge[row] : edge[row + 1]].tobytes().decode("utf-8", "replace")
-                    if model.confirmed(part, family := model.families[best[row]]):
+                    line = data[edge[row] : edge[row + 1]].tobytes().decode("utf-8", "replace")
+                    if model.confirmed(line, family := model.families[best[row]]):
                         found[owner[row]].append({"family": family, "line": int(number[row]), "probability": float(round(p[row, best[row]], 6))})
                 worded = np.bincount(owner[p.sum(1) > 0], minlength=j - i) if len(p) else np.zeros(j - i, np.int64)
                 kind = pa.list_(pa.struct([("family", pa.string()), ("line", pa.int64()), ("probability", pa.float64())]))
-                yield _with(whole.slice(i, j - i), keep, {"n_paragraphs": pa.array(worded, pa.int64()), "licenses": pa.array(found, kind)})
+                yield batches.with_columns(whole.slice(i, j - i), keep, {"n_paragraphs": pa.array(worded, pa.int64()), "licenses": pa.array(found, kind)})
 
     return docs.mapInArrow(run, schema)

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
 
-from . import bpe
+from . import batches, bpe
 
 
 class Automaton:
@@ -106,7 +106,7 @@ class Automaton:
 
 def automaton(codec: bpe.Codec) -> Automaton:
     """The automaton of a byte-level vocabulary, word-end marks aside."""
-    byte = {c: b for b, c in enumerate(bpe._byte_letters())}
+    byte = {c: b for b, c in enumerate(bpe.byte_letters())}
     special = set(codec.special.values())
     names = {n.removesuffix("</w>") for i, n in enumerate(codec.names) if n and i not in special}
     return Automaton(sorted(bytes(byte[c] for c in n) for n in names if n))
@@ -116,15 +116,15 @@ def count(df: DataFrame, path: str, text: str = "text") -> DataFrame:
     """Add ``n_words`` and ``n_pieces`` of the column ``text``; special tokens count as one piece."""
     codec = bpe.Codec(path)
     tables = df.sparkSession.sparkContext.broadcast((codec, automaton(codec)))  # a vocabulary's size, whatever the corpus
-    schema, keep = bpe._schema(df, [T.StructField("n_words", T.LongType()), T.StructField("n_pieces", T.LongType())])
+    schema, keep = batches.extended(df, [T.StructField("n_words", T.LongType()), T.StructField("n_pieces", T.LongType())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, machine = tables.value
         start = dict.fromkeys(own.special, 1)
         known, chars = dict(start), 0
-        for whole in batches:
-            for batch in bpe._slices(whole, text):
-                per = [own.words(t) for t in bpe._texts(batch.column(text))]
+        for whole in parts:
+            for batch in batches.slices(whole, text):
+                per = [own.words(t) for t in batches.texts(batch.column(text))]
                 new = list(dict.fromkeys(w for words in per for w in words if w not in known))
                 if new and (len(known) + len(new) > bpe.CACHE_WORDS or chars > bpe.CACHE_CHARS):
                     known, chars = dict(start), 0
@@ -134,6 +134,6 @@ def count(df: DataFrame, path: str, text: str = "text") -> DataFrame:
                     chars += sum(map(len, new))
                 n_words = [len(words) for words in per]
                 n_pieces = [sum(map(known.__getitem__, words)) for words in per]
-                yield bpe._with(batch, keep, {"n_words": pa.array(n_words, pa.int64()), "n_pieces": pa.array(n_pieces, pa.int64())})
+                yield batches.with_columns(batch, keep, {"n_words": pa.array(n_words, pa.int64()), "n_pieces": pa.array(n_pieces, pa.int64())})
 
     return df.mapInArrow(run, schema)

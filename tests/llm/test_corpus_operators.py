@@ -186,7 +186,7 @@ def model_by_hand(docs, trusted):
     token = re.compile(r"[0-9A-Za-z\x80-\U0010ffff]+|[^\x00-\x20\x80-\U0010ffff0-9A-Za-z]+")
     fold = lambda w: w[0].lower() + w[1:] if "A" <= w[0] <= "Z" else w
     toks = {i: [fold(w) for w in token.findall(t or "")] for i, t in docs}
-    grams = {i: collections.Counter(zip(["<s>", *t[:-1]], t, strict=True)) for i, t in toks.items()}
+    grams = {i: collections.Counter(zip(["<s>", *t[:-1]], t, strict=False)) for i, t in toks.items()}
     c = sum((grams[i] for i in trusted), collections.Counter())
     total, after, cont = collections.Counter(), collections.defaultdict(collections.Counter), collections.Counter()
     for (u, w), n in c.items():

@@ -72,7 +72,7 @@ def test_careful_merges_keep_the_order():
 
 def test_word_pieces_are_greedy(spark):
     codec = bpe.Codec(queries.vocabulary())
-    byte = {c: i for i, c in enumerate(bpe._byte_letters())}
+    byte = {c: i for i, c in enumerate(bpe.byte_letters())}
     pieces = {bytes(byte[c] for c in name.removesuffix("</w>")) for name in codec.names[: -len(codec.special)]} - {b""}
     most = max(map(len, pieces))
 
