@@ -22,6 +22,12 @@ from ..operators import clean as cleaning, ingest as ingesting, judge as judging
 from ..sources import files, readers, registry as registry_files, tensors, tiers
 
 STAGES = ("ingest", "clean", "judge", "tokenize")
+#: A trainer gets (spark, config, root, run_id) and returns weights_uri,
+#: base_model, tracking_id, final_train_loss and final_eval_loss.
+Trainer = Callable[[SparkSession, Pipeline, str, str], dict[str, Any]]
+#: A model loader is called once per task and gives a function from chat
+#: messages to text.
+Loader = Callable[[], Callable[[list[dict]], str]]
 
 
 class Aborted(RuntimeError):
@@ -111,7 +117,7 @@ def judge(spark: SparkSession, config: Pipeline, root: str, run_id: str, score:
     if not written:
         raise Empty("zero records promoted")
     metrics = judging.metrics(flagged).first().asDict()
-    files.write_json(spark, f"{root.rstrip('/')}/metrics/{run_id}/judge.json", metrics)  # before the tier commits
+    log_metrics(spark, root, run_id, "judge", metrics)  # before the tier commits
     gold = _dense(judging.gold(flagged, config.judge.model, utc_now()))
     manifest = tiers.write_tier(gold, root, "gold", run_id, "judge", tiers.manifest_uri(root, "silver", run_id), drops, schemas.JUDGE_REASONS, written)
     files.delete(spark, path)
@@ -170,6 +176,45 @@ def register(spark: SparkSession, config: Pipeline, root: str, run_id: str, weig
     })
 
 
+def log_metrics(spark: SparkSession, root: str, run_id: str, stage: str, values: dict[str, Any]) -> None:
+    """One record for each run and stage; a rerun replaces it."""
+    files.write_json(spark, f"{root.rstrip('/')}/metrics/{run_id}/{stage}.json", {"run_id": run_id, "stage": stage, "logged_at": utc_now()} | values)
+
+
+def find_metrics(spark: SparkSession, root: str, run_id: str, stage: str) -> dict[str, Any]:
+    found = files.read_json(spark, f"{root.rstrip('/')}/metrics/{run_id}/{stage}.json")
+    if found is None:
+        raise KeyError(f"no metrics of stage {stage} for {run_id}")
+    return found
+
+
+def train(spark: SparkSession, config: Pipeline, root: str, run_id: str, trainer: Trainer) -> str:
+    """Train by the given hook and register the result; gates come before the hook."""
+    index = files.read_json(spark, f"{root.rstrip('/')}/artifacts/{run_id}/index_map.json")
+    if index is None:
+        raise tiers.UpstreamIncomplete(f"no tokenized artifact for {run_id}")
+    if index["adapter"] != config.model.adapter:
+        raise ConfigError(f"tokenized with adapter {index['adapter']!r}, configured {config.model.adapter!r}")
+    made = trainer(spark, config, root, run_id)
+    log_metrics(spark, root, run_id, "train", made)
+    return register(spark, config, root, run_id, made["weights_uri"], (made["final_train_loss"], made["final_eval_loss"]), made["tracking_id"], made["base_model"])
+
+
+def smoke_test(spark: SparkSession, config: Pipeline, root: str, run_id: str, base: Loader, tuned: Loader) -> dict[str, Any]:
+    """Outputs of both models for a few evaluation prompts, as a transcript."""
+    find_metrics(spark, root, run_id, "train")
+    both = smoke.generated(smoke.generated(smoke_samples(spark, config, root, run_id), base, "base_output"), tuned, "tuned_output")
+    rows = sorted((r.asDict(recursive=True) for r in both.collect()), key=lambda r: r.pop("row"))  # num_prompts rows
+    transcript = {
+        "run_id": run_id, "model_version": f"{config.model.adapter}-{run_id}",
+        "generation": {"max_new_tokens": config.smoke.max_new_tokens, "strategy": "greedy"}, "samples": rows,
+    }
+    target = f"{root.rstrip('/')}/artifacts/{run_id}/smoke"
+    files.delete(spark, target)
+    files.write_json(spark, f"{target}/transcript.json", transcript)
+    return transcript
+
+
 def stage_code(f: Callable[[], Any], name: str) -> int:
     """Run a stage; its exit code."""
     try:
@@ -186,14 +231,18 @@ def stage_code(f: Callable[[], Any], name: str) -> int:
         return 1
 
 
-def run(spark: SparkSession, config: Pipeline, root: str, run_id: str | None = None, score: Callable[[DataFrame], DataFrame] | None = None) -> int:
-    """All data stages in order, stopping at the first that fails."""
+def run(spark: SparkSession, config: Pipeline, root: str, run_id: str | None = None, score: Callable[[DataFrame], DataFrame] | None = None, trainer: Trainer | None = None, models: tuple[Loader, Loader] | None = None) -> int:
+    """All stages in order, stopping at the first that fails; train and smoke run where their hooks are given."""
     run_id = run_id or new_run_id()
     steps: dict[str, Callable[[], Any]] = {
         "ingest": lambda: ingest(spark, config, root, run_id), "clean": lambda: clean(spark, config, root, run_id),
         "judge": lambda: judge(spark, config, root, run_id, score), "tokenize": lambda: tokenize(spark, config, root, run_id),
     }
-    for name in STAGES:
+    if trainer is not None:
+        steps["train"] = lambda: train(spark, config, root, run_id, trainer)
+        if models is not None:
+            steps["smoke"] = lambda: smoke_test(spark, config, root, run_id, *models)
+    for name in steps:
         if code := stage_code(steps[name], name):
             if code == 3:
                 print(f"run: pipeline empty at {name}", file=sys.stderr)
@@ -204,7 +253,7 @@ def run(spark: SparkSession, config: Pipeline, root: str, run_id: str | None = N
 
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="siltworks")
-    p.add_argument("command", choices=[*STAGES, "run", "registry"])
+    p.add_argument("command", choices=[*STAGES, "run", "registry", "tools"])
     p.add_argument("--config", default="pipeline.yaml")
     p.add_argument("--root", default="tiers")
     p.add_argument("--run-id")
@@ -219,6 +268,11 @@ def main(argv: list[str] | None = None) -> int:
     if a.command == "registry":
         print("\n".join(registry.lines(registry_files.scan(spark, f"{a.root}/registry"))))
         return 0
+    if a.command == "tools":
+        from .tools import serve
+
+        serve(spark, f"{a.root}/registry")
+        return 0
     try:
         config = load(a.config)
     except ConfigError as e:

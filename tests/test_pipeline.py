@@ -233,6 +233,46 @@ def test_registry(spark, config, tmp_path):
         registry_files.get(spark, base, "none")
 
 
+def test_train_and_smoke_hooks(spark, config, root):
+    def trainer(spark, config, root, run_id):
+        return {"weights_uri": f"{root}/w", "base_model": "b", "tracking_id": "t", "final_train_loss": 1.0, "final_eval_loss": 0.5}
+
+    assert pipeline.stage_code(lambda: pipeline.smoke_test(spark, config, root, RUN, None, None), "smoke") == 2
+    pipeline.train(spark, config, root, RUN, trainer)
+    loader = lambda word: lambda: lambda messages: f"{word} {len(messages)}"
+    transcript = pipeline.smoke_test(spark, config, root, RUN, loader("base"), loader("tuned"))
+    index = pipeline.export_index_map(spark, root, RUN)
+    assert [s["record_id"] for s in transcript["samples"]] == [e["record_id"] for e in index["splits"]["eval"]][: config.smoke.num_prompts]
+    assert all(s["tuned_output"].startswith("tuned ") and s["base_output"].startswith("base ") and s["reference"] for s in transcript["samples"])
+
+
+def test_registry_tools(spark, config, tmp_path):
+    import io
+
+    from siltworks.plans import tools
+
+    root = str(tmp_path)
+    pipeline.register(spark, config, root, RUN, "w", (1.0, 0.5), "t", "base")
+    ask = [
+        {"id": 1, "method": "initialize"}, {"method": "notifications/initialized"}, {"id": 2, "method": "tools/list"}, {"id": 3, "method": "tools/call", "params": {"name": "list_models", "arguments": {"status": "candidate"}}},
+        {"id": 4, "method": "tools/call", "params": {"name": "get_model", "arguments": {"model_version": f"word-{RUN}"}}}, {"id": 5, "method": "tools/call", "params": {"name": "get_model", "arguments": {"model_version": "x"}}}, {"id": 6, "method": "none"},
+    ]
+    out = io.StringIO()
+    tools.serve(spark, f"{root}/registry", [json.dumps(a) for a in ask] + ["no json"], out)
+    replies = [json.loads(x) for x in out.getvalue().splitlines()]
+    assert [r["id"] for r in replies] == [1, 2, 3, 4, 5, 6, None]
+    assert replies[2]["result"]["structuredContent"]["models"][0]["model_version"] == f"word-{RUN}"
+    assert replies[3]["result"]["structuredContent"]["run_id"] == RUN and replies[4]["result"]["isError"] and "error" in replies[5]
+
+
+def test_sql_functions(spark):
+    from siltworks.functions.register import register
+
+    register(spark)
+    row = spark.sql("""SELECT scrub_pii('  a@b.de or 555-123-4567\u0000 ') AS s, assign_split('x', 1D) AS a, canonical_hash('{"b": 1, "a": 2}') AS h, parse_judge_reply('{"score": 3}').score AS p""").first()
+    assert (row["s"], row["a"], row["p"]) == ("[EMAIL] or [PHONE]", "eval", 3) and row["h"].startswith("sha256:")
+
+
 def test_stream(spark, inputs, tmp_path):
     from siltworks.streaming import clean as streaming
 
