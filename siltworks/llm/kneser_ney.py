@@ -403,11 +403,11 @@ def score(docs: DataFrame, labels: DataFrame, text: str = "text", doc: str = "do
     scored = scratch.table(about.join(sums, "doc", "left").join(good, "doc", "left").withColumn("cost", -F.col("log_p") / SCALE), "kn-scores")
     proven = scored.where("trusted and n_tokens > 0")
     means = _small(proven.groupBy("lang").agg((F.sum("cost") / F.sum("n_tokens")).alias("mean")), "kn-means")
-    overall = proven.agg((F.sum("cost") / F.sum("n_tokens")).alias("all_mean"))
-    shrunk = (F.col("cost") + SHRINK * F.coalesce("mean", "all_mean")) / (F.col("n_tokens") + SHRINK)
+    everywhere = proven.agg((F.sum("cost") / F.sum("n_tokens")).alias("mean")).first()["mean"]
+    shrunk = (F.col("cost") + SHRINK * F.coalesce("mean", F.lit(everywhere).cast("double"))) / (F.col("n_tokens") + SHRINK)
 
     def with_score(df: DataFrame) -> DataFrame:
-        return df.join(means, "lang", "left").join(F.broadcast(overall)).withColumn("score", shrunk)  # overall is one row
+        return df.join(means, "lang", "left").withColumn("score", shrunk)
 
     def limit(groups: list[str]) -> DataFrame:
         at = F.percentile_approx("score", [0.5, Q], 10000)
@@ -415,9 +415,9 @@ def score(docs: DataFrame, labels: DataFrame, text: str = "text", doc: str = "do
         return q.select(*groups, "m", (F.col("q")[1] + SLACK * (F.col("q")[1] - F.col("q")[0])).alias("lim"))
 
     own = _small(limit(["lang"]).where(F.col("m") >= LEAST).select("lang", F.col("lim").alias("own_limit")), "kn-limits")
-    wide = limit([]).select(F.col("lim").alias("wide_limit"))
-    out = with_score(scored).join(own, "lang", "left").join(F.broadcast(wide))
-    bound = F.coalesce("own_limit", "wide_limit")
+    wide = limit([]).first()["lim"]
+    out = with_score(scored).join(own, "lang", "left")
+    bound = F.coalesce("own_limit", F.lit(wide).cast("double"))
     return out.select(
         F.col("doc").alias("doc_id"), "lang", F.coalesce("n_tokens", F.lit(0)).alias("n_tokens"),
         F.when(F.col("n_tokens") > 0, F.exp(F.col("cost") / F.col("n_tokens"))).alias("perplexity"), "score", bound.alias("score_limit"),
