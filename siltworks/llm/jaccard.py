@@ -51,6 +51,8 @@ HOT = 1_000_000
 LIGHT = 8
 #: Rounds of comparisons with the largest component, and partners of a document in each.
 ROUNDS, NEAREST = 2, 4
+#: N-grams that a task counts at once.
+SEEN = 3_000_000
 #: Partners of a leader in one prefix tree.
 TREE = 64
 #: Rows of (id, leader, part) that are broadcast to the texts at most, some 10 MB.
@@ -135,7 +137,7 @@ def summarise(docs: DataFrame, k: int, text: str = "text", doc: str = "doc_id")
                 yield pa.RecordBatch.from_arrays([ids.slice(i, j - i), pa.array(np.diff(bounds), pa.int64()), pa.array(s1), pa.array(s2), _parities(h, bounds), none, none], names=names)
                 seen.append(h)
                 held += len(h)
-                if held > 6_000_000:
+                if held > SEEN:
                     yield from often()
                     seen, held = [], 0
         yield from often()

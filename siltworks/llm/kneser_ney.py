@@ -45,7 +45,7 @@ BROADCAST_IDS = 2_000_000
 BROADCAST_LANGS = 10_000
 Q, SLACK, SHRINK, LEAST = 0.99, 0.25, 20, 50
 #: Bigrams and documents that a task gathers before it hands them on.
-FLUSH, FLUSH_DOCS = 4_000_000, 60_000
+FLUSH, FLUSH_DOCS = 2_000_000, 60_000
 SCALE = 1000
 
 _CLASS = np.where(tv.SPACE, 0, 2)
