@@ -294,13 +294,14 @@ def plausible(pairs: DataFrame, known: DataFrame, t: int) -> DataFrame:
     return kept.select("a", "b", F.coalesce(_differing(F.col("bitsa"), F.col("bitsb")) / (F.col("na") + F.col("nb")), F.lit(0.0)).alias("apart"))
 
 
-def verify(pairs: DataFrame, docs: DataFrame, k: int, t: int, text: str = "text", doc: str = "doc_id", sets=sets) -> DataFrame:
-    """The pairs (a, b), a < b, that are t similar; ``sets`` makes the n-grams of a batch's texts."""
+def verify(pairs: DataFrame, docs: DataFrame, k: int, t: int, text: str = "text", doc: str = "doc_id", sets=sets, most: int = BROADCAST_ROWS) -> DataFrame:
+    """The pairs (a, b) that are t similar; ``sets`` makes the n-grams of a batch's
+    texts.  Up to ``most`` requests for texts are broadcast; beyond, texts are shuffled."""
     sizes = pairs.groupBy("a").agg(F.count("*").alias("m"))
     dealt = pairs.join(sizes, "a").select("a", "b", F.expr(f"pmod(xxhash64(b), ceil(m / {TREE}))").cast("long").alias("part"))
     wanted = dealt.select(F.col("b").alias("id"), "a", "part", F.lit(1).alias("side")).union(dealt.select(F.col("a"), "a", "part", F.lit(0)).distinct())
     wanted = scratch.table(wanted, "wanted")
-    if wanted.count() <= BROADCAST_ROWS:
+    if most and wanted.count() <= most:
         wanted = F.broadcast(wanted)
     texts = docs.select(F.col(doc).cast("long").alias("id"), F.col(text).alias("_text")).where("_text is not null")
     rows = texts.join(wanted, "id").select("a", "part", "side", "id", F.col("_text").alias("text"))
