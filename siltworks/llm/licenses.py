@@ -170,28 +170,28 @@ def fit(steps: int = 300, rate: float = 8.0, decay: float = 1e-4) -> Model:
     norm = lambda t: " ".join(re.findall(r"[0-9a-z]+", t.lower()))
     names = {f: [f" {norm(n)} " for n in ns] for f, ns in NAMES.items()}
     notices = {f: np.unique(_grams(*_flat(_NOTICES[f]))[2]) if f in _NOTICES else np.zeros(0, np.uint64) for f in NAMES}
-    keys = np.unique(np.concatenate([h, b]))
+    keys, often = np.unique(np.concatenate([h, b]), return_counts=True)
+    keys = keys[often > 1]  # what is seen once counts as unseen, here as later
     model = Model(families, keys, np.zeros((len(keys) + 2, len(families))), names, notices, 1.0)
     owner, at, value, unseen = model.features(*_flat(texts))
-    x = np.zeros((len(y), len(keys) + 2))
+    x = np.zeros((len(y), len(keys) + 2), np.float32)
     np.add.at(x, (owner, at), value)
-    # words of the training set are all known: one in eight rows learns from others'
-    # words only, so that unseen ones point to the unknown class
-    blank = np.zeros((len(y) // 8, x.shape[1]))
+    # some rows of unseen n-grams only, so that these point to the unknown class
+    blank = np.zeros((len(y) // 8, x.shape[1]), np.float32)
     blank[:, -2] = np.linspace(0.3, 1, len(blank))
     x[:, -2], x[:, -1] = np.maximum(unseen, 0), 1
     blank[:, -1] = 1
     rows, goal = np.r_[x[~held], blank], np.r_[y[~held], np.full(len(blank), families.index(UNKNOWN))]
-    onehot = np.eye(len(families))[goal]
+    onehot = np.eye(len(families), dtype=np.float32)[goal]
     share = 1 / np.bincount(goal, minlength=len(families))[goal]
-    share = np.sqrt(share) / np.sqrt(share).sum()
-    w = np.zeros_like(model.weights)
+    share = (np.sqrt(share) / np.sqrt(share).sum()).astype(np.float32)
+    w = np.zeros(model.weights.shape, np.float32)
     for _ in range(steps):
         z = rows @ w
         p = np.exp(z - z.max(1, keepdims=True))
         p /= p.sum(1, keepdims=True)
         w -= rate * (rows.T @ ((p - onehot) * share[:, None]) + decay * w)
-    model.weights = w
+    model.weights = w.astype(float)
     z = x[held] @ w
     losses = []
     for temperature in (grid := np.geomspace(0.05, 4, 40)):
