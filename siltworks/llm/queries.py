@@ -150,6 +150,24 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.coalesce("n_lines", F.lit(0)).alias("n_lines"), F.coalesce(F.size("dropped"), F.lit(0)).cast("long").alias("n_dropped"), F.coalesce(numbers, F.lit("")).alias("dropped"))
 
 
+#: Exact: pairs by prefix filter over hashed order, components by recursion.
+OP9_SQL = r"""
+WITH RECURSIVE occ AS (SELECT doc_id, i - 1 AS n, l[i] AS x FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)) WHERE regexp_matches(l[i], '[^\x20\x09-\x0D]')),
+u AS (SELECT x, row_number() OVER (ORDER BY min((doc_id, n))) AS id FROM occ GROUP BY x),
+s AS (SELECT id, list_sort(list_distinct(list_transform(range(1, greatest(length(x) - 7, 1) + 1), lambda k: {'h': hash(substr(x, k, 8)), 'g': substr(x, k, 8)}))) AS l FROM u),
+p AS (SELECT id, len(l) AS m, unnest(l[1 : len(l) - ceil(0.8 * len(l))::INT + 1]) AS g FROM s),
+c AS (SELECT DISTINCT a.id AS x, b.id AS y FROM p a JOIN p b ON a.g = b.g AND a.id < b.id AND 10 * least(a.m, b.m) >= 8 * greatest(a.m, b.m)),
+o AS (SELECT x, y, len(list_intersect(a.l, b.l)) AS o, len(a.l) + len(b.l) AS t FROM c JOIN s a ON a.id = x JOIN s b ON b.id = y),
+e AS (SELECT x, y FROM o WHERE 5 * o >= 4 * (t - o) UNION ALL SELECT y, x FROM o WHERE 5 * o >= 4 * (t - o)),
+r AS (SELECT id AS x, id AS y FROM u UNION SELECT r.x, e.y FROM r JOIN e ON r.y = e.x),
+k AS (SELECT x AS id, min(y) AS comp FROM r GROUP BY x),
+j AS (SELECT doc_id, n, (doc_id, n) <> min((doc_id, n)) OVER (PARTITION BY comp) AS gone FROM occ JOIN u USING (x) JOIN k USING (id)),
+d AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped, string_agg(CASE WHEN gone THEN n::VARCHAR END, ',' ORDER BY n) AS dropped FROM j GROUP BY doc_id)
+SELECT doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_dropped, 0)::BIGINT AS n_dropped, coalesce(dropped, '') AS dropped FROM documents LEFT JOIN d USING (doc_id)
+"""
+
+
 def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document: base spans and those the method adds."""
     from . import pii
@@ -192,4 +210,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_personal_data": op10_personal_data,
 }
 
-SQL: dict[str, str] = {"op4_quality_rules": op4_sql(), "op5_preferences": OP5_SQL, "op7_decontaminate": OP7_SQL, "op8_jaccard_join": OP8_SQL}
+SQL: dict[str, str] = {"op4_quality_rules": op4_sql(), "op5_preferences": OP5_SQL, "op7_decontaminate": OP7_SQL, "op8_jaccard_join": OP8_SQL, "op9_line_dedup": OP9_SQL}
