@@ -78,11 +78,13 @@ def _blocks(batch: pa.RecordBatch, text: str) -> Iterator[tuple[int, int, np.nda
 
 @dataclass
 class Vocabulary:
-    """Token hashes in order and their ids; ``other``: how many distinct tokens lie outside."""
+    """Token hashes in order and their ids; ``other``: how many distinct tokens
+    lie outside; ``total``: how many tokens there are."""
 
     keys: np.ndarray
     ids: np.ndarray
     other: int
+    total: int
 
     def __call__(self, h: np.ndarray) -> np.ndarray:
         if not len(self.keys):
@@ -132,7 +134,8 @@ def vocabulary(trusted: DataFrame) -> Vocabulary:
     top = counts.orderBy(F.desc("c"), "h").limit(WORDS).toArrow()
     h = top.column("h").to_numpy().view(np.uint64)
     order = np.argsort(h)
-    return Vocabulary(h[order], order + 2, max(1, counts.count() - len(h)))
+    types, total = counts.agg(F.count("*"), F.coalesce(F.sum("c"), F.lit(0))).first()
+    return Vocabulary(h[order], order + 2, max(1, types - len(h)), total)
 
 
 def _put(keys: np.ndarray) -> bytes:
@@ -235,8 +238,11 @@ def _discounts(counts_of: np.ndarray) -> np.ndarray:
     return np.clip(np.array(d), [0, 0.05, 0.1, 0.15], [0, 0.95, 1.9, 2.85])
 
 
-def unigrams(counts: DataFrame, n: int) -> Unigrams:
-    """Sums over the shards, by token: a table no longer than the vocabulary."""
+def unigrams(counts: DataFrame, n: int, total: int) -> Unigrams:
+    """Sums over the shards, by token: a table no longer than the vocabulary; and
+    the most frequent bigrams, of those that make up a 16 * HOT-th of all tokens,
+    which are no more than 16 * HOT however many shards there are."""
+    often = max(1, total // (16 * HOT))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -246,8 +252,8 @@ def unigrams(counts: DataFrame, n: int) -> Unigrams:
                 cols = [("total", keys >> np.uint32(16), c), ("cont", keys & np.uint32(0xFFFF), np.ones(len(c), np.int64))]
                 cols += [(f"n{k}", (keys >> np.uint32(16))[m], c[m] * 0 + 1) for k, m in ((1, c == 1), (2, c == 2), (3, c >= 3))]
                 cols += [("of", c[c <= 4], np.ones(int((c <= 4).sum()), np.int64))]
-                top = np.argsort(-c, kind="stable")[:HOT]
-                cols += [("hot", keys[top], c[top])]
+                many = c >= often
+                cols += [("hot", keys[many], c[many])]
                 for name, key, value in cols:
                     if name != "hot":
                         key, at = np.unique(key, return_inverse=True)
@@ -395,7 +401,7 @@ def score(docs: DataFrame, labels: DataFrame, text: str = "text", doc: str = "do
     trusted = slim.where("trusted").select("text")
     words = vocabulary(trusted)
     counts = count_bigrams(trusted, words, n)
-    model = unigrams(counts, n)
+    model = unigrams(counts, n, words.total)
     parts = _join(events(slim, words, model, n).unionByName(counts), model, n)
     sums = _assemble(parts, n).groupBy("doc").agg(F.sum("n_tokens").alias("n_tokens"), F.sum("log_p").alias("log_p"))
     about = docs.select(F.col(doc).cast("long").alias("doc"), F.coalesce(F.col(lang), F.lit("")).alias("lang"))
