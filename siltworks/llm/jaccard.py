@@ -395,9 +395,6 @@ def join(docs: DataFrame, k: int = 5, t: int = 80, text: str = "text", doc: str
     found = scratch.table(candidates(packed.deal(entries(docs, hot, k, t, n, text, doc), n), t), "jaccard-candidates")
     one = F.min(F.struct("s1", "s2")) == F.max(F.struct("s1", "s2"))  # rows with one id and different texts have no bitmap to go by
     known = summary.where("h is null and doc is not null").groupBy("doc").agg(F.max("n").alias("n"), F.when(one, F.first("bits")).alias("bits"))
-    # only documents that some group proposes need their bitmaps
-    named = found.select(F.explode(F.array("a", "b", "doc")).alias("doc")).where("doc is not null").distinct()
-    known = scratch.table(known.join(named, "doc", "left_semi"), "jaccard-known")
     pairs = scratch.table(plausible(found.where("a is not null").select("a", "b").distinct(), known, t).select("a", "b"), "jaccard-pairs")
     links = scratch.table(verify(pairs.groupBy("b").agg(F.min("a").alias("a")), docs, k, t, text, doc), "jaccard-links")
     comps = scratch.table(graph.components(links), "jaccard-components")
