@@ -10,7 +10,10 @@ probability 1 - (1 - 0.8**ROWS)**BANDS, over 0.998.
 Lines are parts between line feeds; those without a word never go.  Equal
 lines are one node, told by a 64-bit hash, so copies cost one row each.
 Within a band's group every line is compared with the least one and with its
-neighbour, never all with all.
+neighbour first.  Groups whose lines are then still in several components are
+compared in full across these, in blocks of lines: pairs that lengths and
+parity bitmaps (see ``jaccard``) allow are verified, at first the nearest of a
+line, then all that are left.  So every pair that shares a band is decided.
 
 Null and empty texts have no lines.  Rows with the same id and text count as
 one document and keep the same lines.  An empty table gives an empty result.
@@ -28,6 +31,14 @@ from . import graph, jaccard, packed, scratch, textvec as tv
 
 K, T, BANDS, ROWS = 8, 80, 12, 4
 COLUMNS = {"key": "<u4", "line": "<i8"}
+#: Bits of the filter that keeps unwanted texts out of a shuffle (2**FILTER).
+FILTER = 27
+#: Lines of a band's group that are compared at once with as many others.
+BLOCK = 2048
+#: Partners of a line in the first full comparison of a block.
+NEAREST = 4
+#: Largest group in which the least line and the neighbours are all pairs.
+WHOLE = 3
 #: Line hashes that a task remembers, so that it signs an equal line once.
 SEEN = 200_000
 _A = (tv.mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
@@ -148,7 +159,10 @@ def _bands(docs: DataFrame, n: int, text: str) -> DataFrame:
 
 
 def _candidates(dealt: DataFrame) -> DataFrame:
+    """Rows (a, b) for proposed pairs and (key, line) for groups that these do not cover."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["a", "b", "key", "line"]
         for shard in packed.unpack(batches, COLUMNS):
             order = np.lexsort((shard["line"], shard["key"]))
             key, line = shard["key"][order], shard["line"][order]
@@ -156,23 +170,158 @@ def _candidates(dealt: DataFrame) -> DataFrame:
                 new = np.r_[True, (key[1:] != key[:-1]) | (line[1:] != line[:-1])]
                 key, line = key[new], line[new]
             start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
-            first = np.repeat(start, np.diff(np.r_[start, len(key)]))
+            count = np.diff(np.r_[start, len(key)])
+            first = np.repeat(start, count)
             at = np.arange(len(key))
             star, chain = at[at > first], at[at > first + 1]
             pairs = np.unique(np.stack([np.r_[line[first[star]], line[chain - 1]], np.r_[line[star], line[chain]]], 1), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+            none = pa.nulls(len(pairs), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), none, none], names=names)
+            more = np.repeat(count, count) > WHOLE
+            key, line = key[more].astype(np.int64), line[more]
+            none = pa.nulls(len(key), pa.int64())
+            yield pa.RecordBatch.from_arrays([none, none, pa.array(key), pa.array(line)], names=names)
+
+    return dealt.mapInArrow(run, "a long, b long, key long, line long")
+
+
+def _mixed(groups: DataFrame, comps: DataFrame) -> DataFrame:
+    """(key, line, comp, m) of the groups that span several components; m is a group's size."""
+    known = groups.join(comps, groups["line"] == comps["node"], "left").select("key", "line", F.coalesce("component", "line").alias("comp"))
+    known = scratch.table(known, "line-groups")
+    spans = known.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m")).where("lo < hi")
+    return scratch.table(known.join(scratch.table(spans.select("key", "m"), "line-mixed"), "key"), "line-spanning")
+
+
+def _described(spanning: DataFrame, docs: DataFrame, text: str) -> DataFrame:
+    """(line, text, n, bits) of the lines of some groups."""
+    wanted = scratch.table(spanning.select("line").distinct(), "line-wanted")
+    rows = _texts(docs, text, wanted).join(wanted, "line").groupBy("line").agg(F.first("text").alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, j, h, bounds in char_sets(batch, "text", K):
+                cols = [batch.column(c).slice(i, j - i) for c in ("line", "text")]
+                yield pa.RecordBatch.from_arrays([*cols, pa.array(np.diff(bounds), pa.int64()), jaccard._parities(h, bounds)], names=["line", "text", "n", "bits"])
+
+    return scratch.table(rows.mapInArrow(run, "line long, text string, n long, bits array<long>"), "line-texts")
+
+
+def _plausible(rows: dict[str, np.ndarray], most: int | None) -> Iterator[np.ndarray]:
+    """Pairs of a cell's lines (side 0 with side 1, or all with all if there is no
+    side 1) in different components that lengths and bitmaps allow; of each line
+    the ``most`` nearest.  An empty array tells that others are left out."""
+    width = np.diff(rows["off"])
+    two = bool(rows["side"].any())
+    mine = {}
+    for side in (0, 1) if two else (0,):
+        for w in np.unique(width):
+            at = np.flatnonzero((width == w) & (rows["side"] == side))
+            if len(at):
+                mine[side, int(w)] = at, rows["bits"][rows["off"][at][:, None] + np.arange(w)]
+    for (side, w), (x, bx) in mine.items():
+        if side:
+            continue
+        for v in (w // 2, w, 2 * w) if two else (w, 2 * w):
+            if (int(two), v) not in mine:
+                continue
+            y, by = mine[int(two), v]
+            u = min(v, w)
+            fold = lambda b: b[:, :u] ^ b[:, u:] if b.shape[1] > u else b  # noqa: B023, E731
+            cx, cy = fold(bx), fold(by)
+            step = max(1, 1_000_000 // len(y))
+            for i in range(0, len(x), step):
+                p = x[i : i + step]
+                apart = np.zeros((len(p), len(y)), np.int32)
+                for k in range(u):
+                    apart += np.bitwise_count(cx[i : i + step, k, None] ^ cy[None, :, k])
+                np_, ny = rows["n"][p][:, None], rows["n"][y][None]
+                ok = (rows["comp"][p][:, None] != rows["comp"][y][None]) & (100 * np.minimum(np_, ny) >= T * np.maximum(np_, ny))
+                ok &= (np_ + ny - apart) // 2 >= -(-T * (np_ + ny) // (100 + T))
+                if not two and v == w:
+                    ok &= p[:, None] < y[None]
+                if most is not None and ok.sum(1).max() > most:
+                    yield np.zeros((0, 2), np.int64)
+                    near = np.argpartition(np.where(ok, apart, np.iinfo(np.int32).max), most - 1, axis=1)[:, :most]
+                    r, c = np.nonzero(np.take_along_axis(ok, near, 1))
+                    c = near[r, c]
+                else:
+                    r, c = np.nonzero(ok)
+                if len(r):
+                    a, b = rows["line"][p[r]], rows["line"][y[c]]
+                    yield np.stack([np.minimum(a, b), np.maximum(a, b)], 1)
+
+
+def _across(spanning: DataFrame, described: DataFrame, n: int, most: int | None) -> DataFrame:
+    """(a, b): pairs of lines of a group in different components that may be similar; nulls if some are left out."""
+    blocks = F.ceil(F.col("m") / BLOCK)
+    block = F.pmod(F.xxhash64("line"), blocks)
+    rows = spanning.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    rows = rows.join(described.select("line", "n", "bits"), "line")
+    rows = rows.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), (F.col("block") > F.col("other")).cast("long").alias("side"), "line", "comp", "n", "bits")
+    dealt = rows.repartition(n, "key", "i", "j").sortWithinPartitions("key", "i", "j")
+
+    def cell(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole = pa.Table.from_batches(batches).combine_chunks()
+        rows = {c: whole.column(c).to_numpy() for c in ("side", "line", "comp", "n")}
+        lists = whole.column("bits").combine_chunks()
+        lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+        rows["off"] = lists.offsets.to_numpy().astype(np.int64) - lists.offsets[0].as_py()
+        rows["bits"] = lists.flatten().to_numpy().view(np.uint64)
+        for pairs in _plausible(rows, most):
+            a, b = (pa.array(pairs[:, c]) if len(pairs) else pa.nulls(1, pa.int64()) for c in (0, 1))
+            yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        last = None
+        for batch in batches:
+            if not len(batch):
+                continue
+            at = np.stack([batch.column(c).to_numpy() for c in ("key", "i", "j")], 1)
+            edge = np.r_[0, np.flatnonzero((at[1:] != at[:-1]).any(1)) + 1, len(at)]
+            for lo, hi in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
+                if held and tuple(at[lo]) != last:
+                    yield from cell(held)
+                    held = []
+                last = tuple(at[lo])
+                held.append(batch.slice(lo, hi - lo))
+        if held:
+            yield from cell(held)
 
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
-def _texts(docs: DataFrame, text: str) -> DataFrame:
+def _filter(lines: DataFrame) -> np.ndarray:
+    """A bitmap by the leading bits of hashes; every one of ``lines`` is in it.  Its size does not grow."""
+    spot = F.shiftrightunsigned("line", 64 - FILTER)
+    parts = lines.select(spot.alias("spot")).groupBy(F.bitmap_bucket_number("spot").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("spot")).alias("bits"))
+    out = np.zeros(((1 << FILTER) >> 3) + 8192, np.uint8)
+    # a bucket numbered k > 0 holds the positions from (k - 1) * 2**15 + 1 on; the bit of position x is (x - 1) mod 2**15
+    for row in parts.collect():
+        out[row["bucket"] * 4096 : (row["bucket"] + 1) * 4096] = np.frombuffer(row["bits"], np.uint8)
+    return out
+
+
+def _passes(table: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    spot = (ids.view(np.uint64) >> np.uint64(64 - FILTER)).astype(np.int64)
+    bucket = np.where(spot > 0, 1 + (spot - 1) // 32768, 0)
+    bit = np.where(spot > 0, (spot - 1) % 32768, 0)
+    return (table[bucket * 4096 + (bit >> 3)] >> (bit & 7).astype(np.uint8)) & 1 > 0
+
+
+def _texts(docs: DataFrame, text: str, lines: DataFrame) -> DataFrame:
+    """(line, text) of at least the given lines."""
+    shared = docs.sparkSession.sparkContext.broadcast(_filter(lines))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fresh = _Fresh()
         for batch in batches:
-            for _, _, lines in _blocks(batch, text):
-                which = fresh(lines.ids)
-                cut = [lines.text[a:b] for a, b in zip(lines.starts[which].tolist(), lines.ends[which].tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(lines.ids[which]), pa.array(cut, pa.string())], names=["line", "text"])
+            for _, _, found in _blocks(batch, text):
+                which = np.flatnonzero(_passes(shared.value, found.ids))
+                which = which[fresh(found.ids[which])]
+                cut = [found.text[a:b] for a, b in zip(found.starts[which].tolist(), found.ends[which].tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(found.ids[which]), pa.array(cut, pa.string())], names=["line", "text"])
 
     return docs.select(text).mapInArrow(run, "line long, text string")
 
@@ -192,9 +341,28 @@ def occurrences(docs: DataFrame, text: str = "text", doc: str = "doc_id") -> Dat
 def components(docs: DataFrame, text: str = "text") -> DataFrame:
     """(node, component) of lines that have near copies."""
     n = packed.shards(docs)
-    pairs = scratch.table(_candidates(packed.deal(_bands(docs, n, text), n)), "line-pairs")
-    links = jaccard.verify(pairs, _texts(docs, text), K, T, text="text", doc="line", sets=char_sets, most=0)
-    return graph.components(links)
+    found = scratch.table(_candidates(packed.deal(_bands(docs, n, text), n)), "line-candidates")
+    pairs = scratch.table(found.where("a is not null").select("a", "b").distinct(), "line-pairs")
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("line"))
+    links = scratch.table(jaccard.verify(pairs, _texts(docs, text, ends), K, T, text="text", doc="line", sets=char_sets, most=0), "line-links")
+    comps = scratch.table(graph.components(links), "line-components")
+    spanning = _mixed(found.where("key is not null").select("key", "line"), comps)
+    if spanning.isEmpty():
+        return comps
+    described = _described(spanning, docs, text)
+    for most in (NEAREST, None):
+        # what is verified already is not verified again
+        tried = scratch.table(_across(spanning, described, n, most).join(pairs, ["a", "b"], "left_anti"), "line-across")
+        more = tried.where("a is not null")
+        if not more.isEmpty():
+            links = scratch.table(links.union(jaccard.verify(more, described, K, T, text="text", doc="line", sets=char_sets, most=0)), "line-links")
+            comps = scratch.table(graph.components(links), "line-components")
+        if tried.where("a is null").isEmpty():
+            break
+        if most is not None:
+            pairs = scratch.table(pairs.union(more), "line-pairs")
+            spanning = _mixed(spanning.select("key", "line"), comps)
+    return comps
 
 
 def decisions(docs: DataFrame, text: str = "text", doc: str = "doc_id") -> DataFrame:

@@ -166,6 +166,28 @@ def test_line_dedup_by_brute_force(spark):
     assert line_dedup.dedup(frame(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("block", [2048, 40])
+def test_line_dedup_of_template_lines(spark, monkeypatch, block):
+    monkeypatch.setattr(line_dedup, "BLOCK", block, raising=False)
+    rng = random.Random(5)
+    word = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    base = word(180)
+    lines = []
+    for _ in range(120):  # a pair differs in its last five characters, lines of the template in 25
+        field = word(20)
+        lines += [base + field + word(5) for _ in range(2)]
+    sets = [char_set(x) for x in lines]
+    near = [len(a & b) / len(a | b) for a, b in zip(sets[::2], sets[1::2], strict=True)]
+    far = [len(a & b) / len(a | b) for a, b in zip(sets, sets[2:], strict=False)]
+    assert min(near) > 0.8 and max(far) < 0.8
+    rng.shuffle(lines)
+    rows = list(enumerate("\n".join(lines[i : i + 4]) for i in range(0, len(lines), 4)))
+    gone = expected_lines(rows)
+    assert sum(map(len, gone.values())) == 120
+    found = {r["doc"]: [d["number"] for d in r["dropped"]] for r in line_dedup.decisions(frame(spark, rows)).collect()}
+    assert {k: v for k, v in found.items() if v} == dict(gone)
+
+
 def test_bands_recall():
     rng, hit = random.Random(2), 0
     base = "".join(rng.choice("abcdefghij ") for _ in range(200))
