@@ -8,6 +8,13 @@ which is trained on ordinary and licence-like sentences.  A prediction counts
 only when the family's templates confirm it: the paragraph holds one of the
 family's names, or most of its bigrams stand in the family's notices.
 
+A licence inside a longer paragraph is found in windows of about the length of
+the training notices: around every occurrence of a name, and overlapping ones
+wherever most bigrams stand in some notice; elsewhere no family can be
+confirmed.  A paragraph may have several families.  A window without a name
+counts for no other family if the notices of one that the paragraph names
+explain it as well.
+
 The training set is built here from the notices below, whatever the corpus;
 its size, ``SAMPLES`` variants of each notice, is the bound of the fit.  Every
 paragraph of every text is classified, with all weights in one small array.
@@ -34,6 +41,10 @@ from . import batches, textvec as tv
 UNKNOWN = "unknown"
 #: Variants of each notice in the training set.
 SAMPLES = 6
+#: Words before and after a name in the windows around it.
+AROUND = [(0, 0), (3, 0), (5, 0), (3, 3), (5, 5), (10, 10), (20, 20), (40, 40)]
+#: Words in the windows for notices without a name; they overlap by three quarters.
+WINDOWS = [8, 12, 20, 40, 80]
 #: Families and the names they go by (fixed values).
 NAMES = {
     "agpl": ["GNU Affero General Public License", "GNU AGPL", "AGPL 3.0", "AGPLv3"],
@@ -55,6 +66,8 @@ _FRAMES = [
     "Licensed under {}.", "Licensed under the {}.", "Released under the {}.", "This work is licensed under the {}.", "This software is distributed under the terms of the {}.",
     "SPDX-License-Identifier: {}", "Published under {} by the authors.", "The code is available under the {}.", "This program is free software under the {}, see LICENSE.", "License: {}",
 ]
+#: Families whose notices are those of another but for the name.
+KIN = {"agpl": "gpl"}
 #: Sentences of the licences' own notices (fixed values).
 _NOTICES = {
     "apache": ["you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0", "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."],
@@ -159,6 +172,74 @@ class Model:
         return len(pairs) >= 6 and np.isin(pairs, self.notices[family]).mean() >= 0.6
 
 
+    def explained(self, pairs: np.ndarray, family: str) -> float:
+        """Share of bigrams that stand in the family's notices."""
+        return float(np.isin(pairs, self.notices[KIN.get(family, family)]).mean()) if len(pairs) else 0.0
+
+    def windows(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(text, first word, word after the last) of every window in which a family can be confirmed, then the words' starts and ends."""
+        low = tv.LOWER[data]
+        starts, ends, owner = tv.words(low, off, _ALNUM)
+        h = tv.span_hash(low, starts, ends)
+        n = len(h)
+        edge = tv.runs(owner, len(off) - 1)
+        rows: set[tuple[int, int, int]] = set()
+        names = [_grams(*_flat([name]))[0] for own in self.names.values() for name in own]
+        heads = np.flatnonzero(np.isin(h, np.array([k[0] for k in names], np.uint64)))
+        for k in names:
+            at = heads[(h[heads] == k[0]) & (heads + len(k) <= n)]
+            for d in range(1, len(k)):
+                at = at[h[at + d] == k[d]]
+            at = at[owner[at] == owner[at + len(k) - 1]] if len(at) else at
+            for w in at.tolist():
+                o = int(owner[w])
+                rows |= {(o, max(int(edge[o]), w - x), min(int(edge[o + 1]), w + len(k) + y)) for x, y in AROUND}
+        pair = tv.mix(h[:-1] * np.uint64(0x9FB21C651E98DF25) + h[1:])
+        some = np.r_[0, np.cumsum(np.isin(pair, np.concatenate([*self.notices.values()])) & (owner[1:] == owner[:-1]))] if n else np.zeros(1, np.int64)
+        for size in WINDOWS:
+            step = size // 4
+            count = -(-np.maximum(np.diff(edge) - size, 0) // step) * (np.diff(edge) > size)
+            first = np.repeat(edge[:-1], count + 1) + (tv.gather(np.zeros(len(count), np.int64), count + 1) * step)
+            own = np.repeat(np.arange(len(count)), count + 1)
+            first = np.maximum(np.minimum(first, edge[own + 1] - size), edge[own])
+            last = np.minimum(first + size, edge[own + 1])
+            few = last - first >= 7
+            first, last, own = first[few], last[few], own[few]
+            ok = some[last - 1] - some[first] >= 0.6 * (last - first - 1) - 1e-9
+            rows |= set(zip(own[ok].tolist(), first[ok].tolist(), last[ok].tolist(), strict=True))
+        cols = np.array(sorted(rows), np.int64).reshape(-1, 3)
+        return cols[:, 0], cols[:, 1], cols[:, 2], starts, ends
+
+    def claims(self, data: np.ndarray, off: np.ndarray, whole: np.ndarray, least: float) -> dict[int, dict[str, float]]:
+        """The families of each text and their probabilities, from its windows and from the
+        probabilities ``whole`` of the text itself."""
+        owner, first, last, starts, ends = self.windows(data, off)
+        a, b = starts[first], ends[last - 1]
+        p = self.probabilities(data[tv.gather(a, b - a)], np.r_[0, np.cumsum(b - a)]) if len(owner) else np.zeros((0, len(self.families)))
+        size = len(off) - 1
+        owner, p = np.r_[np.arange(size), owner], np.r_[whole, p]
+        a, b = np.r_[off[:-1], a], np.r_[off[1:], b]
+        best = p.argmax(1)
+        finds: dict[int, list[tuple[bool, float, float, int, int, str, np.ndarray]]] = {}
+        for row in np.flatnonzero((best != len(self.families) - 1) & (p.max(1) >= least)):
+            text, family = data[a[row] : b[row]].tobytes().decode("utf-8", "replace"), self.families[best[row]]
+            if self.confirmed(text, family):
+                pairs = _grams(*_flat([text]))[2]
+                named = any(x in f" {' '.join(re.findall(r'[0-9a-z\x80-\U0010ffff]+', text.lower()))} " for x in self.names[family])
+                finds.setdefault(int(owner[row]), []).append((named, self.explained(pairs, family) * len(pairs), float(p[row, best[row]]), int(a[row]), int(b[row]), family, pairs))
+        out: dict[int, dict[str, float]] = {}
+        for text, found in finds.items():
+            taken: list[tuple] = []
+            for f in sorted(found, key=lambda f: (not f[0], -f[1], -f[2], f[3:6])):
+                rivals = [g for g in taken if g[5] != f[5]]
+                claimed = any(self.explained(f[6], g[5]) >= 0.6 if g[0] else g[3] < f[4] and f[3] < g[4] for g in rivals)
+                if f[0] or not claimed:
+                    taken.append(f)
+                    mine = out.setdefault(text, {})
+                    mine[f[5]] = max(mine.get(f[5], 0.0), f[2])
+        return out
+
+
 @functools.cache
 def fit(steps: int = 300, rate: float = 8.0, decay: float = 1e-4) -> Model:
     """Train on four fifths of the training set, set the temperature on the rest."""
@@ -206,7 +287,7 @@ FOUND = T.ArrayType(T.StructType([T.StructField("family", T.StringType()), T.Str
 
 def scan(docs: DataFrame, text: str = "text", least: float = 0.5) -> DataFrame:
     """Add ``n_paragraphs`` and ``licenses``: family, line number (from 0) and
-    calibrated probability of every paragraph that a family claims."""
+    calibrated probability of every family that claims a paragraph or a part of it."""
     shared = docs.sparkSession.sparkContext.broadcast(fit())
     schema, keep = batches.extended(docs, [T.StructField("n_paragraphs", T.LongType()), T.StructField("licenses", FOUND)])
 
@@ -223,11 +304,10 @@ def scan(docs: DataFrame, text: str = "text", least: float = 0.5) -> DataFrame:
                 number = np.searchsorted(feed, edge[:-1]) - np.searchsorted(feed, at[owner])
                 p = model.probabilities(data, edge) if len(edge) > 1 else np.zeros((0, len(model.families)))
                 found: list[list[dict]] = [[] for _ in range(j - i)]
-                best = p.argmax(1) if len(p) else np.zeros(0, np.int64)
-                for row in np.flatnonzero((best != len(model.families) - 1) & (p.max(1) >= least)) if len(p) else []:
-                    line = data[edge[row] : edge[row + 1]].tobytes().decode("utf-8", "replace")
-                    if model.confirmed(line, family := model.families[best[row]]):
-                        found[owner[row]].append({"family": family, "line": int(number[row]), "probability": float(round(p[row, best[row]], 6))})
+                claims = model.claims(data, edge, p, least) if len(edge) > 1 else {}
+                for row in sorted(claims):
+                    for family in sorted(claims[row]):
+                        found[owner[row]].append({"family": family, "line": int(number[row]), "probability": round(claims[row][family], 6)})
                 worded = np.bincount(owner[p.sum(1) > 0], minlength=j - i) if len(p) else np.zeros(j - i, np.int64)
                 kind = pa.list_(pa.struct([("family", pa.string()), ("line", pa.int64()), ("probability", pa.float64())]))
                 yield batches.with_columns(whole.slice(i, j - i), keep, {"n_paragraphs": pa.array(worded, pa.int64()), "licenses": pa.array(found, kind)})

@@ -252,3 +252,26 @@ def test_licences_held_out(spark):
     assert [[(x["family"], x["line"]) for x in r["licenses"]] for r in rows] == [[("apache", 1)], [("mit", 0)], [], [], [], [], [("cc-by-nc", 0), ("mit", 2)]]
     assert [r["n_paragraphs"] for r in rows] == [3, 1, 2, 0, 0, 0, 2]
     assert licenses.scan(frame(spark, [])).count() == 0
+
+
+def test_licences_inside_long_lines(spark):
+    rng = random.Random(4)
+    prose = "river stone market evening teacher window garden letter mountain kitchen bridge winter music paper doctor village table morning street bottle".split()
+    notices = {
+        "mit": "Released under the MIT License.", "apache": "Licensed under the Apache License, Version 2.0.", "cc-by-nc": "This work is licensed under the CC BY-NC 4.0.",
+        "gpl": licenses._NOTICES["gpl"][0], "lgpl": licenses._NOTICES["lgpl"][0], "isc": licenses._NOTICES["isc"][0],
+        "agpl": licenses._NOTICES["gpl"][0].replace("GNU General", "GNU Affero General"),
+    }
+    goal, docs = [], []
+    for family, notice in notices.items():
+        for size in (0, 20, 60, 400):
+            words = [rng.choice(prose) for _ in range(size)]
+            at = rng.randint(0, size)
+            docs.append(" ".join([*words[:at], notice, *words[at:]]))
+            goal.append([(family, 0)])
+    docs.append("Dual licensed: released under the MIT License or licensed under the Apache License, Version 2.0, at your choice.")
+    goal.append([("apache", 0), ("mit", 0)])
+    docs += [" ".join(rng.choice(prose) for _ in range(400)), "The driver lost his license after the accident and had to take the test again. " * 10]
+    goal += [[], []]
+    rows = licenses.scan(frame(spark, docs)).orderBy("doc_id").collect()
+    assert [[(x["family"], x["line"]) for x in r["licenses"]] for r in rows] == goal
