@@ -187,9 +187,11 @@ def estimate(rows: list[Row], rounds: int = 25) -> tuple[dict[tuple, float], lis
     """Expectation-maximisation over counts of vote patterns.
 
     Returns each (kind, votes) pattern's probability and each labeler's
-    (reliability when voting, share of votes).  Labelers are known to be better
-    than chance and kinds to be neither rare nor certain among candidates; the
-    bounds keep the estimation from explaining a lone labeler away.
+    (reliability when voting, share of votes).  Pseudo-counts say that labelers
+    are mostly right and that kinds are neither rare nor certain among
+    candidates; the bounds only keep off 0 and 1.  A labeler is judged where
+    others vote too, as a lone vote tells nothing of its own reliability, and
+    candidates without a vote tell nothing of their kind's share.
     """
     counts: dict[tuple, int] = {}
     for r in rows:
@@ -205,12 +207,12 @@ def estimate(rows: list[Row], rounds: int = 25) -> tuple[dict[tuple, float], lis
                 log_odds += vote * math.log(a / (1 - a))
             post[key] = 1 / (1 + math.exp(-max(-30.0, min(30.0, log_odds))))
         for kind in prior:
-            total = sum(n for k, n in counts.items() if k[0] == kind)
-            prior[kind] = min(0.6, max(0.4, (2 + sum(n * post[k] for k, n in counts.items() if k[0] == kind)) / (4 + total)))
+            voted = [(k, n) for k, n in counts.items() if k[0] == kind and any(k[1:])]
+            prior[kind] = min(0.999, max(0.001, (2 + sum(n * post[k] for k, n in voted)) / (4 + sum(n for _, n in voted))))
         for i in range(len(VOTES)):
-            cast = [(k, n) for k, n in counts.items() if k[1 + i]]
+            cast = [(k, n) for k, n in counts.items() if k[1 + i] and sum(map(abs, k[1:])) > 1]
             agreed = sum(n * (post[k] if k[1 + i] > 0 else 1 - post[k]) for k, n in cast)
-            right[i] = min(0.99, max(0.7, (8 + agreed) / (10 + sum(n for _, n in cast))))
+            right[i] = min(0.999, max(0.001, (8 + agreed) / (10 + sum(n for _, n in cast))))
     share = sum(counts.values()) or 1
     return post, [[a, sum(n for k, n in counts.items() if k[1 + i]) / share] for i, a in enumerate(right)]
 

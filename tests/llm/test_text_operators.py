@@ -224,6 +224,23 @@ def test_reliabilities_are_estimated():
     assert abs(labelers[0][0] - 0.95) < 0.04 and abs(labelers[1][0] - 0.9) < 0.04 and labelers[2][0] <= 0.7
 
 
+def test_weak_labelers_and_rare_kinds_are_estimated():
+    from pyspark.sql import Row
+
+    rng, rows = random.Random(3), {}
+    for kind, share in (("email", 0.5), ("secret", 0.1)):
+        for _ in range(8000):
+            true = rng.random() < share
+            votes = [(1 if true == (rng.random() < a) else -1) for a in (0.95, 0.9, 0.6)] + [0, 0]
+            rows[kind, tuple(votes)] = rows.get((kind, tuple(votes)), 0) + 1
+    lone = [("secret", (0, 0, 1, 0, 0))]
+    data = [Row(kind=k, **dict(zip(pii.VOTES, v, strict=True)), f0=0, f1=0, n=n) for (k, v), n in rows.items()]
+    data += [Row(kind=k, **dict(zip(pii.VOTES, v, strict=True)), f0=0, f1=0, n=1) for k, v in lone]
+    post, labelers = pii.estimate(data)
+    assert abs(labelers[0][0] - 0.95) < 0.03 and abs(labelers[1][0] - 0.9) < 0.03 and abs(labelers[2][0] - 0.6) < 0.03
+    assert post[("secret", 0, 0, 1, 0, 0)] < 0.3  # one vote of a weak labeler for a rare kind
+
+
 def test_preferences(spark):
     turn = lambda r, c: {"role": r, "content": c}
     u, a, b, s = turn("user", "hi é😀"), turn("assistant", "A"), turn("assistant", "B"), turn("system", "s")
