@@ -1,8 +1,10 @@
-"""Arrow batches of operators that add columns."""
+"""Tasks over Arrow batches, and operators that add columns to them."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
@@ -10,6 +12,31 @@ from pyspark.sql import DataFrame, types as T
 from . import textvec as tv
 
 
+Batches = Iterator[pa.RecordBatch]
+
+
+def mapped(df: DataFrame, run: Callable[[Batches], Batches], schema: str | T.StructType) -> DataFrame:
+    """``mapInArrow`` whose workers hand memory back: large arrays are mapped for
+    themselves, so that freeing one returns it, and the rest goes at a task's end.
+    Workers stay for the next tasks, so what they kept would add up over stages."""
+
+    def lean(batches: Batches) -> Batches:
+        try:
+            libc = ctypes.CDLL(None)
+            libc.mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD; also keeps it from growing
+        except (OSError, AttributeError):  # another C library
+            libc = None
+        pa.set_memory_pool(pa.system_memory_pool())
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            if hasattr(libc, "malloc_trim"):
+                libc.malloc_trim(0)
+
+    return df.mapInArrow(lean, schema)
+
+
 def texts(column: pa.Array) -> list[str]:
     """A string column as Python strings; null counts as empty."""
     return [t or "" for t in column.to_pylist()]

@@ -248,7 +248,7 @@ def encode(df: DataFrame, path: str, text: str = "text", packed: bool = False, d
                     out["decoded"] = pa.array([codec.decode(x) for x in cut], pa.string())
                 yield batches.with_columns(batch, keep, out)
 
-    return df.mapInArrow(run, schema)
+    return batches.mapped(df, run, schema)
 
 
 def decode(df: DataFrame, path: str, ids: str = "token_ids") -> DataFrame:
@@ -262,4 +262,4 @@ def decode(df: DataFrame, path: str, ids: str = "token_ids") -> DataFrame:
             out = [codec.decode(np.array(x or [], np.int64)) for x in batch.column(ids).to_pylist()]
             yield batches.with_columns(batch, keep, {"decoded": pa.array(out, pa.string())})
 
-    return df.mapInArrow(run, schema)
+    return batches.mapped(df, run, schema)

@@ -95,7 +95,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = 10, text: str = "t
                 cols["hits"] = pa.array([o[3] for o in out], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))
                 yield batches.with_columns(batch, keep, cols)
 
-    return docs.mapInArrow(run, schema)
+    return batches.mapped(docs, run, schema)
 
 
 class _Scan:

@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from . import scratch
+from . import batches, scratch
 
 #: Links that one task contracts at once, 16 bytes each.
 CHUNK = 1_000_000
@@ -38,10 +38,10 @@ def _stars(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             top[again] = top[top[again]]
 
 
-def _contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _contracted(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: list[tuple[np.ndarray, np.ndarray]] = []
     size = 0
-    for batch in batches:
+    for batch in rows:
         held.append((batch.column("u").to_numpy(), batch.column("v").to_numpy()))
         size += len(batch)
         if size >= 2 * CHUNK:  # a partition may be larger than meant; its stars stay in
@@ -62,7 +62,7 @@ def components(edges: DataFrame, chunk: int = CHUNK) -> DataFrame:
     e = edges.where("a is not null and b is not null and a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     e = scratch.table(e, "edges")
     parts = max(1, -(-e.count() // chunk))
-    e = scratch.table(e.repartition(parts).mapInArrow(_contracted, "u long, v long"), "contracted")
+    e = scratch.table(batches.mapped(e.repartition(parts), _contracted, "u long, v long"), "contracted")
     if parts == 1:
         return _result(e)
     e, before = scratch.table(e.distinct(), "edges"), None

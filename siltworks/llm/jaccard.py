@@ -43,7 +43,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from . import graph, packed, scratch, textvec as tv
+from . import batches as arrow, graph, packed, scratch, textvec as tv
 
 #: Most frequent n-grams that go last in the order; 16 bytes each to every task.
 HOT = 1_000_000
@@ -142,7 +142,7 @@ def summarise(docs: DataFrame, k: int, text: str = "text", doc: str = "doc_id")
                     seen, held = [], 0
         yield from often()
 
-    return docs.select(doc, text).mapInArrow(run, "doc long, n long, s1 long, s2 long, bits array<long>, h long, c long")
+    return arrow.mapped(docs.select(doc, text), run, "doc long, n long, s1 long, s2 long, bits array<long>, h long, c long")
 
 
 def frequent(summary: DataFrame, most: int = HOT) -> np.ndarray:
@@ -193,7 +193,7 @@ def entries(docs: DataFrame, hot: np.ndarray, k: int, t: int, n: int, text: str
                 yield from packer.add(((g >> np.uint64(20)) % np.uint64(n)).astype(np.int64), h=g, doc=ids[i + owner], size=size, pos=pos)
         yield from packer.flush()
 
-    return docs.select(doc, text).where(F.col(doc).isNotNull()).mapInArrow(run, packed.schema(COLUMNS))
+    return arrow.mapped(docs.select(doc, text).where(F.col(doc).isNotNull()), run, packed.schema(COLUMNS))
 
 
 def possible(sa: np.ndarray, sb: np.ndarray, pa_: np.ndarray, pb: np.ndarray, t: int) -> np.ndarray:
@@ -242,7 +242,7 @@ def candidates(dealt: DataFrame, t: int) -> DataFrame:
             none = pa.nulls(len(heavy["h"]), pa.int64())
             yield pa.RecordBatch.from_arrays([none, none, *(pa.array(heavy[c]) for c in ("h", "doc", "size", "pos"))], names=["a", "b", "h", "doc", "size", "pos"])
 
-    return dealt.mapInArrow(run, "a long, b long, h long, doc long, size long, pos long")
+    return arrow.mapped(dealt, run, "a long, b long, h long, doc long, size long, pos long")
 
 
 class PrefixTree:
@@ -332,7 +332,7 @@ def verify(pairs: DataFrame, docs: DataFrame, k: int, t: int, text: str = "text"
         if group and members:
             yield links()
 
-    return ordered.mapInArrow(run, "a long, b long")
+    return arrow.mapped(ordered, run, "a long, b long")
 
 
 def mixed(heavy: DataFrame, comps: DataFrame) -> DataFrame:

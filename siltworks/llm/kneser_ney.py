@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from . import packed, scratch, textvec as tv
+from . import batches as arrow, packed, scratch, textvec as tv
 
 #: Vocabulary bound; ids fit 16 bits, with 0 for a text's start and 1 for other tokens.
 WORDS = 65_000
@@ -45,7 +45,7 @@ BROADCAST_IDS = 2_000_000
 BROADCAST_LANGS = 10_000
 Q, SLACK, SHRINK, LEAST = 0.99, 0.25, 20, 50
 #: Bigrams and documents that a task gathers before it hands them on.
-FLUSH, FLUSH_DOCS = 2_000_000, 60_000
+FLUSH, FLUSH_DOCS = 1_000_000, 60_000
 SCALE = 1000
 
 _CLASS = np.where(tv.SPACE, 0, 2)
@@ -130,7 +130,7 @@ def vocabulary(trusted: DataFrame) -> Vocabulary:
         if held:
             yield counted()
 
-    counts = scratch.table(trusted.mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")), "kn-words")
+    counts = scratch.table(arrow.mapped(trusted, run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")), "kn-words")
     top = counts.orderBy(F.desc("c"), "h").limit(WORDS).toArrow()
     h = top.column("h").to_numpy().view(np.uint64)
     order = np.argsort(h)
@@ -209,7 +209,7 @@ def count_bigrams(trusted: DataFrame, words: Vocabulary, n: int) -> DataFrame:
             c = np.bincount(at, np.concatenate([c for _, c in held.pop(s)])).astype("<u4")
             yield _batch([_row(s, MODEL, 0, _put(keys), c.tobytes(), b"")])
 
-    return scratch.table(packed.deal(trusted.mapInArrow(run, ROW), n).mapInArrow(summed, ROW), "kn-counts")
+    return scratch.table(arrow.mapped(packed.deal(arrow.mapped(trusted, run, ROW), n), summed, ROW), "kn-counts")
 
 
 @dataclass
@@ -260,7 +260,7 @@ def unigrams(counts: DataFrame, n: int, total: int) -> Unigrams:
                         value = np.bincount(at, value, len(key)).astype(np.int64)
                     yield pa.RecordBatch.from_arrays([pa.array([name] * len(key), pa.string()), pa.array(key.astype(np.int64)), pa.array(value)], names=["name", "key", "v"])
 
-    stats = scratch.table(counts.mapInArrow(run, "name string, key long, v long"), "kn-stats")
+    stats = scratch.table(arrow.mapped(counts, run, "name string, key long, v long"), "kn-stats")
     sums = stats.where("name != 'hot'").groupBy("name", "key").agg(F.sum("v").alias("v")).toArrow().to_pandas()
     size = WORDS + 2
     at = {name: np.zeros(size, np.int64) for name in ("total", "cont", "n1", "n2", "n3", "of")}
@@ -331,7 +331,7 @@ def events(docs: DataFrame, words: Vocabulary, model: Unigrams, n: int) -> DataF
         if held:
             yield from dealt()
 
-    return docs.where("doc is not null").mapInArrow(run, ROW)
+    return arrow.mapped(docs.where("doc is not null"), run, ROW)
 
 
 def _join(rows: DataFrame, model: Unigrams, n: int) -> DataFrame:
@@ -366,7 +366,7 @@ def _join(rows: DataFrame, model: Unigrams, n: int) -> DataFrame:
             np.add.at(sums, at, _nats(p, times))
             yield _batch([_row(s, EVENT, uid, which.astype("<u2").tobytes(), sums.tobytes(), b"")])
 
-    return packed.deal(rows, n).mapInArrow(run, ROW)
+    return arrow.mapped(packed.deal(rows, n), run, ROW)
 
 
 def _assemble(parts: DataFrame, n: int) -> DataFrame:
@@ -385,7 +385,7 @@ def _assemble(parts: DataFrame, n: int) -> DataFrame:
                 total[text] += part
             yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(count), pa.array(total)], names=["doc", "n_tokens", "log_p"])
 
-    return parts.repartition(n, "uid").mapInArrow(run, "doc long, n_tokens long, log_p long")
+    return arrow.mapped(parts.repartition(n, "uid"), run, "doc long, n_tokens long, log_p long")
 
 
 def _small(by_lang: DataFrame, name: str) -> DataFrame:

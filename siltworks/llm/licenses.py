@@ -312,4 +312,4 @@ def scan(docs: DataFrame, text: str = "text", least: float = 0.5) -> DataFrame:
                 kind = pa.list_(pa.struct([("family", pa.string()), ("line", pa.int64()), ("probability", pa.float64())]))
                 yield batches.with_columns(whole.slice(i, j - i), keep, {"n_paragraphs": pa.array(worded, pa.int64()), "licenses": pa.array(found, kind)})
 
-    return docs.mapInArrow(run, schema)
+    return batches.mapped(docs, run, schema)

@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T_
 
-from . import graph, jaccard, packed, scratch, textvec as tv
+from . import batches as arrow, graph, jaccard, packed, scratch, textvec as tv
 
 K, T, BANDS, ROWS = 8, 80, 12, 4
 COLUMNS = {"key": "<u4", "line": "<i8"}
@@ -155,7 +155,7 @@ def _bands(docs: DataFrame, n: int, text: str) -> DataFrame:
                     yield from packer.add((keys % np.uint64(n)).astype(np.int64), key=keys >> np.uint64(32), line=np.tile(lines.ids[which], BANDS))
         yield from packer.flush()
 
-    return docs.select(text).mapInArrow(run, packed.schema(COLUMNS))
+    return arrow.mapped(docs.select(text), run, packed.schema(COLUMNS))
 
 
 def _candidates(dealt: DataFrame) -> DataFrame:
@@ -182,7 +182,7 @@ def _candidates(dealt: DataFrame) -> DataFrame:
             none = pa.nulls(len(key), pa.int64())
             yield pa.RecordBatch.from_arrays([none, none, pa.array(key), pa.array(line)], names=names)
 
-    return dealt.mapInArrow(run, "a long, b long, key long, line long")
+    return arrow.mapped(dealt, run, "a long, b long, key long, line long")
 
 
 def _mixed(groups: DataFrame, comps: DataFrame) -> DataFrame:
@@ -204,7 +204,7 @@ def _described(spanning: DataFrame, docs: DataFrame, text: str) -> DataFrame:
                 cols = [batch.column(c).slice(i, j - i) for c in ("line", "text")]
                 yield pa.RecordBatch.from_arrays([*cols, pa.array(np.diff(bounds), pa.int64()), jaccard._parities(h, bounds)], names=["line", "text", "n", "bits"])
 
-    return scratch.table(rows.mapInArrow(run, "line long, text string, n long, bits array<long>"), "line-texts")
+    return scratch.table(arrow.mapped(rows, run, "line long, text string, n long, bits array<long>"), "line-texts")
 
 
 def _plausible(rows: dict[str, np.ndarray], most: int | None) -> Iterator[np.ndarray]:
@@ -289,7 +289,7 @@ def _across(spanning: DataFrame, described: DataFrame, n: int, most: int | None)
         if held:
             yield from cell(held)
 
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    return arrow.mapped(dealt, run, "a long, b long").distinct()
 
 
 def _filter(lines: DataFrame) -> np.ndarray:
@@ -323,7 +323,7 @@ def _texts(docs: DataFrame, text: str, lines: DataFrame) -> DataFrame:
                 cut = [found.text[a:b] for a, b in zip(found.starts[which].tolist(), found.ends[which].tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(found.ids[which]), pa.array(cut, pa.string())], names=["line", "text"])
 
-    return docs.select(text).mapInArrow(run, "line long, text string")
+    return arrow.mapped(docs.select(text), run, "line long, text string")
 
 
 def occurrences(docs: DataFrame, text: str = "text", doc: str = "doc_id") -> DataFrame:
@@ -335,7 +335,7 @@ def occurrences(docs: DataFrame, text: str = "text", doc: str = "doc_id") -> Dat
             for i, _, lines in _blocks(batch, text):
                 yield pa.RecordBatch.from_arrays([ids.take(pa.array(i + lines.owner)), pa.array(lines.number, pa.int64()), pa.array(lines.ids)], names=["doc", "number", "line"])
 
-    return docs.select(doc, text).mapInArrow(run, "doc long, number long, line long")
+    return arrow.mapped(docs.select(doc, text), run, "doc long, number long, line long")
 
 
 def components(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -387,7 +387,7 @@ def dedup(docs: DataFrame, text: str = "text", doc: str = "doc_id") -> DataFrame
     joined = docs.join(found, docs[doc].cast("long") == found["_l_doc"], "left").drop("_l_doc")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in arrow.slices(whole, text)):
             drops = batch.column("_l_dropped").to_pylist()
             texts = batch.column(text).to_pylist()
             stay = []
@@ -405,4 +405,4 @@ def dedup(docs: DataFrame, text: str = "text", doc: str = "doc_id") -> DataFrame
             yield pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols)).filter(pa.array(stay))
 
     schema = T_.StructType([f for f in docs.schema])
-    return joined.mapInArrow(run, schema)
+    return arrow.mapped(joined, run, schema)

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 #: Entries a task gathers before it hands them on.
-FLUSH = 1_000_000
+FLUSH = 300_000
 
 
 def schema(columns: dict[str, str]) -> str:

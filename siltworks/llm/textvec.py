@@ -15,7 +15,7 @@ import pyarrow as pa
 _MULT = np.uint64(0x9E3779B97F4A7C55)
 _INV = np.uint64(pow(int(_MULT), -1, 1 << 64))
 #: Bytes of text handled at once, unless a single text is longer.
-BLOCK = 2_000_000
+BLOCK = 500_000
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True

@@ -136,4 +136,4 @@ def count(df: DataFrame, path: str, text: str = "text") -> DataFrame:
                 n_pieces = [sum(map(known.__getitem__, words)) for words in per]
                 yield batches.with_columns(batch, keep, {"n_words": pa.array(n_words, pa.int64()), "n_pieces": pa.array(n_pieces, pa.int64())})
 
-    return df.mapInArrow(run, schema)
+    return batches.mapped(df, run, schema)
