@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, types as T
 from . import batches, textvec as tv
 
 _WS = regex.compile(r"\s+")
-_END = "</w>"
+END = "</w>"
 _NONE = np.int32(2**31 - 1)
 #: Words and their characters that a worker keeps encoded at most.
 CACHE_WORDS, CACHE_CHARS = 200_000, 4_000_000
@@ -74,7 +74,7 @@ class Codec:
         self.names = [names.get(i, "") for i in range(max(names) + 1)]
         letters = byte_letters()
         self.inner = np.array([vocab[c] for c in letters], np.int32)
-        self.last = np.array([vocab[c + _END] for c in letters], np.int32)
+        self.last = np.array([vocab[c + END] for c in letters], np.int32)
         left, right, made = [], [], []
         for a, b in (m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"]):
             left.append(vocab[a])
