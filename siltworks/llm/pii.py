@@ -13,9 +13,12 @@ every candidate of every text.
 
 Spans are code points, end exclusive.  Matching needs no recursion: each
 pattern is rewritten so that a run of one character class is all it repeats,
-which keeps very long runs safe.  Null counts as empty.  Equal texts get equal
-spans; an empty table gives an empty result.  Added columns take the place of
-input columns with their names.
+which keeps very long runs safe, and places come from running sums over the
+gaps between matches.  Secrets are keys with an issuer's prefix and hexadecimal
+strings of 32 to 64 digits in one case.  Null counts as empty.  Equal texts get
+equal spans; spans of a kind that tie in their start cannot be.  An empty table
+gives an empty result.  Added columns take the place of input columns with
+their names; names beginning with ``_p_`` are reserved.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ from itertools import product
 from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from . import scratch
-from .quality_rules import let
+from .native import let, running
 
 BASE = ["email", "ip", "card", "phone"]
 #: Kinds that only candidates have.
@@ -35,8 +38,11 @@ KINDS = [*BASE, *MORE]
 
 _LOCAL = "A-Za-z0-9._%+-"
 _LABEL = "A-Za-z0-9-"
-#: Bound of the table of counts: kinds x votes of five labelers x two features.
-PATTERNS = len(KINDS) * 3**5 * 4
+#: Labelers and features of candidates, in order.
+LABELERS = ["form", "gazetteer", "near words", "adverse words", "check", "assignment"]
+VOTES, FEATURES = [f"v{i}" for i in range(len(LABELERS))], ["f0", "f1", "f2"]
+#: Bound of the table of counts: kinds x votes x features.
+PATTERNS = len(KINDS) * 3 ** len(VOTES) * 2 ** len(FEATURES)
 
 #: Fixed word lists of the gazetteer and context labelers.
 _TLD = "com|net|org|edu|gov|info|io|de|fr|es|uk|eu|it|nl|ch|at"
@@ -50,30 +56,37 @@ _NEAR = {
     "id_number": "ssn|social|passport|insurance|ausweis|seguridad|identi",
     "secret": "token|key|secret|passw|auth|bearer|api|credential",
 }
+#: How issued keys begin.
+_ISSUED = "AKIA|gh[pousr]_|sk-|xox[abprs]-|glpat-"
 _AGAINST = "version|release|isbn|issn|doi|sha|commit|checksum|digest|md5|build|chapter|section|page|order"
 
 
+SPANS = "array<struct<s:int,e:int,m:string,b:string>>"
+#: Code points before a candidate that labelers see.
+BEFORE = 32
+
+
 def _spans(t: Column, pattern: str) -> Column:
-    """array<struct<s, e, m>> of a pattern's matches, from the gaps between them."""
+    """array<struct<s, e, m, b>> of a pattern's matches, from the gaps between them;
+    ``b`` is what stands before, back to the match before at most."""
     matches = F.regexp_extract_all(t, F.lit(pattern), F.lit(0))
-    gaps = F.transform(F.split(t, pattern, -1), lambda g: F.length(g))
 
-    def place(gap: Column) -> Column:
-        steps = F.transform(matches, lambda m, i: F.struct(F.get(gap, i).alias("g"), m.alias("m")))
+    def place(x: Column) -> Column:
+        m, gaps = x["m"], x["g"]
+        sizes = F.transform(m, lambda v, i: F.length(F.get(gaps, i)) + F.length(v))
 
-        def add(acc: Column, x: Column) -> Column:
-            start = acc["at"] + x["g"]
-            end = start + F.length(x["m"])
-            return F.struct(end.alias("at"), F.concat(acc["out"], F.array(F.struct(start.alias("s"), end.alias("e"), x["m"].alias("m")))).alias("out"))
+        def span(v: Column, i: Column) -> Column:
+            before = F.concat(F.coalesce(F.get(m, i - 1), F.lit("")), F.get(gaps, i))
+            return F.struct(F.length(v).alias("n"), v.alias("m"), F.substring(before, -BEFORE, BEFORE).alias("b"))
 
-        zero = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<s:int,e:int,m:string>>)").alias("out"))
-        return F.aggregate(steps, zero, add, lambda acc: acc["out"])
+        made = F.zip_with(F.transform(m, span), running(sizes), lambda v, e: F.struct((e - v["n"]).cast("int").alias("s"), e.cast("int").alias("e"), v["m"].alias("m"), v["b"].alias("b")))
+        return F.when(F.size(m) == 0, _none()).otherwise(made)
 
-    return let(gaps, place)
+    return let(F.struct(matches.alias("m"), F.split(t, pattern, -1).alias("g")), place)
 
 
 def _none() -> Column:
-    return F.expr("cast(array() as array<struct<s:int,e:int,m:string>>)")
+    return F.expr(f"cast(array() as {SPANS})")
 
 
 def _digits(m: Column) -> Column:
@@ -127,7 +140,11 @@ _PROPOSALS = {
     "national_phone": (r"(?<![0-9+])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])", r"[0-9]{3}[ .-][0-9]{4}"),
     "spelled_email": (rf"(?<![{_LOCAL}])[{_LOCAL}]++ ?[\[(]at[\])] ?[{_LABEL}]++ ?(?:\.|[\[(]dot[\])]) ?[A-Za-z]++", r"[\[(]at[\])]"),
     "id_number": (r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", r"[0-9]{3}-[0-9]{2}-[0-9]{4}"),
-    "secret": (r"(?<![A-Za-z0-9])(?=[a-z]*[0-9])(?=[0-9]*[a-z])[a-f0-9]{32,64}(?![A-Za-z0-9])", r"[a-f0-9]{32}"),
+    "secret": (
+        r"(?<![A-Za-z0-9])(?:(?=[a-z]*[0-9])(?=[0-9]*[a-z])[a-f0-9]{32,64}|(?=[A-Z]*[0-9])(?=[0-9]*[A-Z])[A-F0-9]{32,64}"
+        r"|AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,64}|xox[abprs]-[A-Za-z0-9-]{10,72}|glpat-[A-Za-z0-9_-]{20})(?![A-Za-z0-9])",
+        r"[a-f0-9]{32}|[A-F0-9]{32}|AKIA|gh[pousr]_|sk-|xox[abprs]-|glpat-",
+    ),
 }
 
 
@@ -139,7 +156,7 @@ def find(docs: DataFrame, text: str = "text") -> DataFrame:
     out = out.withColumn("_p_more", F.struct(*proposals))
 
     def voted(spans: str, kind: str) -> Column:
-        return F.transform(F.col(spans), lambda x: _candidate(x, kind, t))
+        return F.transform(F.col(spans), lambda x: _candidate(x, kind))
 
     typed = [voted(f"_p_base.{k if k != 'card' else 'card_runs'}", k) for k in BASE] + [voted(f"_p_more.{k}", k) for k in MORE]
     card = F.filter(F.col("_p_base.card_runs"), lambda x: _luhn(_digits(x["m"])))
@@ -147,10 +164,10 @@ def find(docs: DataFrame, text: str = "text") -> DataFrame:
     return out.withColumn("base", base).withColumn("candidates", F.concat(*typed)).drop("_p_base", "_p_more")
 
 
-def _candidate(x: Column, kind: str, t: Column) -> Column:
-    """kind, s, e, five votes (form, gazetteer, near words, adverse words, check) and two features."""
+def _candidate(x: Column, kind: str) -> Column:
+    """kind, s, e, the votes of LABELERS and the features: quoted, long, many different characters."""
     m, digits = x["m"], _digits(x["m"])
-    before = F.lower(F.substring(t, F.greatest(F.lit(1), x["s"] - 31), F.least(F.lit(32), x["s"])))
+    before = F.lower(x["b"])
     vote = lambda yes, no=F.lit(False): F.when(yes, 1).when(no, -1).otherwise(0)
     form = {
         "email": vote(m.rlike(r"^[A-Za-z0-9]") & m.rlike(r"\.[A-Za-z]{2,}$"), ~m.rlike(r"[A-Za-z]")),
@@ -169,27 +186,27 @@ def _candidate(x: Column, kind: str, t: Column) -> Column:
         "card": vote(digits.rlike(r"^(?:4|5[1-5]|2[2-7]|3[47]|6)"), digits.rlike(r"^(?:0|1)")),
         "phone": vote(digits.rlike(r"^(?:1|33|34|39|41|43|44|49)"), digits.rlike(r"^0")),
         "national_phone": vote(digits.rlike(r"^[2-9]"), digits.rlike(r"^[01]")),
+        "secret": vote(m.rlike(rf"^(?:{_ISSUED})")),
     }.get(kind, F.lit(0))
     near = vote(before.rlike(_NEAR[kind]), F.lit(False))
     adverse = vote(F.lit(False), before.rlike(_AGAINST))
     distinct = F.size(F.array_distinct(F.split(F.lower(m), "(?!^)(?!$)")))
     check = vote(_luhn(digits), F.lit(True)) if kind == "card" else vote(F.lit(False), distinct <= 3)
     quoted = F.substring(before, -1, 1).isin('"', "'", "(", "<", "[").cast("int")
-    long = (F.length(m) > 24).cast("int")
-    votes = [form.alias("v0"), gazetteer.alias("v1"), near.alias("v2"), adverse.alias("v3"), check.alias("v4")]
-    return F.struct(F.lit(kind).alias("kind"), x["s"].alias("s"), x["e"].alias("e"), *votes, quoted.alias("f0"), long.alias("f1"))
-
-
-VOTES, FEATURES = [f"v{i}" for i in range(5)], ["f0", "f1"]
+    assigned = vote(before.rlike(r"[=:] ?[\"'(<]?$"))
+    votes = [v.alias(name) for v, name in zip((form, gazetteer, near, adverse, check, assigned), VOTES, strict=True)]
+    features = [quoted.alias("f0"), (F.length(m) > 24).cast("int").alias("f1"), (distinct >= 10).cast("int").alias("f2")]
+    return F.struct(F.lit(kind).alias("kind"), x["s"].alias("s"), x["e"].alias("e"), *votes, *features)
 
 
-def estimate(rows: list[Row], rounds: int = 25) -> tuple[dict[tuple, float], list[list[float]]]:
+def estimate(rows: list[Row], rounds: int = 25) -> tuple[dict[tuple, float], dict[tuple[str, int], float]]:
     """Expectation-maximisation over counts of vote patterns.
 
-    Returns each (kind, votes) pattern's probability and each labeler's
-    (reliability when voting, share of votes).  Pseudo-counts say that labelers
-    are mostly right and that kinds are neither rare nor certain among
-    candidates; the bounds only keep off 0 and 1.  A labeler is judged where
+    Returns each (kind, votes) pattern's probability and the reliability of each
+    labeler for each kind when it votes.  A labeler has a reliability over all
+    kinds, from few pseudo-counts that say it is mostly right, and one for each
+    kind, drawn towards that by ``10`` pseudo-votes.  Kinds' shares have pseudo-counts
+    of two each way; the bounds only keep off 0 and 1.  A labeler is judged where
     others vote too, as a lone vote tells nothing of its own reliability, and
     candidates without a vote tell nothing of their kind's share.
     """
@@ -197,24 +214,31 @@ def estimate(rows: list[Row], rounds: int = 25) -> tuple[dict[tuple, float], lis
     for r in rows:
         key = (r["kind"], *(r[v] for v in VOTES))
         counts[key] = counts.get(key, 0) + r["n"]
-    right = [0.8] * len(VOTES)
-    prior = {k[0]: 0.5 for k in counts}
+    kinds = sorted({k[0] for k in counts})
+    right = {(kind, i): 0.8 for kind in kinds for i in range(len(VOTES))}
+    prior = dict.fromkeys(kinds, 0.5)
     post: dict[tuple, float] = {}
+    bounded = lambda p: min(0.999, max(0.001, p))
     for _ in range(rounds):
         for key in counts:
             log_odds = math.log(prior[key[0]] / (1 - prior[key[0]]))
-            for vote, a in zip(key[1:], right, strict=True):
+            for i, vote in enumerate(key[1:]):
+                a = right[key[0], i]
                 log_odds += vote * math.log(a / (1 - a))
             post[key] = 1 / (1 + math.exp(-max(-30.0, min(30.0, log_odds))))
-        for kind in prior:
+        for kind in kinds:
             voted = [(k, n) for k, n in counts.items() if k[0] == kind and any(k[1:])]
-            prior[kind] = min(0.999, max(0.001, (2 + sum(n * post[k] for k, n in voted)) / (4 + sum(n for _, n in voted))))
+            prior[kind] = bounded((2 + sum(n * post[k] for k, n in voted)) / (4 + sum(n for _, n in voted)))
         for i in range(len(VOTES)):
-            cast = [(k, n) for k, n in counts.items() if k[1 + i] and sum(map(abs, k[1:])) > 1]
-            agreed = sum(n * (post[k] if k[1 + i] > 0 else 1 - post[k]) for k, n in cast)
-            right[i] = min(0.999, max(0.001, (8 + agreed) / (10 + sum(n for _, n in cast))))
-    share = sum(counts.values()) or 1
-    return post, [[a, sum(n for k, n in counts.items() if k[1 + i]) / share] for i, a in enumerate(right)]
+            agreed, cast = dict.fromkeys(kinds, 0.0), dict.fromkeys(kinds, 0)
+            for k, n in counts.items():
+                if k[1 + i] and sum(map(abs, k[1:])) > 1:
+                    agreed[k[0]] += n * (post[k] if k[1 + i] > 0 else 1 - post[k])
+                    cast[k[0]] += n
+            overall = (8 + sum(agreed.values())) / (10 + sum(cast.values()))
+            for kind in kinds:
+                right[kind, i] = bounded((10 * overall + agreed[kind]) / (10 + cast[kind]))
+    return post, right
 
 
 def train(rows: list[Row], post: dict[tuple, float], steps: int = 200, rate: float = 1.0, decay: float = 1e-3) -> dict[str, float]:

@@ -10,14 +10,17 @@ A turn renders as ``<|role|>``, newline, content, ``<|end|>``, newline.  Null
 conversations count as empty; null roles and contents as empty strings.  Pairs
 that are equal throughout have empty completions.  Repeated rows give repeated
 results; an empty table gives an empty result.  Added columns take the place
-of input columns with their names.
+of input columns with their names; the name ``_preference`` is reserved.  Turns
+without a conversation id belong to no conversation and are left out; turns that
+tie in their number stand in the order of role and text.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .quality_rules import let
+from . import native
+from .native import let
 
 END = "<|end|>\n"
 TURN = "array<struct<role:string,content:string>>"
@@ -37,16 +40,13 @@ def render(turns: Column) -> Column:
 
 def mask(turns: Column) -> Column:
     """Ranges of the rendered text that are assistant turns."""
-    steps = F.transform(turns, lambda t: F.struct(F.length(_head(t)).alias("h"), F.length(_body(t)).alias("b"), (t["role"] == "assistant").alias("on")))
-    zero = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<s:int,e:int>>)").alias("out"))
 
-    def add(acc: Column, x: Column) -> Column:
-        start = acc["at"] + x["h"]
-        end = start + x["b"]
-        span = F.array(F.struct(start.alias("s"), end.alias("e")))
-        return F.struct(end.alias("at"), F.when(x["on"], F.concat(acc["out"], span)).otherwise(acc["out"]).alias("out"))
+    def spans(steps: Column) -> Column:
+        ends = native.running(F.transform(steps, lambda x: x["h"] + x["b"]))
+        placed = F.zip_with(steps, ends, lambda x, e: F.struct((e - x["b"]).cast("int").alias("s"), e.cast("int").alias("e"), x["on"].alias("on")))
+        return F.transform(F.filter(placed, lambda x: x["on"]), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e")))
 
-    return F.aggregate(steps, zero, add, lambda acc: acc["out"])
+    return native.let(F.transform(turns, lambda t: F.struct(F.length(_head(t)).alias("h"), F.length(_body(t)).alias("b"), (t["role"] == "assistant").alias("on"))), spans)
 
 
 def common_turns(chosen: Column, rejected: Column) -> Column:
@@ -77,15 +77,15 @@ def format_pairs(pairs: DataFrame, chosen: str = "chosen", rejected: str = "reje
 
         return let(n, cut)
 
-    made = pairs.withColumn("_f", let(F.struct(_plain(chosen).alias("c"), _plain(rejected).alias("r")), parts))
+    made = pairs.withColumn("_preference", let(F.struct(_plain(chosen).alias("c"), _plain(rejected).alias("r")), parts))
     new = {"n_prompt_turns": "n", "prompt": "p", "chosen_completion": "ct", "chosen_mask": "cm", "rejected_completion": "rt", "rejected_mask": "rm"}
-    return made.withColumns({k: F.col(f"_f.{v}") for k, v in new.items()}).drop("_f")
+    return made.withColumns({k: F.col(f"_preference.{v}") for k, v in new.items()}).drop("_preference")
 
 
 def conversations(turns: DataFrame, conv: str = "conv_id", turn: str = "turn") -> DataFrame:
     """One row per conversation with its turns in order; a conversation is one row by nature."""
     row = F.struct(F.col(turn).alias("turn"), F.col("role").alias("role"), F.col("text").alias("content"))
-    return turns.groupBy(conv).agg(F.transform(F.array_sort(F.collect_list(row)), lambda t: F.struct(t["role"].alias("role"), t["content"].alias("content"))).alias("chosen"))
+    return turns.where(F.col(conv).isNotNull()).groupBy(conv).agg(F.transform(F.array_sort(F.collect_list(row)), lambda t: F.struct(t["role"].alias("role"), t["content"].alias("content"))).alias("chosen"))
 
 
 def with_rejected(convs: DataFrame) -> DataFrame:

@@ -174,7 +174,7 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     out = pii.detect(read(spark, sf_dir, "documents"), carry=["doc_id"])
     counts = [F.size(F.col(f"base.{k}")).cast("long").alias(f"n_{k}") for k in pii.BASE]
-    return out.select("doc_id", *counts, F.sha2(pii.joined(pii.base_list()), 256).alias("base_sha256"), pii.joined(F.col("spans")).alias("spans"))
+    return out.select("doc_id", *counts, F.sha2(pii.joined(pii.base_list()), 256).alias("base_sha256"), pii.joined(F.col("spans")).alias("spans"), F.size("spans").cast("long").alias("n_spans"))
 
 
 _ASCII_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
