@@ -11,10 +11,12 @@ when a measure exceeds its group's limit::
     median + max(SPREAD * (median - lower tenth), slack)
 
 The spread below the median is used because junk raises only the upper side.
+The slack keeps a measure that nearly all documents of a group agree in (no
+symbols, no repeats) from failing all others; elsewhere the sketch decides.
 Limits join the documents by language and source.
 
 Null texts count as empty and fail the base rule.  Null languages and sources
-form groups of their own.  Equal rows get equal verdicts; an empty table gives
+form groups of their own.  A value that ties with its limit passes.  Equal rows get equal verdicts; an empty table gives
 an empty result.  Added columns take the place of input columns with their
 names; column names beginning with ``_q_`` are reserved.
 """
@@ -24,12 +26,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from . import scratch
+from .native import let
 
 #: Words as runs without these, and the characters counted as symbols (fixed values).
 WORD, SPACE, SYMBOL = r"[^\x20\x09-\x0D]+", r"[\x20\x09-\x0D]+", r"[#*$%&|<>]+"
 #: Measures with a sketch and the slack each has over the median, in thousandths
 #: (word length: thousandths of a character).
-SLACK = {"symbols": 60, "capitals": 250, "dup_lines": 400, "repeats": 250, "word_length": 6000}
+SLACK = {"symbols": 60, "capitals": 25, "dup_lines": 400, "repeats": 250, "word_length": 1000}
 SPREAD = 8
 #: Documents that a group's own sketch needs.
 LEAST = 200
@@ -38,11 +41,6 @@ BROADCAST_GROUPS = 100_000
 WINDOW = 8
 
 
-def let(value: Column, body) -> Column:
-    """``body(value)`` with ``value`` evaluated once per row."""
-    return F.transform(F.array(value), body)[0]
-
-
 def _repeat_words(words: Column) -> Column:
     """Words in windows of eight found twice or more, counted once each.
 
