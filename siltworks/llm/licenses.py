@@ -15,9 +15,12 @@ confirmed.  A paragraph may have several families.  A window without a name
 counts for no other family if the notices of one that the paragraph names
 explain it as well.
 
-The training set is built here from the notices below, whatever the corpus;
-its size, ``SAMPLES`` variants of each notice, is the bound of the fit.  Every
-paragraph of every text is classified, with all weights in one small array.
+The training set is built here from the notices below and, for the class
+``unknown``, from a bounded sample of the documents' own paragraphs; ``SAMPLES``
+variants of each notice and ``BACKGROUND`` paragraphs bound the fit.  Every fifth
+notice is held out with all its variants, so the temperature is set on notices
+that training has not seen.  Every paragraph of every text is classified, with
+all weights in one small array.
 
 Null, empty and wordless texts have no paragraphs.  Ties between families go
 to the first by name.  Repeated rows give repeated results; an empty table
@@ -34,13 +37,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from . import batches, textvec as tv
 
 UNKNOWN = "unknown"
 #: Variants of each notice in the training set.
 SAMPLES = 6
+#: Paragraphs of the documents in the class ``unknown``, and their code points, at most.
+BACKGROUND, BACKGROUND_CHARS = 1000, 400
 #: Words before and after a name in the windows around it.
 AROUND = [(0, 0), (3, 0), (5, 0), (3, 3), (5, 5), (10, 10), (20, 20), (40, 40)]
 #: Words in the windows for notices without a name; they overlap by three quarters.
@@ -60,12 +65,16 @@ NAMES = {
     "lgpl": ["GNU Lesser General Public License", "GNU LGPL", "LGPL 2.1", "LGPL 3.0", "LGPLv3"],
     "mit": ["MIT License", "Expat License", "MIT/X11 License"],
     "mpl": ["Mozilla Public License", "MPL 2.0", "Mozilla Public License, v. 2.0"],
+    "proprietary": ["All rights reserved", "Proprietary and confidential", "Unauthorized copying is prohibited", "Tous droits réservés", "Alle Rechte vorbehalten", "Todos los derechos reservados"],
     "unlicense": ["Unlicense", "The Unlicense"],
 }
 _FRAMES = [
     "Licensed under {}.", "Licensed under the {}.", "Released under the {}.", "This work is licensed under the {}.", "This software is distributed under the terms of the {}.",
     "SPDX-License-Identifier: {}", "Published under {} by the authors.", "The code is available under the {}.", "This program is free software under the {}, see LICENSE.", "License: {}",
+    "Veröffentlicht unter der {}.", "Lizenz: {}", "Sous licence {}.", "Distribué selon les termes de la {}.", "Publicado bajo la {}.", "Licencia: {}",
 ]
+#: Frames of families whose names are whole statements.
+_STATEMENTS = {"proprietary": ["{}.", "{}", "Copyright 2021 by the authors. {}.", "© 2019 Example Inc. {}.", "Copyright (c) the publisher, {}.", "(c) 2020. {}. Do not distribute.", "The text belongs to its owner. {}."]}
 #: Families whose notices are those of another but for the name.
 KIN = {"agpl": "gpl"}
 #: Sentences of the licences' own notices (fixed values).
@@ -83,11 +92,14 @@ _NOTICES = {
 _OTHER = [
     "The driver lost his license after the accident and had to take the test again.", "A fishing license is required on this lake from May to October.", "Copyright law protects original works of authorship.", "Permission from the teacher is needed before leaving the room.",
     "The company was released under the terms of the settlement.", "The public was invited to the general meeting of the foundation.", "The work of the commission is available in the library.", "See the list of conditions in the rental agreement for details.",
-    "All rights reserved.", "The warranty covers parts and labour for two years.", "The apache helicopter landed near the base.", "She studied at MIT and later taught in Boston.", "Version 2.0 of the plan was published in May.", "The creative team has much in common with the public.",
+    "The right to vote was reserved for citizens.", "All seats were reserved.", "The warranty covers parts and labour for two years.", "The apache helicopter landed near the base.", "She studied at MIT and later taught in Boston.", "Version 2.0 of the plan was published in May.", "The creative team has much in common with the public.",
     "The software was sold to a competitor last year.", "This program is shown every evening at eight.", "Free of charge for children under six years.", "The source of the river lies in the mountains.", "He was granted a day off for personal reasons.", "The eclipse was visible in most of the country.",
     "This page was last edited in the autumn of that year.", "Use of the room is subject to the approval of the board.", "Wir haben das Buch gelesen und darüber gesprochen.", "Le travail de la commission est disponible à la bibliothèque.", "El coche estaba en la calle de la ciudad.", "one two three", "Table of contents", "the of and to in is",
 ]
 
+#: Paragraphs with these are no background.
+_SUSPECT = r"(?i)licen[cs]|lizenz|copyright|rights reserved|derechos|rechte|droits|permission|public domain|redistribut|gpl|\(c\)|©"
+
 _ALNUM = np.ones(256, bool)
 _ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 
@@ -107,16 +119,19 @@ def _flat(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(raw), np.uint8), np.r_[0, np.cumsum([len(r) for r in raw])].astype(np.int64)
 
 
-def training_set(seed: int = 7) -> tuple[list[str], list[str]]:
-    """Variants of the notices with words lost, swapped for others or cut off, and their families."""
+def training_set(seed: int = 7, background: tuple[str, ...] = ()) -> tuple[list[str], list[str], list[int]]:
+    """Variants of the notices with words lost, swapped for others or cut off, their
+    families, and the number of the notice that each is made from."""
     rng = np.random.default_rng(seed)
-    filler = " ".join(_OTHER).split()
-    texts, labels = [], []
+    filler = " ".join([*_OTHER, *background]).split()
+    texts, labels, origin = [], [], []
+    number = 0
     for family in sorted(NAMES):
-        notices = [f.format(n) for n in NAMES[family] for f in _FRAMES] + _NOTICES.get(family, []) * 4
+        notices = [f.format(n) for n in NAMES[family] for f in _STATEMENTS.get(family, _FRAMES)] + _NOTICES.get(family, [])
         for notice in notices:
+            number += 1
             words = notice.split()
-            for i in range(SAMPLES):
+            for i in range(SAMPLES * (4 if notice in _NOTICES.get(family, []) else 1)):
                 own = list(words)
                 if i and len(own) > 12:
                     a = rng.integers(0, len(own) // 3)
@@ -125,11 +140,26 @@ def training_set(seed: int = 7) -> tuple[list[str], list[str]]:
                     own = [*rng.choice(filler, rng.integers(0, 4)).tolist(), *own, *rng.choice(filler, rng.integers(0, 6)).tolist()]
                 texts.append(" ".join(own))
                 labels.append(family)
+                origin.append(number)
     for _ in range(SAMPLES * 40):
         for s in (_OTHER[rng.integers(len(_OTHER))], " ".join(rng.choice(filler, rng.integers(1, 30)))):
+            number += 1
             texts.append(s)
             labels.append(UNKNOWN)
-    return texts, labels
+            origin.append(number)
+    texts += background
+    labels += [UNKNOWN] * len(background)
+    origin += range(number + 1, number + 1 + len(background))
+    return texts, labels, origin
+
+
+def background(docs: DataFrame, text: str = "text", most: int = BACKGROUND) -> tuple[str, ...]:
+    """A sample of paragraphs, one of each text at most, those first by hash; none that
+    may speak of a licence.  ``most`` rows reach the driver."""
+    lines = F.split(F.col(text), "\n")
+    one = F.substring(F.get(lines, F.pmod(F.xxhash64(text), F.size(lines)).cast("int")), 1, BACKGROUND_CHARS)
+    found = docs.select(one.alias("p")).where(F.col("p").rlike(r"\S+\s+\S+\s+\S") & ~F.col("p").rlike(_SUSPECT)).groupBy("p").agg(F.count("*").alias("n"))
+    return tuple(r["p"] for r in found.orderBy(F.xxhash64("p"), "p").limit(most).select("p").collect())
 
 
 @dataclass
@@ -240,15 +270,15 @@ class Model:
         return out
 
 
-@functools.cache
-def fit(steps: int = 300, rate: float = 8.0, decay: float = 1e-4) -> Model:
-    """Train on four fifths of the training set, set the temperature on the rest."""
-    texts, labels = training_set()
+@functools.lru_cache(4)
+def fit(background: tuple[str, ...] = (), steps: int = 300, rate: float = 8.0, decay: float = 1e-4) -> Model:
+    """Train on four fifths of the notices, set the temperature on the others."""
+    texts, labels, origin = training_set(background=background)
     families = [*sorted(NAMES), UNKNOWN]
     y = np.array([families.index(label) for label in labels])
-    held = np.arange(len(y)) % 5 == 4
+    held = np.array(origin) % 5 == 4
     h, _, b, _ = _grams(*_flat(texts))
-    norm = lambda t: " ".join(re.findall(r"[0-9a-z]+", t.lower()))
+    norm = lambda t: " ".join(re.findall(r"[0-9a-z\x80-\U0010ffff]+", t.lower()))
     names = {f: [f" {norm(n)} " for n in ns] for f, ns in NAMES.items()}
     notices = {f: np.unique(_grams(*_flat(_NOTICES[f]))[2]) if f in _NOTICES else np.zeros(0, np.uint64) for f in NAMES}
     keys, often = np.unique(np.concatenate([h, b]), return_counts=True)
@@ -288,7 +318,7 @@ FOUND = T.ArrayType(T.StructType([T.StructField("family", T.StringType()), T.Str
 def scan(docs: DataFrame, text: str = "text", least: float = 0.5) -> DataFrame:
     """Add ``n_paragraphs`` and ``licenses``: family, line number (from 0) and
     calibrated probability of every family that claims a paragraph or a part of it."""
-    shared = docs.sparkSession.sparkContext.broadcast(fit())
+    shared = docs.sparkSession.sparkContext.broadcast(fit(background(docs, text)))
     schema, keep = batches.extended(docs, [T.StructField("n_paragraphs", T.LongType()), T.StructField("licenses", FOUND)])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
