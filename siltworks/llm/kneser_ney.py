@@ -1,26 +1,30 @@
 """Quality by perplexity under an interpolated modified Kneser-Ney model.
 
 Method: trusted documents (good and not toxic by their labels) give bigram
-counts over a vocabulary of the ``WORDS`` most frequent tokens; the counts lie
-sharded by bigram.  Documents send their distinct bigrams to the shards, which
-join them with the counts and send back one partial sum per document and
-shard.  Statistics of single tokens have a bound, the vocabulary, and go to
-every task; so do the ``HOT`` most frequent bigrams, which frees the shards of
-keys that many documents share.
-
-A token outside the vocabulary costs its class's probability over the number
-of such tokens that were seen.  A trusted document is scored without its own
-counts, so that its score is like that of a document outside the training set.
-Scores are mean negative log probabilities, drawn towards their language's
-mean by ``SHRINK`` tokens, as short texts scatter.  A document is kept when its
-score is at most its language's limit: the ``Q`` quantile of trusted documents'
-scores plus ``SLACK`` times the distance from their median to it.  Languages
-with fewer than ``LEAST`` trusted documents take the limit over all.
-
-Sums are whole thousandths of a nat, so they do not depend on task order.
-Null texts count as empty.  Documents without tokens have no perplexity; they,
-and all documents when nothing is trusted, are kept.  Rows with the same id
-count as one document.  An empty table gives an empty result.
+counts.  Symbols are the ``WORDS`` most frequent tokens and the 256 bytes: any
+other token is spelled by its bytes, so nothing is cut off and every text is
+scored in full.  Counts lie sharded by bigram; documents send their distinct
+bigrams to the shards, which join them with the counts and send back one
+partial sum per document and shard.  Statistics of single symbols have a bound
+and go to every task; so do the ``HOT`` most frequent bigrams, which frees the
+shards of keys that many documents share.
+
+A trusted document is scored without its own counts, so that its score is like
+that of a document outside the training set.  Scores are mean negative log
+probabilities of tokens, drawn towards their language's mean by ``SHRINK``
+tokens, as short texts scatter, in whole thousandths.  A document is kept when
+its score is at most its language's limit: the ``Q`` hundredths quantile of
+trusted documents' scores plus ``SLACK`` times the distance from their median to
+it.  Quantiles are exact, from counts of scores.  Languages with fewer than
+``LEAST`` trusted documents take the limit over all.
+
+Sums are whole thousandths of a nat, so nothing depends on task order.  Null
+texts count as empty.  Documents without tokens have no perplexity; they, and
+all documents when nothing is trusted, are kept.  Rows with the same id are one
+document with one row in the result, under the least of their languages; rows
+without an id are not scored, and kept.  Equal texts have equal perplexities
+unless one is trusted.  Ties at the limit are kept.  Other columns of any name
+are left out.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -31,21 +35,25 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from . import batches as arrow, packed, scratch, textvec as tv
 
-#: Vocabulary bound; ids fit 16 bits, with 0 for a text's start and 1 for other tokens.
+#: Tokens that are symbols of their own.  Ids fit 16 bits: 0 for a text's start,
+#: then the bytes, from FIRST on the tokens.  What lies beyond is spelled, not lost.
 WORDS = 65_000
+FIRST = 257
 #: Bigrams sent to every task, 12 bytes each.
 HOT = 100_000
-#: Trusted ids that are broadcast at most (32 MB); beyond, documents join them by shuffle.
-BROADCAST_IDS = 2_000_000
+#: Trusted ids that are broadcast at most (some 30 MB); beyond, documents join them by shuffle.
+BROADCAST_IDS = 500_000
 #: Languages whose means and limits are broadcast at most.
 BROADCAST_LANGS = 10_000
-Q, SLACK, SHRINK, LEAST = 0.99, 0.25, 20, 50
+Q, SLACK, SHRINK, LEAST = 99, 0.25, 20, 50
 #: Bigrams and documents that a task gathers before it hands them on.
 FLUSH, FLUSH_DOCS = 1_000_000, 60_000
+#: Texts numbered at once; numbers fit 16 bits.
+ROWS = 5_000
 SCALE = 1000
 
 _CLASS = np.where(tv.SPACE, 0, 2)
@@ -55,8 +63,21 @@ ROW = "shard int, kind int, uid long, a binary, b binary, c binary"
 MODEL, EVENT, TABLE = 0, 1, 2
 
 
-def tokens(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, text index) of tokens: runs of letters and digits, or of other signs; a token's first capital is folded."""
+@dataclass
+class Tokens:
+    """Tokens of some texts: runs of letters and digits, or of other signs, with a first capital folded."""
+
+    data: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
+    owner: np.ndarray  # each token's text
+    h: np.ndarray
+
+
+def tokens(data: np.ndarray, off: np.ndarray) -> Tokens:
+    if not len(data):
+        none = np.zeros(0, np.int64)
+        return Tokens(data, none, none, none, np.zeros(0, np.uint64))
     kind = _CLASS[data]
     edge = np.ones(len(data) + 1, bool)
     edge[1:-1] = kind[1:] != kind[:-1]
@@ -67,37 +88,42 @@ def tokens(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     starts, ends = starts[some], ends[some]
     folded = data.copy()
     folded[starts] = tv.LOWER[data[starts]]
-    return tv.span_hash(folded, starts, ends), np.searchsorted(off, starts, "right") - 1
+    return Tokens(folded, starts, ends, np.searchsorted(off, starts, "right") - 1, tv.span_hash(folded, starts, ends))
 
 
-def _blocks(batch: pa.RecordBatch, text: str) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def _blocks(batch: pa.RecordBatch, text: str) -> Iterator[tuple[int, int, Tokens]]:
     raw, off = tv.buffers(batch.column(text))
-    for i, j in tv.blocks(off):
-        yield i, j, *(tokens(raw[off[i] : off[j]], off[i : j + 1] - off[i]) if off[j] > off[i] else (np.zeros(0, np.uint64), np.zeros(0, np.int64)))
+    for first, last in tv.blocks(off):
+        for i in range(first, last, ROWS):
+            j = min(last, i + ROWS)
+            yield i, j, tokens(raw[off[i] : off[j]], off[i : j + 1] - off[i])
 
 
 @dataclass
 class Vocabulary:
-    """Token hashes in order and their ids; ``other``: how many distinct tokens
-    lie outside; ``total``: how many tokens there are."""
+    """Token hashes in order and their ids; ``total``: how many tokens there are."""
 
     keys: np.ndarray
     ids: np.ndarray
-    other: int
     total: int
 
-    def __call__(self, h: np.ndarray) -> np.ndarray:
-        if not len(self.keys):
-            return np.ones(len(h), np.int64)
-        at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
-        return np.where(self.keys[at] == h, self.ids[at], 1)
-
-    def bigrams(self, h: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(keys, ids): each token's id, and its bigram with the one before."""
-        ids = self(h)
+    def symbols(self, t: Tokens) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, texts) of the symbols: a token's own id, or those of its bytes."""
+        ids = np.zeros(len(t.h), np.int64)
+        if len(self.keys):
+            at = np.minimum(np.searchsorted(self.keys, t.h), len(self.keys) - 1)
+            ids = np.where(self.keys[at] == t.h, self.ids[at], 0)
+        many = np.where(ids > 0, 1, t.ends - t.starts)
+        spelled = 1 + t.data[tv.gather(t.starts, many)].astype(np.int64)
+        own = np.repeat(ids, many)
+        return np.where(own > 0, own, spelled), np.repeat(t.owner, many)
+
+    def bigrams(self, t: Tokens) -> tuple[np.ndarray, np.ndarray]:
+        """(keys, texts) of each symbol with the one before."""
+        ids, owner = self.symbols(t)
         before = np.zeros(len(ids), np.int64)
         before[1:] = np.where(owner[1:] == owner[:-1], ids[:-1], 0)
-        return (before << 16 | ids).astype(np.uint32), ids
+        return (before << 16 | ids).astype(np.uint32), owner
 
 
 def flagged(docs: DataFrame, labels: DataFrame, text: str = "text", doc: str = "doc_id") -> DataFrame:
@@ -121,9 +147,9 @@ def vocabulary(trusted: DataFrame) -> Vocabulary:
             return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(c, pa.int64())], names=["h", "c"])
 
         for batch in batches:
-            for _, _, h, _ in _blocks(batch, "text"):
-                held.append(h)
-                size += len(h)
+            for _, _, t in _blocks(batch, "text"):
+                held.append(t.h)
+                size += len(t.h)
                 if size >= FLUSH:
                     yield counted()
                     held, size = [], 0
@@ -134,8 +160,8 @@ def vocabulary(trusted: DataFrame) -> Vocabulary:
     top = counts.orderBy(F.desc("c"), "h").limit(WORDS).toArrow()
     h = top.column("h").to_numpy().view(np.uint64)
     order = np.argsort(h)
-    types, total = counts.agg(F.count("*"), F.coalesce(F.sum("c"), F.lit(0))).first()
-    return Vocabulary(h[order], order + 2, max(1, types - len(h)), total)
+    total = counts.agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
+    return Vocabulary(h[order], order + FIRST, total)
 
 
 def _put(keys: np.ndarray) -> bytes:
@@ -188,8 +214,8 @@ def count_bigrams(trusted: DataFrame, words: Vocabulary, n: int) -> DataFrame:
             return _batch([_row(s, MODEL, 0, _put(part[i:j]), c[i:j].astype("<u4").tobytes(), b"") for s, (i, j) in enumerate(zip(edge[:-1], edge[1:], strict=True)) if j > i])
 
         for batch in batches:
-            for _, _, h, owner in _blocks(batch, "text"):
-                keys, _ = shared.value.bigrams(h, owner)
+            for _, _, t in _blocks(batch, "text"):
+                keys, _ = shared.value.bigrams(t)
                 held.append(keys)
                 size += len(keys)
                 if size >= FLUSH:
@@ -238,11 +264,11 @@ def _discounts(counts_of: np.ndarray) -> np.ndarray:
     return np.clip(np.array(d), [0, 0.05, 0.1, 0.15], [0, 0.95, 1.9, 2.85])
 
 
-def unigrams(counts: DataFrame, n: int, total: int) -> Unigrams:
+def unigrams(counts: DataFrame, n: int, words: Vocabulary) -> Unigrams:
     """Sums over the shards, by token: a table no longer than the vocabulary; and
-    the most frequent bigrams, of those that make up a 16 * HOT-th of all tokens,
-    which are no more than 16 * HOT however many shards there are."""
-    often = max(1, total // (16 * HOT))
+    the most frequent bigrams, of those that are seen as often as a 4 * HOT-th of all
+    tokens, which are a few times HOT however many shards there are."""
+    often = max(1, words.total // (4 * HOT))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -262,7 +288,7 @@ def unigrams(counts: DataFrame, n: int, total: int) -> Unigrams:
 
     stats = scratch.table(arrow.mapped(counts, run, "name string, key long, v long"), "kn-stats")
     sums = stats.where("name != 'hot'").groupBy("name", "key").agg(F.sum("v").alias("v")).toArrow().to_pandas()
-    size = WORDS + 2
+    size = FIRST + len(words.keys)
     at = {name: np.zeros(size, np.int64) for name in ("total", "cont", "n1", "n2", "n3", "of")}
     for name, part in sums.groupby("name"):
         at[name][part["key"].to_numpy()] = part["v"].to_numpy()
@@ -308,16 +334,14 @@ def events(docs: DataFrame, words: Vocabulary, model: Unigrams, n: int) -> DataF
         for batch in batches:
             ids = batch.column("doc").to_numpy(zero_copy_only=False).astype(np.int64)
             trusted = batch.column("trusted").to_numpy(zero_copy_only=False).astype(np.int64)
-            for lo, hi, h, owner in _blocks(batch, "text"):
-                if held and (size + len(h) > FLUSH or held_docs + hi - lo > FLUSH_DOCS):
+            for lo, hi, t in _blocks(batch, "text"):
+                if held and (size + len(t.h) > FLUSH or held_docs + hi - lo > FLUSH_DOCS):
                     yield from dealt()
                     serial, size, held_docs, held, table = serial + 1, 0, 0, [], []
-                keys, known_ids = vocab.bigrams(h, owner)
+                keys, owner = vocab.bigrams(t)
                 both, c = np.unique(owner.astype(np.uint64) << np.uint64(32) | keys, return_counts=True)
                 text, key = (both >> np.uint64(32)).astype(np.int64), both.astype(np.uint32)
                 sums = np.zeros(hi - lo, np.int64)
-                other = np.bincount(owner[known_ids == 1], minlength=hi - lo)
-                sums -= _nats(np.full(hi - lo, np.log(vocab.other)), other)
                 own = trusted[lo:hi][text]
                 if len(uni.hot_keys):
                     at = np.minimum(np.searchsorted(uni.hot_keys, key), len(uni.hot_keys) - 1)
@@ -326,7 +350,7 @@ def events(docs: DataFrame, words: Vocabulary, model: Unigrams, n: int) -> DataF
                     np.add.at(sums, text[hot], _nats(p, c[hot]))
                     text, key, c, own = text[~hot], key[~hot], c[~hot], own[~hot]
                 held.append((key, text + held_docs, 2 * c + own))
-                table.append((ids[lo:hi], np.bincount(owner, minlength=hi - lo).astype(np.int64), sums))
+                table.append((ids[lo:hi], np.bincount(t.owner, minlength=hi - lo).astype(np.int64), sums))
                 size, held_docs = size + len(key), held_docs + hi - lo
         if held:
             yield from dealt()
@@ -340,33 +364,32 @@ def _join(rows: DataFrame, model: Unigrams, n: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         uni: Unigrams = shared.value
-        counts: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        waiting: list[tuple] = []
+        shard, known, values = -1, np.zeros(0, np.uint32), np.zeros(0, np.int64)
         for batch in batches:
             for s, kind, uid, a, b, c in zip(*(batch.column(x).to_pylist() for x in ("shard", "kind", "uid", "a", "b", "c")), strict=True):
+                if s != shard:  # a shard's model comes before its events
+                    shard, known, values = s, np.zeros(0, np.uint32), np.zeros(0, np.int64)
                 if kind == MODEL:
-                    values = np.frombuffer(b, "<u4")
-                    counts[s] = _get(pa.py_buffer(a), len(values)), values.astype(np.int64)
-                elif kind == TABLE:
+                    values = np.frombuffer(b, "<u4").astype(np.int64)
+                    known = _get(pa.py_buffer(a), len(values))
+                    continue
+                if kind == TABLE:
                     yield _batch([_row(s, TABLE, uid, a, b, c)])
-                else:
-                    waiting.append((s, uid, a, b, c))
-        for s, uid, a, b, c in waiting:
-            text, times = np.frombuffer(b, "<u2").astype(np.int64), np.frombuffer(c, "<u4").astype(np.int64)
-            part = _get(pa.py_buffer(a), len(text))
-            known, values = counts.get(s, (np.zeros(0, np.uint32), np.zeros(0, np.int64)))
-            count = np.zeros(len(part), np.int64)
-            if len(known):
-                at = np.minimum(np.searchsorted(known, part), len(known) - 1)
-                count = np.where(known[at] == part, values[at], 0)
-            own, times = times & 1, times >> 1
-            p = uni.log_p(part * np.uint32(n) + np.uint32(s), np.maximum(count - own * times, 0))
-            which, at = np.unique(text, return_inverse=True)
-            sums = np.zeros(len(which), np.int64)
-            np.add.at(sums, at, _nats(p, times))
-            yield _batch([_row(s, EVENT, uid, which.astype("<u2").tobytes(), sums.tobytes(), b"")])
-
-    return arrow.mapped(packed.deal(rows, n), run, ROW)
+                    continue
+                text, times = np.frombuffer(b, "<u2").astype(np.int64), np.frombuffer(c, "<u4").astype(np.int64)
+                part = _get(pa.py_buffer(a), len(text))
+                count = np.zeros(len(part), np.int64)
+                if len(known):
+                    at = np.minimum(np.searchsorted(known, part), len(known) - 1)
+                    count = np.where(known[at] == part, values[at], 0)
+                own, times = times & 1, times >> 1
+                p = uni.log_p(part * np.uint32(n) + np.uint32(s), np.maximum(count - own * times, 0))
+                which, at = np.unique(text, return_inverse=True)
+                sums = np.zeros(len(which), np.int64)
+                np.add.at(sums, at, _nats(p, times))
+                yield _batch([_row(s, EVENT, uid, which.astype("<u2").tobytes(), sums.tobytes(), b"")])
+
+    return arrow.mapped(packed.deal(rows, n).sortWithinPartitions("shard", "kind"), run, ROW)
 
 
 def _assemble(parts: DataFrame, n: int) -> DataFrame:
@@ -401,31 +424,41 @@ def score(docs: DataFrame, labels: DataFrame, text: str = "text", doc: str = "do
     trusted = slim.where("trusted").select("text")
     words = vocabulary(trusted)
     counts = count_bigrams(trusted, words, n)
-    model = unigrams(counts, n, words.total)
+    model = unigrams(counts, n, words)
     parts = _join(events(slim, words, model, n).unionByName(counts), model, n)
     sums = _assemble(parts, n).groupBy("doc").agg(F.sum("n_tokens").alias("n_tokens"), F.sum("log_p").alias("log_p"))
-    about = docs.select(F.col(doc).cast("long").alias("doc"), F.coalesce(F.col(lang), F.lit("")).alias("lang"))
+    named = docs.select(F.col(doc).cast("long").alias("doc"), F.coalesce(F.col(lang), F.lit("")).alias("lang"))
+    about = named.where("doc is not null").groupBy("doc").agg(F.min("lang").alias("lang"))
     good = labels.where("quality = 1 and coalesce(toxic, 0) = 0").select(F.col("doc_id").cast("long").alias("doc"), F.lit(True).alias("trusted")).distinct()
-    scored = scratch.table(about.join(sums, "doc", "left").join(good, "doc", "left").withColumn("cost", -F.col("log_p") / SCALE), "kn-scores")
+    scored = about.join(sums, "doc", "left").join(good, "doc", "left").withColumn("cost", -F.col("log_p"))
+    nothing = [F.lit(None).cast(kind).alias(c) for c, kind in (("n_tokens", "long"), ("log_p", "long"), ("trusted", "boolean"), ("cost", "long"))]
+    scored = scratch.table(scored.unionByName(named.where("doc is null").select("doc", "lang", *nothing)), "kn-scores")
     proven = scored.where("trusted and n_tokens > 0")
-    means = _small(proven.groupBy("lang").agg((F.sum("cost") / F.sum("n_tokens")).alias("mean")), "kn-means")
-    everywhere = proven.agg((F.sum("cost") / F.sum("n_tokens")).alias("mean")).first()["mean"]
+    mean = F.sum("cost") / F.sum("n_tokens")
+    means = _small(proven.groupBy("lang").agg(mean.alias("mean")), "kn-means")
+    everywhere = proven.agg(mean.alias("mean")).first()["mean"]
     shrunk = (F.col("cost") + SHRINK * F.coalesce("mean", F.lit(everywhere).cast("double"))) / (F.col("n_tokens") + SHRINK)
+    whole = F.round(F.when(F.col("n_tokens") > 0, shrunk)).cast("long")
 
     def with_score(df: DataFrame) -> DataFrame:
-        return df.join(means, "lang", "left").withColumn("score", shrunk)
+        return df.join(means, "lang", "left").withColumn("score", whole)
+
+    counted = scratch.table(with_score(proven).groupBy("lang", "score").agg(F.count("*").alias("n")), "kn-score-counts")
 
-    def limit(groups: list[str]) -> DataFrame:
-        at = F.percentile_approx("score", [0.5, Q], 10000)
-        q = with_score(proven).groupBy(*groups).agg(at.alias("q"), F.count("*").alias("m"))
-        return q.select(*groups, "m", (F.col("q")[1] + SLACK * (F.col("q")[1] - F.col("q")[0])).alias("lim"))
+    def limit(counts: DataFrame) -> DataFrame:
+        """A limit for each language, in whole thousandths; there are some 30,000 scores at most."""
+        by = Window.partitionBy("lang")
+        run = counts.withColumns({"upto": F.sum("n").over(by.orderBy("score")), "m": F.sum("n").over(by)})
+        at = lambda share: F.min(F.when(100 * F.col("upto") >= share * F.col("m"), F.col("score")))
+        found = run.groupBy("lang").agg(F.max("m").alias("m"), at(50).alias("mid"), at(Q).alias("high"))
+        return found.select("lang", "m", F.floor(F.col("high") + SLACK * (F.col("high") - F.col("mid"))).alias("lim"))
 
-    own = _small(limit(["lang"]).where(F.col("m") >= LEAST).select("lang", F.col("lim").alias("own_limit")), "kn-limits")
-    wide = limit([]).first()["lim"]
+    own = _small(limit(counted).where(F.col("m") >= LEAST).select("lang", F.col("lim").alias("own_limit")), "kn-limits")
+    every = limit(counted.groupBy("score").agg(F.sum("n").alias("n")).withColumn("lang", F.lit(""))).first()
+    bound = F.coalesce("own_limit", F.lit(every["lim"] if every else None).cast("long"))
     out = with_score(scored).join(own, "lang", "left")
-    bound = F.coalesce("own_limit", F.lit(wide).cast("double"))
     return out.select(
         F.col("doc").alias("doc_id"), "lang", F.coalesce("n_tokens", F.lit(0)).alias("n_tokens"),
-        F.when(F.col("n_tokens") > 0, F.exp(F.col("cost") / F.col("n_tokens"))).alias("perplexity"), "score", bound.alias("score_limit"),
-        F.coalesce(F.col("score") <= bound, F.lit(True)).alias("kept"),
+        F.when(F.col("n_tokens") > 0, F.exp(F.col("cost") / SCALE / F.col("n_tokens"))).alias("perplexity"),
+        (F.col("score") / SCALE).alias("score"), (bound / SCALE).alias("score_limit"), F.coalesce(F.col("score") <= bound, F.lit(True)).alias("kept"),
     )
