@@ -18,9 +18,14 @@ class ConfigError(ValueError):
     """A missing or invalid configuration."""
 
 
+#: Names of the sections below are the file format (fixed values).
+
+
 @dataclass(frozen=True)
 class Model:
     adapter: str
+    tokenizer: str | None = None  # a tokenizer file, for adapters that read one
+    revision: str | None = None  # its SHA-256, if it is to be pinned
 
 
 @dataclass(frozen=True)
@@ -53,7 +58,7 @@ class Tokenize:
 class Train:
     method: str = "qlora"
     hyperparameters: dict[str, Any] = field(default_factory=dict)
-    mlflow_experiment: str = "tuner"
+    mlflow_experiment: str = "siltworks"
 
 
 @dataclass(frozen=True)
