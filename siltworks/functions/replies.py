@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+import re
 
 import pandas as pd
 from pyspark.sql import Column, functions as F, types as T
@@ -13,64 +13,60 @@ REPLY = T.StructType([T.StructField("score", T.IntegerType()), T.StructField("re
 SCAN_BUDGET = 200_000
 
 
-class _Budget:
-    def __init__(self, left: int):
-        self.left = left
-
-
-def _closing(text: str, start: int, budget: _Budget) -> int | None:
-    """Where the object opened at ``start`` closes; strings and escapes are respected."""
-    depth, quoted, i = 0, False, start
-    while i < len(text) and budget.left > 0:
-        budget.left -= 1
-        c = text[i]
-        if quoted:
-            if c == "\\":
-                i += 1
-                budget.left -= 1
-            elif c == '"':
-                quoted = False
-        elif c == '"':
-            quoted = True
-        elif c in "{}":
-            depth += 1 if c == "{" else -1
-            if depth == 0:
-                return i
-        i += 1
-    return None
+_DECODER = json.JSONDecoder()
+#: What matters for finding an object's end: escapes, quotes and braces.
+_MARK = re.compile(r'\\.|["{}]', re.DOTALL)
+
+
+def _end(text: str, start: int, limit: int) -> int:
+    """One past the brace that closes the one at ``start``; 0 if none does before ``limit``."""
+    depth, quoted = 0, False
+    for mark in _MARK.finditer(text, start, limit):
+        kind = mark.group()
+        if kind == '"':
+            quoted = not quoted
+        elif not quoted and kind in "{}":
+            depth += 1 if kind == "{" else -1
+            if not depth:
+                return mark.end()
+        # outside strings a backslash escapes nothing, but what follows it was passed over
+        elif not quoted and kind[1] in '"{}':
+            if kind[1] == '"':
+                quoted = True
+            else:
+                depth += 1 if kind[1] == "{" else -1
+                if not depth:
+                    return mark.end()
+    return 0
 
 
-def _objects(text: str) -> Iterator[tuple[int, int]]:
-    budget, start = _Budget(SCAN_BUDGET), text.find("{")
-    while start >= 0 and budget.left > 0:
-        end = _closing(text, start, budget)
-        if end is not None:
-            yield start, end
-        start = text.find("{", start + 1)
+def _verdict(value: dict) -> tuple[int, str] | None:
+    score, reasoning = value["score"], value.get("reasoning", "")
+    return (score, reasoning) if type(score) is int and 1 <= score <= 10 and isinstance(reasoning, str) else None
 
 
 def parse(text: str | None) -> tuple[int, str] | None:
     """(score, reasoning) of a reply, or None.
 
-    The first span that is a JSON object with a score decides, valid or not.
-    Spans inside one that was no JSON are not considered.
+    Every brace may open an object.  The first object with a score decides,
+    valid or not.  A span of balanced braces that is no JSON is passed over whole.
     """
     if not isinstance(text, str):
         return None
-    broken_to = -1  # spans come by start: one is inside a broken one iff it ends before the furthest broken end
-    for start, end in _objects(text):
-        if end <= broken_to:
-            continue
+    left, at = SCAN_BUDGET, text.find("{")
+    while at >= 0 and left > 0:
+        step = 1
         try:
-            value = json.loads(text[start : end + 1])
+            value, end = _DECODER.raw_decode(text, at)
         except (ValueError, RecursionError):
-            broken_to = max(broken_to, end)
-            continue
-        if not isinstance(value, dict) or "score" not in value:
-            continue
-        score, reasoning = value["score"], value.get("reasoning", "")
-        good = type(score) is int and 1 <= score <= 10 and isinstance(reasoning, str)
-        return (score, reasoning) if good else None
+            value, end = None, _end(text, at, min(len(text), at + left))
+            step = max(1, end - at)
+        if end - at > left:
+            return None
+        if isinstance(value, dict) and "score" in value:
+            return _verdict(value)
+        left -= (end or len(text)) - at
+        at = text.find("{", at + step)
     return None
 
 
@@ -90,6 +86,29 @@ def retryable(status: Column) -> Column:
     return (status == "timeout") | (status == "429") | status.rlike("^5[0-9]{2}$")
 
 
-def marked_score(text: Column) -> Column:
-    """Stand-in judge: the number in [[score=N]], else 8."""
-    return F.coalesce(F.nullif(F.regexp_extract(text, r"\[\[score=(\d+)\]\]", 1), F.lit("")).cast("int"), F.lit(8))
+#: The stand-in judge's marks, in the order in which they count, and its score without one (fixed values).
+MARKS = {"fail_once": r"\[\[fail_once=(\d+)\]\]", "fail": r"\[\[fail=(\d+)\]\]", "garbage": r"\[\[garbage\]\]", "score": r"\[\[score=(\d+)\]\]"}
+DEFAULT_SCORE = 8
+
+
+def marked_outcome(text: Column, attempt: int = 1) -> Column:
+    """Stand-in judge: struct(status, score) of an attempt.
+
+    A failure mark gives its HTTP status, once or always; garbage is an answer
+    without a score; else the marked score counts, or the default.
+    """
+    number = lambda k: F.nullif(F.regexp_extract(text, MARKS[k], 1), F.lit("")).cast("int")
+    once = number("fail_once") if attempt == 1 else F.lit(None).cast("int")
+    status = F.coalesce(once, number("fail"), F.lit(200))
+    score = F.when((status == 200) & ~text.rlike(MARKS["garbage"]), F.coalesce(number("score"), F.lit(DEFAULT_SCORE)))
+    return F.struct(status.alias("status"), score.alias("score"))
+
+
+def marked_score(text: Column, retries: int = 3) -> Column:
+    """The stand-in judge's score after retries; null for a judge error.
+
+    Scores out of range are malformed answers, which retries do not mend.
+    """
+    first, again = marked_outcome(text), marked_outcome(text, 2)
+    tried = F.when(retryable(first["status"].cast("string")) & F.lit(retries > 0), again["score"]).otherwise(first["score"])
+    return F.when(tried.between(1, 10), tried)

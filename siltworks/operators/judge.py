@@ -4,16 +4,19 @@ from __future__ import annotations
 
 import json
 import random
+import re
 import time
 import urllib.error
 import urllib.request
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.conversation import rubric_prompt
-from ..functions.replies import normalised, parse
+from ..functions.replies import DEFAULT_SCORE, MARKS, normalised, parse
+from ..sources import scratch
 
 #: Share of judge errors beyond which a run aborts; delays in seconds (fixed values).
 MAX_ERRORS, BASE_DELAY, MAX_DELAY = 0.10, 2.0, 60.0
@@ -48,9 +51,13 @@ def metrics(flagged: DataFrame) -> DataFrame:
     return out.select("mean_score", "median_score", share("_p").alias("promotion_rate"), share("_e").alias("judge_error_rate"))
 
 
+def bin_of(normalized: Column) -> Column:
+    return F.least((normalized * 10).cast("int"), F.lit(9) + F.when(normalized.isNull(), F.lit(None).cast("int")).otherwise(0))
+
+
 def histogram(flagged: DataFrame) -> DataFrame:
     """Ten bins of normalised scores, empty ones too; the last holds 0.9 and 1."""
-    found = flagged.where("normalized is not null").groupBy(F.least((F.col("normalized") * 10).cast("int"), F.lit(9)).alias("bin")).agg(F.count("*").alias("n"))
+    found = flagged.where("normalized is not null").groupBy(bin_of(F.col("normalized")).alias("bin")).agg(F.count("*").alias("n"))
     bins = flagged.sparkSession.range(10).select(F.col("id").cast("int").alias("bin"))
     return bins.join(found, "bin", "left").select("bin", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
 
@@ -91,23 +98,65 @@ def ask(post: Callable[[dict], tuple[int | None, object]], model: str, prompt: s
     return None
 
 
-def score_http(silver: DataFrame, url: str, model: str, key: str = "", concurrency: int = 4, retries: int = 3) -> DataFrame:
-    """Add ``score`` and ``reasoning`` from a chat endpoint; ``concurrency`` tasks call it at once.
+#: A client posts a request's body and gives (status, JSON reply).
+Client = Callable[[dict], tuple[int | None, object]]
+
+
+def endpoint(url: str, key: str = "") -> Callable[[], Client]:
+    return lambda: lambda body: _post(url, key, body)
 
-    Write the result before using it twice: each evaluation calls the endpoint anew.
+
+def score_replies(silver: DataFrame, connect: Callable[[], Client], model: str, concurrency: int = 4, retries: int = 3, threads: int = 1, sleep: Callable[[float], None] = time.sleep) -> DataFrame:
+    """Add ``score`` and ``reasoning`` from a chat endpoint, by ``seq``.
+
+    ``concurrency`` calls are made at once: so many tasks, or fewer with ``threads``
+    calls each.  ``connect`` makes a task's client.  Replies are written to the
+    scratch folder, so that no later use asks again; waits between tries are
+    drawn from the record's number.
     """
-    prompts = silver.withColumn("_prompt", rubric_prompt(F.col("conversation"))).repartition(concurrency)
+    prompts = silver.select("seq", rubric_prompt(F.col("conversation")).alias("_prompt")).repartition(max(1, concurrency // threads))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rng = random.Random()
-        for frame in frames:
-            found = [ask(lambda body: _post(url, key, body), model, p, retries, rng) or (None, None) for p in frame["_prompt"]]
-            yield pd.DataFrame({"seq": frame["seq"], "score": pd.array([s for s, _ in found], "Int32"), "reasoning": [r for _, r in found]})
-
-    replies = prompts.select("seq", "_prompt").mapInPandas(run, "seq long, score int, reasoning string")
+        post = connect()
+        one = lambda x: ask(post, model, x[1], retries, random.Random(int(x[0])), sleep) or (None, None)
+        with ThreadPoolExecutor(threads) as pool:
+            for frame in frames:
+                found = list(pool.map(one, zip(frame["seq"], frame["_prompt"], strict=True)))
+                yield pd.DataFrame({"seq": frame["seq"], "score": pd.array([s for s, _ in found], "Int32"), "reasoning": [r for _, r in found]})
+
+    replies = scratch.table(prompts.mapInPandas(run, "seq long, score int, reasoning string"), "judge-replies")
     return silver.join(replies, "seq", "left")
 
 
+def score_http(silver: DataFrame, url: str, model: str, key: str = "", concurrency: int = 4, retries: int = 3) -> DataFrame:
+    """``score_replies`` of an endpoint by its URL."""
+    return score_replies(silver, endpoint(url, key), model, concurrency, retries)
+
+
+def stand_in() -> Client:
+    """An offline judge that follows the marks in the text (see ``replies.MARKS``)."""
+    failed: set[str] = set()
+
+    def post(body: dict) -> tuple[int | None, object]:
+        text = "\n".join(str(m.get("content", "")) for m in body.get("messages", []))
+        marks = {k: re.search(p, text) for k, p in MARKS.items()}
+        if marks["fail_once"] and text not in failed:
+            failed.add(text)
+            return int(marks["fail_once"].group(1)), None
+        if marks["fail"]:
+            return int(marks["fail"].group(1)), None
+        score = int(marks["score"].group(1)) if marks["score"] else DEFAULT_SCORE
+        said = "no JSON in here" if marks["garbage"] else json.dumps({"score": score, "reasoning": "marked"})
+        return 200, {"choices": [{"message": {"role": "assistant", "content": said}}]}
+
+    return post
+
+
+def backoff_limit(attempt: Column) -> Column:
+    """The longest wait before a retry; ``attempt`` counts from 1."""
+    return F.least(F.lit(MAX_DELAY), F.lit(BASE_DELAY) * F.pow(F.lit(2.0), attempt - 1))
+
+
 def score_marked(silver: DataFrame, prompt: Column | None = None) -> DataFrame:
     """Stand-in judge for tests and offline runs: the score marked in the text."""
     from ..functions.replies import marked_score
