@@ -13,6 +13,7 @@ from ..functions import conversation as conv
 from ..functions.common import let
 from ..functions.hashing import hash_struct
 from ..schemas import CONVERSATION
+from ..sources import scratch
 
 #: Flat shapes by their exact key sets (fixed values): prompt and response keys.
 FLAT_SHAPES = {
@@ -155,10 +156,11 @@ def tested(mapped: DataFrame, pii: Sequence[str] = ("email", "phone"), min_chars
 def first_wins(flagged: DataFrame, key: Column, seq: str = "seq") -> DataFrame:
     """Turn all but the first passing record of each key into duplicates.
 
+    The records are written once, as both sides of the join below read them.
     The first places are partial minima by key; they join back by ``seq``,
     which is unique, so a key with very many copies is never in one place.
     """
-    keyed = flagged.withColumn("_key", F.when(F.col("drop_reason").isNull(), key))
+    keyed = scratch.table(flagged.withColumn("_key", F.when(F.col("drop_reason").isNull(), key)), "first-wins")
     first = keyed.where("_key is not null").groupBy("_key").agg(F.min(seq).alias("_first")).select("_first")
     joined = keyed.join(first, F.col(seq) == F.col("_first"), "left")
     again = F.col("_key").isNotNull() & F.col("_first").isNull()

@@ -8,9 +8,10 @@ records.  Stages that load models (train, smoke generation) take hooks.
 from __future__ import annotations
 
 import argparse
+import json
 import os
 import sys
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -19,7 +20,7 @@ from .. import schemas
 from ..config import ConfigError, Pipeline, load
 from ..functions.hashing import new_run_id, utc_now
 from ..operators import clean as cleaning, ingest as ingesting, judge as judging, registry, smoke, tokenize as tokenizing
-from ..sources import files, readers, registry as registry_files, tensors, tiers
+from ..sources import files, readers, registry as registry_files, scratch, tensors, tiers, tracking
 
 STAGES = ("ingest", "clean", "judge", "tokenize")
 #: A trainer gets (spark, config, root, run_id) and returns weights_uri,
@@ -117,15 +118,17 @@ def judge(spark: SparkSession, config: Pipeline, root: str, run_id: str, score:
     if not written:
         raise Empty("zero records promoted")
     metrics = judging.metrics(flagged).first().asDict()
-    log_metrics(spark, root, run_id, "judge", metrics)  # before the tier commits
+    bins = "".join(f"{r['bin'] / 10:.1f} {r['n']}\n" for r in judging.histogram(flagged).orderBy("bin").collect())  # ten rows
+    tracking.log(spark, root, run_id, "judge", metrics, {"model": config.judge.model, "threshold": config.judge.threshold}, {"experiment": config.train.mlflow_experiment}, {"histogram.txt": bins.encode()})  # before the tier commits
     gold = _dense(judging.gold(flagged, config.judge.model, utc_now()))
     manifest = tiers.write_tier(gold, root, "gold", run_id, "judge", tiers.manifest_uri(root, "silver", run_id), drops, schemas.JUDGE_REASONS, written)
     files.delete(spark, path)
     return manifest
 
 
-def tokenize(spark: SparkSession, config: Pipeline, root: str, run_id: str, pad: int = 0) -> dict[str, Any]:
-    make = tokenizing.adapter(config.model.adapter)
+def tokenize(spark: SparkSession, config: Pipeline, root: str, run_id: str) -> dict[str, Any]:
+    make = tokenizing.adapter(config.model.adapter, config.model.tokenizer, config.model.revision)
+    pad = tokenizing.pad_id(make())  # also fails early if the tokenizer cannot be loaded
     gold = tiers.read_tier(spark, root, "gold", run_id)
     tiers.require_valid(gold, schemas.gold_valid())
     target = f"{root.rstrip('/')}/artifacts/{run_id}"
@@ -141,21 +144,38 @@ def tokenize(spark: SparkSession, config: Pipeline, root: str, run_id: str, pad:
     tensors.bundles(tokenizing.padded(index, pad)).write.parquet(f"{target}/tensors")
     index.select("split", "row", "record_id").write.parquet(f"{target}/index")
     done.where("drop_reason is not null").select(F.col("id").alias("record_id"), F.col("drop_reason").alias("reason")).write.parquet(f"{target}/dropped")
-    record = {"run_id": run_id, "adapter": config.model.adapter, "max_seq_len": config.tokenize.max_seq_len, "gold_manifest_uri": tiers.manifest_uri(root, "gold", run_id)}
+    record = {"run_id": run_id, "adapter": config.model.adapter, "tokenizer_id": config.model.tokenizer or config.model.adapter, "max_seq_len": config.tokenize.max_seq_len, "gold_manifest_uri": tiers.manifest_uri(root, "gold", run_id)}
     files.write_json(spark, f"{target}/index_map.json", record)  # last: it commits the artifact
     for p in (path, index_path):
         files.delete(spark, p)
     return record
 
 
-def export_index_map(spark: SparkSession, root: str, run_id: str) -> dict[str, Any]:
-    """The whole row index as one document, for runs that a driver can hold."""
+def export_index_map(spark: SparkSession, root: str, run_id: str) -> str:
+    """The whole row index as one JSON document; its path.
+
+    Rows come to the driver partition by partition and go straight to the file.
+    """
     target = f"{root.rstrip('/')}/artifacts/{run_id}"
     record = files.read_json(spark, f"{target}/index_map.json")
-    rows = spark.read.parquet(f"{target}/index").orderBy("split", "row").collect()
-    splits = {s: [{"row": int(r["row"]), "record_id": r["record_id"]} for r in rows if r["split"] == s] for s in ("train", "eval")}
-    dropped = [r.asDict() for r in spark.read.parquet(f"{target}/dropped").orderBy("record_id").collect()]
-    return record | {"splits": splits, "dropped": dropped}
+    index = spark.read.parquet(f"{target}/index")
+
+    def listed(rows: DataFrame) -> Iterator[str]:
+        for i, r in enumerate(rows.toLocalIterator()):
+            yield ("," if i else "") + json.dumps(r.asDict(), ensure_ascii=False)
+
+    def parts() -> Iterator[str]:
+        yield json.dumps(record, ensure_ascii=False)[:-1] + ', "splits": {'
+        for i, split in enumerate(("train", "eval")):
+            yield (", " if i else "") + f'"{split}": ['
+            yield from listed(index.where(F.col("split") == split).select(F.col("row").cast("long"), "record_id").orderBy("row"))
+            yield "]"
+        yield '}, "dropped": ['
+        yield from listed(spark.read.parquet(f"{target}/dropped").select("record_id", "reason").orderBy("record_id"))
+        yield "]}\n"
+
+    files.write_lines(spark, f"{target}/index_map.full.json", parts())
+    return f"{target}/index_map.full.json"
 
 
 def smoke_samples(spark: SparkSession, config: Pipeline, root: str, run_id: str) -> DataFrame:
@@ -176,18 +196,6 @@ def register(spark: SparkSession, config: Pipeline, root: str, run_id: str, weig
     })
 
 
-def log_metrics(spark: SparkSession, root: str, run_id: str, stage: str, values: dict[str, Any]) -> None:
-    """One record for each run and stage; a rerun replaces it."""
-    files.write_json(spark, f"{root.rstrip('/')}/metrics/{run_id}/{stage}.json", {"run_id": run_id, "stage": stage, "logged_at": utc_now()} | values)
-
-
-def find_metrics(spark: SparkSession, root: str, run_id: str, stage: str) -> dict[str, Any]:
-    found = files.read_json(spark, f"{root.rstrip('/')}/metrics/{run_id}/{stage}.json")
-    if found is None:
-        raise KeyError(f"no metrics of stage {stage} for {run_id}")
-    return found
-
-
 def train(spark: SparkSession, config: Pipeline, root: str, run_id: str, trainer: Trainer) -> str:
     """Train by the given hook and register the result; gates come before the hook."""
     index = files.read_json(spark, f"{root.rstrip('/')}/artifacts/{run_id}/index_map.json")
@@ -196,13 +204,14 @@ def train(spark: SparkSession, config: Pipeline, root: str, run_id: str, trainer
     if index["adapter"] != config.model.adapter:
         raise ConfigError(f"tokenized with adapter {index['adapter']!r}, configured {config.model.adapter!r}")
     made = trainer(spark, config, root, run_id)
-    log_metrics(spark, root, run_id, "train", made)
+    losses = {k: float(made[k]) for k in ("final_train_loss", "final_eval_loss")}
+    tracking.log(spark, root, run_id, "train", losses, {"method": config.train.method} | config.train.hyperparameters, {"experiment": config.train.mlflow_experiment, "tracking_id": made["tracking_id"]}, made.get("artifacts"))
     return register(spark, config, root, run_id, made["weights_uri"], (made["final_train_loss"], made["final_eval_loss"]), made["tracking_id"], made["base_model"])
 
 
 def smoke_test(spark: SparkSession, config: Pipeline, root: str, run_id: str, base: Loader, tuned: Loader) -> dict[str, Any]:
     """Outputs of both models for a few evaluation prompts, as a transcript."""
-    find_metrics(spark, root, run_id, "train")
+    tracking.one(spark, root, run_id, "train")
     both = smoke.generated(smoke.generated(smoke_samples(spark, config, root, run_id), base, "base_output"), tuned, "tuned_output")
     rows = sorted((r.asDict(recursive=True) for r in both.collect()), key=lambda r: r.pop("row"))  # num_prompts rows
     transcript = {
@@ -216,19 +225,24 @@ def smoke_test(spark: SparkSession, config: Pipeline, root: str, run_id: str, ba
 
 
 def stage_code(f: Callable[[], Any], name: str) -> int:
-    """Run a stage; its exit code."""
+    """Run a stage; its exit code.  Its scratch tables go when it ends."""
+    held: list[str] = []
     try:
-        f()
+        with scratch.collected(held):
+            f()
         return 0
     except Empty as e:
         print(f"{name}: {e}", file=sys.stderr)
         return 3
-    except (ConfigError, readers.SourceError, readers.MalformedRecord, tiers.UpstreamIncomplete, tiers.InvalidRecord, KeyError) as e:
+    except (ConfigError, readers.SourceError, readers.MalformedRecord, tokenizing.TokenizerError, tiers.UpstreamIncomplete, tiers.InvalidRecord, KeyError) as e:
         print(f"{name}: {e}", file=sys.stderr)
         return 2
     except Exception as e:
         print(f"{name}: {e}", file=sys.stderr)
         return 1
+    finally:
+        if held:
+            scratch.delete(SparkSession.active(), held)
 
 
 def run(spark: SparkSession, config: Pipeline, root: str, run_id: str | None = None, score: Callable[[DataFrame], DataFrame] | None = None, trainer: Trainer | None = None, models: tuple[Loader, Loader] | None = None) -> int:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterable
 from typing import Any
 
 from pyspark.sql import SparkSession
@@ -52,6 +53,23 @@ def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
         out.close()
 
 
+def write_lines(spark: SparkSession, path: str, parts: Iterable[str]) -> None:
+    """Write texts one after the other, a megabyte at a time."""
+    fs, target = _fs(spark, path)
+    out = fs.create(target, True)
+    held, size = [], 0
+    try:
+        for part in parts:
+            held.append(part)
+            size += len(part)
+            if size > 1 << 20:
+                out.write(bytearray("".join(held).encode()))
+                held, size = [], 0
+        out.write(bytearray("".join(held).encode()))
+    finally:
+        out.close()
+
+
 def read_json(spark: SparkSession, path: str) -> Any | None:
     data = read_bytes(spark, path)
     return None if data is None else json.loads(data)

@@ -82,6 +82,7 @@ def read_jsonl(spark: SparkSession, source: Source) -> DataFrame:
 
 
 def _csv_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    csv.field_size_limit((1 << 31) - 1)
     schema = pa.schema([("n", pa.int64()), ("raw", pa.string()), ("error", pa.string())])
     for batch in batches:
         for content in batch.column("content"):
@@ -123,7 +124,8 @@ def read_csv_split(spark: SparkSession, source: Source) -> DataFrame:
     header = csv_header(spark, source.uri)
     schema = ", ".join([*(f"`{c}` string" for c in header), "_corrupt string"])
     rows = spark.read.schema(schema).csv(source.uri, header=True, quote='"', escape='"', columnNameOfCorruptRecord="_corrupt", mode="PERMISSIVE")
-    wide = F.size(F.split("_corrupt", ",")) > len(header)
+    bare = F.regexp_replace("_corrupt", '"(?:[^"]|"")*"', "")  # commas inside quotes part no fields
+    wide = F.size(F.split(bare, ",")) > len(header)
     raw = F.to_json(F.struct(*sorted(header)), {"ignoreNullFields": "false"})
     bad = F.col("_corrupt").isNotNull() & wide
     rows = with_ordinal(rows.select(raw.alias("raw"), bad.alias("bad")))

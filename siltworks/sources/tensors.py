@@ -30,6 +30,20 @@ def decode(data: bytes) -> dict[str, np.ndarray]:
     return {k: np.frombuffer(body[v["data_offsets"][0] : v["data_offsets"][1]], "<i8").reshape(v["shape"]) for k, v in header.items() if k != "__metadata__"}
 
 
+def unbundled(bundles: DataFrame, rows_per_bundle: int = 4096) -> DataFrame:
+    """(split, row, input_ids, attention_mask, labels) of tensor files (split, bundle, content)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for split, bundle, content in zip(batch.column("split").to_pylist(), batch.column("bundle").to_pylist(), batch.column("content"), strict=True):
+                arrays = decode(content.as_buffer().to_pybytes())
+                n = len(arrays["labels"])
+                cols = [pa.array([split] * n, pa.string()), pa.array(np.arange(n) + bundle * rows_per_bundle)]
+                yield pa.RecordBatch.from_arrays([*cols, *(pa.array(list(arrays[c]), pa.list_(pa.int64())) for c in COLUMNS)], names=["split", "row", *COLUMNS])
+
+    return bundles.select("split", "bundle", "content").mapInArrow(run, "split string, row long, input_ids array<long>, attention_mask array<long>, labels array<long>")
+
+
 COLUMNS = ("input_ids", "attention_mask", "labels")
 
 

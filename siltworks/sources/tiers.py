@@ -11,7 +11,7 @@ import hashlib
 import uuid
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import schemas
 from ..functions.hashing import utc_now
@@ -101,27 +101,44 @@ def read_manifest(spark: SparkSession, root: str, tier: str, run_id: str) -> dic
     return found
 
 
-def read_tier(spark: SparkSession, root: str, tier: str, run_id: str) -> DataFrame:
-    """A committed tier's records with ``seq``, their place in file and line order."""
-    from .readers import with_ordinal
+def _placed(lines: DataFrame, names: list[str]) -> DataFrame:
+    """Add ``seq``: a line's place over all files, counting from 0.
+
+    A scan cuts files into blocks; a row per block, with its number of lines, is
+    all that is gathered.
+    """
+    spark = lines.sparkSession
+    at = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    block = {"_name": F.col("_metadata.file_name"), "_block": F.col("_metadata.file_block_start"), "_part": F.spark_partition_id(), "_at": at}
+    tagged = lines.withColumns(block)
+    found = tagged.groupBy("_name", "_block", "_part").agg(F.min("_at").alias("first"), F.count("*").alias("n")).collect()
+    order = {name: i for i, name in enumerate(names)}
+    before, starts = 0, []
+    for r in sorted(found, key=lambda r: (order[r["_name"]], r["_block"])):
+        starts.append((r["_name"], r["_block"], r["_part"], before - r["first"]))
+        before += r["n"]
+    known = spark.createDataFrame(starts or [("", -1, -1, 0)], "_name string, _block long, _part int, _shift long")
+    placed = tagged.join(F.broadcast(known), ["_name", "_block", "_part"])  # a row per block
+    return placed.select("value", (F.col("_at") + F.col("_shift")).alias("seq"))
+
 
+def read_tier(spark: SparkSession, root: str, tier: str, run_id: str) -> DataFrame:
+    """A committed tier's records with ``seq``, their place in file and line order, in one scan of all files."""
     manifest = read_manifest(spark, root, tier, run_id)
     ddl = schemas.BRONZE_DDL if tier == "bronze" else schemas.SILVER_DDL
     base = folder(root, tier, run_id)
-    frames = []
-    for i, name in enumerate(manifest["files"]):
-        lines = with_ordinal(spark.read.option("lineSep", "\n").text(f"{base}/{name}"), "_line")
-        frames.append(lines.withColumn("_file", F.lit(i)))
-    rows = frames[0]
-    for more in frames[1:]:
-        rows = rows.unionByName(more)
+    lines = spark.read.option("lineSep", "\n").text([f"{base}/{name}" for name in manifest["files"]])
     fields = ", ".join(f for f in ddl.split(", ") if f != "seq bigint")
-    parsed = rows.withColumn("r", F.from_json("value", fields))
-    return parsed.select("r.*", (F.col("_file").cast("long") * (1 << 40) + F.col("_line") - 1).alias("seq"))
+    return _placed(lines, manifest["files"]).withColumn("r", F.from_json("value", fields)).select("r.*", "seq")
+
+
+def first_invalid(df: DataFrame, valid: Column) -> DataFrame:
+    """(id, seq) of the first record, by seq, that breaks the schema."""
+    return df.where(~valid).select("id", "seq").orderBy("seq").limit(1)
 
 
 def require_valid(df: DataFrame, valid) -> None:
     """Raise for the first record, by seq, that breaks the schema."""
-    found = df.where(~valid).orderBy("seq").limit(1).select("id").collect()
+    found = first_invalid(df, valid).collect()
     if found:
         raise InvalidRecord(f"invalid record {found[0]['id']}")

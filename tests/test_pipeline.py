@@ -74,7 +74,7 @@ def test_order_lineage_and_conservation(spark, root):
     assert kept == sorted(kept)
     texts = " ".join(p["value"] for r in silver.collect() for t in r["conversation"] for p in t["content"])
     assert "site.example" not in texts and "[EMAIL]" in texts and "[PHONE]" in texts and " " in texts
-    exported = pipeline.export_index_map(spark, root, RUN)
+    exported = files.read_json(spark, pipeline.export_index_map(spark, root, RUN))
     ids = [e["record_id"] for s in ("train", "eval") for e in exported["splits"][s]] + [d["record_id"] for d in exported["dropped"]]
     assert sorted(ids) == sorted(r["id"] for r in gold.select("id").collect())
     for s in ("train", "eval"):
@@ -88,7 +88,7 @@ def test_order_lineage_and_conservation(spark, root):
 
 def test_tensors(spark, root):
     rows = spark.read.parquet(f"{root}/artifacts/{RUN}/tensors").collect()
-    exported = pipeline.export_index_map(spark, root, RUN)
+    exported = files.read_json(spark, pipeline.export_index_map(spark, root, RUN))
     for r in rows:
         arrays = tensors.decode(bytes(r["content"]))
         assert arrays["input_ids"].shape == arrays["labels"].shape == (len(exported["splits"][r["split"]]), arrays["labels"].shape[1])
@@ -138,6 +138,8 @@ def test_csv_rows(spark, tmp_path):
     path.write_bytes(b"a,b\n1,2\n1,2,3\n")
     assert readers.first_error(readers.read_csv(spark, readers.Source("csv", str(path)))) == "record 2: more fields than the header"
     assert readers.first_error(readers.read_csv_split(spark, readers.Source("csv", str(path)))) == "record 2: more fields than the header"
+    path.write_bytes(b'a,b\n1\n"1,2,3"\n1,"x, y"\n')
+    assert readers.first_error(readers.read_csv_split(spark, readers.Source("csv", str(path)))) is None
     path.write_bytes(b"a,b\n1,\xff\n")
     assert readers.first_error(readers.read_csv(spark, readers.Source("csv", str(path))))
 
@@ -241,7 +243,7 @@ def test_train_and_smoke_hooks(spark, config, root):
     pipeline.train(spark, config, root, RUN, trainer)
     loader = lambda word: lambda: lambda messages: f"{word} {len(messages)}"
     transcript = pipeline.smoke_test(spark, config, root, RUN, loader("base"), loader("tuned"))
-    index = pipeline.export_index_map(spark, root, RUN)
+    index = files.read_json(spark, pipeline.export_index_map(spark, root, RUN))
     assert [s["record_id"] for s in transcript["samples"]] == [e["record_id"] for e in index["splits"]["eval"]][: config.smoke.num_prompts]
     assert all(s["tuned_output"].startswith("tuned ") and s["base_output"].startswith("base ") and s["reference"] for s in transcript["samples"])
 
@@ -280,3 +282,77 @@ def test_stream(spark, inputs, tmp_path):
     query = stream.writeStream.format("memory").queryName("cleaned").option("checkpointLocation", str(tmp_path)).trigger(availableNow=True).start()
     query.awaitTermination(120)
     assert spark.table("cleaned").count() == 15
+
+
+def test_library_tokenizer(spark, tmp_path):
+    import hashlib
+
+    public = pytest.importorskip("public_tokenizers")
+    path = public.path("byte_bpe_50k.json")
+    revision = hashlib.sha256(open(path, "rb").read()).hexdigest()
+    made = tokenize.adapter("library", path, revision)()
+    messages = [{"role": "user", "content": "hello there"}, {"role": "assistant", "content": "hi"}, {"role": "user", "content": "bye"}, {"role": "assistant", "content": "so long"}]
+    ids, labels = tokenize.labels_of(messages, made)
+    kept = [t for t in labels if t != tokenize.IGNORE]
+    assert made.tokenizer.decode(kept, skip_special_tokens=True) == "hiso long" and kept.count(made.end) == 2
+    assert tokenize.pad_id(made) == made.end
+    with pytest.raises(tokenize.TokenizerError, match="pinned"):
+        tokenize.adapter("library", path, "0")()
+    (tmp_path / "broken.json").write_text("{}")
+    for bad in (str(tmp_path / "none.json"), str(tmp_path / "broken.json")):
+        with pytest.raises(tokenize.TokenizerError):
+            tokenize.adapter("library", bad)()
+    with pytest.raises(tokenize.TokenizerError):
+        tokenize.adapter("library")
+
+
+def test_tier_order_over_blocks(spark, tmp_path):
+    """Lines keep their order when files are cut into blocks."""
+    root = str(tmp_path)
+    rows = spark.range(5000).select(F.concat(F.lit("r"), F.col("id").cast("string")).alias("id"), F.lit(RUN).alias("run_id"), F.lit(None).cast("string").alias("content_hash"), F.rpad(F.col("id").cast("string"), 300, "x").alias("raw"), F.col("id").alias("seq"))
+    tiers.write_tier(rows, root, "bronze", RUN, "ingest", None, {}, (), 5000, 900)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        got = tiers.read_tier(spark, root, "bronze", RUN)
+        assert got.rdd.getNumPartitions() > 8
+        assert [r["id"] for r in got.orderBy("seq").select("id").collect()] == [f"r{i}" for i in range(5000)]
+        assert [r["seq"] for r in got.orderBy("seq").select("seq").collect()] == list(range(5000))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_cleaning_scrubs_once(spark):
+    """Nothing before the deduplication is planned twice."""
+    from siltworks.plans import queries
+
+    import os
+
+    folder = f"{os.environ.get('TESTDATA', '/root/testdata')}/sf0.001"
+    if not os.path.isdir(folder):
+        pytest.skip("no test tables here")
+    plan = queries.clean_documents(spark, folder)._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_replace" not in plan and plan.count("Relation") <= 2
+
+
+def test_offline_judge_and_threads(spark):
+    import random
+
+    post = judge.stand_in()
+    ask = lambda text, retries=2: judge.ask(post, "m", text, retries, random.Random(1), lambda s: None)
+    assert ask("x") == (8, "marked") and ask("[[score=2]]") == (2, "marked") and ask("[[fail=500]]") is None and ask("[[garbage]]") is None
+    assert ask("[[fail_once=500]] [[score=3]]") == (3, "marked") and ask("[[fail_once=500]] again", 0) is None and ask("[[fail_once=404]]") is None
+
+
+def test_run_records(spark, tmp_path):
+    from siltworks.sources import tracking
+
+    root = str(tmp_path)
+    with pytest.raises(KeyError):
+        tracking.one(spark, root, "r", "judge")
+    for n in (1.0, 2.0):
+        tracking.log(spark, root, "r", "judge", {"n": n}, {"p": 1}, {"t": "x"}, {"a.txt": b"a"})
+    found = tracking.one(spark, root, "r", "judge")
+    assert found["metrics"] == {"n": 2.0} and found["params"] == {"p": "1"} and found["tags"] == {"t": "x", "run_id": "r", "stage": "judge"} and found["artifacts"] == ["a.txt"]
+    with pytest.raises(KeyError):
+        tracking.one(spark, root, "r", "train")
