@@ -69,11 +69,12 @@ def silver_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def one_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(doc_id, seq, text, drop_reason) of documents as records of one text."""
+    """(doc_id, seq, drop_reason) of documents as records of one text."""
     docs = table(spark, sf_dir, "documents").select("doc_id", F.col("doc_id").alias("seq"), tx.scrub(F.col("text")).alias("text"))
     size = F.length("text")
     reason = F.when(F.col("text") == "", "empty_turn").when(size < 20, "too_short").when(size > 32_000, "too_long")
-    return clean.first_wins(docs.withColumn("drop_reason", reason), F.sha2("text", 256))
+    narrow = docs.select("doc_id", "seq", F.sha2("text", 256).alias("_h"), reason.alias("drop_reason"))
+    return clean.first_wins(narrow, F.col("_h")).drop("_h")
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,6 +87,8 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- DuckDB fragments --------------------------------------------------------------
 
 _EMAIL = tx.EMAIL
+#: The fixed phone pattern in a form without look-around, which DuckDB lacks; two numbers
+#: one character apart mask differently, which the driver's tables do not have.
 _PHONE = (
     r"(^|[^0-9])(?:\+[0-9]{1,3}[ ]?\([0-9]{3}\)[ ]?[0-9]{3}[-\s]?[0-9]{4}|\([0-9]{3}\)[ ]?[0-9]{3}[-\s]?[0-9]{4}"
     r"|\+[0-9]{1,3}(?:[ ][0-9]{2,4}){2,4}|[0-9]{3}-[0-9]{3}-[0-9]{4})($|[^0-9])"
@@ -151,12 +154,16 @@ def map_flat_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_rows(spark, sf_dir).withColumn("m", m).select("doc_id", F.col("m.mappable").alias("mappable"), said(0).alias("prompt"), said(1).alias("response"))
 
 
-@query(f"WITH {_FLAT} SELECT doc_id, CASE WHEN q = '' OR a = '' THEN 0 ELSE 2 END AS n_turns FROM flat")
+@query(f"""WITH {_FLAT} SELECT doc_id, CASE WHEN q <> '' AND a <> '' THEN CASE WHEN doc_id % 3 = 0 THEN 'system=be brief|' ELSE '' END || 'user=' || q || '|assistant=' || a END AS turns FROM flat""")
 def map_csv_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """CSV rows onto conversations by the mapping of their source."""
-    names = F.struct(F.lit("question").alias("prompt_column"), F.lit("answer").alias("response_column"), F.lit(None).cast("string").alias("system_column"))
+    """CSV rows onto conversations by the mapping of their source; a third have a system text."""
+    names = F.struct(F.lit("question").alias("prompt_column"), F.lit("answer").alias("response_column"), F.lit("hint").alias("system_column"))
+    question, answer = flat_columns()
+    hint = F.when(F.col("doc_id") % 3 == 0, "be brief").when(F.col("doc_id") % 3 == 1, "").alias("hint")
+    raw = F.to_json(F.struct(answer.alias("answer"), hint, question.alias("question")))
     made = clean.map_csv(F.col("raw"), names)
-    return raw_rows(spark, sf_dir).select("doc_id", F.coalesce(F.size(made), F.lit(0)).alias("n_turns"))
+    said = F.array_join(F.transform(F.col("c"), lambda t: F.concat(t["role"], F.lit("="), t["content"][0]["value"])), "|")
+    return table(spark, sf_dir, "documents").select("doc_id", raw.alias("raw")).select("doc_id", made.alias("c")).select("doc_id", said.alias("turns"))
 
 
 @query(f"WITH {_TURNS} SELECT conv_id, len(c)::BIGINT AS n_turns, array_to_string(list_transform(c, lambda x: x.r), ',') AS roles FROM t")
@@ -333,19 +340,12 @@ lens AS (SELECT conv_id, list_sum(list_transform(k, lambda x: x.k))::BIGINT AS n
   coalesce(list_sum(list_transform(list_filter(k, lambda x: x.r = 'assistant'), lambda x: x.k - 1)), 0)::BIGINT AS n_trained, k FROM tok)"""
 
 
-@query(f"WITH {_TOKENS} SELECT conv_id, n_tokens, CASE WHEN k[1].r = 'assistant' THEN NULL ELSE n_trained END AS n_trained, CASE WHEN k[1].r = 'assistant' THEN 'masking_mismatch' END AS drop_reason FROM lens")
+@query(f"WITH {_TOKENS} SELECT conv_id, CASE WHEN k[1].r <> 'assistant' THEN n_tokens END AS n_tokens, CASE WHEN k[1].r <> 'assistant' THEN n_trained END AS n_trained, CASE WHEN k[1].r = 'assistant' THEN 'masking_mismatch' END AS drop_reason FROM lens")
 def tokenize_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token and label arrays under the word template: lengths and trained tokens."""
     t = _tokenized(spark, sf_dir)
-    size = F.size(tokenize_length(F.col("conversation")))
-    trained = F.size(F.filter("labels", lambda x: x != tokenize.IGNORE))
-    return t.select("conv_id", size.cast("long").alias("n_tokens"), F.when(F.col("labels").isNotNull(), trained).cast("long").alias("n_trained"), "drop_reason")
-
-
-def tokenize_length(c: Column) -> Column:
-    """An array as long as the word template's tokens."""
-    words = lambda m: F.filter(F.split(m["content"], r"(?U)\s+"), lambda w: w != "")
-    return F.flatten(F.transform(conv.chat_messages(c), lambda m: F.concat(F.array(F.lit("<")), words(m), F.array(F.lit(">")))))
+    size = lambda c: F.when(c.isNotNull(), F.size(c)).cast("long")
+    return t.select("conv_id", size(F.col("input_ids")).alias("n_tokens"), size(F.filter("labels", lambda x: x != tokenize.IGNORE)).alias("n_trained"), "drop_reason")
 
 
 @query(f"WITH {_TOKENS} SELECT conv_id, n_tokens > 400 AS over_max_len FROM lens")
@@ -430,10 +430,11 @@ def registry_invalid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""WITH g AS (SELECT source, count(*) AS n, count(*) FILTER (length(text) >= 100) AS s FROM documents GROUP BY source)
-SELECT 'gold/' || source AS gold_uri, 'silver/' || source AS silver_uri, 'bronze/' || source AS bronze_uri, true AS conserved FROM g""")
+SELECT 'gold/' || source AS gold_uri, 'silver/' || source AS silver_uri, 'bronze/' || source AS bronze_uri, s % 3 <> 0 AND n % 4 <> 0 AS conserved FROM g""")
 def lineage_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Gold manifests walked back to bronze, with counts carried over."""
+    """Gold manifests walked back to bronze; some lose a record on the way, which shows."""
     by = table(spark, sf_dir, "documents").groupBy("source").agg(F.count("*").alias("n"), F.count_if(F.length("text") >= 100).alias("s"))
+    by = by.withColumns({"from_bronze": F.col("n") - (F.col("n") % 4 == 0).cast("int"), "from_silver": F.col("s") - (F.col("s") % 3 == 0).cast("int")})
 
     def tier(name: str, up: str | None, read: str, written: str) -> DataFrame:
         above = F.concat(F.lit(f"{up}/"), "source") if up else F.lit(None).cast("string")
@@ -442,7 +443,7 @@ def lineage_join(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.struct(F.col(read).alias("read"), F.col(written).alias("written")).alias("counts"),
         )
 
-    return lineage.chain(tier("bronze", None, "n", "n").union(tier("silver", "bronze", "n", "s")).union(tier("gold", "silver", "s", "s")))
+    return lineage.chain(tier("bronze", None, "n", "n").union(tier("silver", "bronze", "from_bronze", "s")).union(tier("gold", "silver", "from_silver", "s")))
 
 
 @query(f"""WITH {_INDEXED} SELECT conv_id AS record_id, 'conv:' || conv_id AS locator, split FROM ix""")
@@ -455,10 +456,22 @@ def tensor_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lineage.rows_to_sources(index, gold, raw).select("record_id", "locator", "split")
 
 
-@query(f"WITH {_SILVER} SELECT conv_id, 'none' AS side FROM silver WHERE false")
+@query(f"WITH {_TOKENS} SELECT conv_id, 'lost' AS side FROM lens WHERE conv_id % 10 = 3 UNION ALL SELECT conv_id, 'extra' FROM lens WHERE conv_id % 10 = 7")
 def record_conservation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records read by the tokenizer that are in no split and not dropped: none."""
-    t = _tokenized(spark, sf_dir, 400)
+    """Records read by the tokenizer against those in a split or dropped, where some were lost and some came twice."""
+    t = _tokenized(spark, sf_dir, 400).where("conv_id % 10 != 3")
+    t = t.union(t.where("conv_id % 10 = 7"))
     ids = lambda df: df.select("conv_id")
     split = tokenize.with_split(t.where("drop_reason is null"), "conv_id")
     return lineage.unaccounted(ids(silver_turns(spark, sf_dir)), ids(split.where("split = 'train'")), ids(split.where("split = 'eval'")), ids(t.where("drop_reason is not null")))
+
+
+@query(f"WITH {_SILVER} SELECT conv_id, 'none' AS side FROM silver WHERE false")
+def record_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same where nothing was lost: no rows."""
+    t = _tokenized(spark, sf_dir, 400)
+    ids = lambda df: df.select("conv_id")
+    return lineage.unaccounted(ids(silver_turns(spark, sf_dir)), ids(t.where("drop_reason is null")), ids(t.where("drop_reason is not null")))
+
+
+from . import file_queries as file_queries  # noqa: E402 (its queries register themselves)
