@@ -23,7 +23,7 @@ from . import batches, scratch
 CHUNK = 1_000_000
 
 
-def _stars(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def stars(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Every node but the least of its component, and that least node."""
     nodes, at = np.unique(np.r_[u, v], return_inverse=True)
     a, b = at[: len(u)], at[len(u) :]
@@ -45,12 +45,12 @@ def _contracted(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held.append((batch.column("u").to_numpy(), batch.column("v").to_numpy()))
         size += len(batch)
         if size >= 2 * CHUNK:  # a partition may be larger than meant; its stars stay in
-            held = [_stars(*(np.concatenate(x) for x in zip(*held, strict=True)))]
+            held = [stars(*(np.concatenate(x) for x in zip(*held, strict=True)))]
             size = len(held[0][0]) if len(held[0][0]) < CHUNK else 0
             if not size:
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in held.pop()], names=["u", "v"])
     if held:
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in _stars(*(np.concatenate(x) for x in zip(*held, strict=True)))], names=["u", "v"])
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in stars(*(np.concatenate(x) for x in zip(*held, strict=True)))], names=["u", "v"])
 
 
 def _result(stars: DataFrame) -> DataFrame:

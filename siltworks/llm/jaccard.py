@@ -3,28 +3,25 @@
 Method: sets are ordered by one global order, rare n-grams first.  Two sets
 with similarity t or more share an n-gram among the first
 ``n - ceil(t n) + 1`` of each (prefix filter), so only those are dealt to
-shards by n-gram.  A shard proposes pairs within its groups; each leader's
-partners then stand in a prefix tree of their ordered sets, which one
-traversal compares with the leader's set: overlaps along a shared path are
-counted once, and a subtree is left as soon as the remaining lengths cannot
-reach the overlap needed.
-
-Before any text is fetched, a proposed pair must pass a bound from parities:
-each set has a bitmap of whether an odd number of its n-grams falls on each
-bit, and two bitmaps differ in no more bits than the sets have n-grams not in
-common.  Most pairs that are not similar fail this; a similar pair never does.  Each set is
-first verified with its least partner; other pairs only if these leave them in
-different components.
-
-Groups of more than ``LIGHT`` sets (copies, shared passages) are not paired
-out.  They give links to a leader and between neighbours, at first; after
-those are verified, a few rounds compare each document outside its group's
-largest component with documents inside: of one drawn per n-gram, those whose
-bitmaps are nearest.  What then still spans several components is compared in
-full across them, each pair at its first common n-gram, so no link is lost,
-while groups of near copies cost about in proportion to their size.
-
-The global order has three parts: n-grams by hash, after them the ``HOT`` most
+shards by n-gram.  Sets that meet there become candidates; a candidate's set
+stands in the prefix tree of the least set it met, whose self-join finds what
+is similar (see ``prefix_tree``): overlaps along shared paths are counted once,
+and subtrees are left by remaining-length bounds.
+
+Equal sets are one node, told by a 64-bit sum over their n-grams, so exact
+copies cost one row each.  Before any text is fetched, a candidate pair must
+pass a bound by lengths and parity bitmaps (see ``cells``).
+
+Groups of more than ``LIGHT`` sets (near copies, shared passages) are not
+paired out.  They give pairs with a leader and between neighbours, at first;
+after those are joined, a few rounds compare each set outside its group's
+largest component with sets inside: of one drawn per n-gram, those whose
+bitmaps are nearest.  What then still spans several components is compared
+across them in cells of bounded size, so no link is lost, while groups of near
+copies cost about in proportion to their size.  The most frequent n-grams are
+split over several shards.
+
+The global order has two parts: n-grams by hash, after them the ``HOT`` most
 frequent ones by rising frequency.  Frequencies come from all texts: a task
 reports what it sees often, the reports are summed.  Any order gives the same
 result; a better one only shortens the work.
@@ -32,32 +29,41 @@ result; a better one only shortens the work.
 N-grams are compared by 64-bit hash.  Null, empty and wordless texts have
 empty sets and no links; a text of fewer words has its whole sequence as one
 n-gram.  Rows with the same id count as one document: they share a component.
-An empty table gives an empty result.
+Rows without an id count for nothing but their own row, which has the
+component of equal texts.  Ties (equal sets, equal similarities) do not
+matter: the component's least id names it.  Other columns of any name are left
+out.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from . import batches as arrow, graph, packed, scratch, textvec as tv
+from . import batches as arrow, bitmap, cells, graph, packed, prefix_tree, scratch, textvec as tv
 
-#: Most frequent n-grams that go last in the order; 16 bytes each to every task.
+#: Most frequent n-grams that go last in the order; 20 bytes each to every task.
 HOT = 1_000_000
+#: Sightings of an n-gram for each shard that it is split over.
+SPLIT = 200_000
 #: Largest group whose pairs are all proposed at once; n-grams in more documents count as frequent.
 LIGHT = 8
-#: Rounds of comparisons with the largest component, and partners of a document in each.
+#: Rounds of comparisons with the largest component, and partners of a set in each.
 ROUNDS, NEAREST = 2, 4
 #: N-grams that a task counts at once.
-SEEN = 3_000_000
-#: Partners of a leader in one prefix tree.
-TREE = 64
-#: Rows of (id, leader, part) that are broadcast to the texts at most, some 10 MB.
-BROADCAST_ROWS = 300_000
-COLUMNS = {"h": "<u8", "doc": "<i8", "size": "<u4", "pos": "<u4"}
+SEEN = 1_000_000
+#: Candidates in one prefix tree, and n-grams of its sets, unless one set alone has more.
+TREE, TREE_GRAMS = 128, 200_000
+#: N-grams whose trees are joined at once.
+BATCH = 300_000
+COLUMNS = {"h": "<u8", "node": "<i8", "size": "<u4", "pos": "<u4"}
+#: Bit of an entry's place that tells that its n-gram is split.
+_SPLIT = np.uint32(1 << 31)
+
+Sets = Callable[[pa.RecordBatch, str, int], Iterator[tuple[int, int, np.ndarray, np.ndarray]]]
 
 
 def sets(batch: pa.RecordBatch, text: str, k: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -71,52 +77,20 @@ def sets(batch: pa.RecordBatch, text: str, k: int) -> Iterator[tuple[int, int, n
         yield i, j, *tv.shingles(h, tv.runs(owner, j - i), k)
 
 
-def _signature(h: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two 64-bit sums over each set, equal for equal sets."""
-    out = []
+def signature(h: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """A 64-bit number for each set, equal for equal sets."""
+    out = np.diff(bounds).astype(np.uint64)
     for seed in (0x243F6A8885A308D3, 0x13198A2E03707344):
         sums = np.r_[np.uint64(0), np.cumsum(tv.mix(h ^ np.uint64(seed)))]
-        out.append((sums[bounds[1:]] - sums[bounds[:-1]]).view(np.int64))
-    return out[0], out[1]
-
-
-def _parities(h: np.ndarray, bounds: np.ndarray) -> pa.Array:
-    """Each set's bitmap as 64-bit words: 2.5 to 5 bits for an n-gram, 2**16 at most."""
-    sizes = np.diff(bounds)
-    log = np.clip(np.ceil(np.log2(np.maximum(sizes, 1) * 2.5)), 6, 16).astype(np.int64)
-    at = np.r_[0, np.cumsum(1 << log)]
-    owner = np.repeat(np.arange(len(sizes)), sizes)
-    place = at[owner] + (h & ((1 << log[owner]) - 1).astype(np.uint64)).astype(np.int64)
-    odd = np.bincount(place, minlength=at[-1]).astype(np.uint8) & 1
-    return pa.ListArray.from_arrays(pa.array(at >> 6, pa.int32()), pa.array(np.packbits(odd, bitorder="little").view("<i8")))
-
-
-def _differing(x: Column, y: Column) -> Column:
-    """Bits in which two bitmaps differ; the larger is folded to the smaller's length.
-
-    Sets whose lengths allow similarity have lengths at most one doubling apart.
-    """
-
-    def fold(v: Column) -> Column:
-        half = (F.size(v) / 2).cast("int")
-        return F.zip_with(F.slice(v, F.lit(1), half), F.slice(v, half + 1, half), lambda p, q: p.bitwiseXOR(q))
-
-    x, y = F.when(F.size(x) > F.size(y), fold(x)).otherwise(x), F.when(F.size(y) > F.size(x), fold(y)).otherwise(y)
-    return F.aggregate(F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, n: s + n)
-
-
-def _bounded(x: Column, y: Column, nx: Column, ny: Column, t: int) -> Column:
-    """Whether lengths and bitmaps allow t; true where a bitmap is missing."""
-    near = 100 * F.least(nx, ny) >= t * F.greatest(nx, ny)
-    enough = F.floor((nx + ny - _differing(x, y)) / 2) >= F.ceil(t * (nx + ny) / F.lit(100.0 + t))
-    return F.coalesce(near & enough, F.lit(True))
+        out = tv.mix(out + tv.mix(sums[bounds[1:]] - sums[bounds[:-1]]))
+    return out.view(np.int64)
 
 
 def summarise(docs: DataFrame, k: int, text: str = "text", doc: str = "doc_id") -> DataFrame:
-    """One pass: rows (doc, n, s1, s2, bits) per document and (h, c) per n-gram a task sees often."""
+    """One pass: rows (doc, n, node, bits) per document and (h, c) per n-gram a task sees often."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc", "n", "s1", "s2", "bits", "h", "c"]
+        names = ["doc", "n", "node", "bits", "h", "c"]
         seen: list[np.ndarray] = []
         held = 0
 
@@ -127,14 +101,14 @@ def summarise(docs: DataFrame, k: int, text: str = "text", doc: str = "doc_id")
             many = c > 1
             h, c = h[many].view(np.int64), c[many]
             none = pa.nulls(len(h), pa.int64())
-            yield pa.RecordBatch.from_arrays([none, none, none, none, pa.nulls(len(h), pa.list_(pa.int64())), pa.array(h), pa.array(c, pa.int64())], names=names)
+            yield pa.RecordBatch.from_arrays([none, none, none, pa.nulls(len(h), pa.list_(pa.int64())), pa.array(h), pa.array(c, pa.int64())], names=names)
 
         for batch in batches:
             ids = batch.column(doc).cast(pa.int64())
             for i, j, h, bounds in sets(batch, text, k):
-                s1, s2 = _signature(h, bounds)
-                none = pa.nulls(j - i, pa.int64())
-                yield pa.RecordBatch.from_arrays([ids.slice(i, j - i), pa.array(np.diff(bounds), pa.int64()), pa.array(s1), pa.array(s2), _parities(h, bounds), none, none], names=names)
+                none, n = pa.nulls(j - i, pa.int64()), np.diff(bounds)
+                node = pa.array(signature(h, bounds), mask=n == 0)
+                yield pa.RecordBatch.from_arrays([ids.slice(i, j - i), pa.array(n, pa.int64()), node, cells.parities(h, bounds), none, none], names=names)
                 seen.append(h)
                 held += len(h)
                 if held > SEEN:
@@ -142,58 +116,72 @@ def summarise(docs: DataFrame, k: int, text: str = "text", doc: str = "doc_id")
                     seen, held = [], 0
         yield from often()
 
-    return arrow.mapped(docs.select(doc, text), run, "doc long, n long, s1 long, s2 long, bits array<long>, h long, c long")
+    return arrow.mapped(docs.select(doc, text), run, "doc long, n long, node long, bits array<long>, h long, c long")
 
 
-def frequent(summary: DataFrame, most: int = HOT) -> np.ndarray:
-    """The most frequent n-grams, rising by frequency; at most ``most`` reach the driver."""
+def frequent(summary: DataFrame, most: int = HOT) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent n-grams, rising by frequency, and their counts; at most ``most`` reach the driver."""
     top = summary.where("h is not null").groupBy("h").agg(F.sum("c").alias("c")).where(F.col("c") > LIGHT)
     table = top.orderBy(F.desc("c"), "h").limit(most).toArrow()
     h, c = table.column("h").to_numpy(), table.column("c").to_numpy()
-    return h[np.lexsort((h, c))].view(np.uint64)
+    order = np.lexsort((h, c))
+    return h[order].view(np.uint64), c[order]
+
+
+class Order:
+    """The global order: rank 0 for n-grams by hash, then the frequent ones."""
 
+    def __init__(self, hot: np.ndarray, counts: np.ndarray):
+        order = np.argsort(hot)
+        self.keys, self.rank, self.parts = hot[order], (order + 1).astype(np.int32), (1 + counts[order] // SPLIT).astype(np.int32)
 
-def _prefix(h: np.ndarray, bounds: np.ndarray, hot: tuple[np.ndarray, np.ndarray], t: int) -> tuple[np.ndarray, ...]:
-    """(hash, text index, size, position) of every prefix n-gram; t in hundredths."""
+    def of(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(rank, shards that the n-gram is split over)."""
+        if not len(self.keys) or not len(h):
+            return np.zeros(len(h), np.int32), np.ones(len(h), np.int32)
+        at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
+        known = self.keys[at] == h
+        return np.where(known, self.rank[at], 0), np.where(known, self.parts[at], 1)
+
+
+def _prefix(h: np.ndarray, bounds: np.ndarray, order: Order, t: int) -> tuple[np.ndarray, ...]:
+    """(hash, text index, size, position, parts) of every prefix n-gram; t in hundredths."""
     sizes = np.diff(bounds)
     owner = np.repeat(np.arange(len(sizes)), sizes)
-    keys, place = hot
-    rank = np.zeros(len(h), np.int64)
-    if len(keys) and len(h):
-        at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
-        rank = np.where(keys[at] == h, place[at] + 1, 0)
-    order = np.lexsort((h, rank, owner))
+    rank, parts = order.of(h)
+    by = np.lexsort((h, rank, owner))
     pos = np.arange(len(h)) - np.repeat(bounds[:-1], sizes)
     size = np.repeat(sizes, sizes)
     near = pos < size - -(-t * size // 100) + 1
-    return h[order][near], owner[near], size[near], pos[near]
+    by = by[near]
+    return h[by], owner[near], size[near], pos[near], parts[by]
 
 
-def entries(docs: DataFrame, hot: np.ndarray, k: int, t: int, n: int, text: str = "text", doc: str = "doc_id") -> DataFrame:
-    """Prefix entries packed by shard; of a task's equal sets only the least id's."""
-    order = np.argsort(hot)
-    shared = docs.sparkSession.sparkContext.broadcast((hot[order], order))
+def entries(docs: DataFrame, order: Order, k: int, t: int, n: int, text: str = "text") -> DataFrame:
+    """Prefix entries packed by shard; a task tells of equal sets once, as far as it remembers."""
+    shared = docs.sparkSession.sparkContext.broadcast(order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = packed.Packer(COLUMNS, n)
-        known: dict[tuple[int, int, int], int] = {}  # a set's least id so far in this task
+        packer, seen = packed.Packer(COLUMNS, n), set()
         for batch in batches:
-            ids = batch.column(doc).cast(pa.int64()).to_numpy(zero_copy_only=False)
-            for i, j, h, bounds in sets(batch, text, k):
-                if len(known) > 200_000:
-                    known.clear()
-                fresh = np.zeros(j - i, bool)
-                for row, key in enumerate(zip(*(s.tolist() for s in _signature(h, bounds)), np.diff(bounds).tolist(), strict=True)):
-                    own = int(ids[i + row])
-                    if key[2] and own < known.get(key, own + 1):
-                        known[key], fresh[row] = own, True
-                g, owner, size, pos = _prefix(h, bounds, shared.value, t)
+            for _, _, h, bounds in sets(batch, text, k):
+                if len(seen) > 200_000:
+                    seen.clear()
+                node = signature(h, bounds)
+                fresh = np.zeros(len(node), bool)
+                for row, key in enumerate(node.tolist()):
+                    if key not in seen:
+                        seen.add(key)
+                        fresh[row] = True
+                g, owner, size, pos, parts = _prefix(h, bounds, shared.value, t)
                 new = fresh[owner]
-                g, owner, size, pos = g[new], owner[new], size[new], pos[new]
-                yield from packer.add(((g >> np.uint64(20)) % np.uint64(n)).astype(np.int64), h=g, doc=ids[i + owner], size=size, pos=pos)
+                g, size, pos, parts, node = g[new], size[new], pos[new], parts[new], node[owner[new]]
+                part = (tv.mix(node.view(np.uint64)) % parts.astype(np.uint64)).astype(np.uint64)
+                shard = (((g >> np.uint64(20)) + part) % np.uint64(n)).astype(np.int64)
+                yield from packer.add(shard, h=g, node=node, size=size, pos=pos.astype(np.uint32) | np.where(parts > 1, _SPLIT, np.uint32(0)))
         yield from packer.flush()
 
-    return arrow.mapped(docs.select(doc, text).where(F.col(doc).isNotNull()), run, packed.schema(COLUMNS))
+    return arrow.mapped(docs.select(text), run, packed.schema(COLUMNS))
 
 
 def possible(sa: np.ndarray, sb: np.ndarray, pa_: np.ndarray, pb: np.ndarray, t: int) -> np.ndarray:
@@ -204,16 +192,22 @@ def possible(sa: np.ndarray, sb: np.ndarray, pa_: np.ndarray, pb: np.ndarray, t:
 
 
 def propose(shard: dict[str, np.ndarray], t: int) -> tuple[np.ndarray, np.ndarray, dict[str, np.ndarray]]:
-    """(a, b) pairs of a shard, and the entries of its heavy groups."""
-    order = np.lexsort((shard["doc"], shard["size"], shard["h"]))
-    h, doc, size, pos = (shard[c][order].astype(np.int64 if c != "h" else np.uint64) for c in ("h", "doc", "size", "pos"))
-    start = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
+    """(a, b) pairs of a shard, and the entries of its heavy and its split groups."""
+    order = np.lexsort((shard["node"], shard["size"], shard["h"]))
+    h, node = shard["h"][order], shard["node"][order]
+    if len(h):
+        new = np.r_[True, (h[1:] != h[:-1]) | (node[1:] != node[:-1])]  # equal sets from several tasks
+        order, h, node = order[new], h[new], node[new]
+    split = (shard["pos"][order] & _SPLIT) > 0
+    size, pos = shard["size"][order].astype(np.int64), (shard["pos"][order] & ~_SPLIT).astype(np.int64)
+    start = np.flatnonzero(np.r_[True, h[1:] != h[:-1]]) if len(h) else np.zeros(0, np.int64)
     count = np.diff(np.r_[start, len(h)])
-    many = np.repeat(count, count) > 1
-    h, doc, size, pos = h[many], doc[many], size[many], pos[many]
-    count = count[count > 1]
+    some = (count > 1) | split[start]
+    many = np.repeat(some, count)
+    h, node, size, pos, split, group = (x[many] for x in (h, node, size, pos, split, np.repeat(count, count)))
+    count = count[some]
     start = np.cumsum(count) - count
-    first, group = np.repeat(start, count), np.repeat(count, count)
+    first = np.repeat(start, count)
     left, right = [], []
     index = np.arange(len(h))
     for step in range(1, LIGHT):  # neighbours at this distance; at distance one for heavy groups too
@@ -225,122 +219,89 @@ def propose(shard: dict[str, np.ndarray], t: int) -> tuple[np.ndarray, np.ndarra
     left.append(first[heavy])
     right.append(heavy)
     a, b = np.concatenate(left), np.concatenate(right)
-    ok = possible(size[a], size[b], pos[a], pos[b], t) & (doc[a] != doc[b])
-    a, b = doc[a[ok]], doc[b[ok]]
+    ok = possible(size[a], size[b], pos[a], pos[b], t) & (node[a] != node[b])
+    a, b = node[a[ok]], node[b[ok]]
     pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0) if len(a) else np.zeros((0, 2), np.int64)
-    return pairs[:, 0], pairs[:, 1], {"h": h[heavy].view(np.int64), "doc": doc[heavy], "size": size[heavy], "pos": pos[heavy]}
+    told = index[(group > LIGHT) | split]
+    return pairs[:, 0], pairs[:, 1], {"key": h[told].view(np.int64), "node": node[told], "size": size[told], "pos": pos[told]}
 
 
 def candidates(dealt: DataFrame, t: int) -> DataFrame:
-    """Rows (a, b) for proposed pairs and (h, doc, size, pos) for heavy groups."""
+    """Rows (a, b) for proposed pairs and (key, node, size, pos) for heavy groups."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["a", "b", "key", "node", "size", "pos"]
         for shard in packed.unpack(batches, COLUMNS):
             a, b, heavy = propose(shard, t)
             none = pa.nulls(len(a), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), none, none, none, none], names=["a", "b", "h", "doc", "size", "pos"])
-            none = pa.nulls(len(heavy["h"]), pa.int64())
-            yield pa.RecordBatch.from_arrays([none, none, *(pa.array(heavy[c]) for c in ("h", "doc", "size", "pos"))], names=["a", "b", "h", "doc", "size", "pos"])
-
-    return arrow.mapped(dealt, run, "a long, b long, h long, doc long, size long, pos long")
-
-
-class PrefixTree:
-    """Ordered sets as a trie: sorted sequences, each with the length of the
-    path it shares with the one before."""
-
-    def __init__(self, members: list[np.ndarray]):
-        self.order = sorted(range(len(members)), key=lambda i: members[i].astype(">u8").tobytes())
-        self.paths = [members[i] for i in self.order]
-        self.shared = [0]
-        for p, q in zip(self.paths, self.paths[1:], strict=False):
-            n = min(len(p), len(q))
-            differ = np.flatnonzero(p[:n] != q[:n])
-            self.shared.append(int(differ[0]) if len(differ) else n)
-
-    def similar(self, probe: np.ndarray, t: int) -> list[int]:
-        """Members whose Jaccard similarity with ``probe`` is t hundredths or more."""
-        found = []
-        overlap = np.zeros(1, np.int64)  # overlap[d]: matches on the first d steps of the current path
-        cut = None  # depth at which the current path was left
-        for path, shared, member in zip(self.paths, self.shared, self.order, strict=True):
-            need = -(-t * (len(path) + len(probe)) // (100 + t))
-            at = min(shared, len(overlap) - 1) if cut is None else min(shared, cut)
-            cut = None
-            if overlap[at] + self._left(path, at, probe) < need:
-                overlap, cut = overlap[: at + 1], at  # the whole subtree is out of reach, unless its length differs
-                continue
-            rest = path[at:]
-            spot = np.minimum(np.searchsorted(probe, rest), max(len(probe) - 1, 0))
-            hit = (probe[spot] == rest).astype(np.int64) if len(probe) else np.zeros(len(rest), np.int64)
-            overlap = np.r_[overlap[: at + 1], overlap[at] + np.cumsum(hit)]
-            if overlap[-1] >= need:
-                found.append(member)
-        return found
-
-    @staticmethod
-    def _left(path: np.ndarray, at: int, probe: np.ndarray) -> int:
-        """Most matches that can follow after the first ``at`` steps."""
-        passed = int(np.searchsorted(probe, path[at - 1], "right")) if at else 0
-        return min(len(path) - at, len(probe) - passed)
-
-
-def plausible(pairs: DataFrame, known: DataFrame, t: int) -> DataFrame:
-    """(a, b, apart) of the pairs whose bitmaps allow t; ``known`` has doc, n and
-    bits, and ``apart`` is the least possible share of n-grams not in common."""
-    side = lambda x: known.select(F.col("doc").alias(x), F.col("n").alias(f"n{x}"), F.col("bits").alias(f"bits{x}"))
-    joined = pairs.join(side("a"), "a").join(side("b"), "b")
-    kept = joined.where(_bounded(F.col("bitsa"), F.col("bitsb"), F.col("na"), F.col("nb"), t))
-    return kept.select("a", "b", F.coalesce(_differing(F.col("bitsa"), F.col("bitsb")) / (F.col("na") + F.col("nb")), F.lit(0.0)).alias("apart"))
-
-
-def verify(pairs: DataFrame, docs: DataFrame, k: int, t: int, text: str = "text", doc: str = "doc_id", sets=sets, most: int = BROADCAST_ROWS) -> DataFrame:
-    """The pairs (a, b) that are t similar; ``sets`` makes the n-grams of a batch's
-    texts.  Up to ``most`` requests for texts are broadcast; beyond, texts are shuffled."""
-    sizes = pairs.groupBy("a").agg(F.count("*").alias("m"))
-    dealt = pairs.join(sizes, "a").select("a", "b", F.expr(f"pmod(xxhash64(b), ceil(m / {TREE}))").cast("long").alias("part"))
-    wanted = dealt.select(F.col("b").alias("id"), "a", "part", F.lit(1).alias("side")).union(dealt.select(F.col("a"), "a", "part", F.lit(0)).distinct())
-    wanted = scratch.table(wanted, "wanted")
-    if most and wanted.count() <= most:
-        wanted = F.broadcast(wanted)
-    texts = docs.select(F.col(doc).cast("long").alias("id"), F.col(text).alias("_text")).where("_text is not null")
-    rows = texts.join(wanted, "id").select("a", "part", "side", "id", F.col("_text").alias("text"))
-    ordered = rows.repartition(packed.shards(docs), "a", "part").sortWithinPartitions("a", "part", "side", "id")
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), none, none, none, none], names=names)
+            none = pa.nulls(len(heavy["key"]), pa.int64())
+            yield pa.RecordBatch.from_arrays([none, none, *(pa.array(heavy[c]) for c in names[2:])], names=names)
+
+    return arrow.mapped(dealt, run, "a long, b long, key long, node long, size long, pos long")
+
+
+def wanted_texts(docs: DataFrame, ids: DataFrame, k: int, text: str, doc: str) -> DataFrame:
+    """(node, text) of at least the documents whose ids are the column ``rep`` of ``ids``."""
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap.build(ids, "rep"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group: tuple[int, int] | None = None
-        leader: list[np.ndarray] = []
-        members: list[tuple[int, np.ndarray]] = []
+        for batch in batches:
+            own = batch.column(doc).cast(pa.int64())
+            some = bitmap.passes(shared.value, own.fill_null(0).to_numpy(zero_copy_only=False)) & own.is_valid().to_numpy(zero_copy_only=False)
+            batch = batch.filter(pa.array(some))
+            for i, j, h, bounds in sets(batch, text, k):
+                yield pa.RecordBatch.from_arrays([pa.array(signature(h, bounds)), batch.column(text).slice(i, j - i)], names=["node", "text"])
 
-        def links() -> pa.RecordBatch:
-            found = {members[m][0] for probe in leader for m in tree.similar(probe, t)} if (tree := PrefixTree([m for _, m in members])) else set()
-            return pa.RecordBatch.from_arrays([pa.array([group[0]] * len(found), pa.int64()), pa.array(sorted(found), pa.int64())], names=["a", "b"])
+    return scratch.table(arrow.mapped(docs.select(doc, text), run, "node long, text string"), "jaccard-texts")
 
+
+def verify(pairs: DataFrame, texts: DataFrame, k: int, t: int, sets: Sets = sets) -> DataFrame:
+    """Links (a, b) that connect what is t similar among the pairs (a, b), and more
+    that their trees hold.  ``texts`` has (node, text); ``sets`` makes n-grams of texts.
+
+    A tree has a leader ``a`` and some of its partners; its size is bounded by
+    ``TREE`` and, where the pairs have b's size ``n``, by ``TREE_GRAMS``.
+    """
+    sized = "n" in pairs.columns
+    parts = F.ceil(F.count("*") / TREE)
+    parts = F.greatest(parts, F.ceil(F.sum("n") / TREE_GRAMS)) if sized else parts
+    # written, so that the join below shuffles both sides and can be split where it is skewed
+    sizes = scratch.table(pairs.groupBy("a").agg(parts.cast("long").alias("parts")), "tree-sizes")
+    dealt = pairs.join(sizes, "a").select("a", "b", F.pmod(F.xxhash64("b"), "parts").alias("part"))
+    wanted = dealt.select(F.col("b").alias("node"), "a", "part").union(dealt.select(F.col("a").alias("node"), "a", "part")).distinct()
+    rows = texts.join(scratch.table(wanted, "tree-sets"), "node").select("a", "part", "node", "text")
+    ordered = rows.repartition(packed.shards(texts), "a", "part").sortWithinPartitions("a", "part", "node")
+
+    def linked(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        a, part, node, size, h = (np.concatenate(x) for x in zip(*held, strict=True))
+        tree = np.cumsum(np.r_[False, (a[1:] != a[:-1]) | (part[1:] != part[:-1])])
+        i, j = prefix_tree.Forest(tree, h, np.r_[0, np.cumsum(size)], t).links()
+        x, y = node[i], node[j]
+        apart = x != y
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)[apart]), pa.array(np.maximum(x, y)[apart])], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
+        total = 0
         for batch in batches:
-            a, part, side, ids = (batch.column(c).to_pylist() for c in ("a", "part", "side", "id"))
+            ids = [batch.column(c).to_numpy() for c in ("a", "part", "node")]
             for i, j, h, bounds in sets(batch, "text", k):
-                for row in range(i, j):
-                    own = h[bounds[row - i] : bounds[row - i + 1]]
-                    if (a[row], part[row]) != group:
-                        if group and members:
-                            yield links()
-                        group, leader, members = (a[row], part[row]), [], []
-                    if side[row] == 0:
-                        leader.append(own.copy())
-                    else:
-                        members.append((ids[row], own.copy()))
-        if group and members:
-            yield links()
-
-    return arrow.mapped(ordered, run, "a long, b long")
-
-
-def mixed(heavy: DataFrame, comps: DataFrame) -> DataFrame:
-    """Entries of the heavy groups that span several components, with ``comp``."""
-    known = heavy.join(comps, heavy["doc"] == comps["node"], "left").select("h", "doc", "size", "pos", F.coalesce("component", "doc").alias("comp"))
-    known = scratch.table(known, "heavy")
-    spans = scratch.table(known.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("h"), "heavy-mixed")
-    return scratch.table(known.join(spans, "h", "left_semi"), "heavy-spanning")
+                held.append((*(x[i:j] for x in ids), np.diff(bounds), h))
+                total += len(h)
+                if total < BATCH:
+                    continue
+                a, part, node, size, h = (np.concatenate(x) for x in zip(*held, strict=True))
+                last = int(np.flatnonzero((a == a[-1]) & (part == part[-1]))[0])  # the last tree may go on
+                if last:
+                    edge = int(size[:last].sum())
+                    yield linked([(a[:last], part[:last], node[:last], size[:last], h[:edge])])
+                    a, part, node, size, h = a[last:], part[last:], node[last:], size[last:], h[edge:]
+                held, total = [(a, part, node, size, h.copy())], len(h)
+        if held:
+            yield linked(held)
+
+    return arrow.mapped(ordered, run, "a long, b long").distinct()
 
 
 def _reach(t: int) -> str:
@@ -350,38 +311,25 @@ def _reach(t: int) -> str:
 
 
 def pivots(known: DataFrame, t: int, turn: int) -> DataFrame:
-    """(a, b): a document drawn from each group's largest component, and every document outside it."""
-    drawn = F.min_by(F.struct("doc", "size", "pos"), F.xxhash64("doc", "h", F.lit(turn))).alias("p")
-    main = known.groupBy("h", "comp").agg(F.count("*").alias("m"), drawn).groupBy("h").agg(F.max_by(F.struct("comp", "p"), F.struct("m", "comp")).alias("g"))
-    main = scratch.table(main.select("h", F.col("g.comp").alias("comp"), "g.p.*"), "heavy-pivots")
+    """(a, b): a set drawn from each group's largest component, and every set outside it."""
+    drawn = F.min_by(F.struct("node", "size", "pos"), F.xxhash64("node", "key", F.lit(turn))).alias("p")
+    main = known.groupBy("key", "comp").agg(F.count("*").alias("m"), drawn).groupBy("key").agg(F.max_by(F.struct("comp", "p"), F.struct("m", "comp")).alias("g"))
+    main = scratch.table(main.select("key", F.col("g.comp").alias("comp"), "g.p.*"), "heavy-pivots")
     x, y = known.alias("x"), main.alias("y")
-    return x.join(y, F.expr(f"x.h = y.h and x.comp != y.comp and {_reach(t)}")).select(F.col("y.doc").alias("a"), F.col("x.doc").alias("b")).distinct()
+    return x.join(y, F.expr(f"x.key = y.key and x.comp != y.comp and {_reach(t)}")).select(F.col("y.node").alias("a"), F.col("x.node").alias("b")).distinct()
 
 
 def nearest(scored: DataFrame) -> DataFrame:
     """Each b's nearest partners; b has no more of them than n-grams in its prefix."""
-    best = scored.groupBy("b").agg(F.slice(F.array_sort(F.collect_list(F.struct("apart", "a"))), 1, NEAREST).alias("near"))
-    return best.select(F.explode("near.a").alias("a"), "b")
-
-
-def across(spanning: DataFrame, known: DataFrame, t: int) -> DataFrame:
-    """The pairs within groups whose documents are in different components, as far
-    as their bitmaps allow t, each at its first common n-gram."""
-    grams = spanning.groupBy("doc").agg(F.sort_array(F.collect_list("h")).alias("hs"))  # no longer than a prefix
-    grams = scratch.table(grams.join(known.select("doc", "bits"), "doc"), "heavy-grams")
-    rest = scratch.table(spanning.join(grams, "doc"), "heavy-rest")
-    x, y = rest.alias("x"), rest.alias("y")
-    on = F.expr(f"x.h = y.h and x.doc < y.doc and x.comp != y.comp and {_reach(t)}")
-    on = on & _bounded(F.col("x.bits"), F.col("y.bits"), F.col("x.size"), F.col("y.size"), t)
-    on = on & F.expr("array_min(array_intersect(x.hs, y.hs)) = x.h")
-    return x.join(y, on).select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b"))
+    best = scored.groupBy("b").agg(F.slice(F.array_sort(F.collect_list(F.struct("apart", "a"))), 1, NEAREST).alias("near"), F.max("n").alias("n"))
+    return best.select(F.explode("near.a").alias("a"), "b", "n")
 
 
 def apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
     """The pairs whose ends are in different components."""
     side = lambda x: comps.select(F.col("node").alias(x), F.col("component").alias(f"c{x}"))
     joined = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left")
-    return joined.where("coalesce(ca, a) != coalesce(cb, b)").select("a", "b")
+    return joined.where("coalesce(ca, a) != coalesce(cb, b)").select(*pairs.columns)
 
 
 def join(docs: DataFrame, k: int = 5, t: int = 80, text: str = "text", doc: str = "doc_id") -> DataFrame:
@@ -391,35 +339,39 @@ def join(docs: DataFrame, k: int = 5, t: int = 80, text: str = "text", doc: str
     """
     n = packed.shards(docs)
     summary = scratch.table(summarise(docs, k, text, doc), "jaccard-summary")
-    hot = frequent(summary)
-    found = scratch.table(candidates(packed.deal(entries(docs, hot, k, t, n, text, doc), n), t), "jaccard-candidates")
-    one = F.min(F.struct("s1", "s2")) == F.max(F.struct("s1", "s2"))  # rows with one id and different texts have no bitmap to go by
-    known = summary.where("h is null and doc is not null").groupBy("doc").agg(F.max("n").alias("n"), F.when(one, F.first("bits")).alias("bits"))
-    pairs = scratch.table(plausible(found.where("a is not null").select("a", "b").distinct(), known, t).select("a", "b"), "jaccard-pairs")
-    links = scratch.table(verify(pairs.groupBy("b").agg(F.min("a").alias("a")), docs, k, t, text, doc), "jaccard-links")
+    order = Order(*frequent(summary))
+    own = summary.where("h is null").select("doc", "n", "node", "bits")
+    known = own.where("node is not null").groupBy("node").agg(F.min("doc").alias("rep"), F.first("n").alias("n"), F.first("bits").alias("bits"))
+    known = scratch.table(known, "jaccard-sets")
+    found = scratch.table(candidates(packed.deal(entries(docs, order, k, t, n, text), n), t), "jaccard-candidates")
+    pairs = scratch.table(cells.plausible(found.where("a is not null").select("a", "b").distinct(), known, t).select("a", "b", "n"), "jaccard-pairs")
+    heavy = found.where("key is not null").select("key", "node", "size", "pos")
+    met = pairs.select(F.explode(F.array("a", "b")).alias("node")).union(heavy.select("node")).distinct()
+    texts = wanted_texts(docs, known.join(met, "node").select("rep"), k, text, doc)
+    links = scratch.table(verify(pairs.groupBy("b").agg(F.min("a").alias("a"), F.max("n").alias("n")), texts, k, t), "jaccard-links")
     comps = scratch.table(graph.components(links), "jaccard-components")
-    heavy = scratch.table(found.where("h is not null").select("h", "doc", "size", "pos").distinct(), "jaccard-heavy")
-    spanning = mixed(heavy, comps)
+    groups = cells.spanning(heavy, comps, "jaccard")
     for turn in range(ROUNDS):
-        tried = pivots(spanning, t, turn)
+        tried = pivots(groups, t, turn)
         if turn == 0:
-            tried = tried.union(apart(pairs, comps))
-        near = scratch.table(nearest(plausible(tried.distinct(), known, t)), "jaccard-near")
+            tried = tried.union(apart(pairs, comps).select("a", "b"))
+        near = scratch.table(nearest(cells.plausible(tried.distinct(), known, t)), "jaccard-near")
         if near.isEmpty():
             break
-        links = scratch.table(links.union(verify(near, docs, k, t, text, doc)), "jaccard-links")
+        links = scratch.table(links.union(verify(near, texts, k, t)), "jaccard-links")
         comps = scratch.table(graph.components(links), "jaccard-components")
-        spanning = mixed(spanning.drop("comp"), comps)
-    more = scratch.table(across(spanning, known, t).union(apart(pairs, comps)).distinct(), "jaccard-across")
+        groups = cells.spanning(groups, comps, "jaccard")
+    more = cells.across(groups, known, t, n).union(apart(pairs, comps).select("a", "b")).distinct()
+    more = scratch.table(more.join(known.select(F.col("node").alias("b"), "n"), "b").select("a", "b", "n"), "jaccard-across")
     if not more.isEmpty():
-        links = links.union(scratch.table(verify(more, docs, k, t, text, doc), "jaccard-links"))
-    # equal sets share their least id; so do rows with the same id
-    known = summary.where("h is null").select("doc", "n", "s1", "s2")
-    least = scratch.table(known.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc").alias("rep")), "jaccard-least")
-    classed = scratch.table(known.join(least, ["n", "s1", "s2"], "left").select("doc", "n", "rep"), "jaccard-classes")
-    ends = links.select(F.col("a").alias("doc")).union(links.select("b")).distinct()
-    own = ends.join(classed, "doc").where("doc != rep").select(F.col("doc").alias("a"), F.col("rep").alias("b"))
-    twice = classed.groupBy("doc").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a < b").select("a", "b")
-    comps = graph.components(links.union(own).union(twice))
-    out = classed.join(comps, classed["rep"] == comps["node"], "left")
-    return out.select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "doc").alias("component_id"))
+        links = links.union(scratch.table(verify(more, texts, k, t), "jaccard-links"))
+    # rows with one id and different texts connect these
+    twice = scratch.table(own.groupBy("doc").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("doc is not null and lo < hi").select("doc", "lo"), "jaccard-twice")
+    same = own.select("doc", "node").join(twice, "doc").where("node != lo").select(F.col("lo").alias("a"), F.col("node").alias("b"))
+    comps = scratch.table(graph.components(links.union(same)), "jaccard-components")
+    named = known.select("node", "rep").join(comps, "node", "left").select("node", "rep", F.coalesce("component", "node").alias("comp"))
+    named = scratch.table(named, "jaccard-named")
+    least = scratch.table(named.groupBy("comp").agg(F.min("rep").alias("component_id")), "jaccard-least")
+    classes = scratch.table(named.join(least, "comp").select("node", "component_id"), "jaccard-classes")
+    out = own.select("doc", "n", "node").join(classes, "node", "left")
+    return out.select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc").alias("component_id"))

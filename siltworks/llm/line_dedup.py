@@ -10,13 +10,17 @@ probability 1 - (1 - 0.8**ROWS)**BANDS, over 0.998.
 Lines are parts between line feeds; those without a word never go.  Equal
 lines are one node, told by a 64-bit hash, so copies cost one row each.
 Within a band's group every line is compared with the least one and with its
-neighbour first.  Groups whose lines are then still in several components are
-compared in full across these, in blocks of lines: pairs that lengths and
-parity bitmaps (see ``jaccard``) allow are verified, at first the nearest of a
-line, then all that are left.  So every pair that shares a band is decided.
+neighbour first, in the trees of ``prefix_tree``.  Groups whose lines are then
+still in several components are compared in full across these, in cells of
+bounded size: pairs that lengths and parity bitmaps (see ``cells``) allow are
+verified, at first the nearest of a line, then all that are left.  So every
+pair that shares a band is decided.
 
 Null and empty texts have no lines.  Rows with the same id and text count as
-one document and keep the same lines.  An empty table gives an empty result.
+one document and keep the same lines.  Rows without an id keep all their
+lines, and these count for no other row.  Ties: of equal first places there is
+none, as (id, line number) is one line.  Columns of any name are carried
+along by ``dedup``.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -25,16 +29,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T_
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, functions as F
 
-from . import batches as arrow, graph, jaccard, packed, scratch, textvec as tv
+from . import batches as arrow, bitmap, cells, graph, jaccard, packed, scratch, textvec as tv
 
 K, T, BANDS, ROWS = 8, 80, 12, 4
 COLUMNS = {"key": "<u4", "line": "<i8"}
-#: Bits of the filter that keeps unwanted texts out of a shuffle (2**FILTER).
-FILTER = 27
-#: Lines of a band's group that are compared at once with as many others.
-BLOCK = 2048
 #: Partners of a line in the first full comparison of a block.
 NEAREST = 4
 #: Largest group in which the least line and the neighbours are all pairs.
@@ -94,16 +95,10 @@ def _blocks(batch: pa.RecordBatch, text: str, most: int = 500_000) -> Iterator[t
 
 
 def char_sets(batch: pa.RecordBatch, text: str, _k: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Distinct sorted shingle hashes of whole texts that are single lines."""
+    """Distinct sorted shingle hashes of whole texts that are single lines; 44 bits of a hash count."""
     for i, j, lines in _blocks(batch, text):
         h, bounds = lines.shingles(np.arange(len(lines.ids)))
-        owner = np.repeat(lines.owner, np.diff(bounds))
-        order = np.lexsort((h, owner))
-        h, owner = h[order], owner[order]
-        if len(h):
-            new = np.r_[True, (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])]
-            h, owner = h[new], owner[new]
-        yield i, j, h, tv.runs(owner, j - i)
+        yield i, j, *tv.distinct(h >> np.uint64(20), np.repeat(lines.owner, np.diff(bounds)), j - i, 44)
 
 
 def signatures(h: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -159,10 +154,10 @@ def _bands(docs: DataFrame, n: int, text: str) -> DataFrame:
 
 
 def _candidates(dealt: DataFrame) -> DataFrame:
-    """Rows (a, b) for proposed pairs and (key, line) for groups that these do not cover."""
+    """Rows (a, b) for proposed pairs and (key, node) for groups that these do not cover."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["a", "b", "key", "line"]
+        names = ["a", "b", "key", "node"]
         for shard in packed.unpack(batches, COLUMNS):
             order = np.lexsort((shard["line"], shard["key"]))
             key, line = shard["key"][order], shard["line"][order]
@@ -178,152 +173,40 @@ def _candidates(dealt: DataFrame) -> DataFrame:
             none = pa.nulls(len(pairs), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), none, none], names=names)
             more = np.repeat(count, count) > WHOLE
-            key, line = key[more].astype(np.int64), line[more]
+            key, line = key[more].astype(np.int64) + (TaskContext.get().partitionId() << 32), line[more]
             none = pa.nulls(len(key), pa.int64())
             yield pa.RecordBatch.from_arrays([none, none, pa.array(key), pa.array(line)], names=names)
 
-    return arrow.mapped(dealt, run, "a long, b long, key long, line long")
+    return arrow.mapped(dealt, run, "a long, b long, key long, node long")
 
 
-def _mixed(groups: DataFrame, comps: DataFrame) -> DataFrame:
-    """(key, line, comp, m) of the groups that span several components; m is a group's size."""
-    known = groups.join(comps, groups["line"] == comps["node"], "left").select("key", "line", F.coalesce("component", "line").alias("comp"))
-    known = scratch.table(known, "line-groups")
-    spans = known.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m")).where("lo < hi")
-    return scratch.table(known.join(scratch.table(spans.select("key", "m"), "line-mixed"), "key"), "line-spanning")
-
-
-def _described(spanning: DataFrame, docs: DataFrame, text: str) -> DataFrame:
-    """(line, text, n, bits) of the lines of some groups."""
-    wanted = scratch.table(spanning.select("line").distinct(), "line-wanted")
-    rows = _texts(docs, text, wanted).join(wanted, "line").groupBy("line").agg(F.first("text").alias("text"))
+def _texts(docs: DataFrame, text: str, nodes: DataFrame) -> DataFrame:
+    """(node, text) of at least the lines that are the column ``node`` of ``nodes``, each once."""
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap.build(nodes, "node"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh = _Fresh()
         for batch in batches:
-            for i, j, h, bounds in char_sets(batch, "text", K):
-                cols = [batch.column(c).slice(i, j - i) for c in ("line", "text")]
-                yield pa.RecordBatch.from_arrays([*cols, pa.array(np.diff(bounds), pa.int64()), jaccard._parities(h, bounds)], names=["line", "text", "n", "bits"])
-
-    return scratch.table(arrow.mapped(rows, run, "line long, text string, n long, bits array<long>"), "line-texts")
-
-
-def _plausible(rows: dict[str, np.ndarray], most: int | None) -> Iterator[np.ndarray]:
-    """Pairs of a cell's lines (side 0 with side 1, or all with all if there is no
-    side 1) in different components that lengths and bitmaps allow; of each line
-    the ``most`` nearest.  An empty array tells that others are left out."""
-    width = np.diff(rows["off"])
-    two = bool(rows["side"].any())
-    mine = {}
-    for side in (0, 1) if two else (0,):
-        for w in np.unique(width):
-            at = np.flatnonzero((width == w) & (rows["side"] == side))
-            if len(at):
-                mine[side, int(w)] = at, rows["bits"][rows["off"][at][:, None] + np.arange(w)]
-    for (side, w), (x, bx) in mine.items():
-        if side:
-            continue
-        for v in (w // 2, w, 2 * w) if two else (w, 2 * w):
-            if (int(two), v) not in mine:
-                continue
-            y, by = mine[int(two), v]
-            u = min(v, w)
-            fold = lambda b: b[:, :u] ^ b[:, u:] if b.shape[1] > u else b  # noqa: B023, E731
-            cx, cy = fold(bx), fold(by)
-            step = max(1, 1_000_000 // len(y))
-            for i in range(0, len(x), step):
-                p = x[i : i + step]
-                apart = np.zeros((len(p), len(y)), np.int32)
-                for k in range(u):
-                    apart += np.bitwise_count(cx[i : i + step, k, None] ^ cy[None, :, k])
-                np_, ny = rows["n"][p][:, None], rows["n"][y][None]
-                ok = (rows["comp"][p][:, None] != rows["comp"][y][None]) & (100 * np.minimum(np_, ny) >= T * np.maximum(np_, ny))
-                ok &= (np_ + ny - apart) // 2 >= -(-T * (np_ + ny) // (100 + T))
-                if not two and v == w:
-                    ok &= p[:, None] < y[None]
-                if most is not None and ok.sum(1).max() > most:
-                    yield np.zeros((0, 2), np.int64)
-                    near = np.argpartition(np.where(ok, apart, np.iinfo(np.int32).max), most - 1, axis=1)[:, :most]
-                    r, c = np.nonzero(np.take_along_axis(ok, near, 1))
-                    c = near[r, c]
-                else:
-                    r, c = np.nonzero(ok)
-                if len(r):
-                    a, b = rows["line"][p[r]], rows["line"][y[c]]
-                    yield np.stack([np.minimum(a, b), np.maximum(a, b)], 1)
-
-
-def _across(spanning: DataFrame, described: DataFrame, n: int, most: int | None) -> DataFrame:
-    """(a, b): pairs of lines of a group in different components that may be similar; nulls if some are left out."""
-    blocks = F.ceil(F.col("m") / BLOCK)
-    block = F.pmod(F.xxhash64("line"), blocks)
-    rows = spanning.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-    rows = rows.join(described.select("line", "n", "bits"), "line")
-    rows = rows.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), (F.col("block") > F.col("other")).cast("long").alias("side"), "line", "comp", "n", "bits")
-    dealt = rows.repartition(n, "key", "i", "j").sortWithinPartitions("key", "i", "j")
-
-    def cell(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        whole = pa.Table.from_batches(batches).combine_chunks()
-        rows = {c: whole.column(c).to_numpy() for c in ("side", "line", "comp", "n")}
-        lists = whole.column("bits").combine_chunks()
-        lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
-        rows["off"] = lists.offsets.to_numpy().astype(np.int64) - lists.offsets[0].as_py()
-        rows["bits"] = lists.flatten().to_numpy().view(np.uint64)
-        for pairs in _plausible(rows, most):
-            a, b = (pa.array(pairs[:, c]) if len(pairs) else pa.nulls(1, pa.int64()) for c in (0, 1))
-            yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        last = None
-        for batch in batches:
-            if not len(batch):
-                continue
-            at = np.stack([batch.column(c).to_numpy() for c in ("key", "i", "j")], 1)
-            edge = np.r_[0, np.flatnonzero((at[1:] != at[:-1]).any(1)) + 1, len(at)]
-            for lo, hi in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
-                if held and tuple(at[lo]) != last:
-                    yield from cell(held)
-                    held = []
-                last = tuple(at[lo])
-                held.append(batch.slice(lo, hi - lo))
-        if held:
-            yield from cell(held)
-
-    return arrow.mapped(dealt, run, "a long, b long").distinct()
-
-
-def _filter(lines: DataFrame) -> np.ndarray:
-    """A bitmap by the leading bits of hashes; every one of ``lines`` is in it.  Its size does not grow."""
-    spot = F.shiftrightunsigned("line", 64 - FILTER)
-    parts = lines.select(spot.alias("spot")).groupBy(F.bitmap_bucket_number("spot").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("spot")).alias("bits"))
-    out = np.zeros(((1 << FILTER) >> 3) + 8192, np.uint8)
-    # a bucket numbered k > 0 holds the positions from (k - 1) * 2**15 + 1 on; the bit of position x is (x - 1) mod 2**15
-    for row in parts.collect():
-        out[row["bucket"] * 4096 : (row["bucket"] + 1) * 4096] = np.frombuffer(row["bits"], np.uint8)
-    return out
-
+            for _, _, found in _blocks(batch, text):
+                which = np.flatnonzero(bitmap.passes(shared.value, found.ids))
+                which = which[fresh(found.ids[which])]
+                cut = [found.text[a:b] for a, b in zip(found.starts[which].tolist(), found.ends[which].tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(found.ids[which]), pa.array(cut, pa.string())], names=["node", "text"])
 
-def _passes(table: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    spot = (ids.view(np.uint64) >> np.uint64(64 - FILTER)).astype(np.int64)
-    bucket = np.where(spot > 0, 1 + (spot - 1) // 32768, 0)
-    bit = np.where(spot > 0, (spot - 1) % 32768, 0)
-    return (table[bucket * 4096 + (bit >> 3)] >> (bit & 7).astype(np.uint8)) & 1 > 0
+    # the join drops lines that only share their last bits with wanted ones
+    rows = arrow.mapped(docs.select(text), run, "node long, text string").join(nodes.select("node"), "node", "left_semi")
+    return scratch.table(rows.groupBy("node").agg(F.first("text").alias("text")), "line-texts")
 
 
-def _texts(docs: DataFrame, text: str, lines: DataFrame) -> DataFrame:
-    """(line, text) of at least the given lines."""
-    shared = docs.sparkSession.sparkContext.broadcast(_filter(lines))
+def _described(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """(node, n, bits) of some lines."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fresh = _Fresh()
         for batch in batches:
-            for _, _, found in _blocks(batch, text):
-                which = np.flatnonzero(_passes(shared.value, found.ids))
-                which = which[fresh(found.ids[which])]
-                cut = [found.text[a:b] for a, b in zip(found.starts[which].tolist(), found.ends[which].tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(found.ids[which]), pa.array(cut, pa.string())], names=["line", "text"])
+            for i, j, h, bounds in char_sets(batch, "text", K):
+                yield pa.RecordBatch.from_arrays([batch.column("node").slice(i, j - i), pa.array(np.diff(bounds), pa.int64()), cells.parities(h, bounds)], names=["node", "n", "bits"])
 
-    return arrow.mapped(docs.select(text), run, "line long, text string")
+    return scratch.table(arrow.mapped(texts.join(nodes.select("node").distinct(), "node"), run, "node long, n long, bits array<long>"), "line-bitmaps")
 
 
 def occurrences(docs: DataFrame, text: str = "text", doc: str = "doc_id") -> DataFrame:
@@ -343,66 +226,70 @@ def components(docs: DataFrame, text: str = "text") -> DataFrame:
     n = packed.shards(docs)
     found = scratch.table(_candidates(packed.deal(_bands(docs, n, text), n)), "line-candidates")
     pairs = scratch.table(found.where("a is not null").select("a", "b").distinct(), "line-pairs")
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("line"))
-    links = scratch.table(jaccard.verify(pairs, _texts(docs, text, ends), K, T, text="text", doc="line", sets=char_sets, most=0), "line-links")
+    met = scratch.table(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "line-met")
+    texts = _texts(docs, text, met)
+    tried = scratch.table(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "line-tried")
+    links = scratch.table(jaccard.verify(tried, texts, K, T, char_sets), "line-links")
     comps = scratch.table(graph.components(links), "line-components")
-    spanning = _mixed(found.where("key is not null").select("key", "line"), comps)
-    if spanning.isEmpty():
-        return comps
-    described = _described(spanning, docs, text)
+    groups = cells.spanning(found.where("key is not null").select("key", "node"), comps, "line")
+    described = _described(groups, texts)
     for most in (NEAREST, None):
-        # what is verified already is not verified again
-        tried = scratch.table(_across(spanning, described, n, most).join(pairs, ["a", "b"], "left_anti"), "line-across")
-        more = tried.where("a is not null")
+        # pairs that are left, at first; what is verified already is not verified again
+        near = cells.across(groups, described, T, n, most)
+        if most is not None:
+            near = near.union(jaccard.apart(pairs, comps))
+        found = scratch.table(near.distinct().join(tried, ["a", "b"], "left_anti"), "line-across")
+        more = found.where("a is not null")
         if not more.isEmpty():
-            links = scratch.table(links.union(jaccard.verify(more, described, K, T, text="text", doc="line", sets=char_sets, most=0)), "line-links")
+            links = scratch.table(links.union(jaccard.verify(more, texts, K, T, char_sets)), "line-links")
             comps = scratch.table(graph.components(links), "line-components")
-        if tried.where("a is null").isEmpty():
+        if found.where("a is null").isEmpty():
             break
         if most is not None:
-            pairs = scratch.table(pairs.union(more), "line-pairs")
-            spanning = _mixed(spanning.select("key", "line"), comps)
+            tried = scratch.table(tried.union(more.select("a", "b")), "line-tried")
+            groups = cells.spanning(groups, comps, "line")
     return comps
 
 
 def decisions(docs: DataFrame, text: str = "text", doc: str = "doc_id") -> DataFrame:
     """(doc, n_lines, dropped): worded lines of each document that has some, and
     the (number, line) of those that go, in order."""
+    docs = docs.where(F.col(doc).isNotNull())
     comps = scratch.table(components(docs, text), "line-components")
     every = occurrences(docs, text, doc).distinct()
     known = every.join(comps, every["line"] == comps["node"], "left").select("doc", "number", "line", F.coalesce("component", "line").alias("comp"))
     known = scratch.table(known, "line-occurrences")
     # a written table, so that the join below shuffles both sides and can be split where it is skewed
-    first = scratch.table(known.groupBy("comp").agg(F.min(F.struct("doc", "number")).alias("first")), "line-first")
-    judged = known.join(first, "comp").withColumn("gone", F.struct("doc", "number") != F.col("first"))
-    gone = F.array_sort(F.collect_list(F.when(F.col("gone"), F.struct("number", "line"))))
-    return judged.groupBy("doc").agg(F.count("*").alias("n_lines"), gone.alias("dropped"))
+    first = known.groupBy("comp").agg(F.min(F.struct("doc", "number")).alias("first"), F.count("*").alias("m")).where("m > 1")
+    gone = known.join(scratch.table(first.select("comp", "first"), "line-first"), "comp").where(F.struct("doc", "number") != F.col("first"))
+    lost = gone.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("number", "line"))).alias("dropped"))
+    none = F.expr("cast(array() as array<struct<number:bigint,line:bigint>>)")
+    return known.groupBy("doc").agg(F.count("*").alias("n_lines")).join(lost, "doc", "left").select("doc", "n_lines", F.coalesce("dropped", none).alias("dropped"))
 
 
 def dedup(docs: DataFrame, text: str = "text", doc: str = "doc_id") -> DataFrame:
     """The documents without the dropped lines; a document that had worded lines
     and lost them all goes as well."""
-    found = decisions(docs, text, doc).where(F.size("dropped") > 0).withColumnRenamed("doc", "_l_doc").withColumnRenamed("n_lines", "_l_n").withColumnRenamed("dropped", "_l_dropped")
-    kept = docs.columns
-    joined = docs.join(found, docs[doc].cast("long") == found["_l_doc"], "left").drop("_l_doc")
+    plain = docs.toDF(*[f"_c{i}" for i in range(len(docs.columns))])  # so that no name clashes
+    at = {c.lower(): f"_c{i}" for i, c in enumerate(docs.columns)}
+    mine, own, names = at[text.lower()], at[doc.lower()], plain.columns
+    found = decisions(docs.select(doc, text), text, doc).where(F.size("dropped") > 0).select(F.col("doc").alias("_doc"), F.col("dropped").alias("_dropped"))
+    joined = plain.join(found, F.col(own).cast("long") == F.col("_doc"), "left").drop("_doc")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for whole in batches for part in arrow.slices(whole, text)):
-            drops = batch.column("_l_dropped").to_pylist()
-            texts = batch.column(text).to_pylist()
-            stay = []
-            for i, drop in enumerate(drops):
-                ok = True
-                if drop and texts[i]:
-                    raw = np.frombuffer(texts[i].encode(), np.uint8)
-                    lines = Lines(raw, np.array([0, len(raw)]))
-                    mine = {(d["number"], d["line"]) for d in drop}
-                    gone = {n for n, v in zip(lines.number.tolist(), lines.ids.tolist(), strict=True) if (n, v) in mine}
-                    ok = len(gone) < len(lines.ids)
+        for batch in (part for whole in batches for part in arrow.slices(whole, mine)):
+            texts = batch.column(mine).to_pylist()
+            stay = np.ones(len(texts), bool)
+            touched = np.flatnonzero(batch.column("_dropped").is_valid().to_numpy(zero_copy_only=False)).tolist()
+            for i in touched:
+                raw = np.frombuffer((texts[i] or "").encode(), np.uint8)
+                lines = Lines(raw, np.array([0, len(raw)]))
+                drop = {(d["number"], d["line"]) for d in batch.column("_dropped")[i].as_py()}
+                gone = {n for n, v in zip(lines.number.tolist(), lines.ids.tolist(), strict=True) if (n, v) in drop}
+                if gone:
+                    stay[i] = len(gone) < len(lines.ids)
                     texts[i] = "\n".join(x for n, x in enumerate(texts[i].split("\n")) if n not in gone)
-                stay.append(ok)
-            cols = {c: (pa.array(texts, pa.string()) if c == text else batch.column(c)) for c in kept}
-            yield pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols)).filter(pa.array(stay))
+            cols = [pa.array(texts, pa.string()) if c == mine else batch.column(c) for c in names]
+            yield pa.RecordBatch.from_arrays(cols, names=names).filter(pa.array(stay))
 
-    schema = T_.StructType([f for f in docs.schema])
-    return arrow.mapped(joined, run, schema)
+    return arrow.mapped(joined, run, plain.schema).toDF(*docs.columns)

@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame
 
 #: Entries a task gathers before it hands them on.
 FLUSH = 300_000
+#: Bytes of input for each shard at most: a task holds one shard's entries.
+SHARD_BYTES = 64 << 20
 
 
 def schema(columns: dict[str, str]) -> str:
@@ -21,7 +23,12 @@ def schema(columns: dict[str, str]) -> str:
 
 
 def shards(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """Shards for what comes from ``df``: the session's shuffle partitions, or more
+    if the files read are large."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    size = sum(s for s in sizes if s < 1 << 60)  # more means unknown
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // SHARD_BYTES))
 
 
 class Packer:
@@ -32,7 +39,7 @@ class Packer:
 
     def add(self, shard: np.ndarray, **arrays: np.ndarray) -> Iterator[pa.RecordBatch]:
         if len(shard):
-            self.held.append((shard, arrays))
+            self.held.append((shard.astype(np.uint16 if self.n < 1 << 16 else np.int32), {c: arrays[c].astype(kind) for c, kind in self.columns.items()}))
             self.size += len(shard)
         if self.size >= FLUSH:
             yield from self.flush()
@@ -42,12 +49,11 @@ class Packer:
             return
         shard = np.concatenate([s for s, _ in self.held])
         order = np.argsort(shard, kind="stable")
-        shard = shard[order]
-        edge = np.searchsorted(shard, np.arange(self.n + 1))
+        edge = np.searchsorted(shard[order], np.arange(self.n + 1))
         full = np.flatnonzero(np.diff(edge))
         out = [pa.array(full, pa.int32())]
-        for c, kind in self.columns.items():
-            whole = np.concatenate([a[c] for _, a in self.held]).astype(kind)[order]
+        for c in self.columns:
+            whole = np.concatenate([a.pop(c) for _, a in self.held])[order]
             out.append(pa.array([whole[edge[i] : edge[i + 1]].tobytes() for i in full], pa.binary()))
         self.held, self.size = [], 0
         yield pa.RecordBatch.from_arrays(out, names=["shard", *self.columns])

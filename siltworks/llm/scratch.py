@@ -1,56 +1,5 @@
-"""Tables written to the cluster's shared folder to cut lineage.
+"""The scratch tables of the core library, for the operators here."""
 
-``spark.checkpoint.dir`` names the folder; it is read from the session and is
-set here only when nothing has set it (tests, local runs).  A written table
-survives the loss of any executor, unlike a persisted or locally checkpointed
-one.
-"""
+from ..sources.scratch import collected, delete, folder, path, table
 
-from __future__ import annotations
-
-import contextlib
-import tempfile
-import uuid
-from collections.abc import Iterator
-
-from pyspark.sql import DataFrame, SparkSession
-
-KEY = "spark.checkpoint.dir"
-_scope: list[list[str]] = []
-
-
-def folder(spark: SparkSession) -> str:
-    """The shared folder, or a local one if the session names none."""
-    found = spark.conf.get(KEY, None) or spark.sparkContext.getConf().get(KEY, None)
-    if not found:
-        found = tempfile.mkdtemp(prefix="siltworks-")
-        spark.conf.set(KEY, found)
-    return found.rstrip("/")
-
-
-def table(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back."""
-    spark = df.sparkSession
-    path = f"{folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    if _scope:
-        _scope[-1].append(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-@contextlib.contextmanager
-def collected(paths: list[str]) -> Iterator[None]:
-    """Tables written inside are noted in ``paths``, for ``delete`` later."""
-    _scope.append(paths)
-    try:
-        yield
-    finally:
-        _scope.pop()
-
-
-def delete(spark: SparkSession, paths: list[str]) -> None:
-    """Delete tables once every result built on them has been written."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    while paths:
-        target = jvm.org.apache.hadoop.fs.Path(paths.pop())
-        target.getFileSystem(conf).delete(target, True)
+__all__ = ["collected", "delete", "folder", "path", "table"]

@@ -104,6 +104,32 @@ def gather(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
     return np.repeat(starts - shift, lens) + np.arange(total)
 
 
+def distinct(h: np.ndarray, owner: np.ndarray, n: int, bits: int = 64) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values of each owner, sorted, and their bounds.
+
+    Values of ``bits`` bits are sorted together with their owners where both fit
+    64; others go by as many of their leading bits as fit, then in full.
+    """
+    room = 64 - max(1, int(n - 1).bit_length())
+    if bits <= room:
+        key = np.sort(owner.astype(np.uint64) << np.uint64(bits) | h)
+        if len(key):
+            key = key[np.r_[True, key[1:] != key[:-1]]]
+        owner, h = (key >> np.uint64(bits)).astype(np.int64), key & np.uint64((1 << bits) - 1)
+        return h, runs(owner, n)
+    order = np.argsort(owner.astype(np.uint64) << np.uint64(room) | (h >> np.uint64(bits - room)))
+    h, owner = h[order], owner[order]
+    if len(h) > 1:
+        # the few that agree in the leading bits only may be out of order
+        tied = np.flatnonzero((h[1:] < h[:-1]) & (owner[1:] == owner[:-1]))
+        if len(tied):
+            order = np.lexsort((h, owner))
+            h, owner = h[order], owner[order]
+        new = np.r_[True, (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])]
+        h, owner = h[new], owner[new]
+    return h, runs(owner, n)
+
+
 def shingles(h: np.ndarray, bounds: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct k-word shingle hashes, sorted within each text, and their bounds.
 
@@ -129,10 +155,4 @@ def shingles(h: np.ndarray, bounds: np.ndarray, k: int) -> tuple[np.ndarray, np.
             vals[more] = mix(vals[more] * step + h[bounds[short][more] + i])
         vals = mix(vals ^ left.astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
         out_h, out_o = np.concatenate([out_h, vals]), np.concatenate([out_o, short])
-    order = np.lexsort((out_h, out_o))
-    out_h, out_o = out_h[order], out_o[order]
-    if len(out_h):
-        new = np.ones(len(out_h), bool)
-        new[1:] = (out_h[1:] != out_h[:-1]) | (out_o[1:] != out_o[:-1])
-        out_h, out_o = out_h[new], out_o[new]
-    return out_h, runs(out_o, n)
+    return distinct(out_h, out_o, n)
