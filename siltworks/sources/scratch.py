@@ -11,7 +11,8 @@ from __future__ import annotations
 import contextlib
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,6 +56,21 @@ def collected(paths: list[str]) -> Iterator[None]:
         _scope.pop()
 
 
+def tidied(f: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """Writes the result of ``f(df, ...)``, which must be narrow, and deletes the tables it was made from."""
+
+    @wraps(f)
+    def run(df: DataFrame, *args, **kwargs) -> DataFrame:
+        held: list[str] = []
+        with collected(held):
+            made = f(df, *args, **kwargs)
+        result = table(made, f.__name__)
+        delete(df.sparkSession, held)
+        return result
+
+    return run
+
+
 def delete(spark: SparkSession, paths: list[str]) -> None:
     """Delete tables once every result built on them has been written."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
