@@ -48,6 +48,7 @@ def _staged(df: DataFrame, root: str, run_id: str, name: str) -> tuple[DataFrame
 
 def _dense(df: DataFrame) -> DataFrame:
     """seq counting from 0 without gaps, in its former order."""
+    df = scratch.table(df, "ordered")  # else sampling and counting would make it again
     ordered = df.repartitionByRange("seq").sortWithinPartitions("seq")
     return readers.with_ordinal(ordered.drop("seq"), "seq").withColumn("seq", F.col("seq") - 1)
 
