@@ -134,14 +134,18 @@ class Order:
     def __init__(self, hot: np.ndarray, counts: np.ndarray):
         order = np.argsort(hot)
         self.keys, self.rank, self.parts = hot[order], (order + 1).astype(np.int32), (1 + counts[order] // SPLIT).astype(np.int32)
+        self.leads = np.zeros(1 << 23, bool)  # by leading bits: most n-grams are seen not to be frequent at once
+        self.leads[(hot >> np.uint64(41)).astype(np.int64)] = True
 
     def of(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(rank, shards that the n-gram is split over)."""
-        if not len(self.keys) or not len(h):
-            return np.zeros(len(h), np.int32), np.ones(len(h), np.int32)
-        at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
-        known = self.keys[at] == h
-        return np.where(known, self.rank[at], 0), np.where(known, self.parts[at], 1)
+        rank, parts = np.zeros(len(h), np.int32), np.ones(len(h), np.int32)
+        some = np.flatnonzero(self.leads[(h >> np.uint64(41)).astype(np.int64)])
+        if len(some):
+            at = np.minimum(np.searchsorted(self.keys, h[some]), len(self.keys) - 1)
+            known = self.keys[at] == h[some]
+            rank[some[known]], parts[some[known]] = self.rank[at[known]], self.parts[at[known]]
+        return rank, parts
 
 
 def _prefix(h: np.ndarray, bounds: np.ndarray, order: Order, t: int) -> tuple[np.ndarray, ...]:
@@ -149,7 +153,7 @@ def _prefix(h: np.ndarray, bounds: np.ndarray, order: Order, t: int) -> tuple[np
     sizes = np.diff(bounds)
     owner = np.repeat(np.arange(len(sizes)), sizes)
     rank, parts = order.of(h)
-    by = np.lexsort((h, rank, owner))
+    by = np.argsort(owner << 32 | rank, kind="stable")  # hashes rise within a text
     pos = np.arange(len(h)) - np.repeat(bounds[:-1], sizes)
     size = np.repeat(sizes, sizes)
     near = pos < size - -(-t * size // 100) + 1
@@ -332,6 +336,7 @@ def apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
     return joined.where("coalesce(ca, a) != coalesce(cb, b)").select(*pairs.columns)
 
 
+@scratch.tidied
 def join(docs: DataFrame, k: int = 5, t: int = 80, text: str = "text", doc: str = "doc_id") -> DataFrame:
     """One row per document: ``doc_id``, ``n_shingles`` and ``component_id``.
 
