@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import ctypes
-import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -33,7 +32,6 @@ def mapped(df: DataFrame, run: Callable[[Batches], Batches], schema: str | T.Str
         try:
             yield from run(batches)
         finally:
-            gc.collect()
             if hasattr(libc, "malloc_trim"):
                 libc.malloc_trim(0)
 

@@ -417,6 +417,7 @@ def _small(by_lang: DataFrame, name: str) -> DataFrame:
     return F.broadcast(table) if table.count() <= BROADCAST_LANGS else table
 
 
+@scratch.tidied
 def score(docs: DataFrame, labels: DataFrame, text: str = "text", doc: str = "doc_id", lang: str = "lang") -> DataFrame:
     """(doc_id, lang, n_tokens, perplexity, score, score_limit, kept)."""
     n = packed.shards(docs)

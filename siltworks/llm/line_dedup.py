@@ -41,10 +41,11 @@ NEAREST = 4
 #: Largest group in which the least line and the neighbours are all pairs.
 WHOLE = 3
 #: Line hashes that a task remembers, so that it signs an equal line once.
-SEEN = 200_000
+SEEN = 1 << 18
 _A = (tv.mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 _B = tv.mix(np.arange(1001, BANDS * ROWS + 1001, dtype=np.uint64)).astype(np.uint32)
-_ROLL = np.uint64(0x9E3779B97F4A7C55)
+_ROLL = 0x9E3779B97F4A7C55
+assert K & (K - 1) == 0  # shingles are hashed by doubling
 
 
 class Lines:
@@ -54,30 +55,34 @@ class Lines:
         try:
             self.text = data.tobytes().decode()
             self.points = np.frombuffer(self.text.encode("utf-32-le"), np.uint32)
-            off = np.r_[0, np.cumsum((data & 0xC0) != 0x80)][off]
+            if len(self.points) < len(data):
+                off = np.r_[0, np.cumsum((data & 0xC0) != 0x80, dtype=np.int32)][off].astype(np.int64)
         except UnicodeDecodeError:  # not UTF-8: bytes stand for themselves
             self.text, self.points = data.tobytes().decode("latin-1"), data.astype(np.uint32)
         feed = self.points == 10
+        feeds = np.flatnonzero(feed)
         inside = np.r_[False, ~feed, False]
         bound = np.zeros(len(feed) + 1, bool)
         bound[off] = True
         cur, prev = inside[1:], inside[:-1]
         starts, ends = np.flatnonzero(cur & (~prev | bound)), np.flatnonzero(prev & (~cur | bound))
-        word = np.r_[0, np.cumsum((self.points != 32) & ((self.points < 9) | (self.points > 13)))]
+        # a line without a word has white space only: the space, and what wraps to less than five from 9 on
+        word = np.r_[np.int32(0), np.cumsum((self.points != 32) & (self.points - np.uint32(9) > 4), dtype=np.int32)]
         worded = word[ends] > word[starts]
         self.starts, self.ends = starts[worded], ends[worded]
         self.owner = np.searchsorted(off, self.starts, "right") - 1
-        feeds = np.r_[0, np.cumsum(feed)]
-        self.number = feeds[self.starts] - feeds[off[self.owner]]
-        self.total = feeds[off[1:]] - feeds[off[:-1]] + (off[1:] > off[:-1])
+        before = np.searchsorted(feeds, off)
+        self.number = np.searchsorted(feeds, self.starts) - before[self.owner]
         self.ids = tv.span_hash(self.points, self.starts, self.ends).view(np.int64) if len(self.starts) else np.zeros(0, np.int64)
 
     def shingles(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of the shingles of some lines, and their bounds; a shorter line is one shingle."""
         n = max(0, len(self.points) - K + 1)
-        roll = np.zeros(n, np.uint64)
-        for j in range(K if n else 0):
-            roll = roll * _ROLL + self.points[j : n + j]
+        roll, step = self.points.astype(np.uint64), 1
+        while step < K and n:  # windows of 1, 2, 4 and 8
+            left = roll[:-step] * np.uint64(pow(_ROLL, step, 1 << 64))
+            left += roll[step:]
+            roll, step = left, 2 * step
         size = self.ends[which] - self.starts[which] - K + 1
         short = size < 1
         lens = np.maximum(size, 1)
@@ -125,18 +130,16 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
 
 
 class _Fresh:
-    """Lines of a task that it has not met yet, as far as it remembers."""
+    """Lines of a task that it has not met yet, as far as it remembers: one for each slot."""
 
     def __init__(self):
-        self.seen: set[int] = set()
+        self.slots = np.zeros(SEEN, np.int64)
 
     def __call__(self, ids: np.ndarray) -> np.ndarray:
-        values, first = np.unique(ids, return_index=True)
-        if len(self.seen) > SEEN:
-            self.seen.clear()
-        new = np.array([v not in self.seen for v in values.tolist()], bool)
-        self.seen.update(values[new].tolist())
-        return np.sort(first[new])
+        new = np.flatnonzero(self.slots[ids & (SEEN - 1)] != ids)
+        values, first = np.unique(ids[new], return_index=True)
+        self.slots[values & (SEEN - 1)] = values
+        return np.sort(new[first])
 
 
 def _bands(docs: DataFrame, n: int, text: str) -> DataFrame:
@@ -251,12 +254,15 @@ def components(docs: DataFrame, text: str = "text") -> DataFrame:
     return comps
 
 
+@scratch.tidied
 def decisions(docs: DataFrame, text: str = "text", doc: str = "doc_id") -> DataFrame:
     """(doc, n_lines, dropped): worded lines of each document that has some, and
     the (number, line) of those that go, in order."""
     docs = docs.where(F.col(doc).isNotNull())
     comps = scratch.table(components(docs, text), "line-components")
-    every = occurrences(docs, text, doc).distinct()
+    every = occurrences(docs, text, doc)
+    if not docs.groupBy(doc).agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+        every = every.distinct()  # repeated rows
     known = every.join(comps, every["line"] == comps["node"], "left").select("doc", "number", "line", F.coalesce("component", "line").alias("comp"))
     known = scratch.table(known, "line-occurrences")
     # a written table, so that the join below shuffles both sides and can be split where it is skewed

@@ -1,5 +1,5 @@
 """The scratch tables of the core library, for the operators here."""
 
-from ..sources.scratch import collected, delete, folder, path, table
+from ..sources.scratch import collected, delete, folder, path, table, tidied
 
-__all__ = ["collected", "delete", "folder", "path", "table"]
+__all__ = ["collected", "delete", "folder", "path", "table", "tidied"]

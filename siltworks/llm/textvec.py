@@ -37,18 +37,24 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser."""
-    x = x ^ (x >> np.uint64(30))
-    x = x * np.uint64(0xBF58476D1CE4E5B9)
-    x = x ^ (x >> np.uint64(27))
-    x = x * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    y = x >> np.uint64(30)
+    y ^= x
+    y *= np.uint64(0xBF58476D1CE4E5B9)
+    z = y >> np.uint64(27)
+    y ^= z
+    y *= np.uint64(0x94D049BB133111EB)
+    y ^= y >> np.uint64(31)
+    return y
 
 
 def span_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 1) -> np.ndarray:
     """64-bit hashes of the byte spans [starts, ends) of ``data``."""
     up, down = _power_tables(len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(seed)) * up[: len(data)], out=sums[1:])
+    terms = data.astype(np.uint64)
+    terms += np.uint64(seed)
+    terms *= up[: len(data)]
+    np.cumsum(terms, out=sums[1:])
     body = (sums[ends] - sums[starts]) * down[starts]
     return mix(body + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
@@ -141,7 +147,9 @@ def shingles(h: np.ndarray, bounds: np.ndarray, k: int) -> tuple[np.ndarray, np.
     whole = acc.copy()
     step = np.uint64(0x9FB21C651E98DF25)
     for i in range(1, k):
-        acc[: len(h) - i] = mix(acc[: len(h) - i] * step + h[i:])
+        more = acc[: len(h) - i] * step
+        more += h[i:]
+        acc[: len(h) - i] = mix(more)
     owner = np.repeat(np.arange(n), counts)
     place = np.arange(len(h)) - np.repeat(bounds[:-1], counts)
     full = place + k <= counts[owner]

@@ -171,6 +171,23 @@ def test_quality_adapts_to_groups(spark):
     assert quality_rules.apply(frame(spark, [])).count() == 0
 
 
+def test_quality_limits_come_from_the_sketch(spark):
+    """The same text passes in a group that is like it and fails in one that is not."""
+    rng = random.Random(4)
+    say = lambda low, high: " ".join("".join(rng.choice("abcdefg") for _ in range(rng.randint(low, high))) for _ in range(40))
+    rows = [(i, say(3, 7), "en", "short", 0) for i in range(400)] + [(1000 + i, say(3, 14), "en", "mixed", 0) for i in range(400)]
+    long = say(9, 10)
+    rows += [(5000, long, "en", "short", 0), (5001, long, "en", "mixed", 0)]
+    docs = spark.createDataFrame(rows, DOCS).withColumns({"n_words": F.lit("x"), "kept": F.lit("y"), "failed": F.lit(0), "extra": F.lit(1)})
+    out = quality_rules.apply(docs)
+    assert sorted(out.columns) == sorted(set(out.columns)) and "extra" in out.columns and dict(out.dtypes)["n_words"] == "bigint"
+    found = {r["doc_id"]: r for r in out.collect()}
+    assert found[5000]["failed"] == ["word_length"] and not found[5000]["kept"] and found[5001]["kept"]
+    assert sum(found[i]["kept"] for i in range(400)) >= 398
+    again = quality_rules.apply(docs.union(docs.where("doc_id = 5000")))
+    assert [r["kept"] for r in again.where("doc_id = 5000").collect()] == [False, False]
+
+
 def test_sketches_merge(spark):
     rows = [(i, " ".join("w" * (1 + (i * k) % 9) for k in range(30)), "en", f"s{i % 3}", 0) for i in range(200)]
     measured = quality_rules.measure(spark.createDataFrame(rows, DOCS))
