@@ -23,17 +23,17 @@ MASKED = {
     "write to jane@site.example now": "write to [EMAIL] now",
     "a.b+tag@mail.site.example.org": "[EMAIL]",
     "JANE@SITE.EXAMPLE": "[EMAIL]",
-    "user@localhost": "user@localhost",
-    "ask @handle": "ask @handle",
-    "+1 (555) 123-4567": "[PHONE]",
-    "call (555) 123-4567.": "call [PHONE].",
-    "555-123-4567": "[PHONE]",
-    "+44 20 7946 0958": "[PHONE]",
-    "version 2.10.3": "version 2.10.3",
-    "2026-07-20": "2026-07-20",
-    "zip 90210, port 8080": "zip 90210, port 8080",
-    "٥٥٥-١٢٣-٤٥٦٧": "[PHONE]",
-    "(555) 123 4567": "[PHONE]",
+    "root@mailhost": "root@mailhost",
+    "see @nobody there": "see @nobody there",
+    "+49 (307) 555-0188": "[PHONE]",
+    "ring (312)867-5309!": "ring [PHONE]!",
+    "646-555-0142": "[PHONE]",
+    "+39 055 2468 135": "[PHONE]",
+    "build 7.31.4": "build 7.31.4",
+    "1998-11-05": "1998-11-05",
+    "room 4021, gate 17": "room 4021, gate 17",
+    "٦٤٦-٥٥٥-٠١٤٢": "[PHONE]",
+    "(312) 867 5309": "[PHONE]",
     "a\x00b\x07c\td\ne": "abc\td\ne",
     "a\n\n\n\nb\n\n\nc": "a\n\n\nb\n\n\nc",
     "  x  \n": "x",
@@ -48,7 +48,7 @@ def test_scrub_vectors(spark):
 
 
 def test_scrub_kinds(spark):
-    assert scrubbed(spark, ["a@b.de 555-123-4567", None], ("phone",)) == ["a@b.de [PHONE]", None]
+    assert scrubbed(spark, ["a@b.de 646-555-0142", None], ("phone",)) == ["a@b.de [PHONE]", None]
     with pytest.raises(ValueError, match="unknown masker"):
         tx.mask(F.lit("x"), ["ssn"])
 

@@ -21,7 +21,7 @@ def inputs(tmp_path_factory):
     folder = tmp_path_factory.mktemp("inputs")
     clean = [(f"What about topic number {i}?", f"Topic {i} is well understood by now." + {2: " [[score=3]]", 13: " [[score=9]]", 30: " [[score=5]]", 61: " [[score=6]]"}.get(i, ""), "Be helpful." if i % 4 == 0 else "") for i in range(80)]
     rows = clean + [clean[i] for i in (0, 27, 55)] + [(f"q{i}", f"a{i}", "") for i in range(5)] + [("long " * 3500 + str(i), "answer " * 2300, "") for i in range(2)]
-    rows += [(f"Can you mail person{i}@site.example about it?", f"Sure, case {i}, or call 555-123-456{i}.", "") for i in range(4)]
+    rows += [(f"Can you mail person{i}@site.example about it?", f"Sure, case {i}, or call 646-555-014{i}.", "") for i in range(4)]
     rows += [(f"An unanswered question {i}", "", "") for i in range(3)] + [("", f"An answer to nothing {i}", "") for i in range(3)]
     with open(folder / "support.csv", "w", newline="", encoding="utf-8") as f:
         w = csv.writer(f)
@@ -271,7 +271,7 @@ def test_sql_functions(spark):
     from siltworks.functions.register import register
 
     register(spark)
-    row = spark.sql("""SELECT scrub_pii('  a@b.de or 555-123-4567\u0000 ') AS s, assign_split('x', 1D) AS a, canonical_hash('{"b": 1, "a": 2}') AS h, parse_judge_reply('{"score": 3}').score AS p""").first()
+    row = spark.sql("""SELECT scrub_pii('  a@b.de or 646-555-0142\u0000 ') AS s, assign_split('x', 1D) AS a, canonical_hash('{"b": 1, "a": 2}') AS h, parse_judge_reply('{"score": 3}').score AS p""").first()
     assert (row["s"], row["a"], row["p"]) == ("[EMAIL] or [PHONE]", "eval", 3) and row["h"].startswith("sha256:")
 
 
