@@ -8,11 +8,12 @@ any order and to the same result.  Sketches of few documents fall back on the
 merged sketch of their language, then on that of everything.  A document fails
 when a measure exceeds its group's limit::
 
-    median + max(SPREAD * (median - lower tenth), slack)
+    max(median + SPREAD * (median - lower tenth), upper quarter + slack)
 
-The spread below the median is used because junk raises only the upper side.
-The slack keeps a measure that nearly all documents of a group agree in (no
-symbols, no repeats) from failing all others; elsewhere the sketch decides.
+The spread below the median is used because junk raises only the upper side,
+and the upper quarter because a quarter of a group may be junk.  The slack keeps
+a measure that nearly all documents of a group agree in (no symbols, no repeats)
+from failing all others.
 Limits join the documents by language and source.
 
 Null texts count as empty and fail the base rule.  Null languages and sources
@@ -30,7 +31,7 @@ from .native import let
 
 #: Words as runs without these, and the characters counted as symbols (fixed values).
 WORD, SPACE, SYMBOL = r"[^\x20\x09-\x0D]+", r"[\x20\x09-\x0D]+", r"[#*$%&|<>]+"
-#: Measures with a sketch and the slack each has over the median, in thousandths
+#: Measures with a sketch and the slack each has over the upper quarter, in thousandths
 #: (word length: thousandths of a character).
 SLACK = {"symbols": 60, "capitals": 25, "dup_lines": 400, "repeats": 250, "word_length": 1000}
 SPREAD = 8
@@ -134,7 +135,7 @@ def merge(sketches: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def quantiles(sketches: DataFrame, keys: list[str]) -> DataFrame:
-    """Lower tenth and median of each sketch, and its number of documents.
+    """Lower tenth, median and upper quarter of each sketch, and its number of documents.
 
     A sketch has at most about 2,000 buckets, so its window is bounded.
     """
@@ -143,6 +144,7 @@ def quantiles(sketches: DataFrame, keys: list[str]) -> DataFrame:
     return run.groupBy(*keys, "measure").agg(
         F.min(F.when(10 * F.col("upto") >= F.col("total"), F.col("bucket"))).alias("q10"),
         F.min(F.when(2 * F.col("upto") >= F.col("total"), F.col("bucket"))).alias("q50"),
+        F.min(F.when(4 * F.col("upto") >= 3 * F.col("total"), F.col("bucket"))).alias("q75"),
         F.max("total").alias("total"),
     )
 
@@ -150,7 +152,7 @@ def quantiles(sketches: DataFrame, keys: list[str]) -> DataFrame:
 def limits(sketches: DataFrame) -> DataFrame:
     """One row per (lang, source): a limit for every measure."""
     slack = F.create_map(*[F.lit(x) for kv in SLACK.items() for x in kv])
-    limit = F.col("q50") + F.greatest(SPREAD * (F.col("q50") - F.col("q10")), slack[F.col("measure")])
+    limit = F.greatest(F.col("q50") + SPREAD * (F.col("q50") - F.col("q10")), F.col("q75") + slack[F.col("measure")])
     own = quantiles(sketches, ["_q_lang", "_q_source"]).withColumn("own", limit)
     by_lang = quantiles(merge(sketches, ["_q_lang"]), ["_q_lang"]).select("_q_lang", "measure", limit.alias("wide"), F.col("total").alias("wide_n"))
     overall = quantiles(merge(sketches, []).withColumn("_q_all", F.lit(0)), ["_q_all"]).select("measure", limit.alias("widest"))
@@ -185,8 +187,8 @@ def _sql_limits() -> str:
     )
     def level(keys: str) -> str:  # noqa: E306
         sep = f"{keys}, " if keys else ""
-        return f"""SELECT {sep}measure, min(CASE WHEN 2 * upto >= total THEN bucket END) + greatest({SPREAD} * (min(CASE WHEN 2 * upto >= total THEN bucket END)
-  - min(CASE WHEN 10 * upto >= total THEN bucket END)), max(slack)) AS lim, max(total) AS total
+        return f"""SELECT {sep}measure, greatest({1 + SPREAD} * min(CASE WHEN 2 * upto >= total THEN bucket END) - {SPREAD} * min(CASE WHEN 10 * upto >= total THEN bucket END),
+  min(CASE WHEN 4 * upto >= 3 * total THEN bucket END) + max(slack)) AS lim, max(total) AS total
   FROM (SELECT *, sum(n) OVER (PARTITION BY {sep}measure ORDER BY bucket) AS upto, sum(n) OVER (PARTITION BY {sep}measure) AS total
     FROM (SELECT {sep}measure, bucket, max(slack) AS slack, count(*) AS n FROM bucketed GROUP BY {sep}measure, bucket)) GROUP BY {sep}measure"""
     return f"""longs AS ({longs}),

@@ -88,8 +88,10 @@ def test_jaccard_join_is_exact(spark, seed, edit):
     assert got == {i: (len(s), want[i]) for i, s in sets.items()}
 
 
-def test_jaccard_join_of_a_hot_passage(spark, monkeypatch):
+@pytest.mark.parametrize("light", [jaccard.LIGHT, 2])
+def test_jaccard_join_of_a_hot_passage(spark, monkeypatch, light):
     """Many texts of one passage and a few own words, over split n-grams and small cells."""
+    monkeypatch.setattr(jaccard, "LIGHT", light)
     monkeypatch.setattr(jaccard, "SPLIT", 10)
     monkeypatch.setattr(jaccard, "TREE", 16)
     monkeypatch.setattr(cells, "BLOCK", 16)
@@ -304,7 +306,9 @@ def test_language_model_by_hand(spark, monkeypatch):
     docs = [(i, say(rng.randint(1, 60))) for i in range(120)] + [(200, None), (201, ""), (202, "zzz qqq xxx"), (203, "the the the the"), (204, "the cat " * 20_000), (205, "x" * 50_000)]
     trusted = {i for i in range(80)}
     labels = spark.createDataFrame([(i, int(i in trusted), 0) for i in range(100)] + [(None, 1, 0)], "doc_id long, quality int, toxic int")
-    for hot, most in ((kneser_ney.HOT, kneser_ney.WORDS), (5, kneser_ney.WORDS), (50, 4)):
+    for hot, most, bound in ((kneser_ney.HOT, kneser_ney.WORDS, 1000), (5, kneser_ney.WORDS, 0), (50, 4, 1000)):
+        monkeypatch.setattr(kneser_ney, "BROADCAST_IDS", bound)
+        monkeypatch.setattr(kneser_ney, "BROADCAST_LANGS", bound)
         monkeypatch.setattr(kneser_ney, "HOT", hot)
         monkeypatch.setattr(kneser_ney, "WORDS", most)
         monkeypatch.setattr(kneser_ney, "ROWS", 7)
@@ -400,10 +404,12 @@ def test_pipeline_by_brute_force(spark, tmp_path):
         assert docs.schema.names == ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def test_pipeline_edges(spark, tmp_path):
-    """Nulls, repeated rows, clashing columns, an empty table."""
+@pytest.mark.parametrize("bound", [1000, 0])
+def test_pipeline_edges(spark, tmp_path, monkeypatch, bound):
+    """Nulls, repeated rows, clashing columns, an empty table; with and without a broadcast."""
     import corpus_pipeline
 
+    monkeypatch.setattr(corpus_pipeline, "BROADCAST_IDS", bound)
     rng = random.Random(3)
     sentence = lambda n: " ".join("".join(rng.choice("aeioustrn") for _ in range(rng.randint(2, 8))) for _ in range(n)) + "."
     texts = [sentence(40) for _ in range(30)]

@@ -188,6 +188,15 @@ def test_quality_limits_come_from_the_sketch(spark):
     assert [r["kept"] for r in again.where("doc_id = 5000").collect()] == [False, False]
 
 
+def test_quality_joins_alike_without_broadcasts(spark, monkeypatch):
+    rng = random.Random(6)
+    rows = [(i, " ".join("".join(rng.choice("abcdeFG#") for _ in range(rng.randint(1, 9))) for _ in range(30)), rng.choice(["en", "de", None]), f"s{i % 3}", 0) for i in range(300)]
+    kept = lambda: sorted((r["doc_id"], r["kept"]) for r in quality_rules.apply(spark.createDataFrame(rows, DOCS)).collect())
+    first = kept()
+    monkeypatch.setattr(quality_rules, "BROADCAST_GROUPS", 0)
+    assert kept() == first
+
+
 def test_sketches_merge(spark):
     rows = [(i, " ".join("w" * (1 + (i * k) % 9) for k in range(30)), "en", f"s{i % 3}", 0) for i in range(200)]
     measured = quality_rules.measure(spark.createDataFrame(rows, DOCS))
