@@ -62,7 +62,7 @@ def scan_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("f.doc_id", "n", "f.text")
 
 
-@query("SELECT n_nationkey + 1 AS n, n_nationkey % 7 = 3 AS broken, n_nationkey = (SELECT min(n_nationkey) FROM nation WHERE n_nationkey % 7 = 3) AS first FROM nation")
+@query("SELECT (n_nationkey + 1)::BIGINT AS n, n_nationkey % 7 = 3 AS broken, n_nationkey = (SELECT min(n_nationkey) FROM nation WHERE n_nationkey % 7 = 3) AS first FROM nation")
 def malformed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S3: lines that are no objects, and the one that aborts an ingestion."""
     good = F.to_json(F.struct("n_nationkey", "n_name"))
