@@ -21,7 +21,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from siltworks.llm import bpe, contamination, jaccard, line_dedup, quality_rules, queries, scratch
+from siltworks.llm import batches, bpe, contamination, jaccard, line_dedup, quality_rules, queries, scratch
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 #: Ids of dropped documents that are broadcast at most, some 30 MB.
@@ -36,6 +36,7 @@ def stage(f: Stage) -> Stage:
     @wraps(f)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         scratch.delete(spark, _earlier)
+        batches.release()
         with scratch.collected(_earlier):
             return f(spark, docs, sf_dir)
 

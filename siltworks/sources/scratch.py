@@ -17,6 +17,8 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 KEY = "spark.checkpoint.dir"
+#: Bytes read for each file of a table at least.
+FILE_BYTES = 16 << 20
 _scope: list[list[str]] = []
 
 
@@ -39,11 +41,24 @@ def path(spark: SparkSession, name: str) -> str:
     return made
 
 
+def read_bytes(df: DataFrame) -> int | None:
+    """Bytes of the files that ``df`` is made from; None if that cannot be told."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return None if any(s >= 1 << 60 for s in sizes) else sum(sizes)
+
+
 def table(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back."""
-    place = path(df.sparkSession, name)
-    df.write.parquet(place)
-    return df.sparkSession.read.schema(df.schema).parquet(place)
+    """Write ``df`` as Parquet in the shared folder and read it back.
+
+    Small tables get few files: two for each core, or one for each ``FILE_BYTES`` that
+    are read.  Creating a file is dear where the file system starts a process for it.
+    """
+    spark, place = df.sparkSession, path(df.sparkSession, name)
+    size = read_bytes(df)
+    few = df if size is None else df.coalesce(max(2 * spark.sparkContext.defaultParallelism, -(-size // FILE_BYTES)))
+    few.write.parquet(place)
+    return spark.read.schema(df.schema).parquet(place)
 
 
 @contextlib.contextmanager
