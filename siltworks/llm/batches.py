@@ -3,15 +3,32 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 from collections.abc import Callable, Iterator
+from typing import Any
 
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, types as T
 
 from . import textvec as tv
 
 
 Batches = Iterator[pa.RecordBatch]
+_shared: list[Broadcast] = []
+
+
+def shared(df: DataFrame, value: Any) -> Broadcast:
+    """A value for every task, noted for ``release``."""
+    made = df.sparkSession.sparkContext.broadcast(value)
+    _shared.append(made)
+    return made
+
+
+def release() -> None:
+    """Drops the executors' copies of shared values; one that is used again is sent again."""
+    while _shared:
+        _shared.pop().unpersist()
 
 
 def mapped(df: DataFrame, run: Callable[[Batches], Batches], schema: str | T.StructType) -> DataFrame:
@@ -24,14 +41,15 @@ def mapped(df: DataFrame, run: Callable[[Batches], Batches], schema: str | T.Str
     def lean(batches: Batches) -> Batches:
         try:
             libc = ctypes.CDLL(None)
-            libc.mallopt(-3, 1 << 25)  # M_MMAP_THRESHOLD
-            libc.mallopt(-1, 1 << 26)  # M_TRIM_THRESHOLD
+            libc.mallopt(-3, 1 << 23)  # M_MMAP_THRESHOLD
+            libc.mallopt(-1, 1 << 24)  # M_TRIM_THRESHOLD
         except (OSError, AttributeError):  # another C library
             libc = None
         pa.set_memory_pool(pa.system_memory_pool())
         try:
             yield from run(batches)
         finally:
+            gc.collect(1)  # young objects only, as a full collection takes longer than many a task
             if hasattr(libc, "malloc_trim"):
                 libc.malloc_trim(0)
 

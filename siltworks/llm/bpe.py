@@ -230,7 +230,7 @@ def encode(df: DataFrame, path: str, text: str = "text", packed: bool = False, d
     ``packed`` gives the ids as little-endian 32-bit binary instead of an
     array; ``decoded`` adds ``decoded``, their decoding, in the same pass.
     """
-    tables = df.sparkSession.sparkContext.broadcast(Codec(path))
+    tables = batches.shared(df, Codec(path))
     more = [T.StructField("n_tokens", T.LongType()), T.StructField("token_ids", T.BinaryType() if packed else T.ArrayType(T.IntegerType()))]
     more += [T.StructField("decoded", T.StringType())] * decoded
     schema, keep = batches.extended(df, more)
@@ -253,7 +253,7 @@ def encode(df: DataFrame, path: str, text: str = "text", packed: bool = False, d
 
 def decode(df: DataFrame, path: str, ids: str = "token_ids") -> DataFrame:
     """Add ``decoded``, the text of an array of token ids; null counts as none."""
-    tables = df.sparkSession.sparkContext.broadcast(Codec(path))
+    tables = batches.shared(df, Codec(path))
     schema, keep = batches.extended(df, [T.StructField("decoded", T.StringType())])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -138,8 +138,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = 10, text: str = "t
     ``hits`` are the contaminated code-point ranges of the original text, end
     exclusive, each from its first to its last hit word.
     """
-    context = docs.sparkSession.sparkContext
-    parts = [context.broadcast(w) for w in _parts(benchmark, item, item_text, window)] or [context.broadcast(Windows([], window))]
+    parts = [batches.shared(docs, w) for w in _parts(benchmark, item, item_text, window)] or [batches.shared(docs, Windows([], window))]
     more = [T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()), T.StructField("items", T.ArrayType(T.StringType())), T.StructField("hits", HITS)]
     schema, keep = batches.extended(docs, more)
 

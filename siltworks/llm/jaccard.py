@@ -58,7 +58,7 @@ SEEN = 1_000_000
 #: Candidates in one prefix tree, and n-grams of its sets, unless one set alone has more.
 TREE, TREE_GRAMS = 128, 200_000
 #: N-grams whose trees are joined at once.
-BATCH = 300_000
+BATCH = 200_000
 COLUMNS = {"h": "<u8", "node": "<i8", "size": "<u4", "pos": "<u4"}
 #: Bit of an entry's place that tells that its n-gram is split.
 _SPLIT = np.uint32(1 << 31)
@@ -163,7 +163,7 @@ def _prefix(h: np.ndarray, bounds: np.ndarray, order: Order, t: int) -> tuple[np
 
 def entries(docs: DataFrame, order: Order, k: int, t: int, n: int, text: str = "text") -> DataFrame:
     """Prefix entries packed by shard; a task tells of equal sets once, as far as it remembers."""
-    shared = docs.sparkSession.sparkContext.broadcast(order)
+    shared = arrow.shared(docs, order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer, seen = packed.Packer(COLUMNS, n), set()
@@ -247,7 +247,7 @@ def candidates(dealt: DataFrame, t: int) -> DataFrame:
 
 def wanted_texts(docs: DataFrame, ids: DataFrame, k: int, text: str, doc: str) -> DataFrame:
     """(node, text) of at least the documents whose ids are the column ``rep`` of ``ids``."""
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap.build(ids, "rep"))
+    shared = arrow.shared(docs, bitmap.build(ids, "rep"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -201,7 +201,7 @@ def _split(keys: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray
 
 def count_bigrams(trusted: DataFrame, words: Vocabulary, n: int) -> DataFrame:
     """Sharded counts: MODEL rows with a shard's keys (a) and counts (b)."""
-    shared = trusted.sparkSession.sparkContext.broadcast(words)
+    shared = arrow.shared(trusted, words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -313,7 +313,7 @@ def _nats(log_p: np.ndarray, times: np.ndarray) -> np.ndarray:
 def events(docs: DataFrame, words: Vocabulary, model: Unigrams, n: int) -> DataFrame:
     """EVENT rows (a keys, b text numbers, c twice the count, plus 1 for trusted
     texts) and TABLE rows (a ids, b tokens, c sums known here) of each task's texts."""
-    shared = docs.sparkSession.sparkContext.broadcast((words, model))
+    shared = arrow.shared(docs, (words, model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab, uni = shared.value
@@ -360,7 +360,7 @@ def events(docs: DataFrame, words: Vocabulary, model: Unigrams, n: int) -> DataF
 
 def _join(rows: DataFrame, model: Unigrams, n: int) -> DataFrame:
     """Shards join events with counts; TABLE rows pass through."""
-    shared = rows.sparkSession.sparkContext.broadcast(model)
+    shared = arrow.shared(rows, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         uni: Unigrams = shared.value

@@ -318,7 +318,7 @@ FOUND = T.ArrayType(T.StructType([T.StructField("family", T.StringType()), T.Str
 def scan(docs: DataFrame, text: str = "text", least: float = 0.5) -> DataFrame:
     """Add ``n_paragraphs`` and ``licenses``: family, line number (from 0) and
     calibrated probability of every family that claims a paragraph or a part of it."""
-    shared = docs.sparkSession.sparkContext.broadcast(fit(background(docs, text)))
+    shared = batches.shared(docs, fit(background(docs, text)))
     schema, keep = batches.extended(docs, [T.StructField("n_paragraphs", T.LongType()), T.StructField("licenses", FOUND)])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

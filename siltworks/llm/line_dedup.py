@@ -185,7 +185,7 @@ def _candidates(dealt: DataFrame) -> DataFrame:
 
 def _texts(docs: DataFrame, text: str, nodes: DataFrame) -> DataFrame:
     """(node, text) of at least the lines that are the column ``node`` of ``nodes``, each once."""
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap.build(nodes, "node"))
+    shared = arrow.shared(docs, bitmap.build(nodes, "node"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fresh = _Fresh()

@@ -12,6 +12,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from ..sources import scratch
+
 #: Entries a task gathers before it hands them on.
 FLUSH = 300_000
 #: Bytes of input for each shard at most: a task holds one shard's entries.
@@ -25,9 +27,7 @@ def schema(columns: dict[str, str]) -> str:
 def shards(df: DataFrame) -> int:
     """Shards for what comes from ``df``: the session's shuffle partitions, or more
     if the files read are large."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
-    size = sum(s for s in sizes if s < 1 << 60)  # more means unknown
+    size = scratch.read_bytes(df) or 0
     return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // SHARD_BYTES))
 
 

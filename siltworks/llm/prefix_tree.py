@@ -23,7 +23,7 @@ import numpy as np
 from . import graph, textvec as tv
 
 #: N-grams compared in one step at most, unless one probe alone has more.
-WORK = 1_000_000
+WORK = 500_000
 
 
 def joined(comp: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:

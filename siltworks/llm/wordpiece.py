@@ -155,7 +155,7 @@ def automaton(codec: bpe.Codec) -> Automaton:
 def count(df: DataFrame, path: str, text: str = "text") -> DataFrame:
     """Add ``n_words`` and ``n_pieces`` of the column ``text``; special tokens count as one piece."""
     codec = bpe.Codec(path)
-    tables = df.sparkSession.sparkContext.broadcast((codec, automaton(codec)))  # a vocabulary's size, whatever the corpus
+    tables = batches.shared(df, (codec, automaton(codec)))  # a vocabulary's size, whatever the corpus
     schema, keep = batches.extended(df, [T.StructField("n_words", T.LongType()), T.StructField("n_pieces", T.LongType())])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
