@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 KEY = "spark.checkpoint.dir"
 #: Bytes read for each file of a table at least.
 FILE_BYTES = 16 << 20
+#: Only for paths on a local file system.
+_PLAIN = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
 _scope: list[list[str]] = []
 
 
@@ -51,13 +53,17 @@ def read_bytes(df: DataFrame) -> int | None:
 def table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
-    Small tables get few files: two for each core, or one for each ``FILE_BYTES`` that
-    are read.  Creating a file is dear where the file system starts a process for it.
+    Small tables get few files: one for each ``FILE_BYTES`` that are read; where that is less
+    than two for each core, one for each eighth of that, up to those two.
+    Creating a file is dear on a local file system, where Hadoop starts a process to set
+    its permissions and those of its checksum file; the latter is left out.
     """
     spark, place = df.sparkSession, path(df.sparkSession, name)
     size = read_bytes(df)
-    few = df if size is None else df.coalesce(max(2 * spark.sparkContext.defaultParallelism, -(-size // FILE_BYTES)))
-    few.write.parquet(place)
+    if size is not None:
+        some = max(1, min(2 * spark.sparkContext.defaultParallelism, -(-8 * size // FILE_BYTES)))
+        df = df.coalesce(max(some, -(-size // FILE_BYTES)))
+    df.write.options(**_PLAIN).parquet(place)
     return spark.read.schema(df.schema).parquet(place)
 
 
