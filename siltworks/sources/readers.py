@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.hashing import canonical
+from . import scratch
 
 
 class SourceError(ValueError):
@@ -40,13 +41,16 @@ class Source:
     mapping: Mapping | None = None
 
 
-def with_ordinal(df: DataFrame, name: str = "n") -> DataFrame:
-    """Number rows from 1 in scan order, without moving them to one partition.
+def with_ordinal(df: DataFrame, name: str = "n", stable: bool = False) -> DataFrame:
+    """Number rows from 1 in the order of partitions, without moving them to one partition.
 
     Each partition's rows count on from those of the partitions before; their
-    counts, a row per partition, are all that is gathered.
+    counts, a row per partition, are all that is gathered.  Rows are written once,
+    as counting and numbering must see the same partitions; what comes straight
+    from files is ``stable`` and need not be.
     """
     tagged = df.withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))})
+    tagged = tagged if stable else scratch.table(tagged, "ordinals")
     counts = tagged.groupBy("_part").count().collect()
     before, offsets = 0, []
     for part, n in sorted((r["_part"], r["count"]) for r in counts):
@@ -78,7 +82,7 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read_jsonl(spark: SparkSession, source: Source) -> DataFrame:
     """Lines end at line feeds only, so a record may hold any other separator."""
     lines = spark.read.option("lineSep", "\n").text(source.uri).select(F.col("value").cast("binary").alias("line"))
-    return with_ordinal(lines).select("n", "line").mapInArrow(_parsed, "n long, raw string, error string")
+    return with_ordinal(lines, stable=True).select("n", "line").mapInArrow(_parsed, "n long, raw string, error string")
 
 
 def _csv_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,7 +132,7 @@ def read_csv_split(spark: SparkSession, source: Source) -> DataFrame:
     wide = F.size(F.split(bare, ",")) > len(header)
     raw = F.to_json(F.struct(*sorted(header)), {"ignoreNullFields": "false"})
     bad = F.col("_corrupt").isNotNull() & wide
-    rows = with_ordinal(rows.select(raw.alias("raw"), bad.alias("bad")))
+    rows = with_ordinal(rows.select(raw.alias("raw"), bad.alias("bad")), stable=True)
     return rows.select("n", F.when(~F.col("bad"), F.col("raw")).alias("raw"), F.when(F.col("bad"), F.lit("more fields than the header")).alias("error"))
 
 

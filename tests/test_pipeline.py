@@ -149,6 +149,16 @@ def test_ordinals_over_partitions(spark):
     assert all(r["n"] == r["id"] + 1 for r in frame.collect())
 
 
+def test_ordinals_after_a_shuffle(spark):
+    """Wide rows and their counts may be cut into other partitions by adaptive execution."""
+    rows = spark.range(40_000).select((F.col("id") * 7919 % 40_000).alias("seq"), F.repeat(F.col("id").cast("string"), 100).alias("wide"))
+    dense = pipeline._dense(rows.withColumn("old", F.col("seq")))
+    assert dense.where("seq != old").count() == 0 and dense.count() == 40_000
+    split = rows.withColumn("split", F.when(F.col("seq") % 3 == 0, "eval").otherwise("train"))
+    numbered = tokenize.with_row(split)
+    assert numbered.where("row != case when split = 'eval' then seq div 3 else seq - seq div 3 - 1 end").count() == 0
+
+
 def test_config_is_strict():
     base = {"model": {"adapter": "word"}, "ingest": {"sources": []}}
     assert cfg.parse(base).clean.max_chars == 32_000
