@@ -29,7 +29,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from . import batches as arrow, bitmap, cells, graph, jaccard, packed, scratch, textvec as tv
@@ -176,7 +175,7 @@ def _candidates(dealt: DataFrame) -> DataFrame:
             none = pa.nulls(len(pairs), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), none, none], names=names)
             more = np.repeat(count, count) > WHOLE
-            key, line = key[more].astype(np.int64) + (TaskContext.get().partitionId() << 32), line[more]
+            key, line = key[more].astype(np.int64) + (shard["shard"] << 32), line[more]
             none = pa.nulls(len(key), pa.int64())
             yield pa.RecordBatch.from_arrays([none, none, pa.array(key), pa.array(line)], names=names)
 

@@ -73,4 +73,4 @@ def unpack(batches: Iterator[pa.RecordBatch], columns: dict[str, str]) -> Iterat
             for c, kind in columns.items():
                 mine[c].append(np.frombuffer(batch.column(c)[i].as_buffer(), kind))
     for s in sorted(held):
-        yield {c: np.concatenate(v) for c, v in held.pop(s).items()}
+        yield {c: np.concatenate(v) for c, v in held.pop(s).items()} | {"shard": s}
