@@ -197,6 +197,83 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM d LEFT JOIN h USING (doc_id) LEFT JOIN x USING (doc_id)
 """
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best phrases of every language."""
+    from . import phrases
+
+    return phrases.mine(read(spark, sf_dir, "documents").select("lang", "text"))
+
+
+OP11_SQL = rf"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, list_filter(regexp_split_to_array(x, '[\x20\x09]+'), lambda y: y <> '') AS w
+  FROM (SELECT lang, unnest(regexp_split_to_array({_ASCII_LOWER}, '[.,;:!?\x0A-\x0D]')) AS x FROM documents)),
+t AS (SELECT lang, sum(len(w)) AS n FROM p GROUP BY lang),
+f AS (SELECT lang, m, g, count(*) AS f FROM (SELECT lang, m, w, unnest(range(1, len(w) - m + 2)) AS i, array_to_string(w[i : i + m - 1], ' ') AS g
+  FROM p, (SELECT unnest([1, 2, 3, 4]) AS m) WHERE len(w) >= m) GROUP BY ALL HAVING count(*) >= 30),
+c AS (SELECT lang, m, g, f, string_split(g, ' ') AS w FROM f WHERE m > 1),
+k AS (SELECT lang, m, g, f, unnest(range(1, m)) AS k, array_to_string(w[1 : k], ' ') AS x, array_to_string(w[k + 1 :], ' ') AS y FROM c),
+s AS (SELECT k.lang, k.g, k.k, k.f AS a, x.f AS l, y.f AS r, 2000000::HUGEINT * k.f // (x.f + y.f) AS score
+  FROM k JOIN f x ON x.lang = k.lang AND x.g = k.x JOIN f y ON y.lang = k.lang AND y.g = k.y),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+o AS (SELECT lang, g, max(f) AS f FROM (SELECT lang, f, array_to_string(w[i : i + z - 1], ' ') AS g
+  FROM (SELECT lang, f, m, w, z, unnest(range(1, m - z + 2)) AS i FROM (SELECT lang, f, m, w, unnest(range(2, m)) AS z FROM c WHERE m > 2))) GROUP BY ALL),
+e AS (SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.g) AS rank FROM b LEFT JOIN o ON o.lang = b.lang AND o.g = b.g
+  WHERE o.f IS NULL OR 100 * o.f < 80 * a)
+SELECT lang, rank::BIGINT AS rank, g AS phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM e JOIN t USING (lang) WHERE rank <= 2000
+"""
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut and put in order for filling in; digests of that and of the text rebuilt from it."""
+    from . import infill
+
+    made = infill.transform(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    digest = lambda c: F.sha2(F.encode(c, "UTF-8"), 256)
+    return made.select(
+        "doc_id", F.col("n_tokens").alias("n"), "form", "prefix_chars", "middle_chars",
+        digest(F.col("output")).alias("output_sha256"), digest(infill.restored()).alias("restored_sha256"),
+    )
+
+
+OP12_SQL = r"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS x, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+u AS (SELECT *, regexp_extract_all(x, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS w, ('0x' || h[1:8])::BIGINT AS a, ('0x' || h[9:16])::BIGINT AS b,
+  ('0x' || h[17:24])::BIGINT AS c, ('0x' || h[25:32])::BIGINT AS d FROM t),
+v AS (SELECT *, len(w) AS n, least(a % (len(w) + 1), b % (len(w) + 1)) AS i, greatest(a % (len(w) + 1), b % (len(w) + 1)) AS j,
+  CASE WHEN x = '' OR contains(x, '<P>') OR contains(x, '<S>') OR contains(x, '<M>') OR c % 100 >= 50 THEN 'plain' WHEN d % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM u),
+y AS (SELECT *, array_to_string(w[1 : i], '') AS p, array_to_string(w[i + 1 : j], '') AS m, array_to_string(w[j + 1 :], '') AS s FROM v)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN x WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(x) AS restored_sha256 FROM y
+"""
+
+
+def op13_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of every document a mix of the sources by weight takes."""
+    from . import mixture
+
+    mixed = mixture.mix(read(spark, sf_dir, "documents").select("doc_id", "source", "text"), carry=["doc_id"])
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+#: The same by sorted running sums.
+OP13_SQL = r"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::HUGEINT AS z,
+  ('0x' || md5('mix:' || coalesce(doc_id::VARCHAR, 'text:' || text, ''))[1:15])::BIGINT AS h FROM documents),
+s AS (SELECT source, sum(z)::HUGEINT AS s, [5, 2, 1][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::HUGEINT AS w FROM d GROUP BY source),
+l AS (SELECT *, (SELECT sum(s) FROM s) - 3 * coalesce(sum(s) OVER o, 0) AS a, (SELECT sum(w) FROM s) - coalesce(sum(w) OVER o, 0) AS b
+  FROM s WINDOW o AS (ORDER BY s::DOUBLE / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+f AS (SELECT a::HUGEINT AS a, b::HUGEINT AS b FROM l WHERE w * a <= 3 * s * b ORDER BY s::DOUBLE / w, source NULLS LAST LIMIT 1),
+g AS (SELECT source, s, CASE WHEN w * a > 3 * s * b THEN 3 * s ELSE w * a END AS p, CASE WHEN w * a > 3 * s * b THEN 1 ELSE b END AS q FROM s, f),
+e AS (SELECT source, s, p::DOUBLE / q::DOUBLE AS target, CASE WHEN s = 0 THEN 0 ELSE (p // q) // s END AS base, CASE WHEN s = 0 THEN 0 ELSE (p // q) % s END AS budget FROM g),
+k AS (SELECT source, h, sum(z) AS z FROM d WHERE z > 0 GROUP BY ALL),
+r AS (SELECT source, h, sum(z) OVER (PARTITION BY source ORDER BY h) AS after, after - z AS before FROM k),
+x AS (SELECT r.source, r.h FROM r JOIN e ON r.source IS NOT DISTINCT FROM e.source WHERE after <= budget OR before + after < 2 * budget)
+SELECT d.doc_id, d.z::BIGINT AS size, e.s::BIGINT AS source_size, target, (d.z * (base + CASE WHEN x.h IS NULL THEN 0 ELSE 1 END))::BIGINT AS taken
+FROM d JOIN e ON d.source IS NOT DISTINCT FROM e.source LEFT JOIN x ON d.source IS NOT DISTINCT FROM x.source AND d.h = x.h
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_perplexity": op1_perplexity,
     "op2_bpe": op2_bpe,
@@ -208,6 +285,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_line_dedup": op9_line_dedup,
     "op10_personal_data": op10_personal_data,
+    "op11_collocations": op11_collocations,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_mixture": op13_mixture,
 }
 
-SQL: dict[str, str] = {"op4_quality_rules": op4_sql(), "op5_preferences": OP5_SQL, "op7_decontaminate": OP7_SQL, "op8_jaccard_join": OP8_SQL, "op9_line_dedup": OP9_SQL}
+SQL: dict[str, str] = {"op4_quality_rules": op4_sql(), "op5_preferences": OP5_SQL, "op7_decontaminate": OP7_SQL, "op8_jaccard_join": OP8_SQL, "op9_line_dedup": OP9_SQL, "op11_collocations": OP11_SQL, "op12_fill_in_middle": OP12_SQL, "op13_mixture": OP13_SQL}
