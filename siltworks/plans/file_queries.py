@@ -43,15 +43,13 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 # -- sources -----------------------------------------------------------------------
 
 
-@query("SELECT doc_id, coalesce(text, '') AS text, true AS fine FROM documents")
+@query("SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS n, coalesce(text, '') AS text, true AS fine FROM documents")
 def scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Texts with quotes and line feeds through CSV files, four of them."""
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    mapping = readers.Mapping("doc_id", "text")
-    paths = [_one_file(docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(4)) == i), "csv", "csv") for i in range(4)]
-    rows = _union([readers.read(spark, readers.Source("csv", p, mapping)) for p in paths])
+    """Texts with quotes and line feeds through one CSV file, read block by block."""
+    docs = table(spark, sf_dir, "documents").orderBy("doc_id").select(F.col("doc_id").cast("string").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = readers.read(spark, readers.Source("csv", _one_file(docs, "csv", "csv"), readers.Mapping("doc_id", "text")))
     fields = rows.withColumn("f", F.from_json("raw", "doc_id string, text string"))
-    return fields.select(F.col("f.doc_id").cast("long").alias("doc_id"), F.col("f.text").alias("text"), F.col("error").isNull().alias("fine"))
+    return fields.select(F.col("f.doc_id").cast("long").alias("doc_id"), "n", F.col("f.text").alias("text"), F.col("error").isNull().alias("fine"))
 
 
 @query("SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS n, text FROM documents")

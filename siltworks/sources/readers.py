@@ -6,8 +6,6 @@ null ``raw`` and says why in ``error``; ``first_error`` finds the earliest.
 
 from __future__ import annotations
 
-import csv
-import io
 import json
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -16,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.hashing import canonical
-from . import scratch
+from . import csv_blocks, scratch
 
 
 class SourceError(ValueError):
@@ -85,40 +83,31 @@ def read_jsonl(spark: SparkSession, source: Source) -> DataFrame:
     return with_ordinal(lines, stable=True).select("n", "line").mapInArrow(_parsed, "n long, raw string, error string")
 
 
-def _csv_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    csv.field_size_limit((1 << 31) - 1)
-    schema = pa.schema([("n", pa.int64()), ("raw", pa.string()), ("error", pa.string())])
-    for batch in batches:
-        for content in batch.column("content"):
-            rows: list[tuple[int, str | None, str | None]] = []
-            n = 0
-            try:
-                reader = csv.DictReader(io.TextIOWrapper(io.BytesIO(content.as_buffer().to_pybytes()), encoding="utf-8", newline=""))
-                for n, row in enumerate(reader, 1):
-                    extra = row.pop(None, None)
-                    raw = json.dumps(row, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
-                    rows.append((n, None, "more fields than the header") if extra is not None else (n, raw, None))
-                    if len(rows) >= 10_000:
-                        yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r, strict=True)) for r in rows], schema)
-                        rows = []
-            except (UnicodeDecodeError, csv.Error) as e:
-                rows.append((n + 1, None, str(e)))
-            yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r, strict=True)) for r in rows], schema)
-
-
 def csv_header(spark: SparkSession, uri: str) -> list[str]:
+    """The first record's fields, which can hold line feeds."""
     try:
-        first = spark.read.text(uri).limit(1).collect()
+        for most in (1, 100, 10_000):
+            lines = spark.read.option("lineSep", "\n").text(uri).limit(most).select(F.col("value").cast("binary")).collect()
+            quoted, taken = False, []
+            for (line,) in lines:
+                quoted, _ = csv_blocks.after(bytes(line), quoted)
+                taken.append(bytes(line))
+                if not quoted:
+                    break
+            if not quoted or len(lines) < most:
+                break
+        return next(csv_blocks.rows(b"\n".join(taken).decode("utf-8")), [])
     except Exception as e:
         raise SourceError(f"cannot read source {uri!r}: {e}") from e
-    return next(csv.reader([first[0][0]])) if first and first[0][0] else []
 
 
 def read_csv(spark: SparkSession, source: Source) -> DataFrame:
-    """One file is one task: a quoted field may span lines, so a file has no safe
-    place to be cut.  Give large inputs as many files, or use ``read_csv_split``."""
+    """Quoted fields may hold line feeds, and one file is read by as many tasks as it has blocks."""
     check_mapping(spark, source)
-    return spark.read.format("binaryFile").load(source.uri).select("content").mapInArrow(_csv_rows, "n long, raw string, error string")
+    try:
+        return csv_blocks.parsed(spark, source.uri)
+    except csv_blocks.Unreadable as e:
+        raise SourceError(str(e)) from e
 
 
 def read_csv_split(spark: SparkSession, source: Source) -> DataFrame:
