@@ -124,7 +124,7 @@ def map_records(bronze: DataFrame, mappings: DataFrame) -> DataFrame:
     joined = bronze.join(F.broadcast(known), F.col("source.uri") == F.col("_uri"), "left").drop("_uri")
     kind = F.col("source.type")
     from_csv = let(map_csv(F.col("raw"), F.col("_mapping")), lambda c: F.struct(c.isNotNull().alias("mappable"), c.alias("conversation")))
-    mapped = F.when(kind == "csv", from_csv).when(kind == "jsonl", map_jsonl(F.col("raw"))).otherwise(_nothing())
+    mapped = F.when(kind.isin("csv", "sql"), from_csv).when(kind == "jsonl", map_jsonl(F.col("raw"))).otherwise(_nothing())
     return joined.withColumn("_m", mapped).withColumns({"mappable": F.col("_m.mappable"), "conversation": F.col("_m.conversation")}).drop("_m", "_mapping")
 
 

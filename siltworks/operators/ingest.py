@@ -13,7 +13,8 @@ SOURCE_ROWS = 1 << 40
 
 def envelope(rows: DataFrame, run_id: str, uri: Column, kind: str, ingested_at: str, source_index: int = 0) -> DataFrame:
     """Bronze records of rows (n, raw): ids are made from run, source and place."""
-    locator = F.concat(F.lit("row:" if kind == "csv" else "line:"), F.col("n").cast("string"))
+    at = F.col("n") - 1 if kind == "sql" else F.col("n")
+    locator = F.concat(F.lit({"csv": "row:", "sql": "offset:"}.get(kind, "line:")), at.cast("long").cast("string"))
     source = F.struct(uri.alias("uri"), F.lit(kind).alias("type"), locator.alias("locator"), F.lit(ingested_at).alias("ingested_at"), F.lit(VERSION).alias("ingestor_version"))
     return rows.select(
         record_id(F.lit(run_id), uri, locator).alias("id"), F.lit(run_id).alias("run_id"), source.alias("source"),

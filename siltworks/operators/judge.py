@@ -34,6 +34,36 @@ def gold(flagged: DataFrame, judge_model: str, evaluated_at: str) -> DataFrame:
     return flagged.where("drop_reason is null").select("id", "run_id", "lineage", "conversation", value.alias("evaluation"), "seq")
 
 
+def with_modality(scored: DataFrame, found: DataFrame, least: dict[str, float], threshold: float = 0.7) -> DataFrame:
+    """``promoted`` with a veto: add ``modality_scores``, and the reason ``vetoed`` before the rubric's.
+
+    ``found`` has evaluators' scores (id, modality, score), any number for a record; the least of a
+    modality counts.  What a record's ``evaluation`` already has is merged, and the newer score counts.  A record is
+    vetoed if a score is under its modality's ``least``; modalities without one never veto, and
+    records without scores are judged by the rubric alone.  Scores that are null are none.
+    """
+    each = found.where("score is not null").groupBy("id", "modality").agg(F.min("score").alias("score"))
+    own = each.groupBy("id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("modality", "score")))).alias("_new"))
+    empty = F.create_map().cast("map<string,double>")
+    joined = promoted(scored, threshold).join(own, "id", "left")
+    former = F.coalesce(F.col("evaluation.modality_scores"), empty) if "evaluation" in scored.columns and "modality_scores" in scored.schema["evaluation"].dataType.names else empty
+    new = F.coalesce("_new", empty)
+    merged = F.map_concat(F.map_filter(former, lambda k, _: ~F.map_contains_key(new, k)), new)
+    limits = F.create_map(*[F.lit(x) for pair in least.items() for x in pair]).cast("map<string,double>") if least else empty
+    veto = F.exists(F.map_entries(F.col("modality_scores")), lambda e: F.coalesce(e["value"] < F.try_element_at(limits, e["key"]), F.lit(False)))
+    out = joined.withColumn("modality_scores", merged).drop("_new")
+    return out.withColumn("drop_reason", F.when(veto, "vetoed").otherwise(F.col("drop_reason")))
+
+
+def gold_wide(flagged: DataFrame, judge_model: str, evaluated_at: str) -> DataFrame:
+    """``gold`` with the modality scores in the evaluation, an addition that earlier tiers lack."""
+    value = F.struct(
+        F.col("normalized").alias("score"), F.lit(judge_model).alias("judge_model"), F.col("reasoning").alias("reasoning"), F.lit(evaluated_at).alias("evaluated_at"),
+        F.when(F.size("modality_scores") > 0, F.col("modality_scores")).alias("modality_scores"),
+    )
+    return flagged.where("drop_reason is null").select("id", "run_id", "lineage", "conversation", value.alias("evaluation"), "seq")
+
+
 def error_rate(flagged: DataFrame, most: float = MAX_ERRORS) -> DataFrame:
     """read, errors, rate and whether the run must abort: strictly more than ``most``."""
     out = flagged.agg(F.count("*").alias("read"), F.count_if(F.col("drop_reason") == "judge_error").alias("errors"))

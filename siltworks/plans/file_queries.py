@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .. import config as cfg, schemas
 from ..functions import conversation as conv, hashing, replies
 from ..operators import clean, ingest, judge, registry, smoke, tokenize
-from ..sources import files, readers, registry as registry_files, scratch, tensors, tiers, tracking
+from ..sources import files, readers, registry as registry_files, scratch, sql_source, tensors, tiers, tracking
 from . import pipeline
 from .queries import _FLAT, _INDEXED, _MANIFESTS, _RAW, _SCORED, _SILVER, DOCS_URI, RUN, WHEN, _indexed, _manifests, bronze, flat_columns, query, raw_rows, scored, silver_turns, table
 
@@ -87,7 +87,7 @@ def csv_header_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(n, ok(n)) for n in others + regions], "name string, ok boolean")
 
 
-@query("SELECT * FROM (VALUES ('csv', true), ('jsonl', true), ('sql', false), ('pdf', false), ('api', false)) t(type, known)")
+@query("SELECT * FROM (VALUES ('csv', true), ('jsonl', true), ('sql', true), ('pdf', false), ('api', false)) t(type, known)")
 def source_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which source types have a reader."""
 
@@ -103,6 +103,15 @@ def source_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(k, known(k)) for k in schemas.SOURCE_TYPES], "type string, known boolean")
 
 
+@query("""SELECT place AS _offset, c_custkey, c_name, c_acctbal FROM (SELECT *, row_number() OVER (ORDER BY c_nationkey, c_custkey, c_name, c_acctbal) - 1 AS place FROM customer) WHERE c_acctbal >= 100 AND c_nationkey <> 7""")
+def scan_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S4, the sql source: a database's rows in several partitions, with places and pushed filters."""
+    held = table(spark, sf_dir, "customer").select("c_nationkey", "c_custkey", "c_name", "c_acctbal")
+    dsn = sql_source.export(held, scratch.path(spark, "customers.db"), "customer")
+    found = sql_source.rows(spark, dsn, "SELECT c_nationkey, c_custkey, c_name, c_acctbal FROM customer", "c_nationkey", 500, pushed=True)
+    return found.where("c_acctbal >= 100 AND c_nationkey <> 7").select("_offset", "c_custkey", "c_name", "c_acctbal")
+
+
 @query("""WITH s AS (SELECT 0 AS i, 'csv' AS type, 'row:' AS p, row_number() OVER (ORDER BY c_custkey) AS n FROM customer
 UNION ALL SELECT 1, 'jsonl', 'line:', row_number() OVER (ORDER BY s_suppkey) FROM supplier)
 SELECT type, p || n AS locator, row_number() OVER (ORDER BY i, n) - 1 AS seq FROM s""")

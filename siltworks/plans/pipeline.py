@@ -235,7 +235,7 @@ def stage_code(f: Callable[[], Any], name: str) -> int:
     except Empty as e:
         print(f"{name}: {e}", file=sys.stderr)
         return 3
-    except (ConfigError, readers.SourceError, readers.MalformedRecord, tokenizing.TokenizerError, tiers.UpstreamIncomplete, tiers.InvalidRecord, KeyError) as e:
+    except (ConfigError, readers.SourceError, readers.MalformedRecord, tokenizing.TokenizerError, tiers.UpstreamIncomplete, tiers.InvalidRecord, registry_files.Refused, KeyError) as e:
         print(f"{name}: {e}", file=sys.stderr)
         return 2
     except Exception as e:
@@ -266,12 +266,30 @@ def run(spark: SparkSession, config: Pipeline, root: str, run_id: str | None = N
     return 0
 
 
+def registry_code(spark: SparkSession, root: str, operation: str, target: str | None, by: str) -> int:
+    def act() -> None:
+        if operation == "list":
+            print("\n".join(registry.lines(registry_files.scan(spark, root))))
+        elif not target:
+            raise ConfigError(f"{operation} needs a version or an adapter")
+        elif operation == "show":
+            print(json.dumps(registry_files.show(spark, root, target), ensure_ascii=False, indent=2))
+        else:
+            version, adapter = (target, None) if operation == "promote" else (None, target)
+            print("\n".join(registry_files.change(spark, root, operation, version, by, adapter)))
+
+    return stage_code(act, f"registry {operation}")
+
+
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="siltworks")
     p.add_argument("command", choices=[*STAGES, "run", "registry", "tools"])
     p.add_argument("--config", default="pipeline.yaml")
     p.add_argument("--root", default="tiers")
     p.add_argument("--run-id")
+    p.add_argument("operation", nargs="?", choices=["list", "show", "promote", "rollback"], help="of the registry")
+    p.add_argument("target", nargs="?", help="a model version, or the adapter to roll back")
+    p.add_argument("--by", default=os.environ.get("USER", "system"), help="who asks for a transition")
     p.add_argument("--marked-judge", action="store_true", help="score by the marks in the texts")
     a = p.parse_args(argv)
     import re
@@ -281,8 +299,7 @@ def main(argv: list[str] | None = None) -> int:
         return 2
     spark = SparkSession.builder.appName("siltworks").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     if a.command == "registry":
-        print("\n".join(registry.lines(registry_files.scan(spark, f"{a.root}/registry"))))
-        return 0
+        return registry_code(spark, f"{a.root.rstrip('/')}/registry", a.operation or "list", a.target, a.by)
     if a.command == "tools":
         from .tools import serve
 

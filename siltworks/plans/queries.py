@@ -475,3 +475,5 @@ def record_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 from . import file_queries as file_queries  # noqa: E402 (its queries register themselves)
+
+from . import later_queries as later_queries  # noqa: E402

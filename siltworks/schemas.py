@@ -17,7 +17,9 @@ STATUSES = ("candidate", "promoted", "retired")
 
 #: Drop reasons in the order in which a record is tested.
 CLEAN_REASONS = ("unmappable", "bad_structure", "empty_turn", "too_short", "too_long", "duplicate")
+ASSET_REASONS = (*CLEAN_REASONS, "bad_asset")
 JUDGE_REASONS = ("judge_error", "below_threshold")
+VETO_REASONS = ("vetoed", *JUDGE_REASONS)
 TOKENIZE_REASONS = ("unsupported_modality", "over_max_len", "masking_mismatch")
 
 PART = "struct<type:string,value:string>"
@@ -25,6 +27,8 @@ TURN = f"struct<content:array<{PART}>,role:string>"
 CONVERSATION = f"array<{TURN}>"
 SOURCE = "struct<uri:string,type:string,locator:string,ingested_at:string,ingestor_version:string>"
 EVALUATION = "struct<score:double,judge_model:string,reasoning:string,evaluated_at:string>"
+#: With the scores of evaluators of other modalities; records written before they came have none.
+EVALUATION_WIDE = "struct<score:double,judge_model:string,reasoning:string,evaluated_at:string,modality_scores:map<string,double>>"
 LINEAGE = "struct<bronze_content_hash:string,cleaner_version:string>"
 
 
@@ -42,8 +46,11 @@ MANIFEST_DDL = (
 REGISTRY_DDL = (
     "model_version string, run_id string, adapter_name string, base_model string, method string, created_at string, "
     "gold_manifest_uri string, index_map_uri string, weights_uri string, mlflow_run_id string, hyperparameters map<string,string>, "
-    "eval struct<final_train_loss:double,final_eval_loss:double>, status string"
+    "eval struct<final_train_loss:double,final_eval_loss:double>, status string, "
+    "superseded_by string, history array<struct<at:string,`from`:string,`to`:string,by:string>>"
 )
+#: Fields that a manifest has once its version has been promoted or retired.
+REGISTRY_LATER = ("superseded_by", "history")
 INDEX_MAP_DDL = (
     "run_id string, adapter string, tokenizer_id string, max_seq_len int, gold_manifest_uri string, "
     "splits struct<train:array<struct<row:int,record_id:string>>,eval:array<struct<row:int,record_id:string>>>, "

@@ -7,14 +7,15 @@ null ``raw`` and says why in ``error``; ``first_error`` finds the earliest.
 from __future__ import annotations
 
 import json
+import os
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.hashing import canonical
-from . import csv_blocks, scratch
+from ..functions.hashing import canonical, canonical_json
+from . import csv_blocks, scratch, sql_source
 
 
 class SourceError(ValueError):
@@ -37,6 +38,7 @@ class Source:
     type: str
     uri: str
     mapping: Mapping | None = None
+    key: str | None = None  # of a query: the column by which its rows are ordered and split
 
 
 def with_ordinal(df: DataFrame, name: str = "n", stable: bool = False) -> DataFrame:
@@ -125,16 +127,33 @@ def read_csv_split(spark: SparkSession, source: Source) -> DataFrame:
     return rows.select("n", F.when(~F.col("bad"), F.col("raw")).alias("raw"), F.when(F.col("bad"), F.lit("more fields than the header")).alias("error"))
 
 
+def read_sql(spark: SparkSession, source: Source) -> DataFrame:
+    """``uri`` is a query to the database that ``SILTWORKS_SQL_DSN`` names, in the order of ``key``."""
+    dsn = os.environ.get("SILTWORKS_SQL_DSN")
+    if not dsn or not source.key:
+        raise SourceError("a sql source needs SILTWORKS_SQL_DSN and a key")
+    try:
+        found = sql_source.rows(spark, dsn, source.uri, source.key)
+    except sql_source.QueryError as e:
+        raise SourceError(str(e)) from e
+    names = sorted(c for c in found.columns if c != sql_source.OFFSET)
+    _check(source.mapping, names, "the query")
+    raw = canonical_json(F.to_json(F.struct(*[f"`{c}`" for c in names]), {"ignoreNullFields": "false"}))
+    return found.select((F.col(sql_source.OFFSET) + 1).alias("n"), raw.alias("raw"), F.lit(None).cast("string").alias("error"))
+
+
 def check_mapping(spark: SparkSession, source: Source) -> None:
-    header = csv_header(spark, source.uri)
-    m = source.mapping
+    _check(source.mapping, csv_header(spark, source.uri), repr(source.uri))
+
+
+def _check(m: Mapping | None, header: list[str], where: str) -> None:
     for column in [m.prompt_column, m.response_column, m.system_column] if m else []:
         if column is not None and column not in header:
-            raise SourceError(f"mapping column {column!r} not found in {source.uri!r} header {header}")
+            raise SourceError(f"mapping column {column!r} not found in {where} header {header}")
 
 
 #: Readers by source type; registering one here makes the type known to every plan.
-READERS: dict[str, Callable[[SparkSession, Source], DataFrame]] = {"csv": read_csv, "jsonl": read_jsonl}
+READERS: dict[str, Callable[[SparkSession, Source], DataFrame]] = {"csv": read_csv, "jsonl": read_jsonl, "sql": read_sql}
 
 
 def read(spark: SparkSession, source: Source) -> DataFrame:

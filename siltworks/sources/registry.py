@@ -7,7 +7,12 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import schemas
-from . import files
+from ..functions.hashing import utc_now
+from . import files, scratch
+
+
+class Refused(ValueError):
+    """A transition that the registry's state does not allow."""
 
 
 def scan(spark: SparkSession, root: str) -> DataFrame:
@@ -23,7 +28,11 @@ def scan(spark: SparkSession, root: str) -> DataFrame:
     key = F.regexp_replace(F.substring_index("path", base + "/", -1), "^/+", "")
     text = F.when(F.is_valid_utf8(F.col("content").cast("string")), F.col("content").cast("string"))
     parsed = raw.select(key.alias("key"), text.alias("text")).withColumn("m", F.from_json("text", ddl))
-    known = F.coalesce(F.sort_array(F.json_object_keys("text")) == F.array(*[F.lit(n) for n in names]), F.lit(False))
+    every = F.array(*[F.lit(n) for n in names])
+    first = F.array(*[F.lit(n) for n in names if n not in schemas.REGISTRY_LATER])
+    keys = F.json_object_keys("text")
+    fits = (F.size(F.array_except(keys, every)) == 0) & (F.size(F.array_except(first, keys)) == 0) & (F.size(keys) == F.size(F.array_distinct(keys)))
+    known = F.coalesce(fits, F.lit(False))
     return parsed.select("key", "m.*", known.alias("known")).withColumn("valid", F.col("known") & schemas.registry_valid()).drop("known")
 
 
@@ -35,6 +44,40 @@ def put(spark: SparkSession, root: str, manifest: dict[str, Any]) -> str:
     return f"{path}/manifest.json"
 
 
+def change(spark: SparkSession, root: str, op: str, model_version: str | None, by: str, adapter_name: str | None = None) -> list[str]:
+    """Promote a version or roll an adapter back, rewriting the manifests that change; their versions.
+
+    Registry writes are last-writer-wins: the tool is for one operator at a time.
+    """
+    from ..operators import registry
+
+    found = scan(spark, root).where("valid")
+    asked = get(spark, root, model_version) if op == "promote" else {}
+    adapter_name = asked.get("adapter_name", adapter_name)
+    there = op != "promote" or files.exists(spark, asked["weights_uri"])
+    retired = F.transform(F.filter("history", lambda h: h["to"] == "retired"), lambda h: h["at"])
+    versions = found.select("model_version", "adapter_name", "status", "superseded_by", "history", F.lit(there).alias("weights"), F.array_max(retired).alias("retired_at"))
+    request = spark.createDataFrame([(adapter_name, utc_now(), 0, op, model_version, by)], "adapter_name string, at string, seq long, op string, model_version string, by string")
+    outcome = scratch.table(registry.judged(versions.where(F.col("adapter_name") == adapter_name), request), "change")
+    refused = outcome.first()["refused"]
+    if refused:
+        raise Refused(f"{op} {model_version or adapter_name}: {refused}")
+    changed = registry.after(versions, outcome).join(outcome.select(F.explode(F.array("gone_up", "gone_down")).alias("model_version")), "model_version", "left_semi")
+    rows = changed.collect()  # two at most
+    for r in rows:
+        manifest = get(spark, root, r["model_version"]) | {k: r.asDict(recursive=True)[k] for k in ("status", "superseded_by", "history")}
+        files.write_json(spark, f"{root.rstrip('/')}/{r['model_version']}/manifest.json", manifest)
+    return sorted(r["model_version"] for r in rows)
+
+
+def show(spark: SparkSession, root: str, model_version: str) -> dict[str, Any]:
+    """A version's manifest; its weights must be there."""
+    manifest = get(spark, root, model_version)
+    if not files.exists(spark, manifest["weights_uri"]):
+        raise Refused(f"show {model_version}: missing weights")
+    return manifest
+
+
 def get(spark: SparkSession, root: str, model_version: str) -> dict[str, Any]:
     found = files.read_json(spark, f"{root.rstrip('/')}/{model_version}/manifest.json")
     if found is None:

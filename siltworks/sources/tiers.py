@@ -11,7 +11,7 @@ import hashlib
 import uuid
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from .. import schemas
 from ..functions.hashing import utc_now
@@ -132,6 +132,28 @@ def read_tier(spark: SparkSession, root: str, tier: str, run_id: str) -> DataFra
     return _placed(lines, manifest["files"]).withColumn("r", F.from_json("value", fields)).select("r.*", "seq")
 
 
+def read_runs(spark: SparkSession, root: str, tier: str, run_ids: list[str]) -> DataFrame:
+    """Committed tiers of several runs, one after the other, in one scan with one ``seq``.
+
+    Scored records may have been written before ``modality_scores`` were added or after: the
+    field is there for all, and null for those without it.
+    """
+    paths = [f"{folder(root, tier, run)}/{name}" for run in run_ids for name in read_manifest(spark, root, tier, run)["files"]]
+    ddl = schemas.BRONZE_DDL if tier == "bronze" else schemas.SILVER_DDL.replace(schemas.EVALUATION, schemas.EVALUATION_WIDE)
+    lines = spark.read.option("lineSep", "\n").text(paths)
+    place = {run: i for i, run in enumerate(run_ids)}
+    parts = lines.withColumns({"_run": F.element_at(F.split("_metadata.file_path", "/"), -2), "_file": F.col("_metadata.file_name")})
+    at = F.create_map(*[F.lit(x) for pair in place.items() for x in pair])
+    block = {"_place": F.element_at(at, F.col("_run")), "_block": F.col("_metadata.file_block_start"), "_at": F.monotonically_increasing_id()}
+    tagged = parts.withColumns(block)
+    known = tagged.groupBy("_place", "_file", "_block").agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
+    by = Window.orderBy("_place", "_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = known.withColumn("_before", F.coalesce(F.sum("_n").over(by), F.lit(0))).drop("_n")  # a row per block
+    placed = tagged.join(starts, ["_place", "_file", "_block"]).select("value", (F.col("_at") - F.col("_first") + F.col("_before")).alias("seq"))
+    fields = ddl.removesuffix(", seq bigint")
+    return placed.withColumn("r", F.from_json("value", fields)).select("r.*", "seq")
+
+
 def first_invalid(df: DataFrame, valid: Column) -> DataFrame:
     """(id, seq) of the first record, by seq, that breaks the schema."""
     return df.where(~valid).select("id", "seq").orderBy("seq").limit(1)
