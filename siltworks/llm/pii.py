@@ -7,7 +7,11 @@ the form of the string, lists of known words and prefixes (gazetteers), and
 the words around it (context).  Expectation-maximisation over the counts of
 vote patterns estimates each labeler's reliability and each pattern's
 probability; a logistic span classifier is trained on these and decides on the
-candidates.  Votes and features take few values, so their counts are a table
+candidates.  What tells true candidates from false ones is the exact check that a
+kind has by its definition (a card's check digit).  Where it votes against, a
+candidate is false: it is no span, and an anchor of the estimation, so that "all
+candidates are true" is no solution and labelers that vote for whatever they see
+are found out.  Where it votes for, it has a given reliability, not an estimated one.  Votes and features take few values, so their counts are a table
 of bounded size (``PATTERNS``), the only thing the driver sees; its sums cover
 every candidate of every text.
 
@@ -40,6 +44,8 @@ _LOCAL = "A-Za-z0-9._%+-"
 _LABEL = "A-Za-z0-9-"
 #: Labelers and features of candidates, in order.
 LABELERS = ["form", "gazetteer", "near words", "adverse words", "check", "assignment"]
+#: Labelers that are right by a kind's definition, and how far they are trusted.
+EXACT = {("card", "check"): 0.995}
 VOTES, FEATURES = [f"v{i}" for i in range(len(LABELERS))], ["f0", "f1", "f2"]
 #: Bound of the table of counts: kinds x votes x features.
 PATTERNS = len(KINDS) * 3 ** len(VOTES) * 2 ** len(FEATURES)
@@ -208,14 +214,18 @@ def estimate(rows: list[Row], rounds: int = 25) -> tuple[dict[tuple, float], dic
     kind, drawn towards that by ``10`` pseudo-votes.  Kinds' shares have pseudo-counts
     of two each way; the bounds only keep off 0 and 1.  A labeler is judged where
     others vote too, as a lone vote tells nothing of its own reliability, and
-    candidates without a vote tell nothing of their kind's share.
+    candidates without a vote tell nothing of their kind's share.  Labelers in ``EXACT`` keep
+    their reliability for that kind, and tell nothing of the one that they have for others;
+    what they vote against is false, whatever the others say.
     """
+    exact = {(kind, LABELERS.index(name)): a for (kind, name), a in EXACT.items()}
+    exact_trust = max(exact.values())
     counts: dict[tuple, int] = {}
     for r in rows:
         key = (r["kind"], *(r[v] for v in VOTES))
         counts[key] = counts.get(key, 0) + r["n"]
     kinds = sorted({k[0] for k in counts})
-    right = {(kind, i): 0.8 for kind in kinds for i in range(len(VOTES))}
+    right = {(kind, i): exact.get((kind, i), 0.8) for kind in kinds for i in range(len(VOTES))}
     prior = dict.fromkeys(kinds, 0.5)
     post: dict[tuple, float] = {}
     bounded = lambda p: min(0.999, max(0.001, p))
@@ -226,18 +236,20 @@ def estimate(rows: list[Row], rounds: int = 25) -> tuple[dict[tuple, float], dic
                 a = right[key[0], i]
                 log_odds += vote * math.log(a / (1 - a))
             post[key] = 1 / (1 + math.exp(-max(-30.0, min(30.0, log_odds))))
+            if any(key[1 + i] < 0 for kind, i in exact if kind == key[0]):
+                post[key] = 1 - exact_trust
         for kind in kinds:
             voted = [(k, n) for k, n in counts.items() if k[0] == kind and any(k[1:])]
             prior[kind] = bounded((2 + sum(n * post[k] for k, n in voted)) / (4 + sum(n for _, n in voted)))
         for i in range(len(VOTES)):
             agreed, cast = dict.fromkeys(kinds, 0.0), dict.fromkeys(kinds, 0)
             for k, n in counts.items():
-                if k[1 + i] and sum(map(abs, k[1:])) > 1:
+                if k[1 + i] and sum(map(abs, k[1:])) > 1 and (k[0], i) not in exact:
                     agreed[k[0]] += n * (post[k] if k[1 + i] > 0 else 1 - post[k])
                     cast[k[0]] += n
             overall = (8 + sum(agreed.values())) / (10 + sum(cast.values()))
             for kind in kinds:
-                right[kind, i] = bounded((10 * overall + agreed[kind]) / (10 + cast[kind]))
+                right[kind, i] = exact.get((kind, i)) or bounded((10 * overall + agreed[kind]) / (10 + cast[kind]))
     return post, right
 
 
@@ -274,7 +286,10 @@ def _accepted(c: Column, weights: dict[str, float]) -> Column:
         z = z + F.when(c[v] > 0, weights[f"{v}+"]).when(c[v] < 0, weights[f"{v}-"]).otherwise(0.0)
     for f in FEATURES:
         z = z + F.when(c[f] > 0, weights[f]).otherwise(0.0)
-    return z >= 0
+    refuted = F.lit(False)
+    for kind, name in EXACT:
+        refuted = refuted | (c["kind"] == kind) & (c[VOTES[LABELERS.index(name)]] < 0)
+    return (z >= 0) & ~refuted
 
 
 def detect(docs: DataFrame, text: str = "text", carry: list[str] | None = None) -> DataFrame:
