@@ -22,7 +22,9 @@ notice is held out with all its variants, so the temperature is set on notices
 that training has not seen.  Every paragraph of every text is classified, with
 all weights in one small array.
 
-Null, empty and wordless texts have no paragraphs.  Ties between families go
+Null, empty and wordless texts have no paragraphs.  A paragraph's windows grow with its
+names and notices, and time with its windows, whatever its length; names that repeat
+have equal windows, which are classified once.  Ties between families go
 to the first by name.  Repeated rows give repeated results; an empty table
 gives an empty result.  Added columns take the place of input columns with
 their names.
@@ -30,7 +32,9 @@ their names.
 
 from __future__ import annotations
 
+import bisect
 import functools
+import itertools
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -50,6 +54,8 @@ BACKGROUND, BACKGROUND_CHARS = 1000, 400
 AROUND = [(0, 0), (3, 0), (5, 0), (3, 3), (5, 5), (10, 10), (20, 20), (40, 40)]
 #: Words in the windows for notices without a name; they overlap by three quarters.
 WINDOWS = [8, 12, 20, 40, 80]
+#: Bytes of windows that are classified at once.
+AT_ONCE = 1 << 20
 #: Families and the names they go by (fixed values).
 NAMES = {
     "agpl": ["GNU Affero General Public License", "GNU AGPL", "AGPL 3.0", "AGPLv3"],
@@ -194,82 +200,143 @@ class Model:
         p[unseen < 0] = 0
         return p
 
-    def confirmed(self, text: str, family: str) -> bool:
-        words = f" {' '.join(re.findall(r'[0-9a-z\x80-\U0010ffff]+', text.lower()))} "
-        if any(n in words for n in self.names[family]):
-            return True
-        _, _, pairs, _ = _grams(*_flat([text]))
-        return len(pairs) >= 6 and np.isin(pairs, self.notices[family]).mean() >= 0.6
-
-
-    def explained(self, pairs: np.ndarray, family: str) -> float:
-        """Share of bigrams that stand in the family's notices."""
-        return float(np.isin(pairs, self.notices[KIN.get(family, family)]).mean()) if len(pairs) else 0.0
+    def spelled(self, w: Words) -> list[tuple[str, int, np.ndarray]]:
+        """(family, words, where it starts) of every name, places in order."""
+        out = []
+        for family, own in self.names.items():
+            for name in own:
+                k = _grams(*_flat([name]))[0]
+                at = np.flatnonzero(w.h == k[0])
+                at = at[at + len(k) <= len(w.h)]
+                for d in range(1, len(k)):
+                    at = at[w.h[at + d] == k[d]]
+                at = at[w.owner[at] == w.owner[at + len(k) - 1]] if len(at) else at
+                out.append((family, len(k), at))
+        return out
 
-    def windows(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, ...]:
-        """(text, first word, word after the last) of every window in which a family can be confirmed, then the words' starts and ends."""
-        low = tv.LOWER[data]
-        starts, ends, owner = tv.words(low, off, _ALNUM)
-        h = tv.span_hash(low, starts, ends)
-        n = len(h)
-        edge = tv.runs(owner, len(off) - 1)
-        rows: set[tuple[int, int, int]] = set()
-        names = [_grams(*_flat([name]))[0] for own in self.names.values() for name in own]
-        heads = np.flatnonzero(np.isin(h, np.array([k[0] for k in names], np.uint64)))
-        for k in names:
-            at = heads[(h[heads] == k[0]) & (heads + len(k) <= n)]
-            for d in range(1, len(k)):
-                at = at[h[at + d] == k[d]]
-            at = at[owner[at] == owner[at + len(k) - 1]] if len(at) else at
-            for w in at.tolist():
-                o = int(owner[w])
-                rows |= {(o, max(int(edge[o]), w - x), min(int(edge[o + 1]), w + len(k) + y)) for x, y in AROUND}
-        pair = tv.mix(h[:-1] * np.uint64(0x9FB21C651E98DF25) + h[1:])
-        some = np.r_[0, np.cumsum(np.isin(pair, np.concatenate([*self.notices.values()])) & (owner[1:] == owner[:-1]))] if n else np.zeros(1, np.int64)
+    def windows(self, w: Words, spelled: list[tuple[str, int, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        """(first word, word after the last) of every window in which a family can be confirmed, each once."""
+        firsts, lasts = [], []
+        for _, k, at in spelled:
+            low, high = w.edge[w.owner[at]], w.edge[w.owner[at] + 1]
+            for x, y in AROUND:
+                firsts.append(np.maximum(low, at - x))
+                lasts.append(np.minimum(high, at + k + y))
+        some = np.r_[0, np.cumsum(np.isin(w.pair, np.concatenate([*self.notices.values()])))]
         for size in WINDOWS:
             step = size // 4
-            count = -(-np.maximum(np.diff(edge) - size, 0) // step) * (np.diff(edge) > size)
-            first = np.repeat(edge[:-1], count + 1) + (tv.gather(np.zeros(len(count), np.int64), count + 1) * step)
+            count = -(-np.maximum(np.diff(w.edge) - size, 0) // step) * (np.diff(w.edge) > size)
+            first = np.repeat(w.edge[:-1], count + 1) + (tv.gather(np.zeros(len(count), np.int64), count + 1) * step)
             own = np.repeat(np.arange(len(count)), count + 1)
-            first = np.maximum(np.minimum(first, edge[own + 1] - size), edge[own])
-            last = np.minimum(first + size, edge[own + 1])
+            first = np.maximum(np.minimum(first, w.edge[own + 1] - size), w.edge[own])
+            last = np.minimum(first + size, w.edge[own + 1])
             few = last - first >= 7
-            first, last, own = first[few], last[few], own[few]
+            first, last = first[few], last[few]
             ok = some[last - 1] - some[first] >= 0.6 * (last - first - 1) - 1e-9
-            rows |= set(zip(own[ok].tolist(), first[ok].tolist(), last[ok].tolist(), strict=True))
-        cols = np.array(sorted(rows), np.int64).reshape(-1, 3)
-        return cols[:, 0], cols[:, 1], cols[:, 2], starts, ends
+            firsts.append(first[ok])
+            lasts.append(last[ok])
+        key = np.unique(np.concatenate(firsts) * (len(w.h) + 1) + np.concatenate(lasts))
+        return key // (len(w.h) + 1), key % (len(w.h) + 1)
+
+    def window_probabilities(self, data: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Those of the byte spans [a, b): equal texts once, some ``AT_ONCE`` bytes at a time."""
+        _, one, back = np.unique(tv.span_hash(data, a, b), return_index=True, return_inverse=True)
+        a, size = a[one], (b - a)[one]
+        out = np.zeros((len(one), len(self.families)))
+        cut = np.r_[0, np.cumsum(size)] // AT_ONCE
+        edge = [0, *(np.flatnonzero(np.diff(cut)) + 1).tolist(), len(one)]
+        for i, j in itertools.pairwise(edge):
+            if j > i:
+                out[i:j] = self.probabilities(data[tv.gather(a[i:j], size[i:j])], np.r_[0, np.cumsum(size[i:j])])
+        return out[back]
 
     def claims(self, data: np.ndarray, off: np.ndarray, whole: np.ndarray, least: float) -> dict[int, dict[str, float]]:
         """The families of each text and their probabilities, from its windows and from the
-        probabilities ``whole`` of the text itself."""
-        owner, first, last, starts, ends = self.windows(data, off)
-        a, b = starts[first], ends[last - 1]
-        p = self.probabilities(data[tv.gather(a, b - a)], np.r_[0, np.cumsum(b - a)]) if len(owner) else np.zeros((0, len(self.families)))
+        probabilities ``whole`` of the text itself.
+
+        Names and bigrams of notices are counted by running sums and sorted places, so that a
+        window costs the same wherever it lies; only windows without a name are gone through
+        one by one, each against the merged spans taken before.
+        """
+        w = Words(data, off)
+        if not len(w.h):
+            return {}
+        spelled = self.spelled(w)
+        first, last = self.windows(w, spelled)
         size = len(off) - 1
-        owner, p = np.r_[np.arange(size), owner], np.r_[whole, p]
-        a, b = np.r_[off[:-1], a], np.r_[off[1:], b]
+        p = np.r_[whole, self.window_probabilities(data, w.starts[first], w.ends[last - 1])]
+        a, b = np.r_[off[:-1], w.starts[first]], np.r_[off[1:], w.ends[last - 1]]
+        owner = np.r_[np.arange(size), w.owner[first]]
+        first, last = np.r_[w.edge[:-1], first], np.r_[w.edge[1:], last]
         best = p.argmax(1)
-        finds: dict[int, list[tuple[bool, float, float, int, int, str, np.ndarray]]] = {}
-        for row in np.flatnonzero((best != len(self.families) - 1) & (p.max(1) >= least)):
-            text, family = data[a[row] : b[row]].tobytes().decode("utf-8", "replace"), self.families[best[row]]
-            if self.confirmed(text, family):
-                pairs = _grams(*_flat([text]))[2]
-                named = any(x in f" {' '.join(re.findall(r'[0-9a-z\x80-\U0010ffff]+', text.lower()))} " for x in self.names[family])
-                finds.setdefault(int(owner[row]), []).append((named, self.explained(pairs, family) * len(pairs), float(p[row, best[row]]), int(a[row]), int(b[row]), family, pairs))
+        row = np.flatnonzero((best != len(self.families) - 1) & (p.max(1) >= least))
+        owner, a, b, first, last, best, p = owner[row], a[row], b[row], first[row], last[row], best[row], p[row, best[row]]
+        pairs = np.maximum(last - first - 1, 0)
+        families = self.families[:-1]
+        share = np.zeros((len(row), len(families)))  # of a window's bigrams, those that stand in a family's notices
+        for c, family in enumerate(families):
+            if len(self.notices[family]):
+                upto = np.r_[0, np.cumsum(np.isin(w.pair, self.notices[family]))]
+                share[:, c] = (upto[np.maximum(last - 1, first)] - upto[first]) / np.maximum(pairs, 1)
+        named = np.zeros(len(row), bool)
+        for family, k, at in spelled:
+            mine = np.flatnonzero(best == families.index(family))
+            named[mine] |= np.searchsorted(at, first[mine]) < np.searchsorted(at, last[mine] - k + 1)
+        own = share[np.arange(len(row)), best]
+        kin = share[:, [families.index(KIN.get(f, f)) for f in families]]  # a family's notices, or those that it shares
+        ok = named | (pairs >= 6) & (own >= 0.6)
         out: dict[int, dict[str, float]] = {}
-        for text, found in finds.items():
-            taken: list[tuple] = []
-            for f in sorted(found, key=lambda f: (not f[0], -f[1], -f[2], f[3:6])):
-                rivals = [g for g in taken if g[5] != f[5]]
-                claimed = any(self.explained(f[6], g[5]) >= 0.6 if g[0] else g[3] < f[4] and f[3] < g[4] for g in rivals)
-                if f[0] or not claimed:
-                    taken.append(f)
-                    mine = out.setdefault(text, {})
-                    mine[f[5]] = max(mine.get(f[5], 0.0), f[2])
+        told: dict[int, np.ndarray] = {}  # the families that a text names
+        for i in np.flatnonzero(ok & named).tolist():
+            mine, family = out.setdefault(int(owner[i]), {}), families[best[i]]
+            mine[family] = max(mine.get(family, 0.0), float(p[i]))
+            told.setdefault(int(owner[i]), np.zeros(len(families), bool))[best[i]] = True
+        held: dict[tuple[int, int], Spans] = {}
+        rest = np.flatnonzero(ok & ~named)
+        explained = kin[np.arange(len(row)), best] * pairs
+        for i in rest[np.lexsort((best[rest], b[rest], a[rest], -p[rest], -explained[rest], owner[rest]))].tolist():
+            text, family = int(owner[i]), int(best[i])
+            rivals = told.get(text)
+            if rivals is not None and (rivals & (kin[i] >= 0.6) & (np.arange(len(families)) != family)).any():
+                continue
+            if any(held[text, c].meets(a[i], b[i]) for c in range(len(families)) if c != family and (text, c) in held):
+                continue
+            held.setdefault((text, family), Spans()).add(int(a[i]), int(b[i]))
+            mine = out.setdefault(text, {})
+            mine[families[family]] = max(mine.get(families[family], 0.0), float(p[i]))
         return out
 
 
+class Spans:
+    """Disjoint spans in order, merged where they touch."""
+
+    def __init__(self) -> None:
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+
+    def meets(self, a: int, b: int) -> bool:
+        i = bisect.bisect_right(self.ends, a)
+        return i < len(self.ends) and self.starts[i] < b
+
+    def add(self, a: int, b: int) -> None:
+        i, j = bisect.bisect_left(self.ends, a), bisect.bisect_right(self.starts, b)
+        if i < j:
+            a, b = min(a, self.starts[i]), max(b, self.ends[j - 1])
+        self.starts[i:j], self.ends[i:j] = [a], [b]
+
+
+class Words:
+    """Words of some texts: places, hashes, texts, each text's bounds, and the hash of each word with the next (0 across texts)."""
+
+    def __init__(self, data: np.ndarray, off: np.ndarray):
+        low = tv.LOWER[data]
+        self.starts, self.ends, self.owner = tv.words(low, off, _ALNUM)
+        self.h = tv.span_hash(low, self.starts, self.ends)
+        self.edge = tv.runs(self.owner, len(off) - 1)
+        pair = tv.mix(self.h[:-1] * np.uint64(0x9FB21C651E98DF25) + self.h[1:])
+        self.pair = np.where(self.owner[1:] == self.owner[:-1], pair, np.uint64(0))
+
+
 @functools.lru_cache(4)
 def fit(background: tuple[str, ...] = (), steps: int = 120, rate: float = 2.0, decay: float = 1e-4) -> Model:
     """Train on four fifths of the notices, set the temperature on the others."""
