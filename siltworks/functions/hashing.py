@@ -21,8 +21,10 @@ def hash_struct(c: Column) -> Column:
 
 
 def canonical(text: str) -> str:
-    """Canonical JSON of a JSON text: sorted keys, no spaces, non-ASCII kept."""
-    return json.dumps(json.loads(text), sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+    """Canonical JSON of a JSON text: sorted keys, no spaces, non-ASCII kept; lone surrogates are an error."""
+    made = json.dumps(json.loads(text), sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+    made.encode("utf-8")
+    return made
 
 
 def hash_text(canonical_json: str) -> str:
@@ -42,6 +44,24 @@ def canonical_json(s: pd.Series) -> pd.Series:
     return s.map(one)
 
 
+def plain_json(text: Column) -> Column:
+    """Canonical JSON of those objects that the JVM writes byte for byte as ``canonical`` does, null for all others.
+
+    A parsed variant has its keys in order and refuses repeated ones.  Numbers that are no
+    64-bit integers are left to Python, as the two write them differently; so are texts with
+    ``\\u`` escapes, which can stand for control characters and lone surrogates, with raw
+    control characters, and with anything but white space around one object.
+    """
+    # The parser ignores what follows a value, so the text is an array's first item and the second, which no
+    # text can hold without an escape, says that the first was all of it.
+    both = F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"\\u0001"]')))
+    value = F.try_variant_get(both, "$[0]", "variant")
+    kinds = F.when(F.try_variant_get(both, "$[1]", "string") == "\x01", F.schema_of_variant(value))
+    bare = F.regexp_replace(text, r'"(?:[^"\\]|\\.)*+"', "")
+    same = ~text.contains("\\u") & ~text.rlike(r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]") & text.rlike(r"^[ \t\r\n]*\{[\s\S]*\}[ \t\r\n]*$")
+    return F.when(same & kinds.startswith("OBJECT") & ~bare.rlike("[0-9][.eE]|[0-9]{19}"), F.to_json(value))
+
+
 def hash_json(canonical_text: Column) -> Column:
     return F.concat(F.lit("sha256:"), F.sha2(canonical_text, 256))
 

@@ -11,7 +11,7 @@ import argparse
 import json
 import os
 import sys
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -153,29 +153,23 @@ def tokenize(spark: SparkSession, config: Pipeline, root: str, run_id: str) -> d
 
 
 def export_index_map(spark: SparkSession, root: str, run_id: str) -> str:
-    """The whole row index as one JSON document; its path.
-
-    Rows come to the driver partition by partition and go straight to the file.
-    """
+    """The whole row index as one JSON document, an entry a line; its path.  Executors sort and write it."""
     target = f"{root.rstrip('/')}/artifacts/{run_id}"
     record = files.read_json(spark, f"{target}/index_map.json")
-    index = spark.read.parquet(f"{target}/index")
-
-    def listed(rows: DataFrame) -> Iterator[str]:
-        for i, r in enumerate(rows.toLocalIterator()):
-            yield ("," if i else "") + json.dumps(r.asDict(), ensure_ascii=False)
-
-    def parts() -> Iterator[str]:
-        yield json.dumps(record, ensure_ascii=False)[:-1] + ', "splits": {'
-        for i, split in enumerate(("train", "eval")):
-            yield (", " if i else "") + f'"{split}": ['
-            yield from listed(index.where(F.col("split") == split).select(F.col("row").cast("long"), "record_id").orderBy("row"))
-            yield "]"
-        yield '}, "dropped": ['
-        yield from listed(spark.read.parquet(f"{target}/dropped").select("record_id", "reason").orderBy("record_id"))
-        yield "]}\n"
-
-    files.write_lines(spark, f"{target}/index_map.full.json", parts())
+    index = spark.read.parquet(f"{target}/index").select("split", F.col("row").cast("long"), "record_id")
+    lost = spark.read.parquet(f"{target}/dropped").select("record_id", "reason")
+    lost = readers.with_ordinal(scratch.table(lost, "dropped").repartitionByRange("record_id").sortWithinPartitions("record_id")).withColumn("row", F.col("n") - 1)
+    fixed = [json.dumps(record, ensure_ascii=False)[:-1] + ', "splits": {"train": [', '], "eval": [', ']}, "dropped": [', "]}"]
+    frame = spark.createDataFrame([(2 * i, 0, text) for i, text in enumerate(fixed)], "section int, row long, value string")
+
+    def listed(rows: DataFrame, section: int, *columns: str) -> DataFrame:
+        text = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+        return rows.select(F.lit(section).alias("section"), "row", F.concat(F.when(F.col("row") > 0, ",").otherwise(""), text).alias("value"))
+
+    parts = [listed(index.where(F.col("split") == s), 2 * i + 1, "row", "record_id") for i, s in enumerate(("train", "eval"))]
+    for part in [*parts, listed(lost, 5, "record_id", "reason")]:
+        frame = frame.unionByName(part)
+    files.write_document(frame, f"{target}/index_map.full.json")
     return f"{target}/index_map.full.json"
 
 
@@ -235,7 +229,7 @@ def stage_code(f: Callable[[], Any], name: str) -> int:
     except Empty as e:
         print(f"{name}: {e}", file=sys.stderr)
         return 3
-    except (ConfigError, readers.SourceError, readers.MalformedRecord, tokenizing.TokenizerError, tiers.UpstreamIncomplete, tiers.InvalidRecord, registry_files.Refused, KeyError) as e:
+    except (ConfigError, readers.SourceError, readers.MalformedRecord, tokenizing.TokenizerError, tiers.UpstreamIncomplete, tiers.InvalidRecord, files.Conflict, registry_files.Refused, KeyError) as e:
         print(f"{name}: {e}", file=sys.stderr)
         return 2
     except Exception as e:

@@ -8,13 +8,13 @@ from __future__ import annotations
 
 import json
 import os
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from dataclasses import dataclass
 
-import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..functions.hashing import canonical, canonical_json
+from ..functions.hashing import canonical, canonical_json, plain_json
 from . import csv_blocks, scratch, sql_source
 
 
@@ -60,29 +60,33 @@ def with_ordinal(df: DataFrame, name: str = "n", stable: bool = False) -> DataFr
     return tagged.join(F.broadcast(starts), "_part").withColumn(name, F.col("_start") + F.col("_at") + 1).drop("_part", "_at", "_start")
 
 
-def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        raws, errors = [], []
-        for line in batch.column("line").to_pylist():
-            raw, error = None, None
-            try:
-                text = line.decode("utf-8")
-                value = json.loads(text)
-                if isinstance(value, dict):
-                    raw = canonical(text)
-                else:
-                    error = f"expected an object, got {type(value).__name__}"
-            except (ValueError, RecursionError) as e:
-                error = str(e)
-            raws.append(raw)
-            errors.append(error)
-        yield pa.RecordBatch.from_arrays([batch.column("n"), pa.array(raws, pa.string()), pa.array(errors, pa.string())], names=["n", "raw", "error"])
+@F.pandas_udf(T.StructType([T.StructField("raw", T.StringType()), T.StructField("error", T.StringType())]))
+def _parsed(lines: pd.Series) -> pd.DataFrame:
+    """Lines as canonical JSON, or why they are no records; null lines are known already."""
+
+    def one(line: bytes | None) -> tuple[str | None, str | None]:
+        if line is None:
+            return None, None
+        try:
+            text = bytes(line).decode("utf-8")
+            value = json.loads(text)
+            return (canonical(text), None) if isinstance(value, dict) else (None, f"expected an object, got {type(value).__name__}")
+        except (ValueError, RecursionError) as e:
+            return None, str(e)
+
+    return pd.DataFrame([one(x) for x in lines], columns=["raw", "error"])
 
 
 def read_jsonl(spark: SparkSession, source: Source) -> DataFrame:
-    """Lines end at line feeds only, so a record may hold any other separator."""
-    lines = spark.read.option("lineSep", "\n").text(source.uri).select(F.col("value").cast("binary").alias("line"))
-    return with_ordinal(lines, stable=True).select("n", "line").mapInArrow(_parsed, "n long, raw string, error string")
+    """Lines end at line feeds only, so a record may hold any other separator.
+
+    Most records are parsed and written by the JVM; Python gets those that it would write differently.
+    """
+    lines = spark.read.option("lineSep", "\n").text(source.uri)
+    known = F.when(F.is_valid_utf8("value"), plain_json(F.col("value")))
+    rows = with_ordinal(lines.select("value", known.alias("known")), stable=True)
+    asked = rows.withColumn("p", _parsed(F.when(F.col("known").isNull(), F.col("value").cast("binary"))))
+    return asked.select("n", F.coalesce("known", "p.raw").alias("raw"), F.col("p.error").alias("error"))
 
 
 def csv_header(spark: SparkSession, uri: str) -> list[str]:

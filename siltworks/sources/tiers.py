@@ -79,9 +79,10 @@ def write_shards(df: DataFrame, target: str, total: int, shard_rows: int | None)
     files.delete(spark, target)
     parts = [p for p in files.listing(spark, staging) if p.startswith("part-")]
     names = [f"records-{i:05d}.jsonl" for i in range(len(parts))]
-    for part, name in zip(parts, names, strict=True):
-        files.rename(spark, f"{staging}/{part}", f"{target}/{name}")
-    files.delete(spark, staging)
+    try:
+        files.rename_all(spark, [(f"{staging}/{part}", f"{target}/{name}") for part, name in zip(parts, names, strict=True)])
+    finally:
+        files.delete(spark, staging)
     return names
 
 
@@ -90,7 +91,7 @@ def write_tier(df: DataFrame, root: str, tier: str, run_id: str, stage: str, ups
     names = write_shards(df, target, total, shard_rows)
     digest = records_hash(df.sparkSession, [f"{target}/{n}" for n in names])
     manifest = make_manifest(tier, run_id, stage, upstream, names, digest, total + sum(drops.values()), total, drops, allowed)
-    files.write_json(df.sparkSession, manifest_uri(root, tier, run_id), manifest)
+    files.write_new_json(df.sparkSession, manifest_uri(root, tier, run_id), manifest)  # of two writers of one run, one commits
     return manifest
 
 
