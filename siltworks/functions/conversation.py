@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from ..schemas import CONVERSATION, PART_TYPES, ROLES
-from .text import COMPOSES, nfc_barrier, scrub_normalised
+from .text import nfc_barrier, nfc_changes, scrub_normalised
 
 #: Versioned rubric (fixed values).
 RUBRIC = "judge-rubric-v1"
@@ -71,8 +71,7 @@ def normalised(conv: Column) -> Column:
     It acts on the whole conversation as JSON: composition never creates or
     removes JSON syntax.
     """
-    text = F.to_json(conv)
-    return F.from_json(nfc_barrier(F.when(text.rlike(COMPOSES), text)), CONVERSATION)
+    return F.from_json(nfc_changes(F.to_json(conv), nfc_barrier), CONVERSATION)
 
 
 def scrub_normalised_turns(conv: Column, kinds=("email", "phone")) -> Column:

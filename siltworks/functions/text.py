@@ -1,16 +1,18 @@
 """Text scrubbing: normalise, strip controls, mask personal data, tidy blank lines.
 
-Everything is a built-in expression but Unicode normalisation, which Spark
-lacks; only texts with characters that composition can touch go to its UDF.
+Everything is a built-in expression, Unicode normalisation included (see
+``composition``); only texts with many or long runs of marks go to a UDF.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, functions as F, types as T
 
+from . import composition
+
 #: Patterns of masked personal data (fixed values); (?U) gives \d and \s their Unicode sense.
 EMAIL = (
     r"[A-Za-z0-9](?:[A-Za-z0-9._%+-]*[A-Za-z0-9])?@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?"
@@ -24,8 +26,6 @@ PHONE = (
 MASKERS: dict[str, str] = {"email": EMAIL, "phone": PHONE}
 
 _CONTROLS = r"[\x00-\x08\x0B-\x1F\x7F-\x9F]"
-#: Below this code point composition changes nothing.
-COMPOSES = r"[^\x00-\x{2FF}]"
 
 
 @F.pandas_udf(T.StringType())
@@ -39,8 +39,14 @@ def nfc_rare(s: pd.Series) -> pd.Series:
 nfc_barrier = nfc_rare.asNondeterministic()
 
 
+def nfc_changes(c: Column, rare: Callable[[Column], Column] = nfc_rare) -> Column:
+    """Normal form C of texts that composition can change, null for all others."""
+    touched = composition.touched(c)
+    return F.coalesce(rare(F.when(touched & composition.dense(c), c)), F.when(touched, composition.composed(c)))
+
+
 def nfc(c: Column) -> Column:
-    return F.coalesce(nfc_rare(F.when(c.rlike(COMPOSES), c)), c)
+    return F.coalesce(nfc_changes(c), c)
 
 
 def strip_controls(c: Column) -> Column:
