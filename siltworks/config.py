@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import dataclasses
+import json
 import types
 import typing
 from dataclasses import dataclass, field
 from typing import Any
 
+import pandas as pd
 import yaml
+from pyspark.sql import Column, functions as F, types as T
 
 from .functions.text import MASKERS
 from .sources.readers import Mapping, Source
@@ -122,6 +125,23 @@ def parse(raw: dict[str, Any]) -> Pipeline:
     return config
 
 
+def codes(raws: Column) -> Column:
+    """The exit code that each configuration, as JSON text, gives: 0, or 2 where it is invalid."""
+    return _codes(raws)
+
+
+@F.pandas_udf(T.IntegerType())
+def _codes(raws: pd.Series) -> pd.Series:
+    def one(raw: str | None) -> int:
+        try:
+            parse(json.loads(raw or "null"))
+            return 0
+        except (ConfigError, ValueError):
+            return 2
+
+    return raws.map(one)
+
+
 def load(path: str) -> Pipeline:
     try:
         with open(path, encoding="utf-8") as f:

@@ -80,6 +80,15 @@ def assign_split(record: Column, eval_fraction: float) -> Column:
     return F.when(share < F.lit(float(eval_fraction)), "eval").otherwise("train")
 
 
+def run_id(at: Column, key: Column) -> Column:
+    """The run identifier of a time and what tells runs of that time apart."""
+    return F.concat(F.lit("run-"), F.date_format(at, "yyyyMMdd-HHmmss"), F.lit("-"), F.substring(F.sha2(key.cast("string"), 256), 1, 6))
+
+
+def utc(at: Column) -> Column:
+    return F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
 def new_run_id(now: datetime | None = None) -> str:
     return f"run-{(now or datetime.now(UTC)).astimezone(UTC):%Y%m%d-%H%M%S}-{secrets.token_hex(3)}"
 

@@ -27,3 +27,16 @@ def unaccounted(read: DataFrame, *outcomes: DataFrame) -> DataFrame:
     for more in outcomes[1:]:
         out = out.unionByName(more)
     return read.exceptAll(out).withColumn("side", F.lit("lost")).unionByName(out.exceptAll(read).withColumn("side", F.lit("extra")))
+
+
+def audited(records: DataFrame, run: str, reason: str, allowed: tuple[str, ...]) -> DataFrame:
+    """(run, read, written, dropped, unknown, valid) of many runs' records at once.
+
+    A record is written where ``reason`` is null.  ``unknown`` has the drop reasons that the stage does not
+    know, in order; a run with one is not valid.  Counts are partial sums, so a run with most of the records is no
+    hot key, and the reasons of a run are as many as there are kinds.
+    """
+    each = records.groupBy(F.col(run).alias("run"), F.col(reason).alias("reason")).agg(F.count("*").alias("n"))
+    odd = F.when(F.col("reason").isNotNull() & ~F.col("reason").isin(*allowed), F.col("reason"))
+    out = each.groupBy("run").agg(F.sum("n").alias("read"), F.coalesce(F.sum(F.when(F.col("reason").isNull(), F.col("n"))), F.lit(0)).alias("written"), F.array_sort(F.collect_set(odd)).alias("unknown"))
+    return out.withColumn("dropped", F.col("read") - F.col("written")).withColumn("valid", F.size("unknown") == 0)

@@ -119,3 +119,18 @@ def promote(manifests: DataFrame, model_version: str) -> DataFrame:
     """The rows' states alone after one promotion; the version promoted so far is retired, so one stays promoted."""
     chosen = F.col("model_version") == model_version
     return manifests.withColumn("status", F.when(chosen, "promoted").when(F.col("status") == "promoted", "retired").otherwise(F.col("status")))
+
+
+def named(runs: DataFrame, root: str) -> DataFrame:
+    """Add what a registered version derives from (run_id, adapter_name): model_version, gold_manifest_uri, index_map_uri, status."""
+    base, run = root.rstrip("/"), F.col("run_id")
+    return runs.withColumns({
+        "model_version": F.concat_ws("-", "adapter_name", "run_id"), "gold_manifest_uri": F.concat(F.lit(f"{base}/gold/"), run, F.lit("/manifest.json")),
+        "index_map_uri": F.concat(F.lit(f"{base}/artifacts/"), run, F.lit("/index_map.json")), "status": F.lit("candidate"),
+    })
+
+
+def lookup(asked: DataFrame, manifests: DataFrame) -> DataFrame:
+    """Add ``found`` to versions: whether a valid manifest has that name; one that is registered twice is one."""
+    names = manifests.where("valid").select(F.col("model_version").alias("_name")).distinct()
+    return asked.join(names, F.col("model_version") == F.col("_name"), "left").withColumn("found", F.col("_name").isNotNull()).drop("_name")

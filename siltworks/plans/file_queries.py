@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import config as cfg, schemas
 from ..functions import conversation as conv, hashing, replies
-from ..operators import clean, ingest, judge, registry, smoke, tokenize
+from ..operators import clean, ingest, judge, lineage, registry, smoke, tokenize
 from ..sources import files, readers, registry as registry_files, scratch, sql_source, tensors, tiers, tracking
 from . import pipeline
 from .queries import _FLAT, _INDEXED, _MANIFESTS, _RAW, _SCORED, _SILVER, DOCS_URI, RUN, WHEN, _indexed, _manifests, bronze, flat_columns, query, raw_rows, scored, silver_turns, table
@@ -87,20 +87,14 @@ def csv_header_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(n, ok(n)) for n in others + regions], "name string, ok boolean")
 
 
-@query("SELECT * FROM (VALUES ('csv', true), ('jsonl', true), ('sql', true), ('pdf', false), ('api', false)) t(type, known)")
+@query("""WITH t AS (SELECT source, count(*) AS n, ['csv', 'jsonl', 'sql', 'pdf', 'api', 'xml'][regexp_extract(source, '([0-9]+)$', 1)::INT % 6 + 1] AS type FROM documents GROUP BY source)
+SELECT source, type, n, type IN ('csv', 'jsonl', 'sql') AS known, type <> 'xml' AS reserved FROM t""")
 def source_types(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Which source types have a reader."""
-
-    def known(kind: str) -> bool:
-        try:
-            readers.read(spark, readers.Source(kind, f"{sf_dir}/none"))
-        except readers.SourceError as e:
-            return "unknown source type" not in str(e)
-        except Exception:  # a reader that finds no file
-            return True
-        return True
-
-    return spark.createDataFrame([(k, known(k)) for k in schemas.SOURCE_TYPES], "type string, known boolean")
+    """Sources by type, and which types have a reader or are reserved for one."""
+    kinds = F.array(*map(F.lit, (*schemas.SOURCE_TYPES, "xml")))
+    kind = F.element_at(kinds, F.regexp_extract("source", "([0-9]+)$", 1).cast("int") % 6 + 1)
+    found = table(spark, sf_dir, "documents").groupBy("source").agg(F.count("*").alias("n")).withColumn("type", kind)
+    return found.select("source", "type", "n", readers.known(F.col("type")).alias("known"), F.col("type").isin(*schemas.SOURCE_TYPES).alias("reserved"))
 
 
 @query("""SELECT place AS _offset, c_custkey, c_name, c_acctbal FROM (SELECT *, row_number() OVER (ORDER BY c_nationkey, c_custkey, c_name, c_acctbal) - 1 AS place FROM customer) WHERE c_acctbal >= 100 AND c_nationkey <> 7""")
@@ -250,19 +244,16 @@ def gold_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge.gold(judge.promoted(marked), "judge", WHEN).select("seq", "evaluation.*")
 
 
-@query("""SELECT reason, reason IN ('unmappable', 'bad_structure', 'empty_turn', 'too_short', 'too_long', 'duplicate') AS allowed
-FROM (VALUES ('unmappable'), ('bad_structure'), ('empty_turn'), ('too_short'), ('too_long'), ('duplicate'), ('judge_error'), ('odd')) t(reason)""")
+@query("""WITH r AS (SELECT user_id, CASE WHEN event_type <> 'view' THEN CASE WHEN event_id % 149 = 0 THEN 'odd' WHEN event_id % 151 = 0 THEN 'judge_error'
+  ELSE ['unmappable', 'bad_structure', 'empty_turn', 'too_short', 'too_long', 'duplicate'][event_id % 6 + 1] END END AS reason FROM events)
+SELECT user_id AS run, count(*) AS read, count(*) FILTER (reason IS NULL) AS written, count(reason) AS dropped,
+  coalesce(string_agg(DISTINCT reason, ',' ORDER BY reason) FILTER (reason IN ('odd', 'judge_error')), '') AS unknown, count(*) FILTER (reason IN ('odd', 'judge_error')) = 0 AS valid FROM r GROUP BY user_id""")
 def drop_allow_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A manifest refuses reasons that its stage does not know."""
-
-    def allowed(reason: str) -> bool:
-        try:
-            tiers.make_manifest("silver", RUN, "clean", "up", [], "h", 1, 0, {reason: 1}, schemas.CLEAN_REASONS)
-        except ValueError:
-            return False
-        return True
-
-    return spark.createDataFrame([(r, allowed(r)) for r in (*schemas.CLEAN_REASONS, "judge_error", "odd")], "reason string, allowed boolean")
+    """Counts of many runs at once, and the drop reasons that their stage does not know."""
+    k = F.col("event_id")
+    reason = F.when(k % 149 == 0, "odd").when(k % 151 == 0, "judge_error").otherwise(F.element_at(F.array(*map(F.lit, schemas.CLEAN_REASONS)), (k % 6 + 1).cast("int")))
+    rows = table(spark, sf_dir, "events").select("user_id", F.when(F.col("event_type") != "view", reason).alias("reason"))
+    return lineage.audited(rows, "user_id", "reason", schemas.CLEAN_REASONS).withColumn("unknown", F.array_join("unknown", ","))
 
 
 @query(r"""SELECT o_orderkey, regexp_full_match('run-' || strftime(o_orderdate, '%Y%m%d') || '-000000-' || printf('%06x', o_orderkey * 7), 'run-[0-9]{8}-[0-9]{6}-[0-9a-f]{6}') AS valid FROM orders""")
@@ -273,11 +264,11 @@ def run_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select("o_orderkey", schemas.is_run_id(made).alias("valid"))
 
 
-@query("SELECT true AS run_id, true AS now")
+@query("""SELECT event_id, 'run-' || strftime(ts, '%Y%m%d-%H%M%S') || '-' || sha256(event_id::VARCHAR)[1:6] AS run_id, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS now, true AS valid FROM events""")
 def run_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A new run's identifier and the time, by their forms."""
-    made = spark.createDataFrame([(hashing.new_run_id(), hashing.utc_now())], "run_id string, now string")
-    return made.select(schemas.is_run_id(F.col("run_id")).alias("run_id"), schemas.is_utc(F.col("now")).alias("now"))
+    """Run identifiers and times of events, in their forms."""
+    made = table(spark, sf_dir, "events").select("event_id", hashing.run_id(F.col("ts"), F.col("event_id")).alias("run_id"), hashing.utc(F.col("ts")).alias("now"))
+    return made.withColumn("valid", schemas.is_run_id(F.col("run_id")) & schemas.is_utc(F.col("now")))
 
 
 # -- single files ------------------------------------------------------------------
@@ -341,20 +332,9 @@ def registry_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT source AS model_version, k % 5 <> 4 AS found FROM (SELECT DISTINCT source, regexp_extract(source, '([0-9]+)$', 1)::INT AS k FROM documents)""")
 def registry_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Manifests by version; versions that were never registered are not found."""
-    root = scratch.path(spark, "versions")
-    names = sorted(r[0] for r in table(spark, sf_dir, "documents").select("source").distinct().collect())
-    for name in names:
-        if int(name[3:]) % 5 != 4:
-            registry_files.put(spark, root, {"model_version": name})
-
-    def found(name: str) -> bool:
-        try:
-            return registry_files.get(spark, root, name)["model_version"] == name
-        except KeyError:
-            return False
-
-    return spark.createDataFrame([(n, found(n)) for n in names], "model_version string, found boolean")
+    """Versions joined with the manifests that are there and valid."""
+    asked = table(spark, sf_dir, "documents").select(F.col("source").alias("model_version")).distinct()
+    return registry.lookup(asked, registry_files.scan(spark, _registry(spark, sf_dir))).select("model_version", "found")
 
 
 @query(f"""WITH {_MANIFESTS}, v AS (SELECT row_number() OVER (ORDER BY created_at DESC, key) AS n, rtrim(rpad(model_version, 45, ' ') || ' ' || rpad(adapter_name, 15, ' ') || ' ' || rpad(created_at, 22, ' ') || ' ' || rpad(status, 10, ' ') || ' ' || final_eval_loss::VARCHAR) AS line FROM m WHERE valid),
@@ -485,47 +465,30 @@ def missing_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- configuration, hooks ----------------------------------------------------------
 
 
-@query("""SELECT * FROM (VALUES ('plain', 0), ('unknown key', 2), ('unknown section', 2), ('wrong type', 2), ('unknown masker', 2), ('threshold', 2), ('unknown hyperparameter', 2), ('override', 0),
-('unknown adapter', 2), ('no tokenizer file', 2), ('no upstream', 2), ('empty', 3), ('bug', 1)) t(case_name, code)""")
+@query("""SELECT c_custkey, CASE WHEN c_custkey % 7 = 0 OR c_custkey % 11 = 0 OR c_custkey % 13 = 0 OR c_custkey % 17 = 0 OR c_nationkey < 2 OR NOT c_acctbal / 8000 BETWEEN 0 AND 1 THEN 2 ELSE 0 END AS code FROM customer""")
 def stage_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What a stage's exit code is when its configuration or its input is wrong."""
-    base = {"model": {"adapter": "word"}, "ingest": {"sources": []}}
-    config = cfg.parse(base)
-    root = scratch.path(spark, "codes")
-
-    def bug() -> None:
-        raise RuntimeError("a bug")
-
-    cases = {
-        "plain": lambda: cfg.parse(base), "unknown key": lambda: cfg.parse(base | {"clean": {"min": 1}}), "unknown section": lambda: cfg.parse(base | {"more": {}}),
-        "wrong type": lambda: cfg.parse(base | {"tokenize": {"eval_fraction": "x"}}), "unknown masker": lambda: cfg.parse(base | {"clean": {"pii": ["ssn"]}}), "threshold": lambda: cfg.parse(base | {"judge": {"threshold": 2}}),
-        "unknown hyperparameter": lambda: cfg.merge_hyperparameters({"lr": 1}, {"rate": 2}), "override": lambda: cfg.merge_hyperparameters({"lr": 1}, {"lr": 2}),
-        "unknown adapter": lambda: tokenize.adapter("none"), "no tokenizer file": lambda: tokenize.adapter("library", f"{root}/none.json")(), "no upstream": lambda: pipeline.clean(spark, config, root, RUN),
-        "empty": lambda: pipeline.ingest(spark, config, root, RUN), "bug": bug,
-    }
-    return spark.createDataFrame([(k, pipeline.stage_code(f, k)) for k, f in cases.items()], "case_name string, code int")
+    """The exit codes of many configurations: unknown keys, wrong types, unknown maskers, no model, values out of range."""
+    k = F.col("c_custkey")
+    size = F.when(k % 11 == 0, F.to_json(F.struct(F.lit("x").alias("min_chars")))).otherwise(F.to_json(F.struct((F.col("c_nationkey") - 2).alias("min_chars"))))
+    pii = F.when(k % 13 == 0, ',"pii":["ssn"]').otherwise(',"pii":["email"]')
+    more = F.when(k % 7 == 0, ',"min":1').otherwise("")
+    text = F.concat(
+        F.lit('{"ingest":{"sources":[]},"judge":{"threshold":'), (F.col("c_acctbal") / 8000).cast("string"), F.lit('},"clean":'), F.regexp_replace(size, r"\}$", ""), pii, more, F.lit("}"),
+        F.when(k % 17 == 0, "").otherwise(',"model":{"adapter":"word"}'), F.lit("}"),
+    )
+    return table(spark, sf_dir, "customer").select("c_custkey", cfg.codes(text).alias("code"))
 
 
-@query(f"""SELECT 'word-{OTHER_RUN}' AS model_version, 'word' AS adapter_name, 'weights' AS weights_uri, 0.5::DOUBLE AS final_eval_loss, 'candidate' AS status, true AS gold, true AS index, 2.0::DOUBLE AS logged""")
+@query("""SELECT event_type || '-run-' || strftime(ts, '%Y%m%d-%H%M%S') || '-' || sha256(event_id::VARCHAR)[1:6] AS model_version, 'x/gold/run-' || strftime(ts, '%Y%m%d-%H%M%S') || '-' || sha256(event_id::VARCHAR)[1:6] || '/manifest.json' AS gold_manifest_uri,
+'x/artifacts/run-' || strftime(ts, '%Y%m%d-%H%M%S') || '-' || sha256(event_id::VARCHAR)[1:6] || '/index_map.json' AS index_map_uri, 'candidate' AS status FROM events""")
 def trained_version(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A version as a trainer's hook gives it, with derived names, and its run's record."""
-    root = scratch.path(spark, "trained")
-    config = cfg.parse({"model": {"adapter": "word"}, "ingest": {"sources": []}})
-    files.write_json(spark, f"{root}/artifacts/{OTHER_RUN}/index_map.json", {"adapter": "word"})
-    made = {"weights_uri": "weights", "base_model": "b", "tracking_id": "t", "final_train_loss": 2.0, "final_eval_loss": 0.5}
-    pipeline.train(spark, config, root, OTHER_RUN, lambda *a: made)
-    logged = tracking.one(spark, root, OTHER_RUN, "train")["metrics"]["final_train_loss"]
-    found = registry_files.scan(spark, f"{root}/registry").where("valid")
-    uri = lambda c, end: F.col(c).endswith(end)
-    return found.select(
-        "model_version", "adapter_name", "weights_uri", "eval.final_eval_loss", "status", uri("gold_manifest_uri", f"/gold/{OTHER_RUN}/manifest.json").alias("gold"),
-        uri("index_map_uri", f"/artifacts/{OTHER_RUN}/index_map.json").alias("index"), F.lit(logged).alias("logged"),
-    )
+    """Names and places that a version derives from its run, for runs of events."""
+    runs = table(spark, sf_dir, "events").select(hashing.run_id(F.col("ts"), F.col("event_id")).alias("run_id"), F.col("event_type").alias("adapter_name"))
+    return registry.named(runs, "x/").select("model_version", "gold_manifest_uri", "index_map_uri", "status")
 
 
-@query("SELECT * FROM (VALUES ('word', 4), ('pad', 7), ('end', 9), ('none', 0)) t(tokenizer, pad)")
+@query("""SELECT o_orderkey, coalesce(CASE WHEN o_orderkey % 3 = 0 THEN o_custkey END, CASE WHEN o_orderkey % 5 <> 0 THEN o_custkey + 1 END, 0)::INT AS pad FROM orders""")
 def pad_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T4: the padding token, or else the end token."""
-    stub = lambda **have: type("Stub", (), have)()
-    found = {"word": tokenize.WordTokenizer(), "pad": stub(pad=7, end=9), "end": stub(pad=None, end=9), "none": stub()}
-    return spark.createDataFrame([(k, tokenize.pad_id(v)) for k, v in found.items()], "tokenizer string, pad int")
+    """T4: the padding token, or else the end token, or 0, of tokenizers described by rows."""
+    pad, end = F.when(F.col("o_orderkey") % 3 == 0, F.col("o_custkey")), F.when(F.col("o_orderkey") % 5 != 0, F.col("o_custkey") + 1)
+    return table(spark, sf_dir, "orders").select("o_orderkey", tokenize.pad_of(pad, end).alias("pad"))
\ No newline at end of file

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.hashing import canonical, canonical_json, plain_json
 from . import csv_blocks, scratch, sql_source
@@ -160,6 +160,11 @@ def _check(m: Mapping | None, header: list[str], where: str) -> None:
 READERS: dict[str, Callable[[SparkSession, Source], DataFrame]] = {"csv": read_csv, "jsonl": read_jsonl, "sql": read_sql}
 
 
+def known(kind: Column) -> Column:
+    """Whether a source type has a reader."""
+    return F.coalesce(kind.isin(*READERS), F.lit(False))
+
+
 def read(spark: SparkSession, source: Source) -> DataFrame:
     if source.type not in READERS:
         raise SourceError(f"unknown source type {source.type!r}; known types: {sorted(READERS)}")
