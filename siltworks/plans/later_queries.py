@@ -1,12 +1,12 @@
-"""Contract queries of the later phases of the pipeline: registry media checks,
-evaluators of other modalities, regression numbers, grants, training order."""
+"""Contract queries of the later phases of the pipeline: registry transitions, media checks,
+evaluators of other modalities, regression numbers, grants, training order, metrics of many runs."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import assets, grants, judge, order, registry, smoke
-from ..sources import scratch, tiers
+from ..sources import scratch, tiers, tracking
 from . import pipeline
 from .file_queries import OTHER_RUN, _silver_rows
 from .queries import _FLAT, _SILVER, RUN, WHEN, flat_columns, query, table
@@ -174,3 +174,16 @@ def training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T5: each epoch's order of rows, as a step and a slot of every row."""
     docs = table(spark, sf_dir, "documents").select("doc_id")
     return order.scheduled(docs, docs.count(), _EPOCHS, _BATCH, _SEED, "doc_id").select("doc_id", "epoch", "step", "slot")
+
+
+@query("""SELECT user_id::VARCHAR AS run_id, event_type AS stage, count(*)::DOUBLE AS n, max(value) AS top, (user_id % 3)::VARCHAR AS kind FROM events WHERE event_type = 'purchase' AND user_id % 3 <> 1 GROUP BY user_id, event_type""")
+def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics of many runs and stages, recorded in one job and found by their tags; the later record counts."""
+    root, run = scratch.path(spark, "metrics"), F.col("user_id").cast("string")
+    kind = (F.col("user_id") % 3).cast("string")
+    each = table(spark, sf_dir, "events").groupBy(run.alias("run_id"), F.col("event_type").alias("stage"), kind.alias("kind")).agg(F.count("*").cast("double").alias("n"), F.max("value").alias("top"))
+    record = lambda n: each.select("run_id", "stage", F.create_map(F.lit("n"), n, F.lit("top"), F.col("top")).alias("metrics"), F.create_map(F.lit("kind"), F.col("kind")).alias("params"), F.create_map(F.lit("kind"), F.col("kind")).alias("tags"))
+    tracking.log_many(record(F.lit(0.0)).where("stage = 'purchase'"), root)
+    tracking.log_many(record(F.col("n")), root)
+    found = tracking.search(spark, root, {"stage": "purchase"}).where(F.col("params").getItem("kind") != "1")
+    return found.select("run_id", "stage", F.col("metrics").getItem("n").alias("n"), F.col("metrics").getItem("top").alias("top"), F.col("tags").getItem("kind").alias("kind"))

@@ -57,7 +57,7 @@ def with_ordinal(df: DataFrame, name: str = "n", stable: bool = False) -> DataFr
         offsets.append((part, before))
         before += n
     starts = df.sparkSession.createDataFrame(offsets or [(-1, 0)], "_part int, _start long")
-    return tagged.join(F.broadcast(starts), "_part").withColumn(name, F.col("_start") + F.col("_at") + 1).drop("_part", "_at", "_start")
+    return tagged.join(scratch.small(starts, len(offsets)), "_part").withColumn(name, F.col("_start") + F.col("_at") + 1).drop("_part", "_at", "_start")
 
 
 @F.pandas_udf(T.StructType([T.StructField("raw", T.StringType()), T.StructField("error", T.StringType())]))

@@ -14,11 +14,13 @@ import uuid
 from collections.abc import Callable, Iterator
 from functools import wraps
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 KEY = "spark.checkpoint.dir"
 #: Bytes read for each file of a table at least.
 FILE_BYTES = 16 << 20
+#: Short rows that are broadcast at most (some 30 MB).
+BROADCAST_ROWS = 500_000
 #: Only for paths on a local file system.
 _PLAIN = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
 _scope: list[list[str]] = []
@@ -43,6 +45,11 @@ def path(spark: SparkSession, name: str) -> str:
     return made
 
 
+def small(df: DataFrame, rows: int) -> DataFrame:
+    """A table for a join: broadcast up to ``BROADCAST_ROWS`` rows, and shuffled beyond."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
 def read_bytes(df: DataFrame) -> int | None:
     """Bytes of the files that ``df`` is made from; None if that cannot be told."""
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()

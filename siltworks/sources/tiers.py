@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from .. import schemas
 from ..functions.hashing import utc_now
-from . import files
+from . import files, scratch
 
 SHARD_ROWS = 50_000
 VERSION = "0.1.0"
@@ -119,7 +119,7 @@ def _placed(lines: DataFrame, names: list[str]) -> DataFrame:
         starts.append((r["_name"], r["_block"], r["_part"], before - r["first"]))
         before += r["n"]
     known = spark.createDataFrame(starts or [("", -1, -1, 0)], "_name string, _block long, _part int, _shift long")
-    placed = tagged.join(F.broadcast(known), ["_name", "_block", "_part"])  # a row per block
+    placed = tagged.join(scratch.small(known, len(starts)), ["_name", "_block", "_part"])  # a row per block
     return placed.select("value", (F.col("_at") + F.col("_shift")).alias("seq"))
 
 
