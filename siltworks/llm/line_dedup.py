@@ -10,7 +10,9 @@ probability 1 - (1 - 0.8**ROWS)**BANDS, over 0.998.
 Lines are parts between line feeds; those without a word never go.  Equal
 lines are one node, told by a 64-bit hash, so copies cost one row each.
 Within a band's group every line is compared with the least one and with its
-neighbour first, in the trees of ``prefix_tree``.  Groups whose lines are then
+neighbour first, in the trees of ``prefix_tree``.  A group that very many lines
+share is split over shards by line; there each line is compared first with one of
+its task, and these with one another.  Groups whose lines are then
 still in several components are compared in full across these, in cells of
 bounded size: pairs that lengths and parity bitmaps (see ``cells``) allow are
 verified, at first the nearest of a line, then all that are left.  So every
@@ -35,6 +37,10 @@ from . import batches as arrow, bitmap, cells, graph, jaccard, packed, scratch,
 
 K, T, BANDS, ROWS = 8, 80, 12, 4
 COLUMNS = {"key": "<u4", "line": "<i8"}
+#: The same of hot keys: the whole key, and the line that stands for the task's lines of it.
+SPREAD = {"key": "<u8", "line": "<i8", "anchor": "<i8"}
+#: Lines of a block from which on their common key is hot.
+HOT = 64
 #: Partners of a line in the first full comparison of a block.
 NEAREST = 4
 #: Largest group in which the least line and the neighbours are all pairs.
@@ -141,26 +147,108 @@ class _Fresh:
         return np.sort(new[first])
 
 
-def _bands(docs: DataFrame, n: int, text: str) -> DataFrame:
+class _Hot:
+    """Band keys that very many lines of a task share, each with its anchor, the least line when it was found."""
+
+    def __init__(self, least: int):
+        self.least, self.keys, self.anchors = least, np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+    def find(self, key: np.ndarray, line: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(which entries have a hot key, their anchors, entries that tell of keys found now: the least lines of each)."""
+        slot = (key >> np.uint64(40)).astype(np.int64) & 0xFFFF
+        told = np.zeros(0, np.int64)
+        many = np.flatnonzero(np.bincount(slot, minlength=1 << 16)[slot] >= self.least)
+        if len(many):
+            many = many[np.lexsort((line[many], key[many]))]
+            first = np.flatnonzero(np.r_[True, key[many][1:] != key[many][:-1]])
+            count = np.diff(np.r_[first, len(many)])
+            new = (count >= self.least) & ~np.isin(key[many][first], self.keys)
+            if new.any():
+                told = many[tv.gather(first[new], np.minimum(count[new], WHOLE + 1))]
+                keys = np.r_[self.keys, key[many][first[new]]]
+                order = np.argsort(keys)
+                self.keys, self.anchors = keys[order], np.r_[self.anchors, line[many][first[new]]][order]
+        if not len(self.keys):
+            none = np.zeros(0, np.int64)
+            return none, none, told
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        hot = np.flatnonzero(self.keys[at] == key)
+        return hot, self.anchors[at[hot]], told
+
+
+def _bands(docs: DataFrame, n: int, text: str, hot: int) -> DataFrame:
+    """Entries (key, line) by shard of the key; those of hot keys by shard of key and line, after the others.
+
+    A key that ``hot`` lines of a block share is told to its own shard by a few lines of each task, and all
+    other lines go to shards from ``n`` on, dealt by line, with the task's anchor to be compared with.
+    """
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer, fresh = packed.Packer(COLUMNS, n), _Fresh()
+        packer, spread, fresh, found = packed.Packer(COLUMNS, n), packed.Packer(SPREAD, n), _Fresh(), _Hot(hot)
         for batch in batches:
             for _, _, lines in _blocks(batch, text):
                 which = fresh(lines.ids)
-                if len(which):
-                    keys = band_keys(signatures(*lines.shingles(which))).ravel()
-                    yield from packer.add((keys % np.uint64(n)).astype(np.int64), key=keys >> np.uint64(32), line=np.tile(lines.ids[which], BANDS))
-        yield from packer.flush()
-
-    return arrow.mapped(docs.select(text), run, packed.schema(COLUMNS))
-
-
-def _candidates(dealt: DataFrame) -> DataFrame:
-    """Rows (a, b) for proposed pairs and (key, node) for groups that these do not cover."""
+                if not len(which):
+                    continue
+                key, line = band_keys(signatures(*lines.shingles(which))).ravel(), np.tile(lines.ids[which], BANDS)
+                far, anchor, told = found.find(key, line)
+                if len(far):
+                    stay = np.ones(len(key), bool)
+                    stay[far] = False
+                    stay[told] = True
+                    shard = (tv.mix(key[far] ^ line[far].view(np.uint64)) % np.uint64(n)).astype(np.int64)
+                    yield from (_rows(b, n) for b in spread.add(shard, key=key[far], line=line[far], anchor=anchor))
+                    key, line = key[stay], line[stay]
+                yield from (_rows(b, 0) for b in packer.add((key % np.uint64(n)).astype(np.int64), key=key >> np.uint64(32), line=line))
+        yield from (_rows(b, 0) for b in packer.flush())
+        yield from (_rows(b, n) for b in spread.flush())
+
+    return arrow.mapped(docs.select(text), run, packed.schema(SPREAD))
+
+
+def _rows(batch: pa.RecordBatch, first: int) -> pa.RecordBatch:
+    """A packer's rows with shards from ``first`` on, and the column that only spread ones have."""
+    shard = pa.array(batch.column("shard").to_numpy() + np.int32(first), pa.int32())
+    anchor = batch.column("anchor") if "anchor" in batch.schema.names else pa.nulls(len(batch), pa.binary())
+    return pa.RecordBatch.from_arrays([shard, batch.column("key"), batch.column("line"), anchor], names=["shard", "key", "line", "anchor"])
+
+
+def _proposed(a: np.ndarray, b: np.ndarray, key: np.ndarray, line: np.ndarray) -> Iterator[pa.RecordBatch]:
+    names = ["a", "b", "key", "node"]
+    pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1)[a != b], axis=0)
+    none = pa.nulls(len(pairs), pa.int64())
+    yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), none, none], names=names)
+    none = pa.nulls(len(key), pa.int64())
+    yield pa.RecordBatch.from_arrays([none, none, pa.array(key), pa.array(line)], names=names)
+
+
+def _candidates(dealt: DataFrame, n: int) -> DataFrame:
+    """Rows (a, b) for proposed pairs and (key, node) for groups that these do not cover.
+
+    Shards up to ``n`` have whole groups, but of hot keys only the lines that tell of them; these
+    are enough for the group to be listed.  The others have parts of hot groups, of any size, a row at a time.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["a", "b", "key", "node"]
-        for shard in packed.unpack(batches, COLUMNS):
+        def plain() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                own = batch.column("shard").to_numpy() < n
+                for i in np.flatnonzero(~own).tolist():
+                    key, line, anchor = (np.frombuffer(batch.column(c)[i].as_buffer(), kind) for c, kind in SPREAD.items())
+                    whole = (key >> np.uint64(32)).astype(np.int64) + ((key % np.uint64(n)).astype(np.int64) << 32)
+                    parts.extend(_proposed(anchor, line, whole, line))
+                    if sum(map(len, parts)) > packed.FLUSH:
+                        yield None
+                yield batch.filter(pa.array(own))
+
+        parts: list[pa.RecordBatch] = []
+        held: list[pa.RecordBatch] = []
+        for batch in plain():
+            yield from parts
+            parts.clear()
+            if batch is not None and len(batch):
+                held.append(batch)
+        for shard in packed.unpack(iter(held), COLUMNS):
             order = np.lexsort((shard["line"], shard["key"]))
             key, line = shard["key"][order], shard["line"][order]
             if len(key) > 1:
@@ -171,13 +259,8 @@ def _candidates(dealt: DataFrame) -> DataFrame:
             first = np.repeat(start, count)
             at = np.arange(len(key))
             star, chain = at[at > first], at[at > first + 1]
-            pairs = np.unique(np.stack([np.r_[line[first[star]], line[chain - 1]], np.r_[line[star], line[chain]]], 1), axis=0)
-            none = pa.nulls(len(pairs), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), none, none], names=names)
             more = np.repeat(count, count) > WHOLE
-            key, line = key[more].astype(np.int64) + (shard["shard"] << 32), line[more]
-            none = pa.nulls(len(key), pa.int64())
-            yield pa.RecordBatch.from_arrays([none, none, pa.array(key), pa.array(line)], names=names)
+            yield from _proposed(np.r_[line[first[star]], line[chain - 1]], np.r_[line[star], line[chain]], key[more].astype(np.int64) + (shard["shard"] << 32), line[more])
 
     return arrow.mapped(dealt, run, "a long, b long, key long, node long")
 
@@ -223,16 +306,17 @@ def occurrences(docs: DataFrame, text: str = "text", doc: str = "doc_id") -> Dat
     return arrow.mapped(docs.select(doc, text), run, "doc long, number long, line long")
 
 
-def components(docs: DataFrame, text: str = "text") -> DataFrame:
+def components(docs: DataFrame, text: str = "text", hot: int = HOT) -> DataFrame:
     """(node, component) of lines that have near copies."""
     n = packed.shards(docs)
-    found = scratch.table(_candidates(packed.deal(_bands(docs, n, text), n)), "line-candidates")
+    found = scratch.table(_candidates(packed.deal(_bands(docs, n, text, hot), 2 * n), n), "line-candidates")
     pairs = scratch.table(found.where("a is not null").select("a", "b").distinct(), "line-pairs")
     met = scratch.table(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "line-met")
     texts = _texts(docs, text, met)
     tried = scratch.table(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "line-tried")
     links = scratch.table(jaccard.verify(tried, texts, K, T, char_sets), "line-links")
     comps = scratch.table(graph.components(links), "line-components")
+    # of a hot key's group a line can be listed more than once, which only makes its blocks smaller
     groups = cells.spanning(found.where("key is not null").select("key", "node"), comps, "line")
     described = _described(groups, texts)
     for most in (NEAREST, None):
@@ -254,11 +338,11 @@ def components(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 @scratch.tidied
-def decisions(docs: DataFrame, text: str = "text", doc: str = "doc_id") -> DataFrame:
+def decisions(docs: DataFrame, text: str = "text", doc: str = "doc_id", hot: int = HOT) -> DataFrame:
     """(doc, n_lines, dropped): worded lines of each document that has some, and
     the (number, line) of those that go, in order."""
     docs = docs.where(F.col(doc).isNotNull())
-    comps = scratch.table(components(docs, text), "line-components")
+    comps = scratch.table(components(docs, text, hot), "line-components")
     every = occurrences(docs, text, doc)
     if not docs.groupBy(doc).agg(F.count("*").alias("n")).where("n > 1").isEmpty():
         every = every.distinct()  # repeated rows

@@ -203,8 +203,9 @@ def test_line_dedup_by_brute_force(spark):
     rows = line_rows(random.Random(8))
     gone = expected_lines(rows)
     docs = frame(spark, rows).repartition(5).withColumns({"extra": F.lit("x"), "_doc": F.lit(1), "_dropped": F.lit(2), "line": F.lit(3)})
-    found = {r["doc"]: [d["number"] for d in r["dropped"]] for r in line_dedup.decisions(docs).collect()}
-    assert {k: v for k, v in found.items() if v} == dict(gone)
+    for hot in (line_dedup.HOT, 2):  # then keys that two lines of a block share are split
+        found = {r["doc"]: [d["number"] for d in r["dropped"]] for r in line_dedup.decisions(docs, hot=hot).collect()}
+        assert {k: v for k, v in found.items() if v} == dict(gone)
     kept = {r["doc_id"]: r for r in line_dedup.dedup(docs).collect()}
     for i, t in rows:
         lines = (t or "").split("\n")
@@ -237,8 +238,26 @@ def test_line_dedup_of_template_lines(spark, monkeypatch, block):
     rows = list(enumerate("\n".join(lines[i : i + 4]) for i in range(0, len(lines), 4)))
     gone = expected_lines(rows)
     assert sum(map(len, gone.values())) == 120
-    found = {r["doc"]: [d["number"] for d in r["dropped"]] for r in line_dedup.decisions(frame(spark, rows)).collect()}
-    assert {k: v for k, v in found.items() if v} == dict(gone)
+    for docs, hot in ((frame(spark, rows), line_dedup.HOT), (frame(spark, rows).repartition(4), 5)):
+        found = {r["doc"]: [d["number"] for d in r["dropped"]] for r in line_dedup.decisions(docs, hot=hot).collect()}
+        assert {k: v for k, v in found.items() if v} == dict(gone)
+
+
+def test_hot_keys_are_split(spark):
+    """Of a key that all lines share, a shard of keys gets a few lines of each task; the rest is dealt by line."""
+    n, lines = 4, [f"an entry of the same long form with much in common, number {i:05d}, and nothing else in it" for i in range(3000)]
+    docs = frame(spark, [(i, "\n".join(lines[i : i + 10])) for i in range(0, 3000, 10)]).repartition(3)
+    rows = line_dedup._bands(docs, n, "text", line_dedup.HOT).collect()
+    own, every, spread = collections.Counter(), collections.Counter(), collections.Counter()
+    for r in rows:
+        if r["shard"] < n:
+            own.update((r["shard"], int(k)) for k in np.frombuffer(r["key"], "<u4"))
+        else:
+            every.update(np.frombuffer(r["key"], "<u8").tolist())
+            spread[r["shard"]] += len(r["line"]) // 8
+    assert max(every.values()) > 1000  # of 3,000 lines
+    assert all(own[k % n, k >> 32] <= 3 * 4 for k, m in every.items() if m > 1000)  # a few from each of three tasks
+    assert len(spread) == n and max(spread.values()) < 2 * min(spread.values())
 
 
 def test_bands_recall():
