@@ -69,8 +69,9 @@ def tables() -> Tables:
                 touched.add(ord(first[1]))
     touched |= {*range(_V, _V + _VS), *range(_T + 1, _T + _TS)}
     points = sorted(touched)
-    rows = sorted({16 * (p // 16) + i for p in points for i in range(16)})  # a few wide ranges are tried before the many exact ones
-    return Tables(split, order, pairs, f"[{_ranges(rows)}&&[{_ranges(points)}]]")
+    rows = sorted({16 * (p // 16) + i for p in points for i in range(16)})
+    # most characters are ruled out by one comparison, others by a few wide ranges before the many exact ones
+    return Tables(split, order, pairs, f"[\\x{{{points[0]:X}}}-\\x{{10FFFF}}&&[{_ranges(rows)}]&&[{_ranges(points)}]]")
 
 
 def _place(key: str) -> int:
@@ -91,7 +92,7 @@ def _lookup(table: dict, kind: str, first: Column, second: Column | None = None)
 
 def touched(text: Column) -> Column:
     """Whether composition could change the text."""
-    return text.rlike(r"[^\x00-\x{2FF}]") & text.rlike(tables().touched)
+    return text.rlike(tables().touched)
 
 
 def dense(text: Column) -> Column:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from ..schemas import CONVERSATION, PART_TYPES, ROLES
-from .text import nfc_barrier, nfc_changes, scrub_normalised
+from . import composition
+from .text import nfc_barrier, scrub_normalised
 
 #: Versioned rubric (fixed values).
 RUBRIC = "judge-rubric-v1"
@@ -71,7 +72,8 @@ def normalised(conv: Column) -> Column:
     It acts on the whole conversation as JSON: composition never creates or
     removes JSON syntax.
     """
-    return F.from_json(nfc_changes(F.to_json(conv), nfc_barrier), CONVERSATION)
+    text = F.to_json(conv)
+    return F.from_json(nfc_barrier(F.when(composition.touched(text), text)), CONVERSATION)
 
 
 def scrub_normalised_turns(conv: Column, kinds=("email", "phone")) -> Column:

@@ -2,11 +2,12 @@
 
 Everything is a built-in expression, Unicode normalisation included (see
 ``composition``); only texts with many or long runs of marks go to a UDF.
+Whole conversations, whose plans are large already, go to it when any text is touched.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 import pandas as pd
 from pyspark.sql import Column, functions as F, types as T
@@ -39,14 +40,9 @@ def nfc_rare(s: pd.Series) -> pd.Series:
 nfc_barrier = nfc_rare.asNondeterministic()
 
 
-def nfc_changes(c: Column, rare: Callable[[Column], Column] = nfc_rare) -> Column:
-    """Normal form C of texts that composition can change, null for all others."""
-    touched = composition.touched(c)
-    return F.coalesce(rare(F.when(touched & composition.dense(c), c)), F.when(touched, composition.composed(c)))
-
-
 def nfc(c: Column) -> Column:
-    return F.coalesce(nfc_changes(c), c)
+    touched = composition.touched(c)
+    return F.coalesce(nfc_rare(F.when(touched & composition.dense(c), c)), F.when(touched, composition.composed(c)), c)
 
 
 def strip_controls(c: Column) -> Column:
