@@ -3,15 +3,13 @@
 from __future__ import annotations
 
 import dataclasses
-import json
+import functools
 import types
 import typing
 from dataclasses import dataclass, field
 from typing import Any
 
-import pandas as pd
 import yaml
-from pyspark.sql import Column, functions as F, types as T
 
 from .functions.text import MASKERS
 from .sources.readers import Mapping, Source
@@ -81,12 +79,15 @@ class Pipeline:
     smoke: Smoke = field(default_factory=Smoke)
 
 
+_hints = functools.cache(typing.get_type_hints)
+
+
 def _build(kind: Any, value: Any, at: str) -> Any:
     """``value`` as ``kind``; unknown keys and wrong types are errors."""
     if dataclasses.is_dataclass(kind):
         if not isinstance(value, dict):
             raise ConfigError(f"{at or 'config'}: expected a mapping")
-        hints = typing.get_type_hints(kind)
+        hints = _hints(kind)
         if unknown := sorted(set(value) - set(hints)):
             raise ConfigError(f"{at or 'config'}: unknown keys {unknown}")
         made = {k: _build(hints[k], v, f"{at}.{k}".lstrip(".")) for k, v in value.items()}
@@ -125,23 +126,6 @@ def parse(raw: dict[str, Any]) -> Pipeline:
     return config
 
 
-def codes(raws: Column) -> Column:
-    """The exit code that each configuration, as JSON text, gives: 0, or 2 where it is invalid."""
-    return _codes(raws)
-
-
-@F.pandas_udf(T.IntegerType())
-def _codes(raws: pd.Series) -> pd.Series:
-    def one(raw: str | None) -> int:
-        try:
-            parse(json.loads(raw or "null"))
-            return 0
-        except (ConfigError, ValueError):
-            return 2
-
-    return raws.map(one)
-
-
 def load(path: str) -> Pipeline:
     try:
         with open(path, encoding="utf-8") as f:

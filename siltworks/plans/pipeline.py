@@ -14,10 +14,11 @@ import sys
 from collections.abc import Callable
 from typing import Any
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import schemas
-from ..config import ConfigError, Pipeline, load
+from ..config import ConfigError, Pipeline, load, merge_hyperparameters, parse
 from ..functions.hashing import new_run_id, utc_now
 from ..operators import clean as cleaning, ingest as ingesting, judge as judging, registry, smoke, tokenize as tokenizing
 from ..sources import files, readers, registry as registry_files, scratch, tensors, tiers, tracking
@@ -219,6 +220,14 @@ def smoke_test(spark: SparkSession, config: Pipeline, root: str, run_id: str, ba
     return transcript
 
 
+def code_of(error: Exception) -> int:
+    """The exit code of a stage that ends with an error."""
+    if isinstance(error, Empty):
+        return 3
+    known = (ConfigError, readers.SourceError, readers.MalformedRecord, tokenizing.TokenizerError, tiers.UpstreamIncomplete, tiers.InvalidRecord, files.Conflict, registry_files.Refused, KeyError)
+    return 2 if isinstance(error, known) else 1
+
+
 def stage_code(f: Callable[[], Any], name: str) -> int:
     """Run a stage; its exit code.  Its scratch tables go when it ends."""
     held: list[str] = []
@@ -226,20 +235,55 @@ def stage_code(f: Callable[[], Any], name: str) -> int:
         with scratch.collected(held):
             f()
         return 0
-    except Empty as e:
-        print(f"{name}: {e}", file=sys.stderr)
-        return 3
-    except (ConfigError, readers.SourceError, readers.MalformedRecord, tokenizing.TokenizerError, tiers.UpstreamIncomplete, tiers.InvalidRecord, files.Conflict, registry_files.Refused, KeyError) as e:
-        print(f"{name}: {e}", file=sys.stderr)
-        return 2
     except Exception as e:
         print(f"{name}: {e}", file=sys.stderr)
-        return 1
+        return code_of(e)
     finally:
         if held:
             scratch.delete(SparkSession.active(), held)
 
 
+def outcomes(requests: DataFrame, work: Callable[[Pipeline, str], Any]) -> DataFrame:
+    """Add ``gate`` (null: none) and ``code``: where a stage's runs stop, and their exit codes, for many runs at once.
+
+    Requests have run_id, config (JSON), overrides (JSON of hyperparameters, or null), upstream (whether its
+    manifest is there) and records (how many it has).  Gates come in this order, the first that fails counts; ``work``
+    is called with the configuration and the run when all are passed.
+    """
+
+    def stopped(run_id: str, config: str | None, overrides: str | None, upstream: bool, records: int) -> tuple[str | None, int]:
+        gate = "config"
+        try:
+            try:
+                made = parse(json.loads(config or "null"))
+            except json.JSONDecodeError as e:
+                raise ConfigError(f"no JSON: {e}") from e
+            gate = "hyperparameters"
+            merge_hyperparameters(made.train.hyperparameters, json.loads(overrides or "{}"))
+            gate = "adapter"
+            load_tokenizer = tokenizing.adapter(made.model.adapter, made.model.tokenizer, made.model.revision)
+            gate = "tokenizer"
+            load_tokenizer()
+            gate = "upstream"
+            if not upstream:
+                raise tiers.UpstreamIncomplete(f"no manifest for {run_id}")
+            gate = "records"
+            if not records:
+                raise Empty(f"no records for {run_id}")
+            gate = "work"
+            work(made, run_id)
+            return None, 0
+        except Exception as e:
+            return gate, code_of(e)
+
+    @F.pandas_udf("gate string, code int")
+    def run(run_id: pd.Series, config: pd.Series, overrides: pd.Series, upstream: pd.Series, records: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame(list(map(stopped, run_id, config, overrides, upstream, records)), columns=["gate", "code"])
+
+    flags = F.coalesce("upstream", F.lit(False)), F.coalesce("records", F.lit(0)).cast("long")
+    return requests.withColumn("_o", run("run_id", "config", "overrides", *flags)).select(*requests.columns, "_o.gate", "_o.code")
+
+
 def run(spark: SparkSession, config: Pipeline, root: str, run_id: str | None = None, score: Callable[[DataFrame], DataFrame] | None = None, trainer: Trainer | None = None, models: tuple[Loader, Loader] | None = None) -> int:
     """All stages in order, stopping at the first that fails; train and smoke run where their hooks are given."""
     run_id = run_id or new_run_id()

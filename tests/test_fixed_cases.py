@@ -74,3 +74,28 @@ def test_a_trained_version(spark, tmp_path):
 def test_padding():
     stub = lambda **have: type("Stub", (), have)()
     assert [tokenize.pad_id(t) for t in (tokenize.WordTokenizer(), stub(pad=7, end=9), stub(pad=None, end=9), stub())] == [4, 7, 9, 0]
+
+
+def test_stages_of_many_runs_stop_at_every_gate(spark):
+    import json
+
+    from siltworks.plans.file_queries import stage_codes
+
+    plain = {"model": {"adapter": "word"}, "ingest": {"sources": []}, "train": {"hyperparameters": {"lr": 1}}}
+    cases = {
+        "plain": ({}, None, True, 1, None, 0), "override": ({}, {"lr": 2}, True, 1, None, 0), "no JSON": (None, None, True, 1, "config", 2), "unknown section": ({"more": {}}, None, True, 1, "config", 2),
+        "wrong type": ({"tokenize": {"eval_fraction": "x"}}, None, True, 1, "config", 2), "hyperparameter": ({}, {"rate": 2}, True, 1, "hyperparameters", 2),
+        "adapter": ({"model": {"adapter": "none"}}, None, True, 1, "adapter", 2), "tokenizer": ({"model": {"adapter": "library", "tokenizer": "/none.json"}}, None, True, 1, "tokenizer", 2),
+        "upstream": ({}, None, False, 1, "upstream", 2), "unknown upstream": ({}, None, None, 1, "upstream", 2), "empty": ({}, None, True, 0, "records", 3), "bug": ({}, None, True, 1, "work", 1),
+    }
+    rows = [(k, "{" if c is None else json.dumps(plain | c), o and json.dumps(o), up, n) for k, (c, o, up, n, *_) in cases.items()]
+
+    def work(config, run_id):
+        if run_id == "bug":
+            raise RuntimeError("a bug")
+
+    found = pipeline.outcomes(spark.createDataFrame(rows, "run_id string, config string, overrides string, upstream boolean, records long"), work)
+    assert {r["run_id"]: (r["gate"], r["code"]) for r in found.collect()} == {k: c[4:] for k, c in cases.items()}
+    # the query's runs reach all of them
+    kinds = stage_codes(spark, "/root/testdata/sf0.001").select("gate", "code").distinct().collect()
+    assert {tuple(r) for r in kinds} == {(None, 0), ("config", 2), ("hyperparameters", 2), ("adapter", 2), ("tokenizer", 2), ("upstream", 2), ("records", 3), ("work", 1)}
