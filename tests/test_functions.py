@@ -119,3 +119,22 @@ def test_retryable(spark):
     codes = {"429": True, "500": True, "502": True, "599": True, "timeout": True, "400": False, "401": False, "404": False, "200": False}
     frame = spark.createDataFrame(list(codes.items()), "s string, want boolean").select("want", replies.retryable(F.col("s")).alias("got"))
     assert all(r["want"] == r["got"] for r in frame.collect())
+
+
+def test_scrub_query_equals_its_sql_on_odd_texts(spark, tmp_path):
+    import duckdb
+
+    from siltworks.plans.queries import QUERIES, SQL
+
+    phone = "+1 (555) 555-1177"
+    texts = [
+        f"a {phone} {phone} b", f"{phone} {phone} {phone}", f"{phone}\n646-555-0142 646-555-0143", f"{phone}{phone}", f"x{phone}  {phone}y", f"+{phone}", "1646-555-0142", "646-555-01425", "٦٤٦-٥٥٥-٠١٤٢",
+        "٦646-555-0142٣", "(312) 867-5309", "(312) 867 5309", "(312) 867\n5309", "+39 055 2468 135 +39 055 2468 135", "+39 055 2468 135 7", "  x 　", "  x\n", "x\x85", "a\n\n\n\n\nb", "é " * 3,
+        "1́646-555-0142", "a.b@c.de,a.b@c.de", "a.b@c.de 646-555-0142 a.b@c.de", "646-555-0142\n", "646-555-0142\x07 646-555-0143", "", " ", None,
+    ]
+    spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    want = dict(con.execute(SQL["scrub_text"]).fetchall())
+    assert {r[0]: r[1] for r in QUERIES["scrub_text"](spark, str(tmp_path)).collect()} == want
+    assert want[0] == "a [PHONE] +1 [PHONE] b" and scrubbed(spark, texts[:1]) == ["a [PHONE] [PHONE] b"]  # look-around finds both
