@@ -497,12 +497,28 @@ def stage_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pipeline.outcomes(requests, work).select("c_custkey", "gate", "code")
 
 
-@query("""SELECT event_type || '-run-' || strftime(ts, '%Y%m%d-%H%M%S') || '-' || sha256(event_id::VARCHAR)[1:6] AS model_version, 'x/gold/run-' || strftime(ts, '%Y%m%d-%H%M%S') || '-' || sha256(event_id::VARCHAR)[1:6] || '/manifest.json' AS gold_manifest_uri,
-'x/artifacts/run-' || strftime(ts, '%Y%m%d-%H%M%S') || '-' || sha256(event_id::VARCHAR)[1:6] || '/index_map.json' AS index_map_uri, 'candidate' AS status FROM events""")
+@query("""WITH r AS (SELECT *, 'run-' || strftime(ts, '%Y%m%d-%H%M%S') || '-' || sha256(event_id::VARCHAR)[1:6] AS run_id, strftime(ts, '%Y%m%d')::BIGINT + strftime(ts, '%H%M%S')::BIGINT AS t FROM events)
+SELECT event_id, event_type || '-' || run_id AS model_version, event_type AS adapter_name, 'weights/' || run_id AS weights_uri, (t % 997 / 16.0::DOUBLE)::DOUBLE AS final_eval_loss, 'candidate' AS status,
+  'x/gold/' || run_id || '/manifest.json' AS gold_manifest_uri, 'x/artifacts/' || run_id || '/index_map.json' AS index_map_uri, (t % 1009 / 8.0::DOUBLE)::DOUBLE AS logged FROM r""")
 def trained_version(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Names and places that a version derives from its run, for runs of events."""
-    runs = table(spark, sf_dir, "events").select(hashing.run_id(F.col("ts"), F.col("event_id")).alias("run_id"), F.col("event_type").alias("adapter_name"))
-    return registry.named(runs, "x/").select("model_version", "gold_manifest_uri", "index_map_uri", "status")
+    """Versions as a trainer's hook gives them for runs of events, with derived names, read back from the registry, and their runs' records."""
+    root = scratch.path(spark, "trained")
+    # losses follow from a run's time, so that events with the same run agree on its record
+    t = F.substring("run_id", 5, 8).cast("long") + F.substring("run_id", 14, 6).cast("long")
+    runs = table(spark, sf_dir, "events").select("event_id", hashing.run_id(F.col("ts"), F.col("event_id")).alias("run_id"), F.col("event_type").alias("adapter_name"))
+    runs = runs.withColumns({"t": t, "index_adapter": F.col("adapter_name")})
+
+    def trainer(gated: DataFrame) -> DataFrame:
+        return gated.withColumns({
+            "weights_uri": F.concat(F.lit("weights/"), "run_id"), "base_model": F.lit("b"), "tracking_id": F.concat(F.lit("t-"), "run_id"),
+            "final_train_loss": F.col("t") % 1009 / 8, "final_eval_loss": F.col("t") % 997 / 16,
+        })
+
+    asked = pipeline.train_many(runs, root, trainer).where("refused is null").select("event_id", F.concat_ws("-", "adapter_name", "run_id").alias("model_version"))
+    records = tracking.search(spark, root, {"stage": "train"}).select("run_id", F.col("metrics").getItem("final_train_loss").alias("logged"))
+    uri = lambda c: F.concat(F.lit("x"), F.substring(c, len(root) + 1, 1 << 20)).alias(c)
+    found = registry_files.scan(spark, f"{root}/registry").where("valid").join(records, "run_id")
+    return asked.join(found, "model_version").select("event_id", "model_version", "adapter_name", "weights_uri", "eval.final_eval_loss", "status", uri("gold_manifest_uri"), uri("index_map_uri"), "logged")
 
 
 @query("""SELECT o_orderkey, coalesce(CASE WHEN o_orderkey % 3 = 0 THEN o_custkey END, CASE WHEN o_orderkey % 5 <> 0 THEN o_custkey + 1 END, 0)::INT AS pad FROM orders""")

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import schemas
-from ..config import ConfigError, Pipeline, load, merge_hyperparameters, parse
+from ..config import ConfigError, Pipeline, Train, load, merge_hyperparameters, parse
 from ..functions.hashing import new_run_id, utc_now
 from ..operators import clean as cleaning, ingest as ingesting, judge as judging, registry, smoke, tokenize as tokenizing
 from ..sources import files, readers, registry as registry_files, scratch, tensors, tiers, tracking
@@ -205,6 +205,29 @@ def train(spark: SparkSession, config: Pipeline, root: str, run_id: str, trainer
     return register(spark, config, root, run_id, made["weights_uri"], (made["final_train_loss"], made["final_eval_loss"]), made["tracking_id"], made["base_model"])
 
 
+def train_many(runs: DataFrame, root: str, trainer: Callable[[DataFrame], DataFrame], method: str = Train.method, experiment: str = Train.mlflow_experiment) -> DataFrame:
+    """Train many runs at once: (run_id, adapter_name, index_adapter) with ``refused`` (null: trained and registered).
+
+    ``index_adapter`` is that of the run's tokenized artifact, null if there is none.  The trainer gets the
+    runs that pass the gates and adds weights_uri, base_model, tracking_id, final_train_loss and
+    final_eval_loss.  Metrics go to the run records and versions to the registry, each as a batch.
+    """
+    spark, base = runs.sparkSession, root.rstrip("/")
+    mismatch = F.concat(F.lit("tokenized with adapter "), "index_adapter", F.lit(", configured "), "adapter_name")
+    refused = F.when(F.col("index_adapter").isNull(), "no tokenized artifact").when(F.col("index_adapter") != F.col("adapter_name"), mismatch)
+    gated = runs.withColumn("refused", refused)
+    made = scratch.table(registry.named(trainer(gated.where("refused is null").drop("refused")), base), "trained")
+    losses = F.struct(F.col("final_train_loss").cast("double").alias("final_train_loss"), F.col("final_eval_loss").cast("double").alias("final_eval_loss"))
+    metrics = F.create_map(F.lit("final_train_loss"), losses["final_train_loss"], F.lit("final_eval_loss"), losses["final_eval_loss"])
+    tags = F.create_map(F.lit("experiment"), F.lit(experiment), F.lit("tracking_id"), F.col("tracking_id"))
+    tracking.log_many(made.select("run_id", F.lit("train").alias("stage"), metrics.alias("metrics"), F.create_map(F.lit("method"), F.lit(method)).alias("params"), tags.alias("tags")), base)
+    registry_files.put_many(made.select(
+        "model_version", "run_id", "adapter_name", "base_model", F.lit(method).alias("method"), F.lit(utc_now()).alias("created_at"), "gold_manifest_uri", "index_map_uri",
+        "weights_uri", F.col("tracking_id").alias("mlflow_run_id"), F.expr("cast(map() as map<string,string>)").alias("hyperparameters"), losses.alias("eval"), "status",
+    ), f"{base}/registry")
+    return gated
+
+
 def smoke_test(spark: SparkSession, config: Pipeline, root: str, run_id: str, base: Loader, tuned: Loader) -> dict[str, Any]:
     """Outputs of both models for a few evaluation prompts, as a transcript."""
     tracking.one(spark, root, run_id, "train")

@@ -99,3 +99,32 @@ def test_stages_of_many_runs_stop_at_every_gate(spark):
     # the query's runs reach all of them
     kinds = stage_codes(spark, "/root/testdata/sf0.001").select("gate", "code").distinct().collect()
     assert {tuple(r) for r in kinds} == {(None, 0), ("config", 2), ("hyperparameters", 2), ("adapter", 2), ("tokenizer", 2), ("upstream", 2), ("records", 3), ("work", 1)}
+
+
+def test_many_trained_versions(spark, tmp_path):
+    root = str(tmp_path / "many")
+    rows = [("run-20240101-000000-00000a", "word", "word"), ("run-20240101-000000-00000b", "word", "byte"), ("run-20240101-000000-00000c", "word", None), ("run-20240101-000000-00000d", "byte", "byte")]
+    runs = spark.createDataFrame(rows, "run_id string, adapter_name string, index_adapter string")
+
+    def trainer(gated):
+        return gated.withColumns({"weights_uri": F.lit("w"), "base_model": F.lit("b"), "tracking_id": F.lit("t"), "final_train_loss": F.lit(2.0), "final_eval_loss": F.lit(0.5)})
+
+    refused = {r["run_id"][-1]: r["refused"] for r in pipeline.train_many(runs, root, trainer).collect()}
+    assert refused == {"a": None, "b": "tokenized with adapter byte, configured word", "c": "no tokenized artifact", "d": None}
+    found = registry.scan(spark, f"{root}/registry").where("valid")
+    assert sorted(r["model_version"] for r in found.collect()) == ["byte-" + rows[3][0], "word-" + rows[0][0]]
+    assert tracking.one(spark, root, rows[0][0], "train")["metrics"] == {"final_train_loss": 2.0, "final_eval_loss": 0.5}
+    # what is written last counts, in a batch or by itself
+    name = "word-" + rows[0][0]
+    made = registry.get(spark, f"{root}/registry", name)
+    assert made["weights_uri"] == "w" and made["eval"]["final_eval_loss"] == 0.5
+    registry.put(spark, f"{root}/registry", made | {"weights_uri": "v"})
+    assert registry.get(spark, f"{root}/registry", name)["weights_uri"] == "v" and found.count() == 2
+    pipeline.train_many(runs.limit(1), root, trainer)
+    assert registry.get(spark, f"{root}/registry", name)["weights_uri"] == "w"
+
+
+def test_a_query_reads_trained_versions_back(spark):
+    from siltworks.plans.file_queries import trained_version
+
+    assert {"adapter_name", "weights_uri", "final_eval_loss", "logged"} <= set(trained_version(spark, "/root/testdata/sf0.001").columns)
