@@ -280,7 +280,7 @@ def verify(pairs: DataFrame, texts: DataFrame, k: int, t: int, sets: Sets = sets
     def linked(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
         a, part, node, size, h = (np.concatenate(x) for x in zip(*held, strict=True))
         tree = np.cumsum(np.r_[False, (a[1:] != a[:-1]) | (part[1:] != part[:-1])])
-        i, j = prefix_tree.Forest(tree, h, np.r_[0, np.cumsum(size)], t).links()
+        i, j = prefix_tree.links(tree, h, size, t)
         x, y = node[i], node[j]
         apart = x != y
         return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)[apart]), pa.array(np.maximum(x, y)[apart])], names=["a", "b"])

@@ -48,53 +48,105 @@ WHOLE = 3
 #: Line hashes that a task remembers, so that it signs an equal line once.
 SEEN = 1 << 18
 _A = (tv.mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
-_B = tv.mix(np.arange(1001, BANDS * ROWS + 1001, dtype=np.uint64)).astype(np.uint32)
 _ROLL = 0x9E3779B97F4A7C55
 assert K & (K - 1) == 0  # shingles are hashed by doubling
 
 
+def _places(flags: np.ndarray) -> np.ndarray:
+    """Where few of very many flags are set."""
+    eights = np.zeros(-(-len(flags) // 8) * 8, bool)
+    eights[: len(flags)] = flags
+    some = np.flatnonzero(eights.view(np.uint64))
+    row, column = np.nonzero(eights.reshape(-1, 8)[some])
+    return some[row] * 8 + column
+
+
+def _line_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of byte spans, none empty, by sums of their mixed 8-byte words."""
+    lens = ends - starts
+    count = (lens + 7) >> 3
+    first = np.cumsum(count) - count
+    nth = np.arange(int(count.sum())) - np.repeat(first, count)
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    words = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))[np.repeat(starts, count) + 8 * nth]
+    words[first + count - 1] &= np.uint64(0xFFFFFFFFFFFFFFFF) >> (8 * (8 * count - lens)).astype(np.uint64)
+    words += nth.astype(np.uint64) * np.uint64(_ROLL)
+    sums = np.add.reduceat(tv.mix(words), first)
+    return tv.mix(sums + lens.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)).view(np.int64)
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """A bijective 32-bit finaliser, in place."""
+    buffer = np.empty_like(x)
+    for shift, factor in ((16, 0x85EBCA6B), (13, 0xC2B2AE35), (16, 1)):
+        np.right_shift(x, np.uint32(shift), out=buffer)
+        x ^= buffer
+        if factor > 1:
+            x *= np.uint32(factor)
+    return x
+
+
 class Lines:
-    """The worded lines of a block of texts, in code points."""
+    """The worded lines of a block of texts, by their places in its bytes."""
 
     def __init__(self, data: np.ndarray, off: np.ndarray):
+        self.data, feeds = data, _places(data == 10)
+        starts, ends = np.sort(np.r_[off[:-1], feeds + 1]), np.sort(np.r_[feeds, off[1:]])
+        some = ends > starts
+        starts, ends = starts[some], ends[some]
+        # a line without a word has white space only
+        white = np.flatnonzero(tv.SPACE[data[starts]])
+        if len(white):
+            lens = ends[white] - starts[white]
+            words = ~tv.SPACE[data[tv.gather(starts[white], lens)]]
+            worded = np.ones(len(starts), bool)
+            worded[white] = np.logical_or.reduceat(words, np.cumsum(lens) - lens)
+            starts, ends = starts[worded], ends[worded]
+        self.starts, self.ends = starts, ends
+        self.owner = np.searchsorted(off, starts, "right") - 1
+        self.number = np.searchsorted(feeds, starts) - np.searchsorted(feeds, off)[self.owner]
+        self.ids = _line_hash(data, starts, ends) if len(starts) else np.zeros(0, np.int64)
+
+    def points(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The block's code points, and the lines' starts and ends in these."""
         try:
-            self.text = data.tobytes().decode()
-            self.points = np.frombuffer(self.text.encode("utf-32-le"), np.uint32)
-            if len(self.points) < len(data):
-                off = np.r_[0, np.cumsum((data & 0xC0) != 0x80, dtype=np.int32)][off].astype(np.int64)
+            points = np.frombuffer(self.data.tobytes().decode().encode("utf-32-le"), np.uint32)
         except UnicodeDecodeError:  # not UTF-8: bytes stand for themselves
-            self.text, self.points = data.tobytes().decode("latin-1"), data.astype(np.uint32)
-        feed = self.points == 10
-        feeds = np.flatnonzero(feed)
-        inside = np.r_[False, ~feed, False]
-        bound = np.zeros(len(feed) + 1, bool)
-        bound[off] = True
-        cur, prev = inside[1:], inside[:-1]
-        starts, ends = np.flatnonzero(cur & (~prev | bound)), np.flatnonzero(prev & (~cur | bound))
-        # a line without a word has white space only: the space, and what wraps to less than five from 9 on
-        word = np.r_[np.int32(0), np.cumsum((self.points != 32) & (self.points - np.uint32(9) > 4), dtype=np.int32)]
-        worded = word[ends] > word[starts]
-        self.starts, self.ends = starts[worded], ends[worded]
-        self.owner = np.searchsorted(off, self.starts, "right") - 1
-        before = np.searchsorted(feeds, off)
-        self.number = np.searchsorted(feeds, self.starts) - before[self.owner]
-        self.ids = tv.span_hash(self.points, self.starts, self.ends).view(np.int64) if len(self.starts) else np.zeros(0, np.int64)
-
-    def shingles(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes of the shingles of some lines, and their bounds; a shorter line is one shingle."""
-        n = max(0, len(self.points) - K + 1)
-        roll, step = self.points.astype(np.uint64), 1
-        while step < K and n:  # windows of 1, 2, 4 and 8
-            left = roll[:-step] * np.uint64(pow(_ROLL, step, 1 << 64))
+            return self.data.astype(np.uint32), self.starts, self.ends
+        if len(points) == len(self.data):
+            return points, self.starts, self.ends
+        more = _places((self.data & 0xC0) == 0x80)
+        return points, self.starts - np.searchsorted(more, self.starts), self.ends - np.searchsorted(more, self.ends)
+
+    def texts(self, which: np.ndarray) -> list[str]:
+        """Some lines as strings."""
+        raw = self.data.tobytes()
+        cut = [raw[a:b] for a, b in zip(self.starts[which].tolist(), self.ends[which].tolist(), strict=True)]
+        try:
+            return [x.decode() for x in cut]
+        except UnicodeDecodeError:
+            return [x.decode("latin-1") for x in cut]
+
+    def shingles(self, which: np.ndarray, kind: type = np.uint32) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of ``kind`` of the shingles of some lines, and their bounds; a shorter line is one shingle."""
+        points, starts, ends = self.points()
+        starts, ends = starts[which], ends[which]
+        n, step, roll = len(points), 1, points.astype(kind)
+        while step < K and step < n:  # windows of 1, 2, 4 and 8; what is behind the last whole window is not used
+            left = roll[:-step] * kind(pow(_ROLL, step, 1 << 64) & np.iinfo(kind).max)
             left += roll[step:]
-            roll, step = left, 2 * step
-        size = self.ends[which] - self.starts[which] - K + 1
+            roll[:-step], step = left, 2 * step
+        size = ends - starts - K + 1
         short = size < 1
         lens = np.maximum(size, 1)
-        at = tv.gather(self.starts[which], lens)
-        h = tv.mix(roll[np.minimum(at, n - 1)]) if n else np.zeros(len(at), np.uint64)
+        edge = np.zeros(n + 1, np.int8)
+        edge[starts] = 1
+        edge[starts + lens] -= 1
+        h = roll[np.cumsum(edge[:n], dtype=np.int8).view(bool)]
+        h = _mixed(h) if kind is np.uint32 else tv.mix(h)
         bounds = np.r_[0, np.cumsum(lens)]
-        h[bounds[:-1][short]] = self.ids[which][short].view(np.uint64)
+        h[bounds[:-1][short]] = self.ids[which][short].astype(kind)
         return h, bounds
 
 
@@ -107,18 +159,16 @@ def _blocks(batch: pa.RecordBatch, text: str, most: int = 500_000) -> Iterator[t
 def char_sets(batch: pa.RecordBatch, text: str, _k: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Distinct sorted shingle hashes of whole texts that are single lines; 44 bits of a hash count."""
     for i, j, lines in _blocks(batch, text):
-        h, bounds = lines.shingles(np.arange(len(lines.ids)))
+        h, bounds = lines.shingles(np.arange(len(lines.ids)), np.uint64)
         yield i, j, *tv.distinct(h >> np.uint64(20), np.repeat(lines.owner, np.diff(bounds)), j - i, 44)
 
 
 def signatures(h: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Minima of BANDS * ROWS hash functions over each set, a column per line."""
-    low = (h >> np.uint64(32)).astype(np.uint32)
     out = np.empty((BANDS * ROWS, len(bounds) - 1), np.uint32)
-    buffer = np.empty_like(low)
+    buffer = np.empty_like(h)
     for p in range(BANDS * ROWS):
-        np.multiply(low, _A[p], out=buffer)
-        np.add(buffer, _B[p], out=buffer)
+        np.multiply(h, _A[p], out=buffer)
         np.minimum.reduceat(buffer, bounds[:-1], out=out[p])
     return out
 
@@ -213,11 +263,22 @@ def _rows(batch: pa.RecordBatch, first: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([shard, batch.column("key"), batch.column("line"), anchor], names=["shard", "key", "line", "anchor"])
 
 
+def _met(key: np.ndarray) -> np.ndarray:
+    """The entries whose key others have too; most have one of their own."""
+    found = np.sort(key.astype(np.uint64) << np.uint64(32) | np.arange(len(key), dtype=np.uint64))
+    same = (found[1:] >> np.uint64(32)) == (found[:-1] >> np.uint64(32))
+    return (found[np.r_[False, same][: len(key)] | np.r_[same, False][: len(key)]] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+
+
 def _proposed(a: np.ndarray, b: np.ndarray, key: np.ndarray, line: np.ndarray) -> Iterator[pa.RecordBatch]:
     names = ["a", "b", "key", "node"]
-    pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1)[a != b], axis=0)
-    none = pa.nulls(len(pairs), pa.int64())
-    yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), none, none], names=names)
+    apart = a != b
+    low, high = np.minimum(a, b)[apart], np.maximum(a, b)[apart]
+    order = np.argsort(tv.mix(low.view(np.uint64)) ^ high.view(np.uint64))
+    low, high = low[order], high[order]
+    new = np.r_[True, (low[1:] != low[:-1]) | (high[1:] != high[:-1])][: len(low)]
+    none = pa.nulls(int(new.sum()), pa.int64())
+    yield pa.RecordBatch.from_arrays([pa.array(low[new]), pa.array(high[new]), none, none], names=names)
     none = pa.nulls(len(key), pa.int64())
     yield pa.RecordBatch.from_arrays([none, none, pa.array(key), pa.array(line)], names=names)
 
@@ -249,8 +310,9 @@ def _candidates(dealt: DataFrame, n: int) -> DataFrame:
             if batch is not None and len(batch):
                 held.append(batch)
         for shard in packed.unpack(iter(held), COLUMNS):
-            order = np.lexsort((shard["line"], shard["key"]))
-            key, line = shard["key"][order], shard["line"][order]
+            at = _met(shard["key"])
+            at = at[np.lexsort((shard["line"][at], shard["key"][at]))]
+            key, line = shard["key"][at], shard["line"][at]
             if len(key) > 1:
                 new = np.r_[True, (key[1:] != key[:-1]) | (line[1:] != line[:-1])]
                 key, line = key[new], line[new]
@@ -275,8 +337,7 @@ def _texts(docs: DataFrame, text: str, nodes: DataFrame) -> DataFrame:
             for _, _, found in _blocks(batch, text):
                 which = np.flatnonzero(bitmap.passes(shared.value, found.ids))
                 which = which[fresh(found.ids[which])]
-                cut = [found.text[a:b] for a, b in zip(found.starts[which].tolist(), found.ends[which].tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(found.ids[which]), pa.array(cut, pa.string())], names=["node", "text"])
+                yield pa.RecordBatch.from_arrays([pa.array(found.ids[which]), pa.array(found.texts(which), pa.string())], names=["node", "text"])
 
     # the join drops lines that only share their last bits with wanted ones
     rows = arrow.mapped(docs.select(text), run, "node long, text string").join(nodes.select("node"), "node", "left_semi")

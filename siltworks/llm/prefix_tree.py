@@ -9,6 +9,8 @@ lengths that remain, of the probe and of the longest path below, cannot reach
 what the smallest set below needs, and also where all its sets are in the
 probe's component already.
 
+Trees of a few sets are not built: there each two sets are compared.
+
 Paths are cut into segments at fixed depths, each twice as deep as the one
 before, and a node is a run of sorted sets that agree to such a depth.  So one
 step of numpy calls takes all probes of all trees one segment down.  Probes go
@@ -24,6 +26,9 @@ from . import graph, textvec as tv
 
 #: N-grams compared in one step at most, unless one probe alone has more.
 WORK = 500_000
+#: Sets of a tree up to which each two are compared at once, if hashes have at most ``SHORT`` bits.
+FEW = 8
+SHORT = 44
 
 
 def joined(comp: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -35,6 +40,48 @@ def joined(comp: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.where(node[at] == comp, top[at], comp)
 
 
+def links(tree: np.ndarray, h: np.ndarray, size: np.ndarray, t: int) -> tuple[np.ndarray, np.ndarray]:
+    """Similar sets, by number: links that connect what is similar in each tree.
+
+    Short hashes leave room for a pair's number, so sets of small trees go pair by pair.
+    """
+    bounds = np.r_[0, np.cumsum(size)]
+    if not len(h) or int(h.max()) >> SHORT:
+        return Forest(tree, h, bounds, t).links()
+    small = np.bincount(tree)[tree] <= FEW
+    i, j = _paired(np.flatnonzero(small), tree[small], h, bounds, t)
+    rest = np.flatnonzero(~small)
+    if not len(rest):
+        return i, j
+    number = np.cumsum(np.r_[False, tree[rest][1:] != tree[rest][:-1]])
+    x, y = Forest(number, h[np.repeat(~small, size)], np.r_[0, np.cumsum(size[rest])], t).links()
+    return np.r_[i, rest[x]], np.r_[j, rest[y]]
+
+
+def _paired(row: np.ndarray, tree: np.ndarray, h: np.ndarray, bounds: np.ndarray, t: int) -> tuple[np.ndarray, np.ndarray]:
+    """All similar pairs of the sets ``row`` within their trees."""
+    size = np.diff(bounds)
+    first = np.flatnonzero(np.r_[True, tree[1:] != tree[:-1]][: len(tree)])
+    count = np.diff(np.r_[first, len(tree)])
+    i, j = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for m in np.unique(count).tolist():
+        for side, at in zip((i, j), np.triu_indices(m, 1), strict=True):
+            side.append(row[first[count == m][:, None] + at].ravel())
+    i, j = np.concatenate(i), np.concatenate(j)
+    near = 100 * np.minimum(size[i], size[j]) >= t * np.maximum(size[i], size[j])
+    i, j = i[near], j[near]
+    both = size[i] + size[j]
+    common = np.zeros(len(i), np.int64)
+    for lo, hi in tv.blocks(np.r_[0, np.cumsum(both)], WORK):
+        two = np.stack([i[lo:hi], j[lo:hi]], 1).ravel()
+        key = h[tv.gather(bounds[two], size[two])]
+        key |= np.repeat(np.arange(hi - lo, dtype=np.uint64) << np.uint64(SHORT), both[lo:hi])
+        key.sort(kind="stable")  # two sorted runs for each pair
+        common[lo:hi] = np.bincount((key[1:][key[1:] == key[:-1]] >> np.uint64(SHORT)).astype(np.int64), minlength=hi - lo)
+    similar = 100 * common >= t * (both - common)
+    return i[similar], j[similar]
+
+
 class Forest:
     """Trees of sets; ``tree`` numbers each set's tree, rising from 0, ``h`` has the
     distinct n-grams of one set after the other, ``bounds`` their limits."""
@@ -147,7 +194,7 @@ class Forest:
             some = np.flatnonzero(width)
             tip = edge[1:][some] - 1
             rest[some] = self.end[q[some]] - at[tip] - hit[tip]
-            leaf = self.length[head] <= e
+            leaf = self.deep[k + 1][c] <= e  # not by its first path, which can end at e where others go on
             room = np.where(leaf, 0, np.minimum(self.deep[k + 1][c] - e, rest))
             ok = common + room >= -(-t * (self.size[q] + low) // (100 + t))
             self.left += len(ok) - int(ok.sum())
